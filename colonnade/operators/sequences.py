@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colonnade.session import default_parallelism
+from colonnade.session import checkpoint_root, default_parallelism
 
 
 def _cols(names: Sequence[str | Column]) -> list[Column]:
@@ -52,6 +52,12 @@ def dense_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
+    # Range bounds come from a sample seeded per exchange, so two exchanges of
+    # the same input may cut it differently.  Writing the numbered layout once
+    # to the shared checkpoint folder pins it: the piece counts and the rows
+    # below read the same files, also when an executor is lost and a task re-runs.
+    checkpoint_root(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
     # At most (#partitions + #groups) rows: one per group piece per partition.
     pieces = ranged.groupBy(*keys, "_pid").agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -115,6 +121,7 @@ def decayed_prefix_sum(df: DataFrame, keys: Sequence[str], ordinal: str, value:
                           (F.col("l._e") + F.lit(big_d ** step) * F.coalesce(F.col("r._q"), F.lit(0.0))).alias("_e")))
         # Each step reads the previous table twice; cut the lineage so the
         # plan does not double in size per step.
+        checkpoint_root(df.sparkSession)
         totals = totals.checkpoint(eager=True)
         step *= 2
     carry = totals.select(*keys, (F.col("_c") + 1).alias("_c"), F.col("_e").alias("_carry"))

@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from colonnade.session import checkpoint_root
+
 
 def keyed_correlation(df: DataFrame, keys: Sequence[str], x: str, y: str, out: str = "corr") -> DataFrame:
     """Pearson correlation of two columns per key (a partial aggregate,
@@ -120,6 +122,7 @@ def best_correlated_partner(long: DataFrame, entity: str, period: str, value: st
             .groupBy(entity).pivot(period, list(periods)).agg(F.first(value)))
     cols = [str(p) for p in periods]
     complete = wide.dropna(subset=cols)
+    checkpoint_root(long.sparkSession)
     points = unit_series(complete, entity, cols).checkpoint(eager=True)
     count = points.count()
     dims = n - 1
