@@ -69,6 +69,30 @@ def dense_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     return joined.select(*[F.col(f"l.{c}") for c in df.columns], ordinal)
 
 
+def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str,
+                  out: str = "running_total", num_partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = sum of ``value`` over rows up to and including this one
+    (by ``order``) within ``keys`` (``keys=[]``: over the whole table).
+
+    Range-partitioned like :func:`dense_ordinal`: each range piece sums its own
+    rows, the pieces' totals (one row per key and partition) give the offsets.
+    No group, and not the whole table, ever has to fit in one task.
+    """
+    n = num_partitions or default_parallelism(df.sparkSession)
+    sort_cols = [*_cols(keys), *_cols(order)]
+    checkpoint_root(df.sparkSession)
+    ranged = (df.repartitionByRange(n, *sort_cols).withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))
+    pieces = ranged.groupBy(*keys, "_pid").agg(F.sum(value).alias("_tot"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select(*keys, "_pid", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(*keys, "_pid").orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumn("_loc", F.sum(value).over(inside))
+    joined = local.alias("l").join(pieces.alias("r"), _null_safe_on("l", "r", keys)
+                                   & (F.col("l._pid") == F.col("r._pid")), "inner")
+    return joined.select(*[F.col(f"l.{c}") for c in df.columns], (F.col("r._off") + F.col("l._loc")).alias(out))
+
+
 def _chunk_size(decay: float, cap: int = 1024) -> int:
     """Largest chunk with ``decay^-chunk`` below 1e150 (no overflow in the
     rescaled window sum), at most ``cap``."""

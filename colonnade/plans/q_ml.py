@@ -1 +1,232 @@
-"""Registered queries."""
+"""Registered queries: model stages, evaluators and model jobs (M1-M15, C5,
+C6, C11, K6).  Evaluators with a deterministic predictor have oracles; model
+fits are checked on row counts (and in the tests against brute force)."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from colonnade.operators import ml
+from colonnade.operators import sequences as seq
+from colonnade.operators import windows as win
+from colonnade.plans.common import r6, table, ts_text
+from colonnade.plans.registry import register
+from colonnade.session import scratch_path
+from colonnade.sources import sinks
+
+
+@register("ml_string_index", """
+SELECT event_type, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, event_type ASC) - 1 AS DOUBLE) AS idx
+FROM events GROUP BY event_type
+""")
+def ml_string_index(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events").select("event_type")
+    model = StringIndexer(inputCol="event_type", outputCol="idx", stringOrderType="frequencyDesc").fit(e)
+    return model.transform(e).select("event_type", "idx").distinct()
+
+
+@register("ml_one_hot", """
+SELECT event_type, CAST(idx AS DOUBLE) AS idx, CAST(idx AS INTEGER) AS slot, CAST(width AS INTEGER) AS width FROM (
+  SELECT event_type, row_number() OVER (ORDER BY COUNT(*) DESC, event_type ASC) - 1 AS idx,
+         COUNT(*) OVER () AS width
+  FROM events GROUP BY event_type) t
+""")
+def ml_one_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """M2: with ``handleInvalid='keep'`` k categories give k slots (the extra
+    slot for unseen values is the one dropped as last)."""
+    e = table(spark, sf, "events").select("event_type")
+    pipe = Pipeline(stages=[StringIndexer(inputCol="event_type", outputCol="idx"),
+                            OneHotEncoder(inputCols=["idx"], outputCols=["vec"], handleInvalid="keep")])
+    out = pipe.fit(e).transform(e).select("event_type", "idx", vector_to_array("vec").alias("arr")).distinct()
+    return out.select("event_type", "idx", (F.array_position("arr", F.lit(1.0)) - 1).cast("int").alias("slot"),
+                      F.size("arr").alias("width"))
+
+
+@register("ml_assemble", """
+SELECT l_orderkey, l_linenumber, l_quantity AS f0, l_discount AS f1, l_tax AS f2 FROM lineitem
+""")
+def ml_assemble(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem")
+    vec = VectorAssembler(inputCols=["l_quantity", "l_discount", "l_tax"], outputCol="features").transform(li)
+    return vec.select("l_orderkey", "l_linenumber", *ml.vector_slots(vec, "features", "f", 3))
+
+
+@register("ml_linear_regression", """
+SELECT ROUND(REGR_SLOPE(l_extendedprice, l_quantity), 4) AS slope,
+       ROUND(REGR_INTERCEPT(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem
+""")
+def ml_linear_regression(spark: SparkSession, sf: str) -> DataFrame:
+    """M4: one-feature least squares; the fitted line equals SQL's regression aggregates."""
+    li = table(spark, sf, "lineitem")
+    data = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li)
+    model = ml.linear_regression("l_extendedprice").fit(data)
+    return spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))],
+                                 "slope double, intercept double").select(
+        F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept"))
+
+
+def _weekly_features(spark: SparkSession, sf: str) -> DataFrame:
+    weekly = win.tumbling_count(table(spark, sf, "events"), "ts", ["user_id"], "event_id", out="n")
+    weekly = weekly.select("user_id", F.col("window.start").alias("week"), F.col("n").cast("double").alias("n"))
+    lagged = win.lag_features(weekly, ["user_id"], ["week"], "n", {"lag_1": 1, "lag_2": 2})
+    return lagged.withColumn("user", F.col("user_id").cast("string"))
+
+
+_WEEKLY_LAG_SQL = """
+WITH w AS (SELECT user_id, time_bucket(INTERVAL '7 days', ts, TIMESTAMP '1970-01-01') AS week,
+                  CAST(COUNT(event_id) AS DOUBLE) AS n FROM events GROUP BY 1, 2),
+l AS (SELECT user_id, week, n, lag(n, 1) OVER (PARTITION BY user_id ORDER BY week) AS lag_1 FROM w)
+"""
+
+
+@register("eval_rmse", _WEEKLY_LAG_SQL + """
+SELECT ROUND(SQRT(AVG((n - lag_1) * (n - lag_1))), 6) AS rmse FROM l WHERE lag_1 IS NOT NULL
+""")
+def eval_rmse(spark: SparkSession, sf: str) -> DataFrame:
+    """M9 on the naive forecast "same as last week"."""
+    f = _weekly_features(spark, sf).filter(F.col("lag_1").isNotNull())
+    return ml.rmse(f, "n", "lag_1").select(r6("rmse").alias("rmse"))
+
+
+@register("eval_mape", _WEEKLY_LAG_SQL + """
+SELECT ROUND(AVG(ABS((n + 0.1) - lag_1) / (n + 0.1)), 6) AS mape FROM l WHERE lag_1 IS NOT NULL
+""")
+def eval_mape(spark: SparkSession, sf: str) -> DataFrame:
+    """M13 on the naive forecast."""
+    f = _weekly_features(spark, sf).filter(F.col("lag_1").isNotNull())
+    return ml.mape(f, "n", "lag_1").select(r6("mape").alias("mape"))
+
+
+_SCORED_SQL = """
+WITH s AS (SELECT l.quality AS label, CAST(d.n_chars AS DOUBLE) AS score FROM labels l JOIN documents d USING (doc_id))
+"""
+
+
+@register("eval_auc", _SCORED_SQL + """
+SELECT ROUND(SUM(CASE WHEN p.score > n.score THEN 1.0 WHEN p.score = n.score THEN 0.5 ELSE 0.0 END)
+             / ((SELECT COUNT(*) FROM s WHERE label = 1) * (SELECT COUNT(*) FROM s WHERE label = 0)), 6) AS auc
+FROM (SELECT score FROM s WHERE label = 1) p, (SELECT score FROM s WHERE label = 0) n
+""")
+def eval_auc(spark: SparkSession, sf: str) -> DataFrame:
+    """Document length as a score for the quality label."""
+    scored = (table(spark, sf, "labels").join(table(spark, sf, "documents"), "doc_id")
+              .select(F.col("quality").alias("label"), F.col("n_chars").cast("double").alias("score")))
+    return ml.area_under_roc(scored, "label", "score").select(r6("auc").alias("auc"))
+
+
+@register("eval_accuracy", _SCORED_SQL + """
+SELECT ROUND(AVG(CASE WHEN (CASE WHEN score >= 5000 THEN 1 ELSE 0 END) = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+FROM s
+""")
+def eval_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    """The rule "long documents are good" against the quality label."""
+    scored = (table(spark, sf, "labels").join(table(spark, sf, "documents"), "doc_id")
+              .select(F.col("quality").alias("label"),
+                      F.when(F.col("n_chars") >= 5000, 1).otherwise(0).alias("prediction")))
+    return ml.accuracy(scored, "label").select(r6("accuracy").alias("accuracy"))
+
+
+def _order_drivers(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrest-style classification frame: label = order finished, drivers =
+    priority, segment, month, day of week, nation (all categorical)."""
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_nationkey")
+    j = o.join(c, "o_custkey")
+    return j.select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("finished"),
+        F.col("o_orderpriority").alias("priority"), F.col("c_mktsegment").alias("segment"),
+        F.month("o_orderdate").cast("string").alias("month"),
+        F.dayofweek("o_orderdate").cast("string").alias("day_of_week"),
+        F.col("c_nationkey").cast("string").alias("nation"))
+
+
+_DRIVERS = ["priority", "segment", "month", "day_of_week", "nation"]
+
+
+def _classify(spark: SparkSession, sf: str, kind: str) -> DataFrame:
+    data = _order_drivers(spark, sf)
+    prep = ml.fit_prep(data, _DRIVERS, [])
+    feats = prep.transform(data)
+    est = ml.gbt_classifier("finished") if kind == "gbt" else ml.random_forest_classifier("finished")
+    return est.fit(feats).transform(feats).select("o_orderkey", "finished", "prediction")
+
+
+@register("ml_gbt_classify")
+def ml_gbt_classify(spark: SparkSession, sf: str) -> DataFrame:
+    return _classify(spark, sf, "gbt")
+
+
+@register("ml_rf_classify")
+def ml_rf_classify(spark: SparkSession, sf: str) -> DataFrame:
+    return _classify(spark, sf, "rf")
+
+
+@register("ml_rf_regression")
+def ml_rf_regression(spark: SparkSession, sf: str) -> DataFrame:
+    """M5: random forest on weekly lags (rows with all lags)."""
+    f = _weekly_features(spark, sf).na.drop(subset=["lag_1", "lag_2"])
+    prep = ml.fit_prep(f, ["user"], ["lag_1", "lag_2"])
+    feats = prep.transform(f)
+    pred = ml.random_forest_regressor("n").fit(feats).transform(feats)
+    return pred.select("user_id", ts_text("week").alias("week_start"), "n", "prediction")
+
+
+@register("ml_feature_importance")
+def ml_feature_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """M12 / C6 (GBT variant): named non-zero importances."""
+    _, importances = ml.classification_drivers(_order_drivers(spark, sf), _DRIVERS, "finished", "gbt")
+    return importances
+
+
+@register("job_classification_drivers")
+def job_classification_drivers(spark: SparkSession, sf: str) -> DataFrame:
+    """GBT and random-forest variants; AUC and accuracy of each."""
+    data = _order_drivers(spark, sf)
+    gbt, _ = ml.classification_drivers(data, _DRIVERS, "finished", "gbt")
+    rf, _ = ml.classification_drivers(data, _DRIVERS, "finished", "rf")
+    return gbt.unionByName(rf)
+
+
+@register("job_weekly_forecast")
+def job_weekly_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """Weekly counts, lags, last week per entity held out, linear vs forest."""
+    f = _weekly_features(spark, sf).na.drop(subset=["lag_1", "lag_2"])
+    train, test = win.split_last_per_entity(f, ["user_id"], ["week"])
+    metrics, _ = ml.weekly_forecast(train, test, ["user"], ["lag_1", "lag_2"], "n")
+    return metrics
+
+
+@register("metric_report")
+def metric_report(spark: SparkSession, sf: str) -> DataFrame:
+    """K6: the C5 metrics written as a JSON report and read back."""
+    f = _weekly_features(spark, sf).na.drop(subset=["lag_1", "lag_2"])
+    train, test = win.split_last_per_entity(f, ["user_id"], ["week"])
+    metrics, _ = ml.weekly_forecast(train, test, ["user"], ["lag_1", "lag_2"], "n")
+    path = scratch_path(spark, "metrics")
+    sinks.write_report(metrics, path, "json")
+    return spark.read.schema(metrics.schema).json(path)
+
+
+@register("job_ewma_forecast")
+def job_ewma_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """C11: delayed-EWMA feature per bar plus calendar features -> forest -> MAPE."""
+    e = table(spark, sf, "events").select("user_id", "event_id", "ts", "value", "event_type")
+    bars = seq.dense_ordinal(e, ["user_id"], ["ts", "event_id"], "bar")
+    feats = seq.block_delayed_ewma(bars, ["user_id"], "bar", "value", 0.2, 10, how="inner")
+    feats = feats.select("value", "ewma", "weight_mass", F.hour("ts").cast("double").alias("hour"),
+                         F.dayofweek("ts").cast("double").alias("dow"))
+    return ml.ewma_forecast(feats, ["ewma", "weight_mass", "hour", "dow"], "value")
+
+
+@register("ml_walk_forward")
+def ml_walk_forward(spark: SparkSession, sf: str) -> DataFrame:
+    """Train on six months, test on the next, for consecutive starts."""
+    data = _order_drivers(spark, sf).join(
+        table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), "o_orderkey")
+    data = data.withColumn("period", (F.year("o_orderdate") - 1995) * 12 + F.month("o_orderdate"))
+    return ml.walk_forward(data, "period", [1, 7, 13], 6, _DRIVERS, "finished")
