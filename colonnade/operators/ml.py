@@ -43,10 +43,14 @@ def prep_stages(categorical: Sequence[str], numeric: Sequence[str], features: st
 
 
 def fit_prep(df: DataFrame, categorical: Sequence[str], numeric: Sequence[str],
-             features: str = "features") -> PipelineModel:
+             features: str = "features", handle_invalid: str = "keep") -> PipelineModel:
     """M8: fit the preparation once and share it between models (instead of
-    refitting identical indexers inside every pipeline)."""
-    return Pipeline(stages=prep_stages(categorical, numeric, features)).fit(df)
+    refitting identical indexers inside every pipeline).
+
+    ``handle_invalid='keep'`` lets held-out rows carry categories unseen in
+    training (one extra slot per feature); ``'error'`` is the indexer default,
+    with which k categories give exactly k one-hot slots."""
+    return Pipeline(stages=prep_stages(categorical, numeric, features, handle_invalid)).fit(df)
 
 
 def linear_regression(label: str, features: str = "features") -> LinearRegression:

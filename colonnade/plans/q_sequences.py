@@ -7,6 +7,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from colonnade.functions.scalars import ewma_fold
 from colonnade.operators import aggregates as agg
@@ -186,7 +187,7 @@ def array_fold(spark: SparkSession, sf: str) -> DataFrame:
     return series.select("user_id", "chunk", r6(ewma_fold("values", ALPHA)).alias("fold"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _ewma_list_udf(values: pd.Series) -> pd.Series:
     """G1 twin of :func:`ewma_fold` as an Arrow-batched pandas UDF (tests only)."""
     import numpy as np
