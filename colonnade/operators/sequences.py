@@ -4,10 +4,10 @@ they share.
 A single entity may hold a large share of all rows, so nothing here partitions
 a window by the entity alone:
 
-* :func:`dense_ordinal` numbers rows 1..n inside each entity from a range
-  partitioning on (entity, order).  A hot entity is split over many range
-  partitions; per-partition counts (at most one row per entity and partition)
-  give the offsets.
+* :func:`dense_ordinal` numbers rows 1..n inside each entity.  Entities with
+  more rows than one task should take are cut into contiguous ranges of their
+  order column; each range is numbered on its own and the range sizes give
+  the offsets.
 * :func:`decayed_prefix_sum` evaluates ``sum_{j<=i} v_j * d^(i-j)`` with windows
   over (entity, chunk) groups of bounded size; the carry between chunks is a
   log-depth doubling over chunk totals, needed only for series longer than
@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colonnade.session import checkpoint_root, default_parallelism
+from colonnade.session import checkpoint_root
 
 
 def _cols(names: Sequence[str | Column]) -> list[Column]:
@@ -36,61 +36,114 @@ def _null_safe_on(left: str, right: str, keys: Sequence[str]) -> Column:
     return cond
 
 
+# Groups up to this many rows are numbered in one task; larger ("hot") groups
+# are cut into pieces of about this size.
+SPLIT_ROWS = 2_000_000
+# The hot-group tables below are broadcast only up to this many rows.
+BROADCAST_ROWS = 200_000
+
+
+def _order_number(df: DataFrame, col: str | Column) -> Column | None:
+    """A numeric, order-preserving view of the first order column (None when
+    its type has no such view, e.g. strings: such groups are not split)."""
+    c = F.col(col) if isinstance(col, str) else col
+    name = col if isinstance(col, str) else None
+    if name is None:
+        return None
+    dtype = dict(df.dtypes).get(name, "")
+    if dtype in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if dtype == "date":
+        return F.unix_date(c).cast("double")
+    if dtype in ("tinyint", "smallint", "int", "bigint", "float", "double") or dtype.startswith("decimal"):
+        return c.cast("double")
+    return None
+
+
+def _pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], split_rows: int) -> tuple[DataFrame, bool]:
+    """Tag rows with ``_piece``: 0 for ordinary groups; for groups with more
+    than ``split_rows`` rows, the equal-width range of the first order column
+    the row falls in (pieces are contiguous in the group's order).
+
+    Everything is a pure function of the data (count/min/max per group), so
+    every evaluation -- both branches of a plan, or a task re-run after an
+    executor loss -- assigns the same pieces.  Returns (tagged, any_hot).
+    """
+    num = _order_number(df, order[0]) if order else None
+    if num is None:
+        return df.withColumn("_piece", F.lit(0)), False
+    stats = (df.withColumn("_on", num).groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_on").alias("_lo"), F.max("_on").alias("_hi")))
+    hot = (stats.filter((F.col("_cnt") > split_rows) & (F.col("_hi") > F.col("_lo")))
+           .select(*keys, "_lo", "_hi", F.ceil(F.col("_cnt") / F.lit(split_rows)).alias("_m")))
+    n_hot = hot.count()
+    if n_hot == 0:
+        return df.withColumn("_piece", F.lit(0)), False
+    if keys:
+        side = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
+        tagged = df.alias("l").join(side.alias("r"), _null_safe_on("l", "r", keys), "left").select(
+            *[F.col(f"l.{c}") for c in df.columns], "r._lo", "r._hi", "r._m")
+    else:
+        # The whole table is one group: its three numbers become literals.
+        row = hot.first()
+        tagged = df.withColumns({"_lo": F.lit(float(row["_lo"])), "_hi": F.lit(float(row["_hi"])),
+                                 "_m": F.lit(int(row["_m"]))})
+    width = (F.col("_hi") - F.col("_lo")) / F.col("_m")
+    piece = F.least(F.col("_m") - 1, F.floor((num - F.col("_lo")) / width)).cast("bigint")
+    tagged = tagged.withColumn("_piece", F.coalesce(piece, F.lit(0).cast("bigint"))).drop("_lo", "_hi", "_m")
+    return tagged, True
+
+
 def dense_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                  out: str = "ordinal", num_partitions: int | None = None) -> DataFrame:
+                  out: str = "ordinal", split_rows: int = SPLIT_ROWS) -> DataFrame:
     """Add ``out`` = 1, 2, ... per ``keys`` group following ``order``.
 
-    Equivalent to ``row_number().over(partitionBy(keys).orderBy(order))`` but a
-    group is never forced into one task.  ``order`` should make rows unique
-    inside a group (add an id column); ties are numbered arbitrarily.
+    Same result as ``row_number().over(partitionBy(keys).orderBy(order))``, but
+    no group larger than about ``split_rows`` rows is numbered in one task: a
+    hot group is cut into contiguous ranges of its first order column, each
+    range is numbered on its own, and the range sizes (a few rows per hot
+    group) give the offsets.  ``order`` should make rows unique inside a
+    group (add an id column); ties are numbered arbitrarily.
     """
-    n = num_partitions or default_parallelism(df.sparkSession)
-    sort_cols = [*_cols(keys), *_cols(order)]
-    ranged = (
-        df.repartitionByRange(n, *sort_cols)
-        .sortWithinPartitions(*sort_cols)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-    )
-    # Range bounds come from a sample seeded per exchange, so two exchanges of
-    # the same input may cut it differently.  Writing the numbered layout once
-    # to the shared checkpoint folder pins it: the piece counts and the rows
-    # below read the same files, also when an executor is lost and a task re-runs.
-    checkpoint_root(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
-    # At most (#partitions + #groups) rows: one per group piece per partition.
-    pieces = ranged.groupBy(*keys, "_pid").agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = pieces.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).drop("_cnt")
-    joined = ranged.alias("l").join(
-        pieces.alias("r"), _null_safe_on("l", "r", keys) & (F.col("l._pid") == F.col("r._pid")), "inner"
-    )
-    ordinal = (F.col("r._off") + F.col("l._mid") - F.col("r._m0") + 1).alias(out)
-    return joined.select(*[F.col(f"l.{c}") for c in df.columns], ordinal)
+    tagged, any_hot = _pieces(df, keys, order, split_rows)
+    local_w = Window.partitionBy(*keys, "_piece").orderBy(*_cols(order))
+    local = tagged.withColumn("_rn", F.row_number().over(local_w))
+    if not any_hot:
+        return local.select(*df.columns, F.col("_rn").cast("bigint").alias(out))
+    sizes = tagged.filter(F.col("_piece") > 0).groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    firsts = tagged.filter(F.col("_piece") == 0).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) \
+        .withColumn("_piece", F.lit(0).cast("bigint"))
+    sizes = sizes.unionByName(firsts)
+    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    # Offsets only matter for split groups; ordinary groups start at 0.
+    offsets = offsets.filter(F.col("_off") > 0)
+    joined = local.alias("l").join(offsets.alias("r"), _null_safe_on("l", "r", keys)
+                                   & (F.col("l._piece") == F.col("r._piece")), "left")
+    return joined.select(*[F.col(f"l.{c}") for c in df.columns],
+                         (F.coalesce(F.col("r._off"), F.lit(0)) + F.col("l._rn")).cast("bigint").alias(out))
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str,
-                  out: str = "running_total", num_partitions: int | None = None) -> DataFrame:
+                  out: str = "running_total", split_rows: int = SPLIT_ROWS) -> DataFrame:
     """Add ``out`` = sum of ``value`` over rows up to and including this one
     (by ``order``) within ``keys`` (``keys=[]``: over the whole table).
 
-    Range-partitioned like :func:`dense_ordinal`: each range piece sums its own
-    rows, the pieces' totals (one row per key and partition) give the offsets.
-    No group, and not the whole table, ever has to fit in one task.
+    Split like :func:`dense_ordinal`: each piece of a hot group (or of the
+    whole table) sums its own rows, the piece totals give the offsets.
     """
-    n = num_partitions or default_parallelism(df.sparkSession)
-    sort_cols = [*_cols(keys), *_cols(order)]
-    checkpoint_root(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *sort_cols).withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
-    pieces = ranged.groupBy(*keys, "_pid").agg(F.sum(value).alias("_tot"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = pieces.select(*keys, "_pid", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(*keys, "_pid").orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
-    local = ranged.withColumn("_loc", F.sum(value).over(inside))
-    joined = local.alias("l").join(pieces.alias("r"), _null_safe_on("l", "r", keys)
-                                   & (F.col("l._pid") == F.col("r._pid")), "inner")
-    return joined.select(*[F.col(f"l.{c}") for c in df.columns], (F.col("r._off") + F.col("l._loc")).alias(out))
+    tagged, any_hot = _pieces(df, keys, order, split_rows)
+    inside = Window.partitionBy(*keys, "_piece").orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
+    local = tagged.withColumn("_loc", F.sum(value).over(inside))
+    if not any_hot:
+        return local.select(*df.columns, F.col("_loc").alias(out))
+    totals = tagged.groupBy(*keys, "_piece").agg(F.sum(value).alias("_tot"))
+    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "_piece", F.sum("_tot").over(before).alias("_off")).filter(F.col("_off").isNotNull())
+    joined = local.alias("l").join(offsets.alias("r"), _null_safe_on("l", "r", keys)
+                                   & (F.col("l._piece") == F.col("r._piece")), "left")
+    return joined.select(*[F.col(f"l.{c}") for c in df.columns],
+                         (F.coalesce(F.col("r._off"), F.lit(0)) + F.col("l._loc")).alias(out))
 
 
 def _chunk_size(decay: float, cap: int = 1024) -> int:

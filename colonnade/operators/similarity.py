@@ -72,6 +72,7 @@ def nearest_larger_partner(points: DataFrame, entity: str, dims: int, start_side
     ``points``: (entity, u) with unit vectors ``u`` of length ``dims``.
     Returns (entity, partner, r).
     """
+    checkpoint_root(points.sparkSession)
     offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=dims)]
     offset_lit = F.array(*[F.array(*[F.lit(v) for v in o]) for o in offsets])
     remaining = points
