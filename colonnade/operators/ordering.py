@@ -40,12 +40,23 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 
 def range_bucket_partition(df: DataFrame, key: str, bounds: Sequence[str] = RANGE_BOUNDS,
-                           case_insensitive: bool = False, out: str = "bucket") -> DataFrame:
-    """Route rows to ``len(bounds)+1`` partitions by string range of
-    ``key``; partition ``i`` holds bucket ``i`` exactly (``repartitionById``),
-    and rows are sorted by key inside each partition, like reducer output."""
+                           case_insensitive: bool = False, out: str = "bucket",
+                           parts_per_bucket: int = 1) -> DataFrame:
+    """Route rows to partitions by string range of ``key``.
+
+    Bucket ``i`` (``len(bounds)+1`` buckets) owns partitions
+    ``[i*parts_per_bucket, (i+1)*parts_per_bucket)``; with the default of one
+    partition per bucket, partition ``i`` holds exactly bucket ``i``, the
+    layout of five reducers.  For large inputs raise ``parts_per_bucket`` so a
+    bucket is spread over several tasks by key hash (all rows of a key stay
+    together).  Rows are sorted by key inside each partition, like reducer
+    output.
+    """
+    m = int(parts_per_bucket)
     with_bucket = df.withColumn(out, string_order_bucket(key, bounds, case_insensitive))
-    return with_bucket.repartitionById(len(bounds) + 1, F.col(out)).sortWithinPartitions(key)
+    pid = F.col(out) * m + (F.pmod(F.xxhash64(F.col(key)), F.lit(m)) if m > 1 else F.lit(0))
+    return (with_bucket.repartitionById((len(bounds) + 1) * m, pid.cast("int"))
+            .sortWithinPartitions(key))
 
 
 def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42, with_replacement: bool = False) -> DataFrame:

@@ -298,3 +298,19 @@ WHERE length(CAST(year(o_orderdate) AS VARCHAR)) = 4
 def distinct_year_count(spark, sf):
     o = table(spark, sf, "orders").select(F.year("o_orderdate").cast("string").alias("year_text"))
     return o.filter(F.length("year_text") == 4).agg(F.count_distinct("year_text").alias("n_years"))
+
+
+@register("region_period_avg", f"""
+SELECT region,
+       ROUND(COUNT(*) FILTER (WHERE period = 'early') / 3.0, 6) AS early,
+       ROUND(COUNT(*) FILTER (WHERE period = 'late') / 3.0, 6) AS late
+FROM (SELECT substr(o_orderpriority, 1, 1) AS region, {_PERIOD_SQL} AS period
+      FROM (SELECT o_orderpriority, {_YEAR_TEXT_SQL} AS year_text FROM orders) s) t
+GROUP BY region ORDER BY region
+""")
+def region_period_avg(spark, sf):
+    """C4: yearly average per region prefix and period (sorted by region); the
+    period comparison itself is ``two_sample_t``."""
+    o = table(spark, sf, "orders")
+    out = jobs.region_period_average(o, prefix("o_orderpriority", 1), _year_text(), ORDER_PERIODS, ORDER_DIVISORS)
+    return out.select("region", *[F.round(F.coalesce(F.col(c), F.lit(0.0)), 6).alias(c) for c in ORDER_DIVISORS])

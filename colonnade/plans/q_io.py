@@ -302,3 +302,25 @@ def sample_systematic(spark: SparkSession, sf: str) -> DataFrame:
     """R1 (reproducible variant): every order whose key falls in the first slot of 100."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     return li.filter(F.pmod("l_orderkey", F.lit(100)) < 1)
+
+
+@register("sample_hash_mod", """
+SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey % 100 < 1
+""")
+def sample_hash_mod(spark: SparkSession, sf: str) -> DataFrame:
+    """R1 (reproducible): 1 % of orders by key slot, a sample that is the same
+    on every run and partitioning (same rows as ``sample_systematic``)."""
+    return sample_systematic(spark, sf)
+
+
+@register("range_bucket_spread", f"""
+SELECT token, COUNT(*) AS n, {_BUCKET_SQL} AS bucket FROM (SELECT unnest(string_split(p_name, ' ')) AS token FROM part) t
+GROUP BY token
+""")
+def range_bucket_spread(spark: SparkSession, sf: str) -> DataFrame:
+    """K3 at scale: each range bucket spread over four partitions; every
+    partition still holds a single bucket."""
+    toks = table(spark, sf, "part").select(F.explode(F.split("p_name", " ")).alias("token"))
+    counts = toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    out = range_bucket_partition(counts, "token", parts_per_bucket=4)
+    return out.filter(F.floor(F.spark_partition_id() / 4) == F.col("bucket")).select("token", "n", "bucket")
