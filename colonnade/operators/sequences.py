@@ -146,7 +146,22 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
                          (F.coalesce(F.col("r._off"), F.lit(0)) + F.col("l._loc")).alias(out))
 
 
-def _chunk_size(decay: float, cap: int = 1024) -> int:
+def max_group_size(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows in the largest ``keys`` group (one aggregate over the key columns
+    only; use it on the raw table, where column pruning makes it cheap)."""
+    return int(df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0)
+
+
+# Chunks hold at most this many ordinals.
+MAX_CHUNK = 1_000_000
+# Chunk-total weights below this are zero in double precision for any total
+# under 1e290, so leaving those terms out does not change a result.
+_NEGLIGIBLE_LOG10 = -600.0
+# Use the spread carry when it needs at most this many copies per chunk total.
+_MAX_SPREAD = 8
+
+
+def _chunk_size(decay: float, cap: int = MAX_CHUNK) -> int:
     """Largest chunk with ``decay^-chunk`` below 1e150 (no overflow in the
     rescaled window sum), at most ``cap``."""
     if decay >= 1.0:
@@ -160,10 +175,16 @@ def decayed_prefix_sum(df: DataFrame, keys: Sequence[str], ordinal: str, value:
     """Add ``out`` = sum over j <= i of ``value_j * decay^(i - j)`` per ``keys``.
 
     ``ordinal`` must be dense (1..n) inside each group.  Inside a chunk of
-    ``G`` ordinals the sum is ``d^p * sum(v_j * d^-p_j)`` (a running window sum);
-    the contribution of earlier chunks is ``d^(p+1) * E(previous chunk end)``.
-    ``max_len`` (longest group) decides whether carries are needed; when not
-    given it is computed by one aggregate over ``df``.
+    ``G`` ordinals the sum is ``d^p * sum(v_j * d^-p_j)`` (a running window sum
+    over a group of at most ``G`` rows); earlier chunks contribute
+    ``d^(p+1) * C`` where ``C`` is the value at the end of the previous chunk.
+
+    ``max_len`` (rows in the longest group, e.g. from :func:`max_group_size` on
+    the raw table) lets single-chunk data skip the carry altogether.  The carry
+    ``C(c) = sum_j D^j T(c-1-j)`` over chunk totals ``T`` (``D = d^G``) is built by
+    spreading each total to the next ``K`` chunks, where ``D^K < 1e-600`` (the
+    remaining weights are zero in double precision); when the decay is so
+    close to 1 that ``K`` would be large, a log-depth doubling is used instead.
     """
     if not 0.0 <= decay <= 1.0:
         raise ValueError("decay must lie in [0, 1]")
@@ -179,16 +200,38 @@ def decayed_prefix_sum(df: DataFrame, keys: Sequence[str], ordinal: str, value:
               .withColumn("_s", val.cast("double") * F.pow(d, -F.col("_p"))))
     running = Window.partitionBy(*keys, "_c").orderBy(F.col(ordinal)).rowsBetween(Window.unboundedPreceding, 0)
     local = staged.withColumn("_loc", F.pow(d, F.col("_p")) * F.sum("_s").over(running))
-
-    if max_len is None:
-        max_len = df.groupBy(*keys).agg(F.max(ordinal).alias("_m")).agg(F.max("_m")).first()[0] or 0
-    n_chunks = -(-int(max_len) // g)
-    if n_chunks <= 1:
+    if max_len is not None and max_len <= g:
         return local.withColumn(out, F.col("_loc")).drop("_c", "_p", "_s", "_loc")
 
-    # Carry: E over chunk totals with decay D = d^G, by Hillis-Steele doubling.
+    # T(c): the value a chunk passes on, E at its last ordinal from its own rows.
     totals = staged.groupBy(*keys, "_c").agg((F.pow(d, F.lit(g - 1)) * F.sum("_s")).alias("_e"))
     big_d = decay ** g
+    if big_d == 0.0:
+        spread = 1
+    elif big_d < 1.0:
+        spread = math.ceil(_NEGLIGIBLE_LOG10 / math.log10(big_d))
+    else:
+        spread = _MAX_SPREAD + 1
+    if spread > _MAX_SPREAD:
+        carry = _doubling_carry(df, totals, keys, ordinal, g, big_d, max_len)
+    else:
+        weights = F.array(*[F.struct(F.lit(j + 1).alias("k"), F.lit(big_d ** j).alias("w")) for j in range(spread)])
+        carry = (totals.select(*keys, "_c", "_e", F.explode(weights).alias("_sp"))
+                 .select(*keys, (F.col("_c") + F.col("_sp.k")).alias("_c"), (F.col("_sp.w") * F.col("_e")).alias("_x"))
+                 .groupBy(*keys, "_c").agg(F.sum("_x").alias("_carry")))
+    joined = local.alias("l").join(carry.alias("r"), _null_safe_on("l", "r", keys)
+                                   & (F.col("l._c") == F.col("r._c")), "left")
+    result = (F.col("l._loc") + F.pow(d, F.col("l._p") + 1) * F.coalesce(F.col("r._carry"), F.lit(0.0))).alias(out)
+    return joined.select(*[F.col(f"l.{c}") for c in df.columns], result)
+
+
+def _doubling_carry(df: DataFrame, totals: DataFrame, keys: Sequence[str], ordinal: str, g: int,
+                    big_d: float, max_len: int | None) -> DataFrame:
+    """Carry into each chunk by Hillis-Steele doubling over chunk totals
+    (``ceil(log2(chunks))`` equi-joins on (keys, chunk))."""
+    if max_len is None:
+        max_len = int(df.groupBy(*keys).agg(F.max(ordinal).alias("_m")).agg(F.max("_m")).first()[0] or 0)
+    n_chunks = -(-int(max_len) // g)
     step = 1
     while step < n_chunks:
         prev = totals.select(*keys, (F.col("_c") + step).alias("_c"), F.col("_e").alias("_q"))
@@ -201,11 +244,7 @@ def decayed_prefix_sum(df: DataFrame, keys: Sequence[str], ordinal: str, value:
         checkpoint_root(df.sparkSession)
         totals = totals.checkpoint(eager=True)
         step *= 2
-    carry = totals.select(*keys, (F.col("_c") + 1).alias("_c"), F.col("_e").alias("_carry"))
-    joined = local.alias("l").join(carry.alias("r"), _null_safe_on("l", "r", keys)
-                                   & (F.col("l._c") == F.col("r._c")), "left")
-    result = (F.col("l._loc") + F.pow(d, F.col("l._p") + 1) * F.coalesce(F.col("r._carry"), F.lit(0.0))).alias(out)
-    return joined.select(*[F.col(f"l.{c}") for c in df.columns], result)
+    return totals.select(*keys, (F.col("_c") + 1).alias("_c"), F.col("_e").alias("_carry"))
 
 
 def block_delayed_ewma(bars: DataFrame, entity: Sequence[str], ordinal: str, value: str,

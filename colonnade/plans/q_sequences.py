@@ -109,7 +109,8 @@ GROUP BY c.user_id, c.event_id, c.bar, c.value, c.cutoff
 """)
 def ewma_block_delayed(spark: SparkSession, sf: str) -> DataFrame:
     """W6 / W9 (C11 feature): block-delayed EWMA for every bar of every entity."""
-    out = seq.block_delayed_ewma(_bars(spark, sf), ["user_id"], "bar", "value", ALPHA, BLOCK)
+    longest = seq.max_group_size(table(spark, sf, "events"), ["user_id"])
+    out = seq.block_delayed_ewma(_bars(spark, sf), ["user_id"], "bar", "value", ALPHA, BLOCK, max_len=longest)
     return out.select("user_id", "event_id", "bar", "value", r6("ewma").alias("ewma"),
                       r6("weight_mass").alias("weight_mass"))
 
@@ -122,7 +123,8 @@ GROUP BY c.user_id, c.event_id, c.bar
 """)
 def ses_recursive(spark: SparkSession, sf: str) -> DataFrame:
     """L_t = alpha * y_t + (1 - alpha) * L_(t-1), L_0 = 0, for every bar."""
-    out = seq.recursive_smoothing(_bars(spark, sf), ["user_id"], "bar", "value", ALPHA)
+    longest = seq.max_group_size(table(spark, sf, "events"), ["user_id"])
+    out = seq.recursive_smoothing(_bars(spark, sf), ["user_id"], "bar", "value", ALPHA, max_len=longest)
     return out.select("user_id", "event_id", "bar", r6("level").alias("level"))
 
 

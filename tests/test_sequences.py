@@ -53,12 +53,17 @@ def _brute_decayed(rows, d):
     return out
 
 
-@pytest.mark.parametrize("chunk,decay", [(None, 0.8), (3, 0.8), (4, 0.5), (5, 1.0), (2, 0.0)])
-def test_decayed_prefix_sum_matches_recurrence(spark, chunk, decay):
+@pytest.mark.parametrize("chunk,decay,max_len,spread", [
+    (None, 0.8, None, None), (None, 0.8, 61, None), (3, 0.8, None, None), (4, 0.5, 61, None),
+    (5, 1.0, None, None), (2, 0.0, None, None), (3, 0.8, None, 10 ** 6), (7, 0.6, None, 10 ** 6)])
+def test_decayed_prefix_sum_matches_recurrence(spark, monkeypatch, chunk, decay, max_len, spread):
+    # spread=None: doubling carry for these small chunks; spread set: the spread carry.
+    if spread:
+        monkeypatch.setattr(seq, "_MAX_SPREAD", spread)
     rnd = random.Random(3)
     rows = [(k, o, rnd.uniform(-10, 10)) for k, n in (("a", 23), ("b", 1), ("c", 9), ("hot", 61)) for o in range(1, n + 1)]
     df = spark.createDataFrame(rows, "k string, o long, v double")
-    out = seq.decayed_prefix_sum(df, ["k"], "o", "v", decay, "e", chunk=chunk).collect()
+    out = seq.decayed_prefix_sum(df, ["k"], "o", "v", decay, "e", chunk=chunk, max_len=max_len).collect()
     expected = _brute_decayed(rows, decay)
     assert len(out) == len(rows)
     for r in out:
@@ -118,6 +123,7 @@ def test_block_delayed_ewma_long_series_uses_carry(spark):
     rows = [(1, b, rnd.uniform(-5, 5)) for b in range(1, 2001)] + [(2, b, 1.0) for b in range(1, 31)]
     df = spark.createDataFrame(rows, "trade_id long, bar_num long, profit double")
     out = seq.block_delayed_ewma(df, ["trade_id"], "bar_num", "profit").collect()
+    assert seq.max_group_size(df, ["trade_id"]) == 2000
     expected = _brute_ewma(rows)
     for r in out:
         e = expected[(r.trade_id, r.bar_num)]
