@@ -105,24 +105,36 @@ def first_last_row(df: DataFrame, order: str, cols: Sequence[str] | None = None)
 
 
 def profile_table(df: DataFrame, order: str) -> DataFrame:
-    """A14 (+P7, A10-A13): one aggregate pass over all columns, unpivoted to one
-    row per column: type, rows, nulls, distinct, min, max, first, last (as text)."""
-    aggs = []
-    for c in df.columns:
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
-                 F.count_distinct(c).alias(f"{c}__distinct"),
-                 F.min(c).cast("string").alias(f"{c}__min"), F.max(c).cast("string").alias(f"{c}__max"),
-                 F.min_by(c, order).cast("string").alias(f"{c}__first"),
-                 F.max_by(c, order).cast("string").alias(f"{c}__last")]
-    wide = df.agg(F.count(F.lit(1)).alias("__rows"), *aggs)
+    """A14 (+P7, A10-A13): one row per column: type, rows, nulls, distinct,
+    min, max, first, last (values as text).
+
+    Two passes, joined on the column name: exact distinct counts (a hash
+    aggregation over one expanded copy per column) and everything else in a
+    single aggregation.  Mixing both in one aggregate would push the expanded
+    rows through a sort-based aggregation because of the text buffers.
+    """
+    cols = list(df.columns)
     types = dict(df.dtypes)
-    stack_args = ", ".join(
-        f"'{c}', '{types[c]}', `{c}__nulls`, `{c}__distinct`, `{c}__min`, `{c}__max`, `{c}__first`, `{c}__last`"
-        for c in df.columns)
-    return wide.selectExpr(
-        "__rows AS n_rows",
-        f"stack({len(df.columns)}, {stack_args}) AS (column_name, data_type, n_null, n_distinct, "
-        "min_value, max_value, first_value, last_value)")
+
+    def unpivot(wide: DataFrame, fields: list[str], lead: list[str]) -> DataFrame:
+        args = ", ".join(f"'{c}', " + ", ".join(f"`{c}__{f}`" for f in fields) for c in cols)
+        return wide.selectExpr(*lead, f"stack({len(cols)}, {args}) AS (column_name, {', '.join(fields)})")
+
+    distinct = df.agg(*[F.count_distinct(c).alias(f"{c}__n_distinct") for c in cols])
+    stats = df.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[a for c in cols for a in (
+            F.count_if(F.col(c).isNull()).alias(f"{c}__n_null"),
+            F.min(c).cast("string").alias(f"{c}__min_value"),
+            F.max(c).cast("string").alias(f"{c}__max_value"),
+            F.min_by(c, order).cast("string").alias(f"{c}__first_value"),
+            F.max_by(c, order).cast("string").alias(f"{c}__last_value"))])
+    long_distinct = unpivot(distinct, ["n_distinct"], [])
+    long_stats = unpivot(stats, ["n_null", "min_value", "max_value", "first_value", "last_value"], ["n_rows"])
+    type_col = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c]))])
+    out = long_stats.join(long_distinct, "column_name")
+    return out.select("n_rows", "column_name", type_col[F.col("column_name")].alias("data_type"),
+                      "n_null", "n_distinct", "min_value", "max_value", "first_value", "last_value")
 
 
 def population_stddev(df: DataFrame, keys: Sequence[str], value: str, out: str = "stddev") -> DataFrame:
