@@ -74,21 +74,22 @@ def nearest_larger_partner(points: DataFrame, entity: str, dims: int, start_side
     """
     checkpoint_root(points.sparkSession)
     offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=dims)]
-    offset_lit = F.array(*[F.array(*[F.lit(v) for v in o]) for o in offsets])
+    offset_lit = F.array(*[F.array(*[F.lit(v).cast("bigint") for v in o]) for o in offsets])
     remaining = points
     settled: list[DataFrame] = []
     side = start_side
     while True:
         last = side >= 2.0
         data = points.select(F.col(entity).alias("_b"), F.col("u").alias("_ub"), _cell(F.col("u"), dims, side).alias("_cell"))
-        queries = remaining.select(
-            F.col(entity).alias("_a"), F.col("u").alias("_ua"),
-            F.explode(F.transform(offset_lit, lambda o: F.zip_with(_cell(F.col("u"), dims, side), o,
-                                                                     lambda c, d: c + d))).alias("_cell"))
+        home = [F.floor(F.col("u")[i] / F.lit(side)).cast("bigint") for i in range(dims)]
+        queries = (remaining.select(F.col(entity).alias("_a"), F.col("u").alias("_ua"),
+                                    *[h.alias(f"_h{i}") for i, h in enumerate(home)],
+                                    F.explode(offset_lit).alias("_o"))
+                   .select("_a", "_ua", F.array(*[F.col(f"_h{i}") + F.col("_o")[i] for i in range(dims)]).alias("_cell")))
+        dot = sum((F.col("_ua")[i] * F.col("_ub")[i] for i in range(1, dims)), F.col("_ua")[0] * F.col("_ub")[0])
         cand = (queries.join(data, "_cell")
                 .filter(F.col("_b") > F.col("_a"))
-                .select("_a", "_b", F.aggregate(F.zip_with("_ua", "_ub", lambda p, q: p * q), F.lit(0.0),
-                                                lambda acc, v: acc + v).alias("_r")))
+                .select("_a", "_b", dot.alias("_r")))
         best = (cand.groupBy("_a")
                 .agg(F.max(F.struct(F.round("_r", digits).alias("rr"), (-F.col("_b")).alias("nb"), F.col("_r").alias("r")))
                      .alias("_m"))
