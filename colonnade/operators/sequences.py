@@ -63,35 +63,47 @@ def _order_number(df: DataFrame, col: str | Column) -> Column | None:
 def _pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], split_rows: int) -> tuple[DataFrame, bool]:
     """Tag rows with ``_piece``: 0 for ordinary groups; for groups with more
     than ``split_rows`` rows, the equal-width range of the first order column
-    the row falls in (pieces are contiguous in the group's order).
+    the row falls in -- or of the second one when the first is constant in
+    that group -- so pieces are contiguous in the group's order.
 
     Everything is a pure function of the data (count/min/max per group), so
     every evaluation -- both branches of a plan, or a task re-run after an
     executor loss -- assigns the same pieces.  Returns (tagged, any_hot).
     """
-    num = _order_number(df, order[0]) if order else None
-    if num is None:
+    nums = [n for n in (_order_number(df, c) for c in list(order)[:2])]
+    if not nums or nums[0] is None:
         return df.withColumn("_piece", F.lit(0)), False
-    stats = (df.withColumn("_on", num).groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_on").alias("_lo"), F.max("_on").alias("_hi")))
-    hot = (stats.filter((F.col("_cnt") > split_rows) & (F.col("_hi") > F.col("_lo")))
-           .select(*keys, "_lo", "_hi", F.ceil(F.col("_cnt") / F.lit(split_rows)).alias("_m")))
+    nums = nums if len(nums) == 2 and nums[1] is not None else nums[:1]
+    staged = df.withColumns({f"_on{i}": n for i, n in enumerate(nums)})
+    aggs = [F.count(F.lit(1)).alias("_cnt")]
+    for i in range(len(nums)):
+        aggs += [F.min(f"_on{i}").alias(f"_lo{i}"), F.max(f"_on{i}").alias(f"_hi{i}")]
+    stats = staged.groupBy(*keys).agg(*aggs)
+    spread = F.lit(False)
+    for i in range(len(nums)):
+        spread = spread | (F.col(f"_hi{i}") > F.col(f"_lo{i}"))
+    bounds = [c for i in range(len(nums)) for c in (f"_lo{i}", f"_hi{i}")]
+    hot = (stats.filter((F.col("_cnt") > split_rows) & spread)
+           .select(*keys, *bounds, F.ceil(F.col("_cnt") / F.lit(split_rows)).alias("_m")))
     n_hot = hot.count()
     if n_hot == 0:
         return df.withColumn("_piece", F.lit(0)), False
     if keys:
         side = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
-        tagged = df.alias("l").join(side.alias("r"), _null_safe_on("l", "r", keys), "left").select(
-            *[F.col(f"l.{c}") for c in df.columns], "r._lo", "r._hi", "r._m")
+        tagged = staged.alias("l").join(side.alias("r"), _null_safe_on("l", "r", keys), "left").select(
+            *[F.col(f"l.{c}") for c in staged.columns], *[F.col(f"r.{c}") for c in (*bounds, "_m")])
     else:
-        # The whole table is one group: its three numbers become literals.
+        # The whole table is one group: its few numbers become literals.
         row = hot.first()
-        tagged = df.withColumns({"_lo": F.lit(float(row["_lo"])), "_hi": F.lit(float(row["_hi"])),
-                                 "_m": F.lit(int(row["_m"]))})
-    width = (F.col("_hi") - F.col("_lo")) / F.col("_m")
-    piece = F.least(F.col("_m") - 1, F.floor((num - F.col("_lo")) / width)).cast("bigint")
-    tagged = tagged.withColumn("_piece", F.coalesce(piece, F.lit(0).cast("bigint"))).drop("_lo", "_hi", "_m")
-    return tagged, True
+        tagged = staged.withColumns({c: F.lit(row[c]) for c in (*bounds, "_m")})
+    piece = F.lit(None).cast("bigint")
+    for i in reversed(range(len(nums))):
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        width = (hi - lo) / F.col("_m")
+        cut = F.least(F.col("_m") - 1, F.floor((F.col(f"_on{i}") - lo) / width)).cast("bigint")
+        piece = F.when(hi > lo, cut).otherwise(piece)
+    tagged = tagged.withColumn("_piece", F.coalesce(piece, F.lit(0).cast("bigint")))
+    return tagged.drop(*[f"_on{i}" for i in range(len(nums))], *bounds, "_m"), True
 
 
 def dense_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],

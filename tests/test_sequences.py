@@ -39,6 +39,16 @@ def test_dense_ordinal_equals_row_number_on_skewed_keys(spark):
     assert plain.join(ref.select("id", "o2"), "id").filter(F.col("o") != F.col("o2")).count() == 0
 
 
+def test_dense_ordinal_splits_hot_group_with_constant_first_order_column(spark):
+    rows = [("hot", 5, i) for i in range(900)] + [("cold", 1, i) for i in range(5)]
+    df = spark.createDataFrame(rows, "k string, t long, id long")
+    tagged, any_hot = seq._pieces(df, ["k"], ["t", "id"], 100)
+    assert any_hot and tagged.filter("k = 'hot'").select("_piece").distinct().count() >= 8
+    ours = seq.dense_ordinal(df, ["k"], ["t", "id"], "o", split_rows=100)
+    assert sorted((r.k, r.id, r.o) for r in ours.collect()) == sorted(
+        [("hot", i, i + 1) for i in range(900)] + [("cold", i, i + 1) for i in range(5)])
+
+
 def _brute_decayed(rows, d):
     out = {}
     by_key = {}
