@@ -148,7 +148,7 @@ def pivot_scaled(df: DataFrame, row_key: str, category: str, divisors: Mapping[s
     each divided by its own divisor (e.g. years in the period)."""
     cats = list(divisors)
     wide = df.groupBy(row_key).pivot(category, cats).agg(F.count(F.lit(1)))
-    return wide.select(row_key, *[(F.col(c) / F.lit(float(divisors[c]))).alias(c) for c in cats])
+    return wide.select(row_key, *[F.try_divide(F.col(c), F.lit(float(divisors[c]))).alias(c) for c in cats])
 
 
 def word_count(df: DataFrame, text: str, sep: str = " ", out: str = "count") -> DataFrame:
@@ -164,11 +164,12 @@ def two_sample_t(df: DataFrame, a: str, b: str, pooled: bool = True) -> DataFram
     stats = df.agg(F.avg(a).alias("ma"), F.avg(b).alias("mb"), F.var_samp(a).alias("va"),
                    F.var_samp(b).alias("vb"), F.count(a).alias("na"), F.count(b).alias("nb"))
     na, nb = F.col("na").cast("double"), F.col("nb").cast("double")
+    inv_a, inv_b = F.try_divide(F.lit(1.0), na), F.try_divide(F.lit(1.0), nb)
     if pooled:
-        sp = ((na - 1) * F.col("va") + (nb - 1) * F.col("vb")) / (na + nb - 2)
-        se = F.sqrt(sp * (F.lit(1.0) / na + F.lit(1.0) / nb))
+        sp = F.try_divide((na - 1) * F.col("va") + (nb - 1) * F.col("vb"), na + nb - 2)
+        se = F.sqrt(sp * (inv_a + inv_b))
     else:
-        se = F.sqrt(F.col("va") / na + F.col("vb") / nb)
+        se = F.sqrt(F.col("va") * inv_a + F.col("vb") * inv_b)
     return stats.select(F.try_divide(F.col("ma") - F.col("mb"), se).alias("t_stat"),
                         F.col("na").alias("n_a"), F.col("nb").alias("n_b"))
 

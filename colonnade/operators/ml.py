@@ -97,7 +97,8 @@ def mape(df: DataFrame, label: str, prediction: str = "prediction", offset: floa
 
 
 def area_under_roc(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Exact area under the ROC curve (ties count one half).
+    """Exact area under the ROC curve (ties count one half; null when
+    only one class is present).
 
     Counts of positives/negatives per distinct score (partial aggregation),
     a distributed running total of negatives over the sorted scores, then
@@ -108,8 +109,8 @@ def area_under_roc(df: DataFrame, label: str, score: str) -> DataFrame:
         F.sum(F.when(F.col(label) == 0, 1).otherwise(0)).cast("double").alias("_neg"))
     cum = running_total(per_score, [], [score], "_neg", "_neg_upto")
     return cum.agg(
-        (F.sum(F.col("_pos") * (F.col("_neg_upto") - F.col("_neg") * 0.5))
-         / (F.sum("_pos") * F.sum("_neg"))).alias("auc"))
+        F.try_divide(F.sum(F.col("_pos") * (F.col("_neg_upto") - F.col("_neg") * 0.5)),
+                     F.sum("_pos") * F.sum("_neg")).alias("auc"))
 
 
 def metric_frame(spark: SparkSession, rows: Sequence[tuple[str, str, float]]) -> DataFrame:

@@ -27,8 +27,11 @@ from colonnade.session import checkpoint_root
 
 def keyed_correlation(df: DataFrame, keys: Sequence[str], x: str, y: str, out: str = "corr") -> DataFrame:
     """Pearson correlation of two columns per key (a partial aggregate,
-    so hot keys are combined map-side)."""
-    return df.groupBy(*keys).agg(F.corr(x, y).alias(out))
+    so hot keys are combined map-side).  A group in which either column is
+    constant has no correlation: null, instead of the division-by-zero error
+    ``corr`` raises under ANSI mode (D21)."""
+    r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    return df.groupBy(*keys).agg(r.alias(out))
 
 
 def _helmert_rows(n: int) -> list[list[float]]:

@@ -98,3 +98,10 @@ def test_word_count_and_ratio(spark):
     r = spark.createDataFrame([("k", 3, 4), ("k", 1, 4), ("z", 1, 0)], "k string, o int, v int")
     got = {x.k: x.ratio for x in agg.ratio_of_sums(r, ["k"], "o", "v").collect()}
     assert got == {"k": 0.5, "z": None}
+
+
+def test_degenerate_inputs_give_null_not_errors(spark):
+    one = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
+    assert agg.two_sample_t(one, "a", "b").first().t_stat is None
+    df = spark.createDataFrame([("r", "p")], "region string, period string")
+    assert agg.pivot_scaled(df, "region", "period", {"p": 0.0}).first()["p"] is None

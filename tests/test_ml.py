@@ -60,3 +60,8 @@ def test_linear_regression_recovers_line(spark):
     data = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
     model = ml.linear_regression("y").fit(data)
     assert model.coefficients[0] == pytest.approx(3.0) and model.intercept == pytest.approx(2.0)
+
+
+def test_auc_single_class_is_null(spark):
+    df = spark.createDataFrame([(1.0, 0.3), (1.0, 0.5)], "label double, score double")
+    assert ml.area_under_roc(df, "label", "score").first()[0] is None
