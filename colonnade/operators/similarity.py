@@ -68,17 +68,18 @@ def _cell(u: Column, dims: int, side: float) -> Column:
 
 
 def nearest_larger_partner(points: DataFrame, entity: str, dims: int, start_side: float,
-                           digits: int = 9) -> DataFrame:
-    """For every point, the point with a larger ``entity`` key and the largest dot
-    product (ties: smaller partner key).  Points without any larger key are absent.
+                           digits: int = 9, queries: DataFrame | None = None) -> DataFrame:
+    """For every query point (default: every point), the point with a larger
+    ``entity`` key and the largest dot product (ties: smaller partner key).
+    Points without any larger key are absent.
 
-    ``points``: (entity, u) with unit vectors ``u`` of length ``dims``.
+    ``points``/``queries``: (entity, u) with unit vectors ``u`` of length ``dims``.
     Returns (entity, partner, r).
     """
     checkpoint_root(points.sparkSession)
     offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=dims)]
     offset_lit = F.array(*[F.array(*[F.lit(v).cast("bigint") for v in o]) for o in offsets])
-    remaining = points
+    remaining = points if queries is None else queries
     settled: list[DataFrame] = []
     side = start_side
     while True:
@@ -115,12 +116,72 @@ def nearest_larger_partner(points: DataFrame, entity: str, dims: int, start_side
     return out
 
 
+def _near_copy_pairs(vectors: DataFrame, dims: int, digits: int) -> DataFrame:
+    """Ordered pairs (v, w), v != w, of distinct vectors whose dot product rounds
+    to 1 at ``digits`` digits (distance below ~3.2e-5 for 9 digits): an
+    equi-join on fine grid cells, each vector against its adjacent cells."""
+    side = 2.0 ** math.ceil(math.log2(math.sqrt(2.0 * 10.0 ** -digits) * 1.01))
+    offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=dims)]
+    offset_lit = F.array(*[F.array(*[F.lit(v).cast("bigint") for v in o]) for o in offsets])
+    data = vectors.select(F.col("_vid").alias("_w"), F.col("u").alias("_uw"), _cell(F.col("u"), dims, side).alias("_cell"))
+    home = [F.floor(F.col("u")[i] / F.lit(side)).cast("bigint") for i in range(dims)]
+    q = (vectors.select("_vid", "u", *[h.alias(f"_h{i}") for i, h in enumerate(home)], F.explode(offset_lit).alias("_o"))
+         .select(F.col("_vid").alias("_v"), F.col("u").alias("_uv"),
+                 F.array(*[F.col(f"_h{i}") + F.col("_o")[i] for i in range(dims)]).alias("_cell")))
+    dot = sum((F.col("_uv")[i] * F.col("_uw")[i] for i in range(1, dims)), F.col("_uv")[0] * F.col("_uw")[0])
+    pairs = q.join(data, "_cell").filter(F.col("_v") != F.col("_w")).select("_v", "_w", dot.alias("_r"))
+    return pairs.filter(F.round("_r", digits) >= 1.0)
+
+
+def _copy_group_partners(points: DataFrame, entity: str, dims: int, digits: int) -> tuple[DataFrame, DataFrame]:
+    """Split the search when several entities share one unit vector (copies).
+
+    A member of a copy group that is not the group's largest key has a partner
+    at r = 1: its next copy by key, unless a near copy (another vector whose r
+    rounds to 1) has a key in between.  Each near-copy key is mapped to its
+    predecessor among the group's keys with a running count, so members are
+    never paired with each other.  Returns (answers for those members, the
+    remaining queries: the largest key of every group).
+    """
+    from colonnade.operators.sequences import dense_ordinal, running_total
+
+    groups = points.groupBy("u").agg(F.min(entity).alias("_vid"), F.count(F.lit(1)).alias("_n"))
+    members = dense_ordinal(points.join(groups, "u"), ["_vid"], [entity], "_ord").checkpoint(eager=True)
+    self_dot = sum((F.col("u")[i] * F.col("u")[i] for i in range(1, dims)), F.col("u")[0] * F.col("u")[0])
+
+    nxt = members.select("_vid", (F.col("_ord") - 1).alias("_ord"), F.col(entity).alias("_b"))
+    own = (members.filter(F.col("_ord") < F.col("_n")).join(nxt, ["_vid", "_ord"])
+           .select(F.col(entity).alias("_a"), "_b", self_dot.alias("_r")))
+
+    pairs = _near_copy_pairs(groups.select("_vid", "u"), dims, digits)
+    key = members.select("_vid", F.col(entity).alias("_key"), "_n")
+    v_rows = pairs.join(key.withColumnRenamed("_vid", "_v"), "_v").select(
+        "_v", "_w", "_r", "_key", "_n", F.lit(1).alias("_is_v"))
+    w_rows = pairs.join(key.withColumnRenamed("_vid", "_w").drop("_n"), "_w").join(
+        groups.select(F.col("_vid").alias("_v"), "_n"), "_v").select(
+        "_v", "_w", "_r", "_key", "_n", F.lit(0).alias("_is_v"))
+    counted = running_total(v_rows.unionByName(w_rows), ["_v", "_w"], ["_key"], "_is_v", "_c")
+    near = (counted.filter((F.col("_is_v") == 0) & (F.col("_c") >= 1) & (F.col("_c") < F.col("_n")))
+            .join(members.select(F.col("_vid").alias("_v"), F.col("_ord").alias("_c"), F.col(entity).alias("_a")),
+                  ["_v", "_c"])
+            .select("_a", F.col("_key").alias("_b"), "_r"))
+    cands = own.unionByName(near)
+    answers = (cands.groupBy("_a")
+               .agg(F.max(F.struct(F.round("_r", digits).alias("rr"), (-F.col("_b")).alias("nb"),
+                                   F.col("_r").alias("r"))).alias("_m"))
+               .select(F.col("_a").alias(entity), (-F.col("_m.nb")).alias("partner"), F.col("_m.r").alias("r")))
+    last = members.filter(F.col("_ord") == F.col("_n")).select(entity, "u")
+    return answers, last
+
+
 def best_correlated_partner(long: DataFrame, entity: str, period: str, value: str,
                             periods: Sequence, digits: int = 9) -> DataFrame:
     """For each entity with a value in every one of ``periods``, the entity
     with a larger key whose series correlates best (ties: smaller key).
 
     ``long`` has one row per (entity, period).  Returns (entity, partner, corr).
+    Entities with identical normalised series (copies) are resolved without
+    pairing the copies with each other (:func:`_copy_group_partners`).
     """
     n = len(periods)
     wide = (long.filter(F.col(period).isin(list(periods)))
@@ -134,6 +195,11 @@ def best_correlated_partner(long: DataFrame, entity: str, period: str, value: st
     # Start near the typical spacing of `count` points on the (dims-1)-sphere.
     area = 2.0 * math.pi ** (dims / 2.0) / math.gamma(dims / 2.0)
     spacing = (area / max(count, 1)) ** (1.0 / max(dims - 1, 1))
-    start = 2.0 ** math.floor(math.log2(max(spacing, 2.0 ** -12)))
-    best = nearest_larger_partner(points, entity, dims, min(start, 2.0), digits)
+    start = min(2.0, 2.0 ** math.floor(math.log2(max(spacing, 2.0 ** -12))))
+    n_vectors = points.select("u").distinct().count()
+    if n_vectors == count:
+        best = nearest_larger_partner(points, entity, dims, start, digits)
+    else:
+        copies, last = _copy_group_partners(points, entity, dims, digits)
+        best = copies.unionByName(nearest_larger_partner(points, entity, dims, start, digits, queries=last))
     return best.select(entity, "partner", F.col("r").alias("corr"))

@@ -60,3 +60,39 @@ def test_keyed_correlation(spark):
     df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 2.0, 4.1), ("a", 3.0, 6.3)], "k string, x double, y double")
     got = keyed_correlation(df, ["k"], "x", "y").first()["corr"]
     assert got == pytest.approx(float(np.corrcoef([1, 2, 3], [2, 4.1, 6.3])[0, 1]))
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_best_partner_with_copies_and_near_copies(spark, seed):
+    # One series copied under many interleaved keys, a proportional near copy
+    # (r = 1 exactly, different vector bits possible), and random others.
+    rnd = random.Random(seed)
+    years = [1, 2, 3, 4, 5]
+    base = [3, 9, 4, 7, 5]
+    rows, series = [], {}
+    keys = list(range(400))
+    rnd.shuffle(keys)
+    for i, k in enumerate(keys):
+        if i < 120:
+            vals = base
+        elif i < 140:
+            vals = [2 * v + 1 for v in base]  # same correlation shape
+        elif i < 150:
+            vals = [5, 1, 5, 1, 5]
+        elif i < 165:
+            vals = [v * 100000 for v in base[:-1]] + [base[-1] * 100000 + 1]  # near copy, r rounds to 1
+        elif i < 170:
+            vals = [v * 100000 for v in base[:-1]] + [base[-1] * 100000 + 2]
+        else:
+            vals = [rnd.randint(0, 12) for _ in years]
+        if len(set(vals)) == 1:
+            continue
+        series[k] = vals
+        rows += [(k, y, v) for y, v in zip(years, vals)]
+    df = spark.createDataFrame(rows, "beat long, year int, n long")
+    got = {r.beat: (r.partner, r.corr) for r in best_correlated_partner(df, "beat", "year", "n", years).collect()}
+    expected = _brute(series)
+    assert set(got) == set(expected)
+    for k, (p, r) in expected.items():
+        assert got[k][0] == p, (k, got[k], p, r)
+        assert got[k][1] == pytest.approx(r, abs=1e-9)
