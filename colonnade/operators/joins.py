@@ -32,4 +32,9 @@ def attach_group_aggregate(df: DataFrame, keys: Sequence[str], value: str, out:
     """
     agg = getattr(F, fn)
     stats = df.groupBy(*keys).agg(agg(value).alias(out))
-    return df.join(stats, on=list(keys), how="inner")
+    # Null-safe on the keys: rows with a null key form a group, as in a window.
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    joined = df.alias("l").join(stats.alias("r"), cond, "inner")
+    return joined.select(*[F.col(f"l.{c}") for c in df.columns], F.col(f"r.{out}"))

@@ -51,7 +51,10 @@ def all_but_latest(df: DataFrame, entity: Sequence[str], order: Sequence[str]) -
     """Every row except the latest one per entity (``order`` must be unique per entity)."""
     latest = df.groupBy(*entity).agg(F.max(F.struct(*order)).alias("_m"))
     latest = latest.select(*entity, *[F.col(f"_m.{c}").alias(c) for c in order])
-    return df.join(latest, on=[*entity, *order], how="left_anti")
+    cond = F.lit(True)
+    for c in [*entity, *order]:  # null-safe: a null key is a group of its own
+        cond = cond & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    return df.alias("l").join(latest.alias("r"), cond, "left_anti")
 
 
 def split_last_per_entity(df: DataFrame, entity: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -39,3 +39,17 @@ def test_latest_uses_group_limit(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("t"))
     plan = win.latest_per_group(df, ["k"], ["t"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_null_keys_behave_like_window_groups(spark):
+    from pyspark.sql import Window
+
+    from colonnade.operators.joins import attach_group_aggregate
+    rows = [(None, 1, 1.0), (None, 2, 3.0), ("a", 1, 5.0), ("a", 2, 7.0)]
+    df = spark.createDataFrame(rows, "k string, t int, v double")
+    rest = sorted((r.k, r.t) for r in win.all_but_latest(df, ["k"], ["t"]).collect() if r.k is not None)
+    assert rest == [("a", 1)]
+    assert sorted((r.k or "", r.t) for r in win.all_but_latest(df, ["k"], ["t"]).collect()) == [("", 1), ("a", 1)]
+    means = sorted((r.k or "", r.t, r.group_mean) for r in attach_group_aggregate(df, ["k"], "v").collect())
+    ref = sorted((r.k or "", r.t, r.m) for r in df.withColumn("m", F.avg("v").over(Window.partitionBy("k"))).collect())
+    assert means == ref
