@@ -101,8 +101,12 @@ def _pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], s
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         width = (hi - lo) / F.col("_m")
         cut = F.least(F.col("_m") - 1, F.floor((F.col(f"_on{i}") - lo) / width)).cast("bigint")
+        if i > 0:
+            # Rows whose earlier order value is null sort first: keep them in piece 0.
+            cut = F.when(F.col(f"_on{i - 1}").isNotNull(), cut)
         piece = F.when(hi > lo, cut).otherwise(piece)
-    tagged = tagged.withColumn("_piece", F.coalesce(piece, F.lit(0).cast("bigint")))
+    tagged = tagged.withColumns({"_piece": F.coalesce(piece, F.lit(0).cast("bigint")),
+                                 "_hot": F.col("_m").isNotNull()})
     return tagged.drop(*[f"_on{i}" for i in range(len(nums))], *bounds, "_m"), True
 
 
@@ -122,10 +126,8 @@ def dense_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     local = tagged.withColumn("_rn", F.row_number().over(local_w))
     if not any_hot:
         return local.select(*df.columns, F.col("_rn").cast("bigint").alias(out))
-    sizes = tagged.filter(F.col("_piece") > 0).groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_n"))
-    firsts = tagged.filter(F.col("_piece") == 0).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) \
-        .withColumn("_piece", F.lit(0).cast("bigint"))
-    sizes = sizes.unionByName(firsts)
+    # Piece sizes of the hot groups only (ordinary groups need no offset).
+    sizes = tagged.filter("_hot").groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     # Offsets only matter for split groups; ordinary groups start at 0.
@@ -149,7 +151,7 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     local = tagged.withColumn("_loc", F.sum(value).over(inside))
     if not any_hot:
         return local.select(*df.columns, F.col("_loc").alias(out))
-    totals = tagged.groupBy(*keys, "_piece").agg(F.sum(value).alias("_tot"))
+    totals = tagged.filter("_hot").groupBy(*keys, "_piece").agg(F.sum(value).alias("_tot"))
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "_piece", F.sum("_tot").over(before).alias("_off")).filter(F.col("_off").isNotNull())
     joined = local.alias("l").join(offsets.alias("r"), _null_safe_on("l", "r", keys)

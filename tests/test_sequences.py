@@ -49,6 +49,14 @@ def test_dense_ordinal_splits_hot_group_with_constant_first_order_column(spark):
         [("hot", i, i + 1) for i in range(900)] + [("cold", i, i + 1) for i in range(5)])
 
 
+def test_dense_ordinal_null_first_order_values_stay_first(spark):
+    rows = [("hot", 5, i) for i in range(300)] + [("hot", None, 1000 + i) for i in range(3)]
+    df = spark.createDataFrame(rows, "k string, t long, id long")
+    ours = {r.id: r.o for r in seq.dense_ordinal(df, ["k"], ["t", "id"], "o", split_rows=50).collect()}
+    assert [ours[1000 + i] for i in range(3)] == [1, 2, 3]
+    assert sorted(ours.values()) == list(range(1, 304))
+
+
 def _brute_decayed(rows, d):
     out = {}
     by_key = {}
