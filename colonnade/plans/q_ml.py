@@ -197,7 +197,8 @@ def job_weekly_forecast(spark: SparkSession, sf: str) -> DataFrame:
     """Weekly counts, lags, last week per entity held out, linear vs forest."""
     f = _weekly_features(spark, sf).na.drop(subset=["lag_1", "lag_2"])
     train, test = win.split_last_per_entity(f, ["user_id"], ["week"])
-    metrics, _ = ml.weekly_forecast(train, test, ["user"], ["lag_1", "lag_2"], "n")
+    metrics, _ = ml.weekly_forecast(train, test, ["user"], ["lag_1", "lag_2"], "n",
+                                    out_path=scratch_path(spark, "weekly-predictions"), keep=["user_id"])
     return metrics
 
 
