@@ -168,9 +168,9 @@ def classification_drivers(df: DataFrame, categorical: Sequence[str], label: str
                            kind: str = "gbt") -> tuple[DataFrame, DataFrame]:
     """Classifier on categorical drivers; (metrics, importances)."""
     spark = df.sparkSession
-    data = persist_for_reuse(StringIndexer(inputCol=label, outputCol="label_idx").fit(df).transform(df))
+    data = StringIndexer(inputCol=label, outputCol="label_idx").fit(df).transform(df)
     prep = fit_prep(data, categorical, [])
-    feats = prep.transform(data)
+    feats = persist_for_reuse(prep.transform(data).select("label_idx", "features"))
     est = gbt_classifier("label_idx") if kind == "gbt" else random_forest_classifier("label_idx")
     model = est.fit(feats)
     pred = model.transform(feats)
@@ -179,7 +179,7 @@ def classification_drivers(df: DataFrame, categorical: Sequence[str], label: str
     acc = accuracy(pred, "label_idx").first()[0]
     metrics = metric_frame(spark, [(kind, "auc", float(auc)), (kind, "accuracy", float(acc))])
     importances = feature_importances(spark, model, pred)
-    data.unpersist()
+    feats.unpersist()
     return metrics, importances
 
 
