@@ -26,6 +26,22 @@ def tumbling_count(df: DataFrame, ts: str, keys: Sequence[str], count_col: str |
     return df.groupBy(F.window(ts, duration).alias("window"), *keys).agg(counted.alias(out))
 
 
+def densify_periods(series: DataFrame, entity: Sequence[str], start: str, value: str,
+                    step: str = "7 days", fill=0) -> DataFrame:
+    """D12 option: give every entity a row for each period between its first
+    and last one (``start`` timestamps ``step`` apart), ``fill`` where absent,
+    so that row lags become calendar lags.
+
+    One row per entity and period is generated with ``sequence`` + ``explode``
+    from the entity's own first/last period (bounded by its time span), then
+    joined with the observed rows on (entity, period).
+    """
+    span = series.groupBy(*entity).agg(F.min(start).alias("_lo"), F.max(start).alias("_hi"))
+    grid = span.select(*entity, F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {step}"))).alias(start))
+    return (grid.join(series, on=[*entity, start], how="left")
+            .withColumn(value, F.coalesce(F.col(value), F.lit(fill))))
+
+
 def lag_features(series: DataFrame, entity: Sequence[str], order: Sequence[str | Column],
                  value: str, lags: Mapping[str, int]) -> DataFrame:
     """``lag(value, n)`` per entity following ``order`` (row lags, D12).

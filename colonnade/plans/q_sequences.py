@@ -213,3 +213,20 @@ def udf_vs_native(spark: SparkSession, sf: str) -> DataFrame:
     series = agg.collect_series(table(spark, sf, "events"), ["user_id"], ["ts", "event_id"], "value", _CHUNK)
     return series.select("user_id", "chunk", r6(ewma_fold("values", ALPHA)).alias("native"),
                          r6(_ewma_list_udf("values")).alias("udf"))
+
+
+@register("weekly_count_dense", f"""
+WITH w AS ({_WEEKLY_SQL}),
+s AS (SELECT user_id, MIN(week) AS lo, MAX(week) AS hi FROM w GROUP BY 1),
+g AS (SELECT user_id, unnest(generate_series(lo, hi, INTERVAL 7 DAY)) AS week FROM s)
+SELECT g.user_id, strftime(g.week, '%Y-%m-%d %H:%M:%S.%f') AS week_start, COALESCE(w.n, 0) AS event_count,
+       CAST(lag(COALESCE(w.n, 0), 1) OVER (PARTITION BY g.user_id ORDER BY g.week) AS DOUBLE) AS lag_1
+FROM g LEFT JOIN w ON g.user_id = w.user_id AND g.week = w.week
+""")
+def weekly_count_dense(spark: SparkSession, sf: str) -> DataFrame:
+    """D12 option: weekly counts with empty weeks filled with 0, then a calendar lag."""
+    w = _weekly(spark, sf)
+    dense = win.densify_periods(w, ["user_id"], "week", "n", "7 days", 0)
+    lagged = win.lag_features(dense, ["user_id"], ["week"], "n", {"lag_1": 1})
+    return lagged.select("user_id", ts_text("week").alias("week_start"), F.col("n").alias("event_count"),
+                         F.col("lag_1").cast("double").alias("lag_1"))

@@ -52,6 +52,14 @@ def write_format(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ov
     writer.save(path)
 
 
+def write_range_buckets(df: DataFrame, path: str, key: str, bucket: str = "bucket",
+                        mode: str = "overwrite") -> None:
+    """K3 as files: one folder per range bucket (``bucket=i``), keys sorted inside
+    each file; any number of tasks may write a bucket, so a large bucket never
+    funnels through a single reducer."""
+    df.repartitionByRange(key).sortWithinPartitions(key).write.mode(mode).partitionBy(bucket).csv(path)
+
+
 def write_report(metrics: DataFrame, path: str, fmt: str = "json") -> None:
     """K6: a small (metric, value) frame written as one file."""
     write_format(metrics.coalesce(1), path, fmt)
