@@ -39,9 +39,13 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+# Target rows per partition when ``parts_per_bucket='auto'``.
+BUCKET_PART_ROWS = 2_000_000
+
+
 def range_bucket_partition(df: DataFrame, key: str, bounds: Sequence[str] = RANGE_BOUNDS,
                            case_insensitive: bool = False, out: str = "bucket",
-                           parts_per_bucket: int = 1) -> DataFrame:
+                           parts_per_bucket: int | str = 1) -> DataFrame:
     """Route rows to partitions by string range of ``key``.
 
     Bucket ``i`` (``len(bounds)+1`` buckets) owns partitions
@@ -49,11 +53,16 @@ def range_bucket_partition(df: DataFrame, key: str, bounds: Sequence[str] = RANG
     partition per bucket, partition ``i`` holds exactly bucket ``i``, the
     layout of five reducers.  For large inputs raise ``parts_per_bucket`` so a
     bucket is spread over several tasks by key hash (all rows of a key stay
-    together).  Rows are sorted by key inside each partition, like reducer
-    output.
+    together).  ``'auto'`` sizes it from the largest bucket (one aggregate over
+    the key column) so that no partition gets much more than
+    ``BUCKET_PART_ROWS`` rows, however many rows one bucket holds.  Rows are
+    sorted by key inside each partition, like reducer output.
     """
-    m = int(parts_per_bucket)
     with_bucket = df.withColumn(out, string_order_bucket(key, bounds, case_insensitive))
+    if parts_per_bucket == "auto":
+        largest = with_bucket.groupBy(out).count().agg(F.max("count")).first()[0] or 0
+        parts_per_bucket = max(1, -(-int(largest) // BUCKET_PART_ROWS))
+    m = int(parts_per_bucket)
     pid = F.col(out) * m + (F.pmod(F.xxhash64(F.col(key)), F.lit(m)) if m > 1 else F.lit(0))
     return (with_bucket.repartitionById((len(bounds) + 1) * m, pid.cast("int"))
             .sortWithinPartitions(key))

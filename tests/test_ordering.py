@@ -42,3 +42,14 @@ def test_union_by_name(spark):
     assert sorted(tuple(r) for r in ordering.union_all(a, b).collect()) == [(1, "x"), (2, "y")]
     c = spark.createDataFrame([(3,)], "k int")
     assert ordering.union_all(a, c, allow_missing=True).filter("s IS NULL").count() == 1
+
+
+def test_auto_parts_spread_a_hot_bucket(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "BUCKET_PART_ROWS", 100)
+    rows = [(f"a{i:04d}",) for i in range(450)] + [("zed",)] * 10
+    df = spark.createDataFrame(rows, "artist string")
+    out = ordering.range_bucket_partition(df, "artist", parts_per_bucket="auto")
+    assert out.rdd.getNumPartitions() == 25  # 450 rows in bucket 0 -> 5 parts per bucket
+    parts = out.withColumn("p", F.spark_partition_id()).groupBy("p", "bucket").count().collect()
+    assert all(r.p // 5 == r.bucket for r in parts)
+    assert max(r["count"] for r in parts) < 450
