@@ -184,14 +184,17 @@ def classification_drivers(df: DataFrame, categorical: Sequence[str], label: str
 
 
 def ewma_forecast(features: DataFrame, feature_cols: Sequence[str], label: str) -> DataFrame:
-    """C11: random forest on the delayed-EWMA feature set, scored with MAPE."""
+    """C11: random forest on the delayed-EWMA feature set, scored with MAPE.
+    Returns a (model, metric, value) frame."""
+    spark = features.sparkSession
     data = persist_for_reuse(features)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=list(feature_cols), outputCol="features",
                                             handleInvalid="keep"),
                             random_forest_regressor(label)])
     pred = pipe.fit(data).transform(data)
-    out = mape(pred, label)
-    return out
+    value = mape(pred, label).first()[0]
+    data.unpersist()
+    return metric_frame(spark, [("random_forest", "mape", float(value) if value is not None else None)])
 
 
 def walk_forward(df: DataFrame, period: str, starts: Sequence[int], train_len: int,

@@ -16,7 +16,6 @@ from colonnade.operators import windows as win
 from colonnade.plans.common import r6, table, ts_text
 from colonnade.plans.registry import register
 from colonnade.session import scratch_path
-from colonnade.sources.sinks import persist_for_reuse
 from colonnade.sources import sinks
 
 
@@ -152,7 +151,7 @@ _DRIVERS = ["priority", "segment", "month", "day_of_week", "nation"]
 def _classify(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     data = _order_drivers(spark, sf)
     prep = ml.fit_prep(data, _DRIVERS, [])
-    feats = persist_for_reuse(prep.transform(data).select("o_orderkey", "finished", "features"))
+    feats = prep.transform(data).select("o_orderkey", "finished", "features")
     est = ml.gbt_classifier("finished") if kind == "gbt" else ml.random_forest_classifier("finished")
     return est.fit(feats).transform(feats).select("o_orderkey", "finished", "prediction")
 
