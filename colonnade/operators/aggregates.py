@@ -151,6 +151,16 @@ def pivot_scaled(df: DataFrame, row_key: str, category: str, divisors: Mapping[s
     return wide.select(row_key, *[F.try_divide(F.col(c), F.lit(float(divisors[c]))).alias(c) for c in cats])
 
 
+def observed_divisors(df: DataFrame, category: str, year: Column | str, categories: Sequence[str]) -> dict[str, float]:
+    """D22 alternative: divisor per category = number of distinct years seen in
+    it (one small aggregate; at most ``len(categories)`` numbers reach the driver)."""
+    y = F.col(year) if isinstance(year, str) else year
+    rows = (df.filter(F.col(category).isin(list(categories)))
+            .groupBy(category).agg(F.count_distinct(y).alias("_n")).collect())
+    found = {r[category]: float(r["_n"]) for r in rows}
+    return {c: found.get(c, 0.0) for c in categories}
+
+
 def word_count(df: DataFrame, text: str, sep: str = " ", out: str = "count") -> DataFrame:
     """Occurrences of every token of ``split(text, sep)``."""
     pattern = "".join("\\" + ch if ch in ".^$*+?()[]{}|\\" else ch for ch in sep)

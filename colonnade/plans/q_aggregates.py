@@ -314,3 +314,25 @@ def region_period_avg(spark, sf):
     o = table(spark, sf, "orders")
     out = jobs.region_period_average(o, prefix("o_orderpriority", 1), _year_text(), ORDER_PERIODS, ORDER_DIVISORS)
     return out.select("region", *[F.round(F.coalesce(F.col(c), F.lit(0.0)), 6).alias(c) for c in ORDER_DIVISORS])
+
+
+@register("pivot_period_avg_observed", f"""
+WITH t AS (SELECT substr(o_orderpriority, 1, 1) AS region, {_PERIOD_SQL} AS period, year(o_orderdate) AS y
+           FROM (SELECT o_orderpriority, o_orderdate, {_YEAR_TEXT_SQL} AS year_text FROM orders) s),
+d AS (SELECT COUNT(DISTINCT y) FILTER (WHERE period = 'early') AS de,
+             COUNT(DISTINCT y) FILTER (WHERE period = 'late') AS dl FROM t)
+SELECT region,
+       ROUND(COUNT(*) FILTER (WHERE period = 'early') / ANY_VALUE(d.de), 6) AS early,
+       ROUND(COUNT(*) FILTER (WHERE period = 'late') / ANY_VALUE(d.dl), 6) AS late
+FROM t, d GROUP BY region
+""")
+def pivot_period_avg_observed(spark, sf):
+    """A22 with the D22 alternative: each period divided by the number of
+    distinct years actually observed in it."""
+    o = table(spark, sf, "orders")
+    labelled = o.select(prefix("o_orderpriority", 1).alias("region"),
+                        period_label(_year_text(), ORDER_PERIODS).alias("period"),
+                        F.year("o_orderdate").alias("y"))
+    divisors = agg.observed_divisors(labelled, "period", "y", list(ORDER_DIVISORS))
+    out = agg.pivot_scaled(labelled, "region", "period", divisors)
+    return out.select("region", *[F.round(F.coalesce(F.col(c), F.lit(0.0)), 6).alias(c) for c in ORDER_DIVISORS])
