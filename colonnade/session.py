@@ -17,6 +17,29 @@ from pyspark.sql import SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+# Settings for large inputs (on the order of 100 TB over ~1000 executors).
+# Shuffles start wide and AQE coalesces them to ~256 MB partitions; scans split
+# files at 512 MB; a shuffle partition 5x the median and over 1 GB counts as
+# skewed and is split by AQE; broadcasts stay at the (size-checked) 64 MB.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def cluster_conf(overrides: dict | None = None) -> dict:
+    """The settings above, with overrides (e.g. to pass to spark-submit --conf)."""
+    return {**CLUSTER_CONF, **(overrides or {})}
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "colonnade", extra: dict | None = None) -> SparkSession:
     builder = (
@@ -75,4 +98,5 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "checkpoint_root", "scratch_path", "default_parallelism", "local_path"]
+__all__ = ["CLUSTER_CONF", "cluster_conf", "build_session", "checkpoint_root", "scratch_path",
+           "default_parallelism", "local_path"]
