@@ -80,6 +80,7 @@ def nearest_larger_partner(points: DataFrame, entity: str, dims: int, start_side
     offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=dims)]
     offset_lit = F.array(*[F.array(*[F.lit(v).cast("bigint") for v in o]) for o in offsets])
     remaining = points if queries is None else queries
+    n_remaining = None
     settled: list[DataFrame] = []
     side = start_side
     while True:
@@ -106,9 +107,13 @@ def nearest_larger_partner(points: DataFrame, entity: str, dims: int, start_side
         best = best.withColumn("_ok", dist <= F.lit(side * (1.0 - 1e-9))).checkpoint(eager=True)
         settled.append(best.filter("_ok").drop("_ok"))
         done = best.filter("_ok").select(entity)
-        remaining = remaining.join(done, entity, "left_anti").checkpoint(eager=True)
-        if remaining.isEmpty():
+        if n_remaining is None:
+            n_remaining = remaining.count()
+        n_remaining -= done.count()  # reads the checkpointed rows only
+        if n_remaining <= 0:
             break
+        # `best` is materialised, so this anti-join stays cheap to re-evaluate.
+        remaining = remaining.join(done, entity, "left_anti")
         side *= 2.0
     out = settled[0]
     for part in settled[1:]:
@@ -190,13 +195,13 @@ def best_correlated_partner(long: DataFrame, entity: str, period: str, value: st
     complete = wide.dropna(subset=cols)
     checkpoint_root(long.sparkSession)
     points = unit_series(complete, entity, cols).checkpoint(eager=True)
-    count = points.count()
+    sizes = points.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("u").alias("v")).first()
+    count, n_vectors = int(sizes["n"]), int(sizes["v"])
     dims = n - 1
     # Start near the typical spacing of `count` points on the (dims-1)-sphere.
     area = 2.0 * math.pi ** (dims / 2.0) / math.gamma(dims / 2.0)
     spacing = (area / max(count, 1)) ** (1.0 / max(dims - 1, 1))
     start = min(2.0, 2.0 ** math.floor(math.log2(max(spacing, 2.0 ** -12))))
-    n_vectors = points.select("u").distinct().count()
     if n_vectors == count:
         best = nearest_larger_partner(points, entity, dims, start, digits)
     else:
