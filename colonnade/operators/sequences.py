@@ -60,7 +60,8 @@ def _order_number(df: DataFrame, col: str | Column) -> Column | None:
     return None
 
 
-def _pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], split_rows: int) -> tuple[DataFrame, bool]:
+def _pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], split_rows: int,
+            max_group: int | None = None) -> tuple[DataFrame, bool]:
     """Tag rows with ``_piece``: 0 for ordinary groups; for groups with more
     than ``split_rows`` rows, the equal-width range of the first order column
     the row falls in -- or of the second one when the first is constant in
@@ -70,6 +71,9 @@ def _pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], s
     every evaluation -- both branches of a plan, or a task re-run after an
     executor loss -- assigns the same pieces.  Returns (tagged, any_hot).
     """
+    if max_group is not None and max_group <= split_rows:
+        # Known upper bound on group size: nothing can be hot, no statistics pass.
+        return df.withColumn("_piece", F.lit(0)), False
     nums = [n for n in (_order_number(df, c) for c in list(order)[:2])]
     if not nums or nums[0] is None:
         return df.withColumn("_piece", F.lit(0)), False
@@ -111,7 +115,7 @@ def _pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], s
 
 
 def dense_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                  out: str = "ordinal", split_rows: int = SPLIT_ROWS) -> DataFrame:
+                  out: str = "ordinal", split_rows: int = SPLIT_ROWS, max_group: int | None = None) -> DataFrame:
     """Add ``out`` = 1, 2, ... per ``keys`` group following ``order``.
 
     Same result as ``row_number().over(partitionBy(keys).orderBy(order))``, but
@@ -119,9 +123,11 @@ def dense_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     hot group is cut into contiguous ranges of its first order column, each
     range is numbered on its own, and the range sizes (a few rows per hot
     group) give the offsets.  ``order`` should make rows unique inside a
-    group (add an id column); ties are numbered arbitrarily.
+    group (add an id column); ties are numbered arbitrarily.  ``max_group``
+    (rows in the largest group, e.g. from :func:`max_group_size`) lets it skip
+    the hot-group statistics when no group can be hot.
     """
-    tagged, any_hot = _pieces(df, keys, order, split_rows)
+    tagged, any_hot = _pieces(df, keys, order, split_rows, max_group)
     local_w = Window.partitionBy(*keys, "_piece").orderBy(*_cols(order))
     local = tagged.withColumn("_rn", F.row_number().over(local_w))
     if not any_hot:

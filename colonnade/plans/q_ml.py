@@ -217,8 +217,8 @@ def metric_report(spark: SparkSession, sf: str) -> DataFrame:
 def job_ewma_forecast(spark: SparkSession, sf: str) -> DataFrame:
     """C11: delayed-EWMA feature per bar plus calendar features -> forest -> MAPE."""
     e = table(spark, sf, "events").select("user_id", "event_id", "ts", "value", "event_type")
-    bars = seq.dense_ordinal(e, ["user_id"], ["ts", "event_id"], "bar")
     longest = seq.max_group_size(e, ["user_id"])
+    bars = seq.dense_ordinal(e, ["user_id"], ["ts", "event_id"], "bar", max_group=longest)
     feats = seq.block_delayed_ewma(bars, ["user_id"], "bar", "value", 0.2, 10, how="inner", max_len=longest)
     feats = feats.select("value", "ewma", "weight_mass", F.hour("ts").cast("double").alias("hour"),
                          F.dayofweek("ts").cast("double").alias("dow"))

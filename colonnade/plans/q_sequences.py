@@ -34,10 +34,10 @@ def _weekly(spark: SparkSession, sf: str) -> DataFrame:
     return weekly.select("user_id", F.col("window.start").alias("week"), "n")
 
 
-def _bars(spark: SparkSession, sf: str) -> DataFrame:
+def _bars(spark: SparkSession, sf: str, longest: int | None = None) -> DataFrame:
     """Trade-bar view of events: entity user_id, bar = position by (ts, event_id)."""
     e = table(spark, sf, "events").select("user_id", "event_id", "ts", "value")
-    return seq.dense_ordinal(e, ["user_id"], ["ts", "event_id"], "bar")
+    return seq.dense_ordinal(e, ["user_id"], ["ts", "event_id"], "bar", max_group=longest)
 
 
 _BARS_SQL = """
@@ -110,7 +110,7 @@ GROUP BY c.user_id, c.event_id, c.bar, c.value, c.cutoff
 def ewma_block_delayed(spark: SparkSession, sf: str) -> DataFrame:
     """W6 / W9 (C11 feature): block-delayed EWMA for every bar of every entity."""
     longest = seq.max_group_size(table(spark, sf, "events"), ["user_id"])
-    out = seq.block_delayed_ewma(_bars(spark, sf), ["user_id"], "bar", "value", ALPHA, BLOCK, max_len=longest)
+    out = seq.block_delayed_ewma(_bars(spark, sf, longest), ["user_id"], "bar", "value", ALPHA, BLOCK, max_len=longest)
     return out.select("user_id", "event_id", "bar", "value", r6("ewma").alias("ewma"),
                       r6("weight_mass").alias("weight_mass"))
 
@@ -124,7 +124,7 @@ GROUP BY c.user_id, c.event_id, c.bar
 def ses_recursive(spark: SparkSession, sf: str) -> DataFrame:
     """L_t = alpha * y_t + (1 - alpha) * L_(t-1), L_0 = 0, for every bar."""
     longest = seq.max_group_size(table(spark, sf, "events"), ["user_id"])
-    out = seq.recursive_smoothing(_bars(spark, sf), ["user_id"], "bar", "value", ALPHA, max_len=longest)
+    out = seq.recursive_smoothing(_bars(spark, sf, longest), ["user_id"], "bar", "value", ALPHA, max_len=longest)
     return out.select("user_id", "event_id", "bar", r6("level").alias("level"))
 
 
