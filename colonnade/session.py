@@ -65,8 +65,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session first; only when it is unset (tests, local runs) a
-    folder is created and registered, so cluster settings are never overridden.
+    Read from the session first; only when it is unset and Spark runs in local
+    mode (tests, local runs) a folder is created and registered.  On a cluster
+    an unset folder is an error rather than a machine-local fallback.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
@@ -74,6 +75,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root
     root = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not root:
+        if not sc.master.startswith("local"):
+            # A machine-local folder would leave checkpoints on single executors.
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a shared folder (HDFS/S3/...) for this job")
         root = tempfile.mkdtemp(prefix="colonnade-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root

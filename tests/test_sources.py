@@ -88,3 +88,10 @@ def test_single_file_csv(spark, tmp_dir):
     sinks.write_csv(df, out, header=True, single_file=True)
     parts = [f for f in os.listdir(out) if f.startswith("part-")]
     assert len(parts) == 1
+
+
+def test_checkpoint_root_reads_session_setting(spark):
+    from colonnade.session import checkpoint_root, scratch_path
+    root = checkpoint_root(spark)
+    assert root and "ckpt" in root  # the folder the test session names
+    assert scratch_path(spark, "x").startswith(root.rstrip("/") + "/scratch/x-")
