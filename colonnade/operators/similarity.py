@@ -67,32 +67,70 @@ def _cell(u: Column, dims: int, side: float) -> Column:
     return F.array(*[F.floor(u[i] / F.lit(side)).cast("bigint") for i in range(dims)])
 
 
+# A query whose base grid cell holds more points than this starts on a finer grid.
+DENSE_CELL = 64
+_FINEST = 40  # at most 2^-40 times the base cell side
+
+
 def nearest_larger_partner(points: DataFrame, entity: str, dims: int, start_side: float,
-                           digits: int = 9, queries: DataFrame | None = None) -> DataFrame:
+                           digits: int = 9, queries: DataFrame | None = None,
+                           dense_cell: int | None = None) -> DataFrame:
     """For every query point (default: every point), the point with a larger
     ``entity`` key and the largest dot product (ties: smaller partner key).
     Points without any larger key are absent.
 
     ``points``/``queries``: (entity, u) with unit vectors ``u`` of length ``dims``.
     Returns (entity, partner, r).
+
+    Queries start on the grid of side ``start_side``; a query whose cell there
+    holds more than ``dense_cell`` points (a tight cluster of near-identical
+    vectors) starts on a grid finer by the factor that brings such a cell down
+    to about ``dense_cell`` points, so it is never joined with a whole cluster.
+    Every query then moves to coarser grids until its best candidate is within
+    the cell side; the result does not depend on where it started.
     """
-    checkpoint_root(points.sparkSession)
+    spark = points.sparkSession
+    checkpoint_root(spark)
+    limit = dense_cell or DENSE_CELL
     offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=dims)]
     offset_lit = F.array(*[F.array(*[F.lit(v).cast("bigint") for v in o]) for o in offsets])
-    remaining = points if queries is None else queries
-    n_remaining = None
+    all_queries = points if queries is None else queries
+
+    # Start level per query from the crowding of its base cell.
+    base_cells = points.groupBy(_cell(F.col("u"), dims, start_side).alias("_cell")).agg(F.count(F.lit(1)).alias("_k"))
+    finer = F.ceil(F.log2(F.col("_k") / F.lit(float(limit))) / F.lit(float(max(1, dims - 1))))
+    starts = (all_queries.withColumn("_cell", _cell(F.col("u"), dims, start_side))
+              .join(base_cells, "_cell", "left")
+              .select(entity, "u", F.when(F.col("_k") > limit, F.least(finer, F.lit(_FINEST)))
+                      .otherwise(F.lit(0)).cast("int").alias("_start"))
+              .checkpoint(eager=True))
+    per_start = {int(r["_start"]): int(r["count"]) for r in starts.groupBy("_start").count().collect()}
+    if not per_start:
+        return spark.createDataFrame([], f"{entity} long, partner long, r double")
+
     settled: list[DataFrame] = []
-    side = start_side
+    remaining: DataFrame | None = None
+    n_carry = 0
+    k = max(per_start)  # level: side = start_side / 2^k (k < 0: coarser)
     while True:
+        side = start_side * 2.0 ** (-k)
         last = side >= 2.0
+        n_new = per_start.get(k, 0)
+        if n_new:
+            new = starts.filter(F.col("_start") == k).select(entity, "u")
+            remaining = new if remaining is None else remaining.unionByName(new)
+        n_active = n_carry + n_new
+        if n_active == 0:
+            k -= 1
+            continue
         data = points.select(F.col(entity).alias("_b"), F.col("u").alias("_ub"), _cell(F.col("u"), dims, side).alias("_cell"))
         home = [F.floor(F.col("u")[i] / F.lit(side)).cast("bigint") for i in range(dims)]
-        queries = (remaining.select(F.col(entity).alias("_a"), F.col("u").alias("_ua"),
-                                    *[h.alias(f"_h{i}") for i, h in enumerate(home)],
-                                    F.explode(offset_lit).alias("_o"))
-                   .select("_a", "_ua", F.array(*[F.col(f"_h{i}") + F.col("_o")[i] for i in range(dims)]).alias("_cell")))
+        queries_l = (remaining.select(F.col(entity).alias("_a"), F.col("u").alias("_ua"),
+                                      *[h.alias(f"_h{i}") for i, h in enumerate(home)],
+                                      F.explode(offset_lit).alias("_o"))
+                     .select("_a", "_ua", F.array(*[F.col(f"_h{i}") + F.col("_o")[i] for i in range(dims)]).alias("_cell")))
         dot = sum((F.col("_ua")[i] * F.col("_ub")[i] for i in range(1, dims)), F.col("_ua")[0] * F.col("_ub")[0])
-        cand = (queries.join(data, "_cell")
+        cand = (queries_l.join(data, "_cell")
                 .filter(F.col("_b") > F.col("_a"))
                 .select("_a", "_b", dot.alias("_r")))
         best = (cand.groupBy("_a")
@@ -107,14 +145,13 @@ def nearest_larger_partner(points: DataFrame, entity: str, dims: int, start_side
         best = best.withColumn("_ok", dist <= F.lit(side * (1.0 - 1e-9))).checkpoint(eager=True)
         settled.append(best.filter("_ok").drop("_ok"))
         done = best.filter("_ok").select(entity)
-        if n_remaining is None:
-            n_remaining = remaining.count()
-        n_remaining -= done.count()  # reads the checkpointed rows only
-        if n_remaining <= 0:
+        n_carry = n_active - done.count()  # reads the checkpointed rows only
+        later = sum(v for kk, v in per_start.items() if kk < k)
+        if n_carry <= 0 and later == 0:
             break
         # `best` is materialised, so this anti-join stays cheap to re-evaluate.
-        remaining = remaining.join(done, entity, "left_anti")
-        side *= 2.0
+        remaining = remaining.join(done, entity, "left_anti") if n_carry > 0 else None
+        k -= 1
     out = settled[0]
     for part in settled[1:]:
         out = out.unionByName(part)

@@ -96,3 +96,33 @@ def test_best_partner_with_copies_and_near_copies(spark, seed):
     for k, (p, r) in expected.items():
         assert got[k][0] == p, (k, got[k], p, r)
         assert got[k][1] == pytest.approx(r, abs=1e-9)
+
+
+def test_dense_cluster_of_distinct_near_copies(spark, monkeypatch):
+    # 120 distinct series whose normalised vectors lie in one tiny cluster
+    # (r close to 1 but mostly not rounding to 1), plus scattered others: the
+    # crowded queries start on finer grids; the answer must equal brute force.
+    from colonnade.operators import similarity as sim
+    monkeypatch.setattr(sim, "DENSE_CELL", 8)
+    rnd = random.Random(21)
+    years = [1, 2, 3, 4, 5]
+    base = [3000, 9000, 4000, 7000, 5000]
+    rows, series = [], {}
+    keys = list(range(200))
+    rnd.shuffle(keys)
+    for i, k in enumerate(keys):
+        if i < 120:
+            vals = [v + rnd.randint(-40, 40) for v in base]
+        else:
+            vals = [rnd.randint(0, 12) for _ in years]
+        if len(set(vals)) == 1:
+            continue
+        series[k] = vals
+        rows += [(k, y, v) for y, v in zip(years, vals)]
+    df = spark.createDataFrame(rows, "beat long, year int, n long")
+    got = {r.beat: (r.partner, r.corr) for r in best_correlated_partner(df, "beat", "year", "n", years).collect()}
+    expected = _brute(series)
+    assert set(got) == set(expected)
+    for k, (p, r) in expected.items():
+        assert got[k][0] == p, (k, got[k], p, r)
+        assert got[k][1] == pytest.approx(r, abs=1e-9)
