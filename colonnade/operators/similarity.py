@@ -67,7 +67,7 @@ def _cell(u: Column, dims: int, side: float) -> Column:
     return F.array(*[F.floor(u[i] / F.lit(side)).cast("bigint") for i in range(dims)])
 
 
-# A query whose base grid cell holds more points than this starts on a finer grid.
+# A query whose base grid cell holds more distinct vectors than this starts on a finer grid.
 DENSE_CELL = 64
 _FINEST = 40  # at most 2^-40 times the base cell side
 
@@ -83,9 +83,9 @@ def nearest_larger_partner(points: DataFrame, entity: str, dims: int, start_side
     Returns (entity, partner, r).
 
     Queries start on the grid of side ``start_side``; a query whose cell there
-    holds more than ``dense_cell`` points (a tight cluster of near-identical
-    vectors) starts on a grid finer by the factor that brings such a cell down
-    to about ``dense_cell`` points, so it is never joined with a whole cluster.
+    holds more than ``dense_cell`` distinct vectors (a tight cluster of
+    near-identical series) starts on the first finer grid (side halved step by
+    step) where its cell does not, so it is never joined with a whole cluster.
     Every query then moves to coarser grids until its best candidate is within
     the cell side; the result does not depend on where it started.
     """
@@ -96,15 +96,39 @@ def nearest_larger_partner(points: DataFrame, entity: str, dims: int, start_side
     offset_lit = F.array(*[F.array(*[F.lit(v).cast("bigint") for v in o]) for o in offsets])
     all_queries = points if queries is None else queries
 
-    # Start level per query from the crowding of its base cell.
-    base_cells = points.groupBy(_cell(F.col("u"), dims, start_side).alias("_cell")).agg(F.count(F.lit(1)).alias("_k"))
-    finer = F.ceil(F.log2(F.col("_k") / F.lit(float(limit))) / F.lit(float(max(1, dims - 1))))
-    starts = (all_queries.withColumn("_cell", _cell(F.col("u"), dims, start_side))
-              .join(base_cells, "_cell", "left")
-              .select(entity, "u", F.when(F.col("_k") > limit, F.least(finer, F.lit(_FINEST)))
-                      .otherwise(F.lit(0)).cast("int").alias("_start"))
-              .checkpoint(eager=True))
-    per_start = {int(r["_start"]): int(r["count"]) for r in starts.groupBy("_start").count().collect()}
+    # Start level per query: halve the side for queries whose own cell holds
+    # more than `limit` distinct vectors, until it does not.  Only the crowded
+    # points take part in each refinement step.
+    vectors = points.select("u").distinct()
+    crowded_pts, crowded_q = vectors, all_queries.select(entity, "u")
+    fixed: list[DataFrame] = []
+    for k in range(_FINEST + 1):
+        side_k = start_side * 2.0 ** (-k)
+        cells = crowded_pts.groupBy(_cell(F.col("u"), dims, side_k).alias("_cell")).agg(
+            F.count(F.lit(1)).alias("_k"))
+        tagged = (crowded_q.withColumn("_cell", _cell(F.col("u"), dims, side_k))
+                  .join(cells, "_cell", "left").withColumn("_k", F.coalesce("_k", F.lit(0))))
+        tagged = tagged.checkpoint(eager=True)
+        fixed.append(tagged.filter((F.col("_k") <= limit) | F.lit(k == _FINEST))
+                     .select(entity, "u", F.lit(k).alias("_start")))
+        busy = tagged.filter(F.col("_k") > limit)
+        if k == _FINEST or busy.isEmpty():
+            break
+        crowded_q = busy.select(entity, "u")
+        crowded_pts = (crowded_pts.withColumn("_cell", _cell(F.col("u"), dims, side_k))
+                       .join(cells.filter(F.col("_k") > limit).select("_cell"), "_cell", "left_semi")
+                       .select("u").checkpoint(eager=True))
+    if len(fixed) == 1:
+        # Nothing crowded (the usual case): every query starts on the base grid.
+        starts = fixed[0]
+        n0 = starts.count()  # reads the materialised rows
+        per_start = {0: n0} if n0 else {}
+    else:
+        starts = fixed[0]
+        for part in fixed[1:]:
+            starts = starts.unionByName(part)
+        starts = starts.checkpoint(eager=True)
+        per_start = {int(r["_start"]): int(r["count"]) for r in starts.groupBy("_start").count().collect()}
     if not per_start:
         return spark.createDataFrame([], f"{entity} long, partner long, r double")
 
