@@ -149,7 +149,7 @@ def weekly_forecast(train: DataFrame, test: DataFrame, categorical: Sequence[str
     with ``out_path`` each model's (``keep`` columns, prediction, label) rows
     are also written as a CSV folder ``out_path/<model>`` (K1)."""
     spark = train.sparkSession
-    train = persist_for_reuse(train)
+    train, test = persist_for_reuse(train), persist_for_reuse(test)
     prep = fit_prep(train, categorical, numeric)
     tr, te = prep.transform(train), prep.transform(test)
     preds, rows = {}, []
@@ -161,6 +161,7 @@ def weekly_forecast(train: DataFrame, test: DataFrame, categorical: Sequence[str
         if out_path:
             p.select(*keep, "prediction", label).write.mode("overwrite").csv(f"{out_path.rstrip('/')}/{name}")
     train.unpersist()
+    test.unpersist()
     return metric_frame(spark, rows), preds
 
 
