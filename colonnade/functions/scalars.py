@@ -13,10 +13,14 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def regex_literal(text: str) -> str:
+    """``text`` as a regular expression matching itself (``split`` takes a regex)."""
+    return "".join("\\" + ch if ch in ".^$*+?()[]{}|\\" else ch for ch in text)
+
+
 def nth_field(col: Column | str, sep: str, index: int) -> Column:
     """``split(col, sep)[index]`` (0-based), null when absent."""
-    pattern = "".join("\\" + ch if ch in ".^$*+?()[]{}|\\" else ch for ch in sep)
-    return F.get(F.split(_c(col), pattern), index)
+    return F.get(F.split(_c(col), regex_literal(sep)), index)
 
 
 def whitespace_tokens(col: Column | str) -> Column:

@@ -9,6 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from colonnade.functions.scalars import regex_literal
 from colonnade.operators.sequences import dense_ordinal
 
 
@@ -163,8 +164,7 @@ def observed_divisors(df: DataFrame, category: str, year: Column | str, categori
 
 def word_count(df: DataFrame, text: str, sep: str = " ", out: str = "count") -> DataFrame:
     """Occurrences of every token of ``split(text, sep)``."""
-    pattern = "".join("\\" + ch if ch in ".^$*+?()[]{}|\\" else ch for ch in sep)
-    words = df.select(F.explode(F.split(F.col(text), pattern)).alias("word"))
+    words = df.select(F.explode(F.split(F.col(text), regex_literal(sep))).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias(out))
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from colonnade.functions.scalars import regex_literal
+
 # Fixed value: the timestamp layout of the event CSV ("01/05/2017 11:40:00 PM").
 # The pattern given in the original jobs mixes day-of-year and week-year letters and
 # is rejected by Spark 4; this is the pattern it was meant to be.
@@ -42,12 +44,7 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType, header:
 def split_field(value: Column | str, index: int, sep: str = ",") -> Column:
     """Field ``index`` (0-based) of a delimited line; null when the line is too short."""
     col = F.col(value) if isinstance(value, str) else value
-    return F.get(F.split(col, _regex_literal(sep)), index)
-
-
-def _regex_literal(sep: str) -> str:
-    specials = set(".^$*+?()[]{}|\\")
-    return "".join("\\" + ch if ch in specials else ch for ch in sep)
+    return F.get(F.split(col, regex_literal(sep)), index)
 
 
 def read_text_positional(spark: SparkSession, path: str, fields: Mapping[str, int],
