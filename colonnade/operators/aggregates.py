@@ -40,14 +40,14 @@ def conditional_count(df: DataFrame, keys: Sequence[str], cond: Column, out: str
 
 
 def collect_series(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                   chunk_rows: int = 1024, out: str = "values") -> DataFrame:
+                   chunk_rows: int = 1024, out: str = "values", max_group: int | None = None) -> DataFrame:
     """Ordered values per key, as arrays of at most ``chunk_rows`` values.
 
     One row per (keys, chunk); chunk ``c`` holds ordinals ``c*chunk_rows+1 ..``.
     A long series is therefore split over several rows instead of one
     unbounded array in one task.
     """
-    numbered = dense_ordinal(df.select(*keys, *order, value), keys, order, "_ord")
+    numbered = dense_ordinal(df.select(*keys, *order, value), keys, order, "_ord", max_group=max_group)
     chunked = numbered.withColumn("chunk", F.floor((F.col("_ord") - 1) / F.lit(chunk_rows)).cast("bigint"))
     return (chunked.groupBy(*keys, "chunk")
             .agg(F.array_sort(F.collect_list(F.struct("_ord", value))).alias("_s"))

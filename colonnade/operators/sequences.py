@@ -145,14 +145,16 @@ def dense_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str,
-                  out: str = "running_total", split_rows: int = SPLIT_ROWS) -> DataFrame:
+                  out: str = "running_total", split_rows: int = SPLIT_ROWS,
+                  max_group: int | None = None) -> DataFrame:
     """Add ``out`` = sum of ``value`` over rows up to and including this one
     (by ``order``) within ``keys`` (``keys=[]``: over the whole table).
 
     Split like :func:`dense_ordinal`: each piece of a hot group (or of the
     whole table) sums its own rows, the piece totals give the offsets.
+    ``max_group`` works as in :func:`dense_ordinal`.
     """
-    tagged, any_hot = _pieces(df, keys, order, split_rows)
+    tagged, any_hot = _pieces(df, keys, order, split_rows, max_group)
     inside = Window.partitionBy(*keys, "_piece").orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
     local = tagged.withColumn("_loc", F.sum(value).over(inside))
     if not any_hot:

@@ -95,3 +95,11 @@ def test_checkpoint_root_reads_session_setting(spark):
     root = checkpoint_root(spark)
     assert root and "ckpt" in root  # the folder the test session names
     assert scratch_path(spark, "x").startswith(root.rstrip("/") + "/scratch/x-")
+
+
+def test_typed_csv_malformed_number_is_null(spark, tmp_dir):
+    # A malformed number must not fail the job; it becomes null.
+    _write(tmp_dir, "id,value\n1,2.5\n2,abc\n3,\n")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("value", T.DoubleType())])
+    df = csv_src.read_csv_typed(spark, tmp_dir, schema, timestamp_format=None)
+    assert sorted((r.id, r.value) for r in df.collect()) == [(1, 2.5), (2, None), (3, None)]
