@@ -112,7 +112,10 @@ def nearest_larger_partner(points: DataFrame, entity: str, dims: int, start_side
         fixed.append(tagged.filter((F.col("_k") <= limit) | F.lit(k == _FINEST))
                      .select(entity, "u", F.lit(k).alias("_start")))
         busy = tagged.filter(F.col("_k") > limit)
-        if k == _FINEST or busy.isEmpty():
+        counts = tagged.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_k") > limit).alias("busy")).first()
+        if k == 0:
+            n_queries = int(counts["n"])
+        if k == _FINEST or counts["busy"] == 0:
             break
         crowded_q = busy.select(entity, "u")
         crowded_pts = (crowded_pts.withColumn("_cell", _cell(F.col("u"), dims, side_k))
@@ -121,8 +124,7 @@ def nearest_larger_partner(points: DataFrame, entity: str, dims: int, start_side
     if len(fixed) == 1:
         # Nothing crowded (the usual case): every query starts on the base grid.
         starts = fixed[0]
-        n0 = starts.count()  # reads the materialised rows
-        per_start = {0: n0} if n0 else {}
+        per_start = {0: n_queries} if n_queries else {}
     else:
         starts = fixed[0]
         for part in fixed[1:]:
