@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from colonnade.plans import registry
 from colonnade.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -24,10 +25,11 @@ def test_entry_runs(spark):
 
 
 def test_registry_is_consistent():
-    qs, sqls = entry.queries(), entry.oracle_sql()
+    qs, sqls = registry.queries(), registry.oracle_sql()
     assert set(sqls) <= set(qs)
     assert set(qs) - set(sqls) == ROWS_ONLY
     assert not any(n.startswith("op") for n in qs)
+    assert set(qs) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def _norm(v):
@@ -49,7 +51,7 @@ def con():
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     sdf = entry.queries()[name](spark, SF)
     spark_rows = sdf.collect()
