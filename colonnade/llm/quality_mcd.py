@@ -71,6 +71,8 @@ def base_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text", *c
         F.size(lines).alias("_lines"),
         F.get(F.transform(F.array(words_col(F.col(text))), lambda w: F.struct(
             F.size(w).cast("long").alias("n"), repeat_words_col(w).alias("r"))), F.lit(0)).alias("_w"))
+    # Written once: derived columns would each repeat the array work when projections collapse.
+    out = materialise(out, "base-statistics")
     out = out.withColumn("n_words", F.col("_w.n")).withColumn("n_repeat_words", F.col("_w.r")).drop("_w")
     return out.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
@@ -149,7 +151,7 @@ def mcd_outliers(docs: DataFrame, key: str = "doc_id", text: str = "text", lang:
     names = list(FLOORS)
     stats = base_statistics(docs.select(F.col(key), F.col(text), F.col(lang).alias("_l"), F.col(source).alias("_s")),
                             key, text, "_l", "_s")
-    rows = materialise(_transformed(stats), "mcd-stats")
+    rows = _transformed(stats)
     sizes = rows.groupBy("_l", "_s").agg((F.count(F.lit(1)) >= min_group).alias("_big")).withColumnsRenamed(
         {"_l": "g_lang", "_s": "g_source"})
     rows = _with_groups(rows.withColumnsRenamed({"_l": "g_lang", "_s": "g_source"}), sizes)
