@@ -111,7 +111,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def out(c: Counter) -> pd.DataFrame:
             ws = list(c)
-            return pd.DataFrame({"w": ws, "h": _hash(ws).astype(np.int64), "n": np.fromiter(c.values(), np.int64, len(ws))})
+            return pd.DataFrame({"w": np.array(ws, dtype=object), "h": _hash(ws).astype(np.int64), "n": np.fromiter(c.values(), np.int64, len(ws))})
 
         c: Counter = Counter()
         for b in batches:
@@ -120,7 +120,8 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
                 if len(c) > 300_000:  # pre-aggregated in bounded pieces; Spark adds them up
                     yield out(c)
                     c = Counter()
-        yield out(c)
+        if c:
+            yield out(c)
 
     counted = train.select("t").mapInPandas(count, "w string, h long, n long").groupBy("w").agg(F.first("h").alias("h"), F.sum("n").alias("n"))
     vocab = materialise(counted, "lm-vocabulary")
