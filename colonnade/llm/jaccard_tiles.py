@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colonnade.llm.text import lower_ascii, materialise, words_of
+from colonnade.llm.text import byte_words, materialise
 from colonnade.llm.windows import WordHashes, answered, bucket_count, repeated_windows, rolling
 
 BITS = 512
@@ -30,10 +30,11 @@ _word_hash = WordHashes()
 
 def shingle_set(text: str | None, n: int = 5) -> np.ndarray:
     """Sorted distinct shingle hashes."""
-    ws = words_of(lower_ascii(text)) if text else []
+    ws = byte_words(text, lower=True)
     if not ws:
         return np.zeros(0, np.uint64)
-    return np.unique(rolling(_word_hash(ws), min(n, len(ws))) ^ np.uint64(len(ws) if len(ws) < n else 0))
+    h = np.sort(rolling(_word_hash(ws), min(n, len(ws))) ^ np.uint64(len(ws) if len(ws) < n else 0))
+    return h[np.r_[True, h[1:] != h[:-1]]]
 
 
 def set_key(s: np.ndarray) -> int | None:
@@ -69,6 +70,11 @@ def components(spark: SparkSession, edges: DataFrame, name: str) -> DataFrame:
     e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     e = materialise(e, f"{name}-edges")
     while True:
+        # Stars only: every node has one link, and no node is both an end and a centre.
+        ends = e.select(F.col("a").alias("v"), F.lit(1).alias("n"), F.lit(0).alias("c"))
+        ends = ends.unionByName(e.select(F.col("b").alias("v"), F.lit(0).alias("n"), F.lit(1).alias("c")))
+        if ends.groupBy("v").agg(F.sum("n").alias("n"), F.max("c").alias("c")).where(F.col("n") + F.col("c") > 1).isEmpty():
+            break
         both = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -76,15 +82,21 @@ def components(spark: SparkSession, edges: DataFrame, name: str) -> DataFrame:
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         nxt = large.join(small, "a")
         nxt = nxt.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b")))
-        nxt = materialise(nxt.where("a <> b").distinct(), f"{name}-small")
-        changed = nxt.exceptAll(e).limit(1).count() or e.exceptAll(nxt).limit(1).count()
-        e = nxt
-        if not changed:
-            break
+        e = materialise(nxt.where("a <> b").distinct(), f"{name}-small")
     roots = e.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("comp"))
     return materialise(e.select(F.col("a").alias("id"), F.col("b").alias("comp")).unionByName(roots), f"{name}-comp")
 
 
+def merge(comp: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """(id, comp) after new links (a, b) between ids: only the components that they touch are worked on."""
+    if links.isEmpty():
+        return comp
+    ends = comp.select(F.col("id").alias("a"), F.col("comp").alias("ca")), comp.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
+    moved = components(comp.sparkSession, links.join(ends[0], "a").join(ends[1], "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")), name)
+    moved = moved.select(F.col("id").alias("comp"), F.col("comp").alias("to"))
+    return materialise(comp.join(moved, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")), f"{name}-merged")
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of set keys that link."""
 
@@ -118,7 +130,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     # One text per class: the copies need no shuffle of their texts beyond this semi-join.
     reps = rows.join(classes.where("rep is not null").select(F.col("rep").alias("k"), F.col("sk").alias("row_key")), "k")
     reps = materialise(reps.select("row_key", "t").dropDuplicates(["row_key"]), "jaccard-reps")
-    told = repeated_windows(reps, "row_key", "t", lambda t: shingle_set(t, n), buckets, True, True)
+    told = repeated_windows(reps, "row_key", "t", lambda t: shingle_set(t, n), buckets, with_counts=True)
 
     def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -136,9 +148,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     sets = materialise(reps.join(told.withColumnRenamed("row_key", "rk"), F.col("row_key") == F.col("rk")).select("row_key", "t", "answers").mapInPandas(
         prefixes, "sk long, n long, tokens array<long>, arr binary, sig binary"), "jaccard-sets")
     entries = materialise(sets.select("sk", "n", F.explode("tokens").alias("token")), "jaccard-entries")
-    links = spark.createDataFrame([], "a long, b long")
     comp = sets.select(F.col("sk").alias("id"), F.col("sk").alias("comp"))
-    tried = links
+    tried = spark.createDataFrame([], "a long, b long")
     for r in range(rounds):
         at = entries.join(comp, F.col("sk") == F.col("id")).drop("id")
         # Tiles with one component left have nothing to compare.
@@ -152,10 +163,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         tried = tried.unionByName(pairs)
         if not pairs.limit(1).count():
             break
-        links = links.unionByName(found)
-        some = components(spark, links, f"jaccard-{r}")
-        comp = sets.select(F.col("sk").alias("id")).join(some, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        comp = materialise(comp, f"jaccard-comp{r}")
+        comp = merge(comp, found, f"jaccard-{r}")
     at = entries.join(comp, F.col("sk") == F.col("id")).drop("id")
     open_ = at.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("token")
     at = materialise(at.join(open_, "token"), "jaccard-open")
@@ -163,9 +171,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     rest = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.sk") > F.col("y.sk")) & (F.col("x.comp") != F.col("y.comp"))
                   & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")))
     rest = rest.select(F.col("x.sk").alias("a"), F.col("y.sk").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    links = links.unionByName(materialise(_verify(rest, sets, percent), "jaccard-rest"))
-    some = components(spark, links, "jaccard-end")
-    named = classes.join(some, classes["sk"] == some["id"], "left").withColumn("comp", F.coalesce("comp", "sk"))
+    comp = merge(comp, materialise(_verify(rest, sets, percent), "jaccard-rest"), "jaccard-end")
+    named = classes.join(comp, classes["sk"] == comp["id"], "left").withColumn("comp", F.coalesce("comp", "sk"))
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = materialise(named.join(least, "comp").select("sk", "component_id", "class_size"), "jaccard-named")
     out = members.join(named, "sk", "left")

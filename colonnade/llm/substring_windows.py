@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colonnade.llm.text import materialise, words_of
+from colonnade.llm.text import byte_words, materialise
 from colonnade.llm.windows import WordHashes, answered, bucket_count, repeated_windows, rolling
 
 
@@ -29,18 +29,18 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     word_hash = WordHashes()
 
     def hashes(t: str | None) -> np.ndarray:
-        ws = words_of(t)
+        ws = byte_words(t)
         return rolling(word_hash(ws), window) if len(ws) >= window else np.zeros(0, np.uint64)
 
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.xxhash64(F.col(key), F.col(text)).alias("row_key"))
-    told = materialise(repeated_windows(rows, "row_key", "t", hashes, buckets, distinct_rows=False), "repeats")
+    told = materialise(repeated_windows(rows, "row_key", "t", hashes, buckets), "repeats")
     joined = rows.join(told, "row_key", "left").select("k", "t", "answers")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for t, answers in zip(b["t"], b["answers"]):
-                ws = words_of(t)
+                ws = byte_words(t)
                 spans = []
                 if answers is not None and len(answers):
                     pos = np.sort(answered(hashes(t), buckets, answers)[0])
@@ -52,9 +52,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
                     kept.extend(ws[at:s])
                     at = e
                 kept.extend(ws[at:])
-                body = " ".join(kept)
+                body = b" ".join(kept)
                 out.append((len(ws), len(ws) - len(kept), [{"start": s, "end": e} for s, e in spans],
-                            hashlib.sha256(body.encode("utf-8", "surrogatepass")).hexdigest(), *([body] if with_text else [])))
+                            hashlib.sha256(body).hexdigest(), *([body.decode("utf-8", "surrogatepass")] if with_text else [])))
             frame = pd.DataFrame(out, columns=["n_words", "n_removed", "intervals", "kept_sha256", *(["kept"] if with_text else [])])
             frame.insert(0, key, b["k"].array)
             yield frame

@@ -28,6 +28,12 @@ def lower_ascii(text: str) -> str:
     return text.lower() if text.isascii() else text.translate(_UPPER)
 
 
+def byte_words(text: str | None, lower: bool = False) -> list[bytes]:
+    """Words in UTF-8: splitting and lowering bytes knows the six ASCII separators and A-Z only, as the rule does."""
+    raw = text.encode("utf-8", "surrogatepass") if text else b""
+    return (raw.lower() if lower else raw).split()
+
+
 def words_of(text: str | None) -> list[str]:
     if not text:
         return []

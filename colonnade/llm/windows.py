@@ -27,10 +27,10 @@ class WordHashes:
     """64-bit hash per word with a bounded cache (a cache only: misses are hashed again)."""
 
     def __init__(self, most: int = 400_000):
-        self.known: dict[str, int] = {}
+        self.known: dict[bytes, int] = {}
         self.most = most
 
-    def __call__(self, words: list[str]) -> np.ndarray:
+    def __call__(self, words: list[bytes]) -> np.ndarray:
         known = self.known
         if len(known) > self.most:
             known.clear()
@@ -39,7 +39,7 @@ class WordHashes:
         except KeyError:
             for w in words:
                 if w not in known:
-                    known[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
+                    known[w] = xxhash.xxh3_64_intdigest(w)
             return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
@@ -80,11 +80,11 @@ def bucket_count(docs: DataFrame, text: str, per_bucket: int) -> int:
 
 
 def repeated_windows(docs: DataFrame, row_key: str, text: str, hashes: Callable[[str], np.ndarray], buckets: int,
-                     distinct_rows: bool, with_counts: bool = False) -> DataFrame:
+                     with_counts: bool = False) -> DataFrame:
     """row_key -> answers: array<struct<bucket int, at binary, n binary>>, for rows with a repeated window.
 
-    ``distinct_rows`` counts a hash once per row key (sets of equal texts count once); otherwise every start
-    counts, so a row sent twice repeats itself.  ``at`` holds uint32 ordinals, ``n`` uint32 counts."""
+    Every start counts, so a row sent twice repeats itself; callers that count sets send each set once, without
+    repeated hashes.  ``at`` holds uint32 ordinals, ``n`` uint32 counts."""
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -113,9 +113,6 @@ def repeated_windows(docs: DataFrame, row_key: str, text: str, hashes: Callable[
         who = np.repeat(np.arange(len(owners)), counts)
         at = np.arange(len(h)) - np.repeat(np.cumsum(counts) - counts, counts)
         _, inverse, n = np.unique(h, return_inverse=True, return_counts=True)
-        if distinct_rows:
-            pair = np.unique(np.stack([inverse, np.unique(owners, return_inverse=True)[1][who]], 1), axis=0)
-            n = np.bincount(pair[:, 0], minlength=len(n))
         seen = n[inverse]
         hit = np.flatnonzero(seen > 1)
         who, at, seen = who[hit], at[hit], seen[hit]
