@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colonnade.llm.text import lower_ascii, materialise, words_of
+from colonnade.llm.text import byte_words, materialise
 from colonnade.llm.windows import WordHashes
 
 ADD = 0.1
@@ -77,20 +77,20 @@ def exchange(bigrams: np.ndarray, movable: int, classes: int, sweeps: int = 4) -
     return cls
 
 
-def _shape(word: str, shapes: int) -> int:
-    return zlib.crc32(word[-2:].encode("utf-8", "surrogatepass")) % shapes
+def _shape(word: bytes, shapes: int) -> int:
+    return zlib.crc32(word[-2:]) % shapes
 
 
 class Coder:
     """Words -> symbols: frequent words by rank, then the end token, then shape classes."""
 
-    def __init__(self, frequent: list[str], shapes: int):
+    def __init__(self, frequent: list[bytes], shapes: int):
         self.rank = {w: i for i, w in enumerate(frequent)}
         self.end = len(frequent)
         self.shapes = shapes
-        self.known: dict[str, int] = {}
+        self.known: dict[bytes, int] = {}
 
-    def __call__(self, words: list[str]) -> np.ndarray:
+    def __call__(self, words: list[bytes]) -> np.ndarray:
         known, rank = self.known, self.rank
         if len(known) > 400_000:
             known.clear()
@@ -116,21 +116,21 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
         c: Counter = Counter()
         for b in batches:
             for t in b["t"]:
-                c.update(words_of(lower_ascii(t)) if t else ())
+                c.update(byte_words(t, lower=True))
                 if len(c) > 300_000:  # pre-aggregated in bounded pieces; Spark adds them up
                     yield out(c)
                     c = Counter()
         if c:
             yield out(c)
 
-    counted = train.select("t").mapInPandas(count, "w string, h long, n long").groupBy("w").agg(F.first("h").alias("h"), F.sum("n").alias("n"))
+    counted = train.select("t").mapInPandas(count, "w binary, h long, n long").groupBy("w").agg(F.first("h").alias("h"), F.sum("n").alias("n"))
     vocab = materialise(counted, "lm-vocabulary")
     total = vocab.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     texts = train.count()
     n_all = int(total["n"]) + texts
     v_all = int(total["v"]) + (1 if texts else 0)
-    top = sorted(vocab.where(F.col("n") >= frequent * max(n_all, 1)).select("w", "n").collect(), key=lambda r: (-r["n"], r["w"]))
-    names = [r["w"] for r in top]
+    top = sorted(vocab.where(F.col("n") >= frequent * max(n_all, 1)).select("w", "n").collect(), key=lambda r: (-r["n"], bytes(r["w"])))
+    names = [bytes(r["w"]) for r in top]
     symbols = len(names) + 1 + shapes
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -146,7 +146,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
 
         for b in batches:
             for t in b["t"]:
-                s = np.r_[code.end, code(words_of(lower_ascii(t)) if t else []), code.end]
+                s = np.r_[code.end, code(byte_words(t, lower=True)), code.end]
                 held.append(s[:-1] * symbols + s[1:])
                 size += len(s)
                 if size > 1_000_000:
@@ -197,7 +197,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
                 part = b.iloc[lo:lo + 256]
                 local, hs, ns, rooms, owners = [], [], [], [], []
                 for rid, t in zip(part["rid"], part["t"]):
-                    ws = words_of(lower_ascii(t)) if t else []
+                    ws = byte_words(t, lower=True)
                     s = code(ws)
                     c = cls[np.r_[code.end, s, code.end]]
                     often = s < code.end

@@ -5,16 +5,12 @@ A word is ``[^\\x20\\x09-\\x0D]+`` everywhere; null text has no words.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colonnade.session import default_parallelism, scratch_path
 
 SPACE = " \t\n\x0b\x0c\r"
-WORD = re.compile(r"[^\x20\x09-\x0d]+")
-_UPPER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 
 
 def words_col(text: Column) -> Column:
@@ -23,27 +19,12 @@ def words_col(text: Column) -> Column:
     return F.array_remove(F.split(flat, " ", -1), "")
 
 
-def lower_ascii(text: str) -> str:
-    """A-Z only: other letters keep their case."""
-    return text.lower() if text.isascii() else text.translate(_UPPER)
-
-
 def byte_words(text: str | None, lower: bool = False) -> list[bytes]:
     """Words in UTF-8: splitting and lowering bytes knows the six ASCII separators and A-Z only, as the rule does."""
     raw = text.encode("utf-8", "surrogatepass") if text else b""
     return (raw.lower() if lower else raw).split()
 
 
-def words_of(text: str | None) -> list[str]:
-    if not text:
-        return []
-    return text.split() if text.isascii() and not _ASCII_EXTRA.search(text) else WORD.findall(text)
-
-
-#: ASCII separators of str.split that are not in the word rule.
-_ASCII_EXTRA = re.compile(r"[\x1c-\x1f]")
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write below the shared checkpoint folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
