@@ -209,6 +209,7 @@ def walk_forward(df: DataFrame, period: str, starts: Sequence[int], train_len: i
         test = data.filter(F.col(period) == s + train_len)
         pipe = Pipeline(stages=[*prep_stages(categorical, []), random_forest_classifier(label)])
         pred = pipe.fit(train).transform(test)
-        rows.append((f"start={s}", "accuracy", float(accuracy(pred, label).first()[0] or 0.0)))
+        # A window without test rows has no accuracy: null, not 0.
+        rows.append((f"start={s}", "accuracy", accuracy(pred, label).first()[0]))
     data.unpersist()
     return metric_frame(spark, rows)
