@@ -1,25 +1,27 @@
-"""Operator 3: Brown class-based bigram model with exchange clustering.
+"""Operator 3: Brown class-based bigram model with exchange clustering of the whole training vocabulary.
 
-Words whose relative training frequency is at least ``frequent`` (at most 1 / frequent of them, a proven bound) get
-classes by exchange: a word moves to the class that raises the class-bigram likelihood most.  Their bigrams,
-with shape classes for all other words, are counted over the whole training corpus into one matrix of that
-bounded side.  All other words fall into shape classes (by a hash of their ending); their counts live in the
-full vocabulary table, which grows with the corpus and meets the texts in a join.  Since frequent words
-are looked up in the task, no join key is hot.
+All bigrams of the training texts are counted into a table.  Words whose relative training frequency is at least
+``frequent`` (at most 1 / frequent of them, a proven bound) get their first classes by sequential exchange on the driver,
+all other words are one context there.  Then every other word is placed, and all words are exchanged in sweeps:
+(word, side, class of the neighbour) counts are one grouped join over the bigram table, tasks score each word's moves
+against the class x class matrix, the only thing that the driver holds.  In a sweep half of the words (by hash) may move,
+against the matrix before the sweep; classes that do not raise the likelihood are dropped and fewer words move next.
+Neighbours that are frequent get their class from a broadcast of that bounded size, so no join key is hot.
 
 p(w | history) = p(class | class before) * p(w | class), both smoothed; the end of a text is a token and a class,
-and stands before the first word.  Null and empty texts are the end token alone.  Repeated rows are scored
-each.  A corpus without training rows gives every word its smoothing mass.  Extra columns are not read.
+and stands before the first word.  Only words unseen in training share a fallback class, with the probability that the
+unigram gives them.  Null and empty texts are the end token alone.  Repeated rows are scored each.  A corpus without
+training rows gives every word its smoothing mass.  Extra columns are not read.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,9 @@ from colonnade.llm.text import byte_words, materialise
 from colonnade.llm.windows import WordHashes
 
 ADD = 0.1
+END = 0  # stands for the end token among word hashes
+CHUNK_BITS = 6  # rows scored together: 64
+PLACED, NEW = 2, 3  # kinds of the list entry that holds a word's own class; 0 and 1: class to the right, to the left
 _hash = WordHashes()
 
 
@@ -77,31 +82,147 @@ def exchange(bigrams: np.ndarray, movable: int, classes: int, sweeps: int = 4) -
     return cls
 
 
-def _shape(word: bytes, shapes: int) -> int:
-    return zlib.crc32(word[-2:]) % shapes
+def _g(x: np.ndarray) -> np.ndarray:
+    return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
 
 
-class Coder:
-    """Words -> symbols: frequent words by rank, then the end token, then shape classes."""
+def likelihood(n: np.ndarray) -> float:
+    return float(_g(n).sum() - _g(n.sum(0)).sum() - _g(n.sum(1)).sum())
 
-    def __init__(self, frequent: list[bytes], shapes: int):
-        self.rank = {w: i for i, w in enumerate(frequent)}
-        self.end = len(frequent)
-        self.shapes = shapes
-        self.known: dict[bytes, int] = {}
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        known, rank = self.known, self.rank
-        if len(known) > 400_000:
-            known.clear()
-        for w in set(words):
-            if w not in known:
-                known[w] = rank[w] if w in rank else self.end + 1 + _shape(w, self.shapes)
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+def _unpack(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Words, first entry of each, and the entries' word number, kind, class and count; own entry of each word."""
+    e = batch.column("e")
+    flat = e.flatten().to_numpy(zero_copy_only=False)
+    size = np.diff(e.offsets.to_numpy(zero_copy_only=False))
+    first = np.r_[0, np.cumsum(size)[:-1]].astype(np.int64)
+    kind, d, n = flat >> 7 & 3, flat & 127, (flat >> 9).astype(float)
+    return batch.column("w").to_numpy(), first, np.repeat(np.arange(len(size)), size), kind, d, n, np.flatnonzero(kind >= PLACED)
+
+
+def best_moves(matrix: np.ndarray, classes: int, first, word, kind, d, n, own) -> np.ndarray:
+    """The class in which each word's counts raise the likelihood most, other words staying where they are.
+
+    Ties (empty classes) fall by the word's main context, so that words of one context go together and others elsewhere."""
+    base = np.stack([matrix[:classes].T, matrix[:, :classes]])  # [side, neighbour's class, word's class]
+    out, into = matrix[:classes].sum(1), matrix[:, :classes].sum(0)
+    few = 16
+    table = np.stack([_g(base + i) - _g(base) for i in range(few)])
+    tie = 1e-6 * np.random.default_rng(7).random((2 * 128, classes))
+    main = np.maximum.reduceat(np.where(kind < PLACED, n.astype(np.int64) * 256 + kind * 128 + d, 0), first) % 256
+    gain = np.empty((len(own), classes))
+    bound = np.r_[first, len(n)]
+    cls, placed = d[own], kind[own] == PLACED
+    for lo in range(0, len(own), 2_000):
+        hi = min(lo + 2_000, len(own))
+        at = slice(bound[lo], bound[hi])
+        side, dd, c, w = kind[at], d[at], n[at], word[at]
+        real = side < PLACED
+        side = np.where(real, side, 0)
+        c = np.where(real, c, 0.0)
+        add = table[np.minimum(c, few - 1).astype(int), side, dd]
+        big = np.flatnonzero(c >= few)
+        add[big] = _g(base[side[big], dd[big]] + c[big, None]) - _g(base[side[big], dd[big]])
+        r = np.bincount(w - lo, weights=c * (side == 0), minlength=hi - lo)
+        li = np.bincount(w - lo, weights=c * (side == 1), minlength=hi - lo)
+        part = np.add.reduceat(add, bound[lo:hi] - bound[lo], axis=0)
+        part -= _g(out + r[:, None]) - _g(out) + _g(into + li[:, None]) - _g(into)
+        part += tie[main[lo:hi]]
+        # In its own class a placed word's counts are there already.
+        a = cls[w]
+        a = np.minimum(a, classes - 1)
+        here = base[side, dd, a]
+        stay = np.bincount(w - lo, weights=_g(here) - _g(np.maximum(here - c, 0)), minlength=hi - lo)
+        a = np.minimum(cls[lo:hi], classes - 1)
+        stay -= _g(out[a]) - _g(np.maximum(out[a] - r, 0)) + _g(into[a]) - _g(np.maximum(into[a] - li, 0))
+        rows = np.flatnonzero(placed[lo:hi])
+        part[rows, a[rows]] = stay[rows] + 1e-5
+        gain[lo:hi] = part
+    return gain.argmax(1)
+
+
+def cluster(bigrams: DataFrame, vocab: DataFrame, head: list[tuple[int, int]], classes: int, sweeps: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """(h, cls, n) of the whole vocabulary, class x class counts and words per class; head: (h, first class) of frequent words.
+
+    Class ``classes`` is the end token's, the one after it the fallback's."""
+    spark = bigrams.sparkSession
+    k = classes + 2
+    both = bigrams.select(F.col("a").alias("w"), F.col("b").alias("v"), "n", F.lit(0).alias("side")).unionByName(
+        bigrams.select(F.col("b").alias("w"), F.col("a").alias("v"), "n", F.lit(1).alias("side"))).where(F.col("w") != END)
+    empty = bigrams.where((F.col("a") == END) & (F.col("b") == END)).agg(F.sum("n")).first()[0] or 0
+
+    def lists(near: list[tuple[int, int]], own: DataFrame, rest: DataFrame | None) -> DataFrame:
+        """(w, e): packed counts per side and neighbour's class, and the word's own class and count."""
+        known = spark.createDataFrame([*near, (END, classes)], "v long, d int")
+        got = both.join(F.broadcast(known), "v").select("w", "side", "d", "n")
+        if rest is not None:
+            far = both.join(F.broadcast(known.select("v")), "v", "left_anti")
+            got = got.unionByName(far.join(rest.select(F.col("h").alias("v"), F.col("cls").alias("d")), "v").select("w", "side", "d", "n"))
+        got = got.groupBy("w", "side", "d").agg(F.sum("n").alias("n")).unionByName(own)
+        packed = (F.col("n") * 512 + F.col("side") * 128 + F.col("d")).alias("e")
+        return materialise(got.select("w", packed).groupBy("w").agg(F.collect_list("e").alias("e")), "lm-contexts")
+
+    def matrix(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            m = np.zeros(k * k + k)
+            for b in batches:
+                if b.num_rows:
+                    _, _, word, kind, d, n, own = _unpack(b)
+                    cls = np.where(kind[own] == PLACED, d[own], k - 1)
+                    on = (kind == 0) & (cls[word] < k - 1)
+                    m[:k * k] += np.bincount(cls[word[on]] * k + d[on], weights=n[on], minlength=k * k)
+                    on = (kind == 1) & (d == classes) & (cls[word] < k - 1)
+                    m[:k * k] += np.bincount(classes * k + cls[word[on]], weights=n[on], minlength=k * k)
+                    m[k * k:] += np.bincount(cls, minlength=k)
+            at = np.flatnonzero(m)
+            yield pa.RecordBatch.from_pydict({"cell": at, "n": m[at]})
+
+        m = np.zeros(k * k + k)
+        for r in table.mapInArrow(cells, "cell long, n double").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most k * k + k
+            m[r["cell"]] = r["n"]
+        m[classes * k + classes] += empty
+        return m[:k * k].reshape(k, k), m[k * k:]
+
+    def moved(table: DataFrame, m: np.ndarray, sweep: int | None, parts: int = 1) -> DataFrame:
+        """(h, cls, n) after one sweep; None: new words are placed, the others stay."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    w, *rest = _unpack(b)
+                    _, _, kind, d, n, own = rest
+                    to = best_moves(m, classes, *rest)
+                    if sweep is None:
+                        # A word without a frequent neighbour has no counts yet and keeps its start.
+                        lone = np.diff(np.r_[rest[0], len(n)]) == 1
+                        free = (kind[own] == NEW) & ~lone
+                    else:
+                        free = (w >> 7) % parts == sweep % parts
+                    yield pa.RecordBatch.from_pydict({"h": w, "cls": np.where(free, to, d[own]).astype(np.int32), "n": n[own].astype(np.int64)})
+
+        return materialise(table.mapInArrow(run, "h long, cls int, n long"), "lm-classes")
+
+    first = spark.createDataFrame(head, "h long, hc int")
+    own = vocab.join(F.broadcast(first), "h", "left").select(
+        F.col("h").alias("w"), F.when(F.col("hc").isNull(), NEW).otherwise(PLACED).alias("side"),
+        F.coalesce("hc", F.pmod(F.crc32("w"), F.lit(classes)).cast("int")).alias("d"), "n")
+    table = lists(head, own, None)
+    now = moved(table, matrix(table)[0], None)
+    best, parts = None, 2
+    for sweep in range(sweeps + 1):
+        near = [(r["h"], r["cls"]) for r in now.join(F.broadcast(first.select("h")), "h", "left_semi").select("h", "cls").collect()]  # the bounded head
+        table = lists(near, now.select(F.col("h").alias("w"), F.lit(PLACED).alias("side"), F.col("cls").alias("d"), "n"), now)
+        m, kinds = matrix(table)
+        if best is None or likelihood(m) > likelihood(best[1]):
+            best = (now, m, kinds, table)
+        else:
+            parts *= 4
+        if sweep < sweeps:
+            now = moved(best[3], best[1], sweep, parts)
+    return best[:3]
 
 
 def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", held_out: str = "held_out",
-                    frequent: float = 5e-4, classes: int = 64, shapes: int = 31, sweeps: int = 4) -> DataFrame:
+                    frequent: float = 5e-4, classes: int = 64, sweeps: int = 4) -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 of the text's probability)."""
     spark = docs.sparkSession
     kind = docs.schema[key].dataType.simpleString()
@@ -129,105 +250,86 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
     texts = train.count()
     n_all = int(total["n"]) + texts
     v_all = int(total["v"]) + (1 if texts else 0)
-    top = sorted(vocab.where(F.col("n") >= frequent * max(n_all, 1)).select("w", "n").collect(), key=lambda r: (-r["n"], bytes(r["w"])))
+    top = sorted(vocab.where(F.col("n") >= frequent * max(n_all, 1)).select("w", "h", "n").collect(), key=lambda r: (-r["n"], bytes(r["w"])))
     names = [bytes(r["w"]) for r in top]
-    symbols = len(names) + 1 + shapes
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        code = Coder(names, shapes)
-        m = np.zeros(symbols * symbols, np.int64)
         held, size = [], 0
 
-        def add():
-            if held:
-                cells, n = np.unique(np.concatenate(held), return_counts=True)
-                m[cells] += n
-                held.clear()
+        def out() -> pd.DataFrame:
+            a, b = np.concatenate([x[:-1] for x in held]), np.concatenate([x[1:] for x in held])
+            mixed = a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ b.view(np.uint64)
+            _, at, n = np.unique(mixed, return_index=True, return_counts=True)
+            return pd.DataFrame({"a": a[at], "b": b[at], "n": n})
 
         for b in batches:
             for t in b["t"]:
-                s = np.r_[code.end, code(byte_words(t, lower=True)), code.end]
-                held.append(s[:-1] * symbols + s[1:])
-                size += len(s)
+                ws = byte_words(t, lower=True)
+                held.append(np.r_[END, _hash(ws).astype(np.int64), END] if ws else np.array([END, END]))
+                size += len(ws) + 2
                 if size > 1_000_000:
-                    add()
-                    size = 0
-        add()
-        at = np.flatnonzero(m)
-        for lo in range(0, len(at), 200_000):
-            yield pd.DataFrame({"cell": at[lo:lo + 200_000], "n": m[at[lo:lo + 200_000]]})
-
-    cells = train.select("t").mapInPandas(pairs, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+                    yield out()
+                    held, size = [], 0
+        if held:
+            yield out()
+
+    bigrams = materialise(train.select("t").mapInPandas(pairs, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")), "lm-bigrams")
+    # First classes of the frequent words; all other words are one symbol here.
+    symbols = len(names) + 2
+    rank = spark.createDataFrame([(int(r["h"]), i) for i, r in enumerate(top)] + [(END, len(names))], "h long, i int")
+    side = [F.broadcast(rank.select(F.col("h").alias(c), F.col("i").alias(f"s{c}"))) for c in "ab"]
+    coded = bigrams.join(side[0], "a", "left").join(side[1], "b", "left").na.fill(symbols - 1, ["sa", "sb"])
+    cells = coded.groupBy((F.col("sa") * symbols + F.col("sb")).alias("cell")).agg(F.sum("n").alias("n")).toPandas()  # bounded side
     big = np.zeros(symbols * symbols)
     big[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(float)
-    big = big.reshape(symbols, symbols)
-    cls = exchange(big, len(names), classes, sweeps)
-    k = classes + 1 + shapes
-    n_cls = np.zeros((k, k))
-    np.add.at(n_cls, (cls[:, None], cls[None, :]), big)
-    # Transitions: the class bigram backed off to the class frequency.
-    unigram = (n_cls.sum(0) + ADD) / (n_cls.sum() + ADD * k)
-    step = np.log10((n_cls + 10 * unigram) / (n_cls.sum(1, keepdims=True) + 10))
-    # Emissions: distinct words per class; the shape classes count theirs over the full vocabulary.
-    tokens = n_cls.sum(0)
-    kinds = np.bincount(cls[:len(names)], minlength=k).astype(float)
-
-    def shape_kinds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rank = set(names)
-        n = np.zeros(shapes, np.int64)
-        for b in batches:
-            for w in b["w"]:
-                if w not in rank:
-                    n[_shape(w, shapes)] += 1
-        yield pd.DataFrame({"s": np.arange(shapes), "n": n})
-
-    for r in vocab.select("w").mapInPandas(shape_kinds, "s int, n long").groupBy("s").agg(F.sum("n").alias("n")).collect():
-        kinds[classes + 1 + r["s"]] = r["n"]
-    room = np.log10(tokens + ADD * (kinds + 1))
+    head = exchange(big.reshape(symbols, symbols), len(names), classes, sweeps)
+    known, n_cls, kinds = cluster(bigrams, vocab, [(int(r["h"]), int(c)) for r, c in zip(top, head)], classes, sweeps)
+    k, unseen = classes + 2, classes + 1
+    # Transitions: the class bigram backed off to the class frequency; unseen words keep the mass that the unigram gives them.
     base_room = float(np.log10(n_all + ADD * (v_all + 1)))
-    counts = np.array([r["n"] for r in top], float)
-    base_top = np.log10(np.r_[counts, texts] + ADD) - base_room
-    emit_top = np.log10(counts + ADD) - room[cls[:len(names)]]
+    new = ADD / (n_all + ADD * (v_all + 2))
+    unigram = n_cls.sum(0) + ADD
+    unigram[unseen] = 0
+    unigram /= unigram.sum()
+    step = (n_cls + 10 * unigram) / (n_cls.sum(1, keepdims=True) + 10) * (1 - new)
+    step[:, unseen] = new
+    step = np.log10(step)
+    room = np.log10(n_cls.sum(0)[:classes] + ADD * np.maximum(kinds[:classes], 1))
+    base_end = float(np.log10(texts + ADD)) - base_room
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Local part of each text (h null) and its other words with their counts (to be joined)."""
-        code = Coder(names, shapes)
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for lo in range(0, len(b), 256):
-                part = b.iloc[lo:lo + 256]
-                local, hs, ns, rooms, owners = [], [], [], [], []
-                for rid, t in zip(part["rid"], part["t"]):
-                    ws = byte_words(t, lower=True)
-                    s = code(ws)
-                    c = cls[np.r_[code.end, s, code.end]]
-                    often = s < code.end
-                    at = s[often]
-                    local.append((rid, len(ws) + 1, int(often.sum()) + (texts > 0), float(base_top[at].sum() + base_top[-1]),
-                                  float(step[c[:-1], c[1:]].sum() + emit_top[at].sum())))
-                    rare = np.flatnonzero(~often)
-                    if len(rare):
-                        h, first, n = np.unique(_hash(ws)[rare].astype(np.int64), return_index=True, return_counts=True)
-                        hs.append(h)
-                        ns.append(n)
-                        rooms.append(cls[s[rare[first]]])
-                        owners.append(np.full(len(h), rid))
-                yield pd.DataFrame(local, columns=["rid", "n", "known", "base", "score"]).assign(h=None, cls=-1)
-                if hs:
-                    yield pd.DataFrame({"rid": np.concatenate(owners), "n": np.concatenate(ns), "known": 0, "base": 0.0, "score": 0.0,
-                                        "h": np.concatenate(hs), "cls": np.concatenate(rooms)})
+            for chunk, ts in b.groupby("chunk")["t"]:
+                ws = {w for t in ts for w in byte_words(t, lower=True)}
+                if ws:
+                    yield pd.DataFrame({"chunk": chunk, "h": np.unique(_hash(list(ws)).astype(np.int64))})
+
+    def score(part: pd.DataFrame, seen: pd.DataFrame) -> pd.DataFrame:
+        seen = seen.drop_duplicates("h").sort_values("h")
+        h = np.r_[seen["h"].to_numpy(np.int64), np.iinfo(np.int64).max]
+        c = np.r_[seen["n"].to_numpy(np.int64), 0]
+        cls = np.r_[seen["cls"].to_numpy(np.int64), unseen]
+        rows = []
+        for rid, t in zip(part["rid"], part["t"]):
+            ws = byte_words(t, lower=True)
+            x = _hash(ws).astype(np.int64) if ws else np.zeros(0, np.int64)
+            at = np.searchsorted(h, x)
+            at = np.where(h[at] == x, at, len(h) - 1)
+            n, s = c[at], cls[at]
+            old = n > 0
+            path = np.r_[classes, s, classes]
+            logc = np.log10(n + ADD)
+            rows.append((rid, len(ws) + 1, int(old.sum()) + (texts > 0), float((logc - base_room).sum() + base_end),
+                         float(step[path[:-1], path[1:]].sum() + (logc[old] - room[s[old]]).sum())))
+        return pd.DataFrame(rows, columns=["rid", "n", "known", "base", "score"])
 
     # The row id is drawn once and written with its key, so that a lost task cannot renumber rows.
-    ids = materialise(rows.select(F.monotonically_increasing_id().alias("rid"), "k", "held", "t"), "lm-rows")
-    parts = materialise(ids.select("rid", "t").mapInPandas(
-        score, "rid long, n long, known long, base double, score double, h long, cls int"), "lm-parts")
-    rare = parts.where("h is not null").select("rid", "n", "h", "cls")
-    rare = rare.join(vocab.select("h", F.col("n").alias("c")), "h", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    room_of = F.array(*[F.lit(float(x)) for x in room])
-    logc = F.log10(F.col("c") + ADD)
-    rare = rare.select("rid", F.lit(0).cast("long").alias("n"), F.when(F.col("c") > 0, F.col("n")).otherwise(F.lit(0)).alias("known"),
-                       (F.col("n") * (logc - base_room)).alias("base"), (F.col("n") * (logc - F.get(room_of, F.col("cls")))).alias("score"))
-    sums = parts.where("h is null").select("rid", "n", "known", "base", "score").unionByName(rare).groupBy("rid").agg(
-        *[F.sum(c).alias(c) for c in ("n", "known", "base", "score")])
+    ids = rows.select(F.monotonically_increasing_id().alias("rid"), "k", "held", "t")
+    ids = materialise(ids.withColumn("chunk", F.shiftright("rid", CHUNK_BITS)), "lm-rows")
+    # Words of a chunk are sent once; those not in training find no class.
+    asked = ids.select("chunk", "t").mapInPandas(words, "chunk long, h long").join(known, "h")
+    sums = ids.select("chunk", "rid", "t").groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInPandas(
+        score, "rid long, n long, known long, base double, score double")
     out = ids.select("rid", "k", "held").join(sums, "rid")
     return out.select(F.col("k").cast(kind).alias(key), F.col("held").alias("held_out"), F.col("n").alias("n_tokens"),
                       F.col("known").alias("n_known"), F.lit(n_all).cast("long").alias("train_tokens"),

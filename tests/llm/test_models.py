@@ -10,7 +10,7 @@ import numpy as np
 
 import __spark_entry__ as entry
 from colonnade.llm.licences import scan_licences
-from colonnade.llm.lm_brown import exchange
+from colonnade.llm.lm_brown import exchange, score_documents
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -42,6 +42,16 @@ def test_exchange_finds_alternating_classes():
     assert len(set(cls[:5])) == 1 and len(set(cls[5:8])) == 1 and cls[0] != cls[5]
 
 
+def test_rare_words_are_clustered(spark):
+    # All a- and b-words are rare and end alike; a-words follow x, b-words follow y.
+    rows = [(i, f"x a{i % 40:02d}zz y b{i % 37:02d}zz", False) for i in range(400)]
+    rows += [(1000, "x a05zz y b07zz", True), (1001, "x b07zz y a05zz", True), (1002, "x new y b07zz", True)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    got = {r["doc_id"]: r for r in score_documents(df, frequent=0.05, classes=6).collect()}
+    assert got[1000]["base_score"] == got[1001]["base_score"] and got[1000]["score"] > got[1001]["score"] + 1
+    assert (got[1002]["n_tokens"], got[1002]["n_known"]) == (5, 4) and got[1002]["score"] < got[1000]["score"]
+
+
 def test_licences(spark):
     rows = [(1, "Some words.\nReleased under the MIT License."), (2, None), (3, ""), (4, "Plain words with nothing else."),
             (5, "This work is licensed under the GNU General Public License, version 3.\nmore"), (1, "Some words.\nReleased under the MIT License.")]
