@@ -73,12 +73,17 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+# IBAN lengths of the gazetteer's countries: printed in groups of four, the last one may be shorter.
+_IBAN = {"DE": 22, "FR": 27, "ES": 24, "GB": 22, "IT": 27, "NL": 18, "BE": 16, "AT": 20, "CH": 21, "PT": 25}
+_IBANS = "|".join(rf"{c}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (rf"\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for c, n in _IBAN.items())
 # Extra candidates: one pattern per kind, wide on purpose; the labelers judge them.
 _WIDE = (
     re.compile(r"(?<![0-9.+-])\(?[0-9]{2,5}\)?[\x20/.-][0-9]{3,4}[\x20.-][0-9]{3,5}(?![0-9])"),
-    re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])|\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}\b"),
+    # A listed country's exact length first; else any groups of four, a shorter last one with a digit (no word that follows).
+    re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])|\b(?:" + _IBANS +
+               r")\b|\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:[A-Z0-9]{1,3}|\x20(?=[A-Z]{0,2}[0-9])[A-Z0-9]{1,3})?\b"),
     re.compile(r"\b[A-Za-z0-9._-]{1,64}\x20?[\[(](?:at|AT)[\])]\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:[\[(]dot[\])]|\.)\x20?[A-Za-z]{2,20}){1,4}"),
-    re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{24,512}(?![A-Za-z0-9_-])"),
+    re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{24,}+"),
 )
 # The context labeler's words per kind and the gazetteers.
 _CONTEXT = (
@@ -88,7 +93,7 @@ _CONTEXT = (
     ("token", "key", "secret", "password", "apikey", "api_key", "bearer"),
 )
 _AREA = ("202", "212", "213", "305", "312", "415", "555", "617", "702", "713", "030", "089", "040")
-_COUNTRY = ("DE", "FR", "ES", "GB", "IT", "NL", "BE", "AT", "CH", "PT")
+_COUNTRY = tuple(_IBAN)
 _TLD = ("com", "org", "net", "edu", "de", "fr", "es", "uk", "io")
 _PREFIX = ("sk", "pk", "ghp", "AKIA", "xox", "eyJ")
 _STRICT = (re.compile(r"\(?0?[0-9]{2,4}\)?[\x20-][0-9]{3}-[0-9]{4}"), re.compile(r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}|[A-Z]{2}.*"),

@@ -11,6 +11,7 @@ import numpy as np
 import __spark_entry__ as entry
 from colonnade.llm.licences import scan_licences
 from colonnade.llm.lm_brown import exchange, score_documents
+from colonnade.llm.pii_weak import detect_pii, extra_candidates
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -60,3 +61,22 @@ def test_licences(spark):
     assert got == [
         (1, "mit"), (1, "mit"), (2, None), (3, None), (4, None), (5, "gpl")]
     assert scan_licences(df.limit(0)).count() == 0
+
+
+IBANS = ("DE89370400440532013000", "FR1420041010050500013M02606", "ES9121000418450200051332", "GB29NWBK60161331926819",
+         "IT60X0542811101000000123456", "NL91ABNA0417164300", "BE68539007547034", "AT611904300234573201",
+         "CH9300762011623852957", "PT50000201231234567890154")
+
+
+def test_ibans_of_every_listed_country_and_long_secrets(spark):
+    for iban in IBANS:
+        for said in (iban, " ".join(iban[i:i + 4] for i in range(0, len(iban), 4))):
+            text = f"iban {said} EUR now"
+            assert [(s, k, e) for s, k, e, _ in extra_candidates(text, []) if k == 1] == [(5, 1, 5 + len(said))], said
+    assert [(s, e) for s, k, e, _ in extra_candidates("NO9386011117947 XK051212012345678906 I", []) if k == 1] == [(16, 36)]
+    long = "sk" + "a1B2" * 150
+    assert [(s, k, e) for s, k, e, _ in extra_candidates(f"token={long}.", [])] == [(6, 3, 6 + len(long))]
+    assert extra_candidates("a" * 23 + " " + "a" * 1_000_000, []) == []
+    df = spark.createDataFrame([(1, f"iban {IBANS[0]} now"), (2, f"token={long}.")], "doc_id long, text string")
+    assert {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["found"]] for r in detect_pii(df).collect()} == {
+        1: [("id", 5, 27)], 2: [("secret", 6, 6 + len(long))]}
