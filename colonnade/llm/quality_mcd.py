@@ -1,10 +1,11 @@
 """Operator 1 [native]: robust multivariate outliers by minimum covariance determinant.
 
 Each document gets smoothed, log-transformed statistics in units of 1/1024 (integers,
-so that sums are exact and reruns agree).  Per (language, source) the h-subset starts
+so that sums are exact and reruns agree).  Per (language, source), per language and for all rows the h-subset starts
 from histogram medians and is refined by concentration steps: mean and covariance of the
 subset, squared Mahalanobis distance of all rows, keep the nearest ``support`` share.
-Groups with fewer than ``min_group`` rows use the estimate of all rows.
+A language's estimate is shrunk towards that of all rows, a group's towards its language's, by the rows that each rests
+on (rows that fail the base rule are not fitted): the wider estimate weighs as much as ``min_group`` rows.
 
 Null text has no words (base_failed).  Null language or source is a group of its own.
 Tied distances share a histogram bin and are in or out together.  An empty table gives no
@@ -23,7 +24,7 @@ SYMBOLS = "#*$%&|<>"
 UNIT = 1024
 #: Statistic -> least standard deviation (in units of 1/1024) that its estimate may have.
 FLOORS = {"z_length": 64, "z_symbols": 128, "z_lines": 96, "z_repeat": 96}
-_KEYS = ["g_lang", "g_source"]
+_KEYS = ["g_level", "g_lang", "g_source"]  # level 2: language and source, 1: language, 0: all rows
 
 
 def repeat_words_col(words: Column, n: int = 5) -> Column:
@@ -110,17 +111,23 @@ def _quantile(rows: DataFrame, value: Column, share: float, name: str) -> DataFr
 
 
 def _estimate(rows: DataFrame, names: list[str]) -> DataFrame:
-    """Mean and inverse covariance (floored diagonal) of every group's rows, by exact integer sums."""
-    d = len(names)
+    """Row count m, mean and covariance of every group's rows, by exact integer sums."""
     sums = [F.sum(n).alias(f"s_{n}") for n in names]
     prods = [F.sum(F.col(a) * F.col(b)).alias(f"p_{i}_{j}") for i, a in enumerate(names) for j, b in enumerate(names) if i <= j]
     g = rows.groupBy(*_KEYS).agg(F.count(F.lit(1)).cast("double").alias("m"), *sums, *prods)
     g = g.withColumns({f"mu_{n}": F.col(f"s_{n}") / F.col("m") for n in names})
+    return g.select(*_KEYS, "m", *[f"mu_{n}" for n in names], *[
+        (F.col(f"p_{i}_{j}") / F.col("m") - F.col(f"mu_{a}") * F.col(f"mu_{b}")).alias(f"c_{i}_{j}")
+        for i, a in enumerate(names) for j, b in enumerate(names) if i <= j])
+
+
+def _inverted(g: DataFrame, names: list[str]) -> DataFrame:
+    """Mean and inverse covariance (floored diagonal) of every group."""
+    d = len(names)
     cols = {}
     for i in range(d):
         for j in range(d):
-            p = F.col(f"p_{min(i, j)}_{max(i, j)}")
-            c = p / F.col("m") - F.col(f"mu_{names[i]}") * F.col(f"mu_{names[j]}")
+            c = F.col(f"c_{min(i, j)}_{max(i, j)}")
             cols[f"a_{i}_{j}"] = c + F.lit(float(FLOORS[names[i]] ** 2)) if i == j else c
             cols[f"a_{i}_{d + j}"] = F.lit(1.0 if i == j else 0.0)
     g = g.withColumns(cols)
@@ -133,6 +140,23 @@ def _estimate(rows: DataFrame, names: list[str]) -> DataFrame:
                     *[F.col(f"a_{i}_{d + j}").alias(f"v_{i}_{j}") for i in range(d) for j in range(d)])
 
 
+def _shrunk(groups: DataFrame, est: DataFrame, names: list[str], weight: int) -> DataFrame:
+    """Estimates of the groups: each shrunk towards its language's, that one towards all rows'; missing ones count 0 rows."""
+    values = [f"mu_{n}" for n in names] + [f"c_{i}_{j}" for i in range(len(names)) for j in range(i, len(names))]
+    out = groups
+    for level in range(3):
+        lang, source = (F.col("g_lang") if level else F.lit(None)), (F.col("g_source") if level == 2 else F.lit(None))
+        keyed = out.select("*", F.lit(level).alias("k_0"), lang.cast(groups.schema["g_lang"].dataType).alias("k_1"),
+                           source.cast(groups.schema["g_source"].dataType).alias("k_2"))
+        at = est.select(*[F.col(k).alias(f"e_{k}") for k in _KEYS], F.col("m").alias("e_m"), *[F.col(c).alias(f"e_{c}") for c in values])
+        cond = [F.col(f"k_{i}").eqNullSafe(F.col(f"e_{k}")) for i, k in enumerate(_KEYS)]
+        n = F.coalesce("e_m", F.lit(0.0))
+        own = n / (n + weight)
+        mixed = {c: F.col(f"e_{c}") if level == 0 else F.when(n > 0, own * F.col(f"e_{c}") + (1 - own) * F.col(c)).otherwise(F.col(c)) for c in values}
+        out = keyed.join(at, cond, "left").select(*_KEYS, *[v.alias(c) for c, v in mixed.items()])
+    return out
+
+
 def _distance(names: list[str]) -> Column:
     dev = [F.col(n) - F.col(f"mu_{n}") for n in names]
     total = F.lit(0.0)
@@ -151,15 +175,11 @@ def mcd_outliers(docs: DataFrame, key: str = "doc_id", text: str = "text", lang:
     names = list(FLOORS)
     stats = base_statistics(docs.select(F.col(key), F.col(text), F.col(lang).alias("_l"), F.col(source).alias("_s")),
                             key, text, "_l", "_s")
-    rows = _transformed(stats)
-    sizes = rows.groupBy("_l", "_s").agg((F.count(F.lit(1)) >= min_group).alias("_big")).withColumnsRenamed(
-        {"_l": "g_lang", "_s": "g_source"})
-    rows = _with_groups(rows.withColumnsRenamed({"_l": "g_lang", "_s": "g_source"}), sizes)
-    # Small groups share the pooled estimate.
-    rows = rows.withColumn("g_source", F.when(F.col("_big"), F.struct(F.lit(1).alias("own"), F.col("g_source").alias("v"))).otherwise(
-        F.struct(F.lit(0).alias("own"), F.lit(None).cast("string").alias("v")))).withColumn(
-        "g_lang", F.when(F.col("_big"), F.col("g_lang"))).drop("_big")
-    fit = rows.where(~F.col("base_failed"))
+    rows = _transformed(stats).withColumnsRenamed({"_l": "g_lang", "_s": "g_source"}).withColumn("g_level", F.lit(2))
+    kinds = [rows.schema[k].dataType for k in ("g_lang", "g_source")]
+    levels = F.array(*[F.struct(F.lit(i).alias("g_level"), (F.col("g_lang") if i else F.lit(None)).cast(kinds[0]).alias("g_lang"),
+                                (F.col("g_source") if i == 2 else F.lit(None)).cast(kinds[1]).alias("g_source")) for i in range(3)])
+    fit = rows.where(~F.col("base_failed")).select(F.explode(levels).alias("_g"), *names).select("_g.*", *names)
     medians = None
     for n in names:
         q = _quantile(fit, F.col(n), 0.5, f"mu_{n}").withColumn("_k", F.struct(*_KEYS))
@@ -168,13 +188,15 @@ def mcd_outliers(docs: DataFrame, key: str = "doc_id", text: str = "text", lang:
     d = len(names)
     est = medians.select("_k.*", *[F.col(f"mu_{n}").cast("double").alias(f"mu_{n}") for n in names],
                          *[F.lit(1.0 / FLOORS[names[i]] ** 2 if i == j else 0.0).alias(f"v_{i}_{j}") for i in range(d) for j in range(d)])
-    est = materialise(est, "mcd-start")
+    fitted, est = None, materialise(est, "mcd-start")
     bin_ = F.floor(64 * F.log2(1 + F.greatest(F.col("d2"), F.lit(0.0))))
     for _ in range(steps):
         near = _with_groups(fit, est).withColumn("d2", _distance(names)).withColumn("_b", bin_).select(*_KEYS, *names, "_b")
         limit = materialise(_quantile(near, F.col("_b"), support, "_limit"), "mcd-limit")
-        est = materialise(_estimate(_with_groups(near, limit).where(F.col("_b") <= F.col("_limit")), names), "mcd-step")
+        fitted = materialise(_estimate(_with_groups(near, limit).where(F.col("_b") <= F.col("_limit")), names), "mcd-step")
+        est = _inverted(fitted, names)
+    est = materialise(_inverted(_shrunk(rows.select(*_KEYS).distinct(), fitted, names, min_group), names), "mcd-shrunk")
     out = _with_groups(rows, est).withColumn("d2", _distance(names))
-    # A group without a single row to fit on has no estimate: only the base rule judges it.
+    # Without a single row to fit on there is no estimate: only the base rule judges.
     return out.select(key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "d2",
                       (~F.col("base_failed") & (F.coalesce(F.col("d2"), F.lit(0.0)) <= cutoff)).alias("kept"))

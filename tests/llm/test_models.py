@@ -12,6 +12,7 @@ import __spark_entry__ as entry
 from colonnade.llm.licences import scan_licences
 from colonnade.llm.lm_brown import exchange, score_documents
 from colonnade.llm.pii_weak import detect_pii, extra_candidates
+from colonnade.llm.quality_mcd import mcd_outliers
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -80,3 +81,14 @@ def test_ibans_of_every_listed_country_and_long_secrets(spark):
     df = spark.createDataFrame([(1, f"iban {IBANS[0]} now"), (2, f"token={long}.")], "doc_id long, text string")
     assert {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["found"]] for r in detect_pii(df).collect()} == {
         1: [("id", 5, 27)], 2: [("secret", 6, 6 + len(long))]}
+
+
+def test_small_odd_source_is_judged_by_its_language(spark):
+    rng = np.random.default_rng(3)
+    said = lambda n, odd: " ".join(("#$%&|<>" if odd else "w") + "abcdefgh"[:rng.integers(3, 8)] + str(rng.integers(10**6)) for _ in range(n))
+    rows = [(i, said(100, False), "en", "web") for i in range(300)] + [(1000 + i, said(100, True), "en", "odd") for i in range(5)]
+    # 55 rows of a group that mostly fail the base rule do not make its five odd ones a big group.
+    rows += [(2000 + i, said(100, True), "en", "thin") for i in range(5)] + [(3000 + i, "too short", "en", "thin") for i in range(50)]
+    rows += [(4000 + i, said(100, False), "en", "fine") for i in range(5)]
+    got = {r["doc_id"]: r["kept"] for r in mcd_outliers(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert {i for i, k in got.items() if k} == {*range(300), *range(4000, 4005)}
