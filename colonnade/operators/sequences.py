@@ -1,17 +1,17 @@
-"""Per-entity sequence operators (W6-W9) and the two skew-safe building blocks
-they share.
-
-A single entity may hold a large share of all rows, so nothing here partitions
-a window by the entity alone:
-
-* :func:`dense_ordinal` numbers rows 1..n inside each entity.  Entities with
-  more rows than one task should take are cut into contiguous ranges of their
-  order column; each range is numbered on its own and the range sizes give
-  the offsets.
-* :func:`decayed_prefix_sum` evaluates ``sum_{j<=i} v_j * d^(i-j)`` with windows
-  over (entity, chunk) groups of bounded size; the carry between chunks is a
-  log-depth doubling over chunk totals, needed only for series longer than
-  one chunk.
+"""Per-entity sequence operators (W6-W9) and the skew-safe building blocks they share.
+
+A single entity may hold a large share of all rows, so nothing here partitions a window by the entity alone:
+
+* :func:`dense_ordinal` and :func:`running_total` cut groups above ``split_rows`` rows into contiguous pieces of about
+  that many rows (equi-depth splitters from a row sample, compared on all order columns and at last on a row hash, so
+  ties, crowded values, strings and descending columns split alike).  Pieces are worked on alone; their sizes or totals
+  give the offsets.
+* :func:`decayed_prefix_sum` evaluates ``sum_{j<=i} v_j * d^(i-j)`` as a tree: windows over chunks of bounded
+  length, then the same over the chunks' end values, until what a chunk passes on vanishes in double precision.  The depth follows from
+  ``d`` alone.
+
+Plans are fixed when they are built: no action runs, nothing depends on size hints.  Where no group is large the splitters
+are an empty (broadcast) table and adaptive execution drops the branches that need them.
 """
 
 from __future__ import annotations
@@ -22,11 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from colonnade.session import checkpoint_root
-
-
-def _cols(names: Sequence[str | Column]) -> list[Column]:
-    return [F.col(n) if isinstance(n, str) else n for n in names]
+from colonnade.functions.scalars import block_cutoff, weight_mass
 
 
 def _null_safe_on(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -36,242 +32,201 @@ def _null_safe_on(left: str, right: str, keys: Sequence[str]) -> Column:
     return cond
 
 
-# Groups up to this many rows are numbered in one task; larger ("hot") groups
-# are cut into pieces of about this size.
+# Groups up to this many rows are numbered in one task; larger ("hot") groups are cut into pieces of about this size.
 SPLIT_ROWS = 2_000_000
-# The hot-group tables below are broadcast only up to this many rows.
-BROADCAST_ROWS = 200_000
-
-
-def _order_number(df: DataFrame, col: str | Column) -> Column | None:
-    """A numeric, order-preserving view of the first order column (None when
-    its type has no such view, e.g. strings: such groups are not split)."""
-    c = F.col(col) if isinstance(col, str) else col
-    name = col if isinstance(col, str) else None
-    if name is None:
-        return None
-    dtype = dict(df.dtypes).get(name, "")
-    if dtype in ("timestamp", "timestamp_ntz"):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if dtype == "date":
-        return F.unix_date(c).cast("double")
-    if dtype in ("tinyint", "smallint", "int", "bigint", "float", "double") or dtype.startswith("decimal"):
-        return c.cast("double")
-    return None
-
-
-def _pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], split_rows: int,
-            max_group: int | None = None) -> tuple[DataFrame, bool]:
-    """Tag rows with ``_piece``: 0 for ordinary groups; for groups with more
-    than ``split_rows`` rows, the equal-width range of the first order column
-    the row falls in -- or of the second one when the first is constant in
-    that group -- so pieces are contiguous in the group's order.
-
-    Everything is a pure function of the data (count/min/max per group), so
-    every evaluation -- both branches of a plan, or a task re-run after an
-    executor loss -- assigns the same pieces.  Returns (tagged, any_hot).
-    """
-    if max_group is not None and max_group <= split_rows:
-        # Known upper bound on group size: nothing can be hot, no statistics pass.
-        return df.withColumn("_piece", F.lit(0)), False
-    nums = [n for n in (_order_number(df, c) for c in list(order)[:2])]
-    if not nums or nums[0] is None:
-        return df.withColumn("_piece", F.lit(0)), False
-    nums = nums if len(nums) == 2 and nums[1] is not None else nums[:1]
-    staged = df.withColumns({f"_on{i}": n for i, n in enumerate(nums)})
-    aggs = [F.count(F.lit(1)).alias("_cnt")]
-    for i in range(len(nums)):
-        aggs += [F.min(f"_on{i}").alias(f"_lo{i}"), F.max(f"_on{i}").alias(f"_hi{i}")]
-    stats = staged.groupBy(*keys).agg(*aggs)
-    spread = F.lit(False)
-    for i in range(len(nums)):
-        spread = spread | (F.col(f"_hi{i}") > F.col(f"_lo{i}"))
-    bounds = [c for i in range(len(nums)) for c in (f"_lo{i}", f"_hi{i}")]
-    hot = (stats.filter((F.col("_cnt") > split_rows) & spread)
-           .select(*keys, *bounds, F.ceil(F.col("_cnt") / F.lit(split_rows)).alias("_m")))
-    n_hot = hot.count()
-    if n_hot == 0:
-        return df.withColumn("_piece", F.lit(0)), False
+# At most this many pieces (hence hot groups) over the whole table, whatever its size: beyond SPLIT_ROWS * MAX_PIECES rows
+# the pieces grow instead.  This bounds what is broadcast.
+MAX_PIECES = 100_000
+# Sampled rows per piece: the standard deviation of a piece's size is about an eighth.
+_SAMPLE_PER_PIECE = 64
+
+
+def _flipped(c: Column, dtype: str) -> list[Column]:
+    """Ascending keys that order like ``c`` descending (nulls last)."""
+    if dtype in ("tinyint", "smallint", "int", "bigint"):
+        keys = [F.bitwise_not(c)]
+    elif dtype == "boolean":
+        keys = [~c]
+    elif dtype == "date":
+        keys = [F.bitwise_not(F.unix_date(c))]
+    elif dtype == "timestamp":
+        keys = [F.bitwise_not(F.unix_micros(c))]
+    elif dtype == "timestamp_ntz":
+        keys = [F.bitwise_not(F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), c))]
+    elif dtype in ("float", "double"):
+        keys = [~F.isnan(c), -c]
+    elif dtype.startswith("decimal"):
+        keys = [-c]
+    elif dtype in ("string", "binary"):
+        # Complementary hex digits turn the byte order round; a last sign above all digits puts prefixes last.
+        keys = [F.concat(F.translate(F.hex(c), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))]
+    else:
+        raise ValueError(f"no descending order for {dtype}")
+    return [c.isNull(), *keys]
+
+
+def _ordering(df: DataFrame, order: Sequence[str | Column]) -> tuple[list[Column], list[Column]]:
+    """Sort expressions, and ascending keys of the same order.  A column is a name, ``-name`` for descending, or an
+    expression (ascending)."""
+    types, sorts, keys = dict(df.dtypes), [], []
+    for item in order:
+        if isinstance(item, str) and item.startswith("-") and item not in types:
+            c = F.col(item[1:])
+            sorts.append(c.desc())
+            keys += _flipped(c, types[item[1:]])
+        else:
+            c = F.col(item) if isinstance(item, str) else item
+            sorts.append(c.asc())
+            keys.append(c)
+    return sorts, keys
+
+
+def _splitters(df: DataFrame, keys: Sequence[str], spot: Column, split_rows: int) -> DataFrame:
+    """Per hot group (``keys``) the sorted array ``_sp`` of places where its pieces begin; one row with an empty or full array for
+    ``keys=[]``.  At most ``MAX_PIECES`` places in all."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
+    total = sizes.agg(F.coalesce(F.sum("_cnt"), F.lit(0))).scalar()
+    limit = F.greatest(F.lit(split_rows), F.ceil(total / F.lit(MAX_PIECES)))
+    per = F.least(F.lit(_SAMPLE_PER_PIECE), limit)
+    every = F.greatest(F.lit(1), F.floor(limit / F.lit(_SAMPLE_PER_PIECE)))
+    row_hash = F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")])
+    staged = df.select(*keys, F.struct(spot, row_hash).alias("_t"))
+    drawn = F.pmod(F.col("_t.col2"), every) == 0
     if keys:
-        side = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
-        tagged = staged.alias("l").join(side.alias("r"), _null_safe_on("l", "r", keys), "left").select(
-            *[F.col(f"l.{c}") for c in staged.columns], *[F.col(f"r.{c}") for c in (*bounds, "_m")])
+        hot = sizes.where(F.col("_cnt") > limit).select(*keys)
+        sample = staged.alias("l").join(F.broadcast(hot).alias("r"), _null_safe_on("l", "r", keys), "left_semi").where(drawn)
     else:
-        # The whole table is one group: its few numbers become literals.
-        row = hot.first()
-        tagged = staged.withColumns({c: F.lit(row[c]) for c in (*bounds, "_m")})
-    piece = F.lit(None).cast("bigint")
-    for i in reversed(range(len(nums))):
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        width = (hi - lo) / F.col("_m")
-        cut = F.least(F.col("_m") - 1, F.floor((F.col(f"_on{i}") - lo) / width)).cast("bigint")
-        if i > 0:
-            # Rows whose earlier order value is null sort first: keep them in piece 0.
-            cut = F.when(F.col(f"_on{i - 1}").isNotNull(), cut)
-        piece = F.when(hi > lo, cut).otherwise(piece)
-    tagged = tagged.withColumns({"_piece": F.coalesce(piece, F.lit(0).cast("bigint")),
-                                 "_hot": F.col("_m").isNotNull()})
-    return tagged.drop(*[f"_on{i}" for i in range(len(nums))], *bounds, "_m"), True
+        sample = staged.where(drawn & (total > limit))
+    ranked = sample.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy("_t")))
+    return ranked.where(F.col("_rn") % per == 0).groupBy(*keys).agg(F.sort_array(F.collect_set("_t")).alias("_sp"))
 
 
-def dense_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                  out: str = "ordinal", split_rows: int = SPLIT_ROWS, max_group: int | None = None) -> DataFrame:
-    """Add ``out`` = 1, 2, ... per ``keys`` group following ``order``.
-
-    Same result as ``row_number().over(partitionBy(keys).orderBy(order))``, but
-    no group larger than about ``split_rows`` rows is numbered in one task: a
-    hot group is cut into contiguous ranges of its first order column, each
-    range is numbered on its own, and the range sizes (a few rows per hot
-    group) give the offsets.  ``order`` should make rows unique inside a
-    group (add an id column); ties are numbered arbitrarily.  ``max_group``
-    (rows in the largest group, e.g. from :func:`max_group_size`) lets it skip
-    the hot-group statistics when no group can be hot.
+def _piece(spot: Column) -> Column:
+    """How many of ``_sp`` are not above ``spot``, by binary search."""
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(MAX_PIECES.bit_length()))])
+    found = F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get("_sp", low + step - 1) <= spot, low + step).otherwise(low))
+    return F.when(F.col("_sp").isNull(), F.lit(0)).otherwise(found)
+
+
+def _pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], split_rows: int) -> tuple[DataFrame, DataFrame, list[Column]]:
+    """(rows with ``_piece``, rows of split groups only, sort expressions).
+
+    ``_piece`` is 0 in ordinary groups; a group above ``split_rows`` rows is cut where the splitters say.  Everything is a
+    function of the rows (hash sample, not a random one), so all branches of a plan, and tasks run again after a lost executor,
+    agree.  Rows equal in every column are not parted.
     """
-    tagged, any_hot = _pieces(df, keys, order, split_rows, max_group)
-    local_w = Window.partitionBy(*keys, "_piece").orderBy(*_cols(order))
-    local = tagged.withColumn("_rn", F.row_number().over(local_w))
-    if not any_hot:
-        return local.select(*df.columns, F.col("_rn").cast("bigint").alias(out))
-    # Piece sizes of the hot groups only (ordinary groups need no offset).
-    sizes = tagged.filter("_hot").groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    sorts, ascending = _ordering(df, order)
+    row_hash = F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")])
+    spot = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(ascending)])
+    splitters = _splitters(df, keys, spot, split_rows)
+    place = F.struct(spot, row_hash)
+    if keys:
+        small = F.broadcast(splitters).alias("r")
+        on = _null_safe_on("l", "r", keys)
+        tagged, hot = (df.alias("l").join(small, on, how).select("l.*", "r._sp") for how in ("left", "inner"))
+    else:
+        tagged = df.withColumn("_sp", splitters.scalar())
+        hot = tagged.where(F.size("_sp") > 0)
+    return (*(x.withColumn("_piece", _piece(place)).drop("_sp") for x in (tagged, hot)), sorts)
+
+
+def _with_offsets(local: DataFrame, per_piece: DataFrame, keys: Sequence[str], columns: Sequence[str], mine: str, total: str, out: Column) -> DataFrame:
+    """Add to ``mine`` of every row what the earlier pieces of its group hold in ``total`` (column ``_off`` in ``out``)."""
     before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # Offsets only matter for split groups; ordinary groups start at 0.
-    offsets = offsets.filter(F.col("_off") > 0)
-    joined = local.alias("l").join(offsets.alias("r"), _null_safe_on("l", "r", keys)
-                                   & (F.col("l._piece") == F.col("r._piece")), "left")
-    return joined.select(*[F.col(f"l.{c}") for c in df.columns],
-                         (F.coalesce(F.col("r._off"), F.lit(0)) + F.col("l._rn")).cast("bigint").alias(out))
+    offsets = per_piece.select(*keys, "_piece", F.sum(total).over(before).alias("_off")).where(F.col("_off").isNotNull())
+    on = _null_safe_on("l", "r", keys) & (F.col("l._piece") == F.col("r._piece"))
+    joined = local.alias("l").join(F.broadcast(offsets).alias("r"), on, "left")  # at most MAX_PIECES and a few rows
+    return joined.select(*[F.col(f"l.{c}") for c in columns], out)
 
 
-def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str,
-                  out: str = "running_total", split_rows: int = SPLIT_ROWS,
-                  max_group: int | None = None) -> DataFrame:
-    """Add ``out`` = sum of ``value`` over rows up to and including this one
-    (by ``order``) within ``keys`` (``keys=[]``: over the whole table).
-
-    Split like :func:`dense_ordinal`: each piece of a hot group (or of the
-    whole table) sums its own rows, the piece totals give the offsets.
-    ``max_group`` works as in :func:`dense_ordinal`.
+def dense_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+                  out: str = "ordinal", split_rows: int = SPLIT_ROWS) -> DataFrame:
+    """Add ``out`` = 1, 2, ... per ``keys`` group following ``order`` (``-name``: descending).
+
+    Same result as ``row_number().over(partitionBy(keys).orderBy(order))``, but no group larger than about ``split_rows``
+    rows is numbered in one task.  ``order`` should make rows unique inside a group (add an id column); ties are numbered
+    arbitrarily.
     """
-    tagged, any_hot = _pieces(df, keys, order, split_rows, max_group)
-    inside = Window.partitionBy(*keys, "_piece").orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, 0)
-    local = tagged.withColumn("_loc", F.sum(value).over(inside))
-    if not any_hot:
-        return local.select(*df.columns, F.col("_loc").alias(out))
-    totals = tagged.filter("_hot").groupBy(*keys, "_piece").agg(F.sum(value).alias("_tot"))
-    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_piece", F.sum("_tot").over(before).alias("_off")).filter(F.col("_off").isNotNull())
-    joined = local.alias("l").join(offsets.alias("r"), _null_safe_on("l", "r", keys)
-                                   & (F.col("l._piece") == F.col("r._piece")), "left")
-    return joined.select(*[F.col(f"l.{c}") for c in df.columns],
-                         (F.coalesce(F.col("r._off"), F.lit(0)) + F.col("l._loc")).alias(out))
+    tagged, hot, sorts = _pieces(df, keys, order, split_rows)
+    local = tagged.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy(*sorts)))
+    sizes = hot.groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    number = (F.coalesce(F.col("r._off"), F.lit(0)) + F.col("l._rn")).cast("bigint").alias(out)
+    return _with_offsets(local, sizes, keys, df.columns, "_rn", "_n", number)
 
 
-def max_group_size(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the largest ``keys`` group (one aggregate over the key columns
-    only; use it on the raw table, where column pruning makes it cheap)."""
-    return int(df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0)
+def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str,
+                  out: str = "running_total", split_rows: int = SPLIT_ROWS) -> DataFrame:
+    """Add ``out`` = sum of ``value`` over rows up to and including this one (by ``order``) within ``keys`` (``keys=[]``:
+    over the whole table).  Split like :func:`dense_ordinal`: each piece sums its own rows, the piece totals give the offsets."""
+    tagged, hot, sorts = _pieces(df, keys, order, split_rows)
+    inside = Window.partitionBy(*keys, "_piece").orderBy(*sorts).rowsBetween(Window.unboundedPreceding, 0)
+    local = tagged.withColumn("_loc", F.sum(value).over(inside))
+    totals = hot.groupBy(*keys, "_piece").agg(F.sum(value).alias("_tot"))
+    summed = F.when(F.col("r._off").isNull(), F.col("l._loc")).otherwise(F.col("r._off") + F.coalesce(F.col("l._loc"), F.lit(0))).alias(out)
+    return _with_offsets(local, totals, keys, df.columns, "_loc", "_tot", summed)
 
 
 # Chunks hold at most this many ordinals.
 MAX_CHUNK = 1_000_000
-# Chunk-total weights below this are zero in double precision for any total
-# under 1e290, so leaving those terms out does not change a result.
-_NEGLIGIBLE_LOG10 = -600.0
-# Use the spread carry when it needs at most this many copies per chunk total.
-_MAX_SPREAD = 8
+# A factor below this turns every double into zero (the greatest is below 1e309, the least above 1e-324).
+_VANISHED = 635.0
+# A chunk's end value is handed on to the next ones in copies if at most this many of them can notice it.
+_MAX_COPIES = 16
 
 
-def _chunk_size(decay: float, cap: int = MAX_CHUNK) -> int:
-    """Largest chunk with ``decay^-chunk`` below 1e150 (no overflow in the
-    rescaled window sum), at most ``cap``."""
-    if decay >= 1.0:
-        return cap
-    return max(1, min(cap, int(150.0 / -math.log10(decay))))
+def _chunk_size(decay: float, cap: int) -> int:
+    """Largest chunk with ``decay^-chunk`` below 1e150 (no overflow in the rescaled window sum), at most ``cap``."""
+    return cap if decay >= 1.0 else max(1, min(cap, int(150.0 / -math.log10(decay))))
 
 
 def decayed_prefix_sum(df: DataFrame, keys: Sequence[str], ordinal: str, value: str | Column,
-                       decay: float, out: str, max_len: int | None = None,
-                       chunk: int | None = None) -> DataFrame:
+                       decay: float, out: str, chunk: int | None = None) -> DataFrame:
     """Add ``out`` = sum over j <= i of ``value_j * decay^(i - j)`` per ``keys``.
 
-    ``ordinal`` must be dense (1..n) inside each group.  Inside a chunk of
-    ``G`` ordinals the sum is ``d^p * sum(v_j * d^-p_j)`` (a running window sum
-    over a group of at most ``G`` rows); earlier chunks contribute
-    ``d^(p+1) * C`` where ``C`` is the value at the end of the previous chunk.
-
-    ``max_len`` (rows in the longest group, e.g. from :func:`max_group_size` on
-    the raw table) lets single-chunk data skip the carry altogether.  The carry
-    ``C(c) = sum_j D^j T(c-1-j)`` over chunk totals ``T`` (``D = d^G``) is built by
-    spreading each total to the next ``K`` chunks, where ``D^K < 1e-600`` (the
-    remaining weights are zero in double precision); when the decay is so
-    close to 1 that ``K`` would be large, a log-depth doubling is used instead.
+    ``ordinal`` must be dense (1..n) inside each group.  The pairs (decay^n, sum) of stretches of n rows combine
+    associatively, so the sum is a tree: inside a chunk of ``G`` ordinals it is ``d^p * sum(v_j * d^-p_j)``, a
+    running window sum; the end values of full chunks are again such a series with decay ``d^G``, whose own prefix sums are what each chunk
+    gets from the earlier ones.  The tree ends where ``d^G`` is so small that a value vanishes within a few chunks (it
+    is then handed on in copies), or where the chunks span all 64-bit ordinals.  ``chunk`` (``G`` of the first level; a
+    test hook) does not change the result.
     """
     if not 0.0 <= decay <= 1.0:
         raise ValueError("decay must lie in [0, 1]")
-    val = F.col(value) if isinstance(value, str) else value
+    val = (F.col(value) if isinstance(value, str) else value).cast("double")
     if decay == 0.0:
-        return df.withColumn(out, val.cast("double"))
-    g = chunk or _chunk_size(decay)
-    b = F.col(ordinal).cast("bigint") - 1
-    pos = F.pmod(b, F.lit(g))
-    chunk_id = F.floor(b / F.lit(g)).cast("bigint")
-    d = F.lit(float(decay))
-    staged = (df.withColumn("_c", chunk_id).withColumn("_p", pos)
-              .withColumn("_s", val.cast("double") * F.pow(d, -F.col("_p"))))
-    running = Window.partitionBy(*keys, "_c").orderBy(F.col(ordinal)).rowsBetween(Window.unboundedPreceding, 0)
-    local = staged.withColumn("_loc", F.pow(d, F.col("_p")) * F.sum("_s").over(running))
-    if max_len is not None and max_len <= g:
-        return local.withColumn(out, F.col("_loc")).drop("_c", "_p", "_s", "_loc")
-
-    # T(c): the value a chunk passes on, E at its last ordinal from its own rows.
-    totals = staged.groupBy(*keys, "_c").agg((F.pow(d, F.lit(g - 1)) * F.sum("_s")).alias("_e"))
-    big_d = decay ** g
-    if big_d == 0.0:
-        spread = 1
-    elif big_d < 1.0:
-        spread = math.ceil(_NEGLIGIBLE_LOG10 / math.log10(big_d))
+        return df.withColumn(out, val)
+    staged = df.withColumns({"_b": F.col(ordinal).cast("bigint") - 1, "_v": val})
+    return _prefix(staged, list(keys), float(decay), chunk, 1, out).drop("_b", "_v")
+
+
+def _prefix(df: DataFrame, keys: list[str], d: float, chunk: int | None, span: int, out: str) -> DataFrame:
+    """``out`` = decayed prefix sum of ``_v`` by the dense 0-based ``_b``; each row stands for ``span`` ordinals."""
+    g = chunk or _chunk_size(d, MAX_CHUNK)
+    staged = df.withColumns({"_c": F.floor(F.col("_b") / F.lit(g)).cast("bigint"), "_p": F.pmod("_b", F.lit(g))})
+    running = Window.partitionBy(*keys, "_c").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    scaled = F.col("_v") * F.pow(F.lit(d), -F.col("_p"))
+    local = staged.withColumn("_loc", F.pow(F.lit(d), F.col("_p")) * F.sum(scaled).over(running))
+    if g * span >= 1 << 62:
+        return local.withColumn(out, F.col("_loc")).drop("_c", "_p", "_loc")
+    # Only a full chunk has a successor; its last row holds what it passes on.
+    ends = local.where(F.col("_p") == g - 1).select(*keys, F.col("_c").alias("_b"), F.col("_loc").alias("_v"))
+    step = d ** g
+    copies = math.ceil(_VANISHED / -math.log10(step)) if 0.0 < step < 1.0 else 1 if step == 0.0 else math.inf
+    if copies <= _MAX_COPIES:
+        weights = F.array(*[F.struct(F.lit(j + 1).alias("k"), F.lit(step ** j).alias("w")) for j in range(copies)])
+        spread = ends.select(*keys, "_b", "_v", F.explode(weights).alias("_s"))
+        carry = (spread.groupBy(*keys, (F.col("_b") + F.col("_s.k")).alias("_c"))
+                 .agg(F.sum(F.col("_s.w") * F.col("_v")).alias("_carry")))
     else:
-        spread = _MAX_SPREAD + 1
-    if spread > _MAX_SPREAD:
-        carry = _doubling_carry(df, totals, keys, ordinal, g, big_d, max_len)
-    else:
-        weights = F.array(*[F.struct(F.lit(j + 1).alias("k"), F.lit(big_d ** j).alias("w")) for j in range(spread)])
-        carry = (totals.select(*keys, "_c", "_e", F.explode(weights).alias("_sp"))
-                 .select(*keys, (F.col("_c") + F.col("_sp.k")).alias("_c"), (F.col("_sp.w") * F.col("_e")).alias("_x"))
-                 .groupBy(*keys, "_c").agg(F.sum("_x").alias("_carry")))
-    joined = local.alias("l").join(carry.alias("r"), _null_safe_on("l", "r", keys)
-                                   & (F.col("l._c") == F.col("r._c")), "left")
-    result = (F.col("l._loc") + F.pow(d, F.col("l._p") + 1) * F.coalesce(F.col("r._carry"), F.lit(0.0))).alias(out)
-    return joined.select(*[F.col(f"l.{c}") for c in df.columns], result)
-
-
-def _doubling_carry(df: DataFrame, totals: DataFrame, keys: Sequence[str], ordinal: str, g: int,
-                    big_d: float, max_len: int | None) -> DataFrame:
-    """Carry into each chunk by Hillis-Steele doubling over chunk totals
-    (``ceil(log2(chunks))`` equi-joins on (keys, chunk))."""
-    if max_len is None:
-        max_len = int(df.groupBy(*keys).agg(F.max(ordinal).alias("_m")).agg(F.max("_m")).first()[0] or 0)
-    n_chunks = -(-int(max_len) // g)
-    step = 1
-    while step < n_chunks:
-        prev = totals.select(*keys, (F.col("_c") + step).alias("_c"), F.col("_e").alias("_q"))
-        totals = (totals.alias("l").join(prev.alias("r"), _null_safe_on("l", "r", keys)
-                                         & (F.col("l._c") == F.col("r._c")), "left")
-                  .select(*[F.col(f"l.{k}") for k in keys], F.col("l._c"),
-                          (F.col("l._e") + F.lit(big_d ** step) * F.coalesce(F.col("r._q"), F.lit(0.0))).alias("_e")))
-        # Each step reads the previous table twice; cut the lineage so the
-        # plan does not double in size per step.
-        checkpoint_root(df.sparkSession)
-        totals = totals.checkpoint(eager=True)
-        step *= 2
-    return totals.select(*keys, (F.col("_c") + 1).alias("_c"), F.col("_e").alias("_carry"))
+        sums = _prefix(ends, keys, step, chunk, g * span, "_carry")
+        carry = sums.select(*keys, (F.col("_b") + 1).alias("_c"), "_carry")
+    joined = local.alias("l").join(carry.alias("r"), _null_safe_on("l", "r", keys) & (F.col("l._c") == F.col("r._c")), "left")
+    total = F.col("l._loc") + F.pow(F.lit(d), F.col("l._p") + 1) * F.coalesce(F.col("r._carry"), F.lit(0.0))
+    return joined.select(*[F.col(f"l.{c}") for c in df.columns], total.alias(out))
 
 
 def block_delayed_ewma(bars: DataFrame, entity: Sequence[str], ordinal: str, value: str,
-                       alpha: float = 0.2, block: int = 10, out: str = "ewma", how: str = "left",
-                       max_len: int | None = None) -> DataFrame:
+                       alpha: float = 0.2, block: int = 10, out: str = "ewma", how: str = "left") -> DataFrame:
     """For ordinal ``b`` the EWMA of the values at ordinals up to
     ``cutoff(b) = block * floor((b - 1) / block)``, newest first:
 
@@ -285,38 +240,26 @@ def block_delayed_ewma(bars: DataFrame, entity: Sequence[str], ordinal: str, val
     the number of exchanges does not depend on the number of bars.
     """
     keys = list(entity)
-    blk = F.floor((F.col(ordinal).cast("bigint") - 1) / F.lit(block)).cast("bigint") + 1
-    sums = (
-        bars.select(*keys, blk.alias("_k"),
-                    (F.lit(alpha) * F.pow(F.lit(1.0 - alpha), blk * block - F.col(ordinal))
-                     * F.col(value).cast("double")).alias("_w"))
-        .groupBy(*keys, "_k").agg(F.sum("_w").alias("_sum"))
-    )
-    if max_len is not None:
-        max_len = -(-max_len // block)
-    ewma = decayed_prefix_sum(sums, keys, "_k", "_sum", (1.0 - alpha) ** block, "_ewma", max_len=max_len)
-    ewma = ewma.select(*keys, F.col("_k").alias("_cut_block"), "_ewma")
-    cut_block = F.floor((F.col(ordinal).cast("bigint") - 1) / F.lit(block)).cast("bigint")
-    with_cut = bars.withColumn("_cut_block", cut_block)
-    joined = with_cut.alias("l").join(
-        ewma.alias("r"),
-        _null_safe_on("l", "r", keys) & (F.col("l._cut_block") == F.col("r._cut_block")),
-        how,
-    )
-    cutoff = F.col("l._cut_block") * block
+    # Blocks are named by the cutoff of the bars that follow them.
+    cutoff = block_cutoff(ordinal, block)
+    weight = F.lit(alpha) * F.pow(F.lit(1.0 - alpha), cutoff + block - F.col(ordinal)) * F.col(value).cast("double")
+    sums = bars.groupBy(*keys, (F.floor(cutoff / block) + 1).alias("_k")).agg(F.sum(weight).alias("_sum"))
+    ewma = decayed_prefix_sum(sums, keys, "_k", "_sum", (1.0 - alpha) ** block, "_ewma")
+    ewma = ewma.select(*keys, (F.col("_k") * block).alias("_cut"), "_ewma")
+    joined = bars.withColumn("_cut", cutoff).alias("l").join(
+        ewma.alias("r"), _null_safe_on("l", "r", keys) & (F.col("l._cut") == F.col("r._cut")), how)
     return joined.select(
         *[F.col(f"l.{c}") for c in bars.columns],
         F.col("r._ewma").alias(out),
-        F.when(cutoff > 0, F.lit(1.0) - F.pow(F.lit(1.0 - alpha), cutoff.cast("double"))).alias("weight_mass"),
+        F.when(F.col("l._cut") > 0, weight_mass(F.col("l._cut"), alpha)).alias("weight_mass"),
     )
 
 
 def recursive_smoothing(series: DataFrame, entity: Sequence[str], ordinal: str, value: str,
-                        alpha: float = 0.2, out: str = "level", max_len: int | None = None) -> DataFrame:
+                        alpha: float = 0.2, out: str = "level") -> DataFrame:
     """``L_t = alpha * y_t + (1 - alpha) * L_(t-1)`` with ``L_0 = 0`` for every row,
     i.e. a decayed prefix sum of ``alpha * y`` with decay ``1 - alpha``."""
-    return decayed_prefix_sum(series, list(entity), ordinal, F.lit(alpha) * F.col(value).cast("double"),
-                              1.0 - alpha, out, max_len=max_len)
+    return decayed_prefix_sum(series, list(entity), ordinal, F.lit(alpha) * F.col(value).cast("double"), 1.0 - alpha, out)
 
 
 def level_chained_discount(rows: DataFrame, idx: Sequence[str], level: str, pct: str, cost: str,

@@ -30,10 +30,10 @@ def test_dense_ordinal_equals_row_number_on_skewed_keys(spark):
     assert joined.count() == df.count()
     assert joined.filter(F.col("o") != F.col("o2")).count() == 0
     # the hot key really is split: no window partition holds all its rows
-    tagged, any_hot = seq._pieces(df, ["k"], ["t", "id"], 400)
-    assert any_hot
+    tagged, hot, _ = seq._pieces(df, ["k"], ["t", "id"], 400)
     sizes = [r["count"] for r in tagged.groupBy("k", "_piece").count().collect()]
     assert max(sizes) <= 2 * 400 and tagged.filter("k = 'hot'").select("_piece").distinct().count() >= 7
+    assert {r.k for r in hot.select("k").distinct().collect()} == {"hot"}
     # default threshold: nothing is hot, plain numbering gives the same result
     plain = seq.dense_ordinal(df, ["k"], ["t", "id"], "o")
     assert plain.join(ref.select("id", "o2"), "id").filter(F.col("o") != F.col("o2")).count() == 0
@@ -42,8 +42,8 @@ def test_dense_ordinal_equals_row_number_on_skewed_keys(spark):
 def test_dense_ordinal_splits_hot_group_with_constant_first_order_column(spark):
     rows = [("hot", 5, i) for i in range(900)] + [("cold", 1, i) for i in range(5)]
     df = spark.createDataFrame(rows, "k string, t long, id long")
-    tagged, any_hot = seq._pieces(df, ["k"], ["t", "id"], 100)
-    assert any_hot and tagged.filter("k = 'hot'").select("_piece").distinct().count() >= 8
+    tagged, _, _ = seq._pieces(df, ["k"], ["t", "id"], 100)
+    assert tagged.filter("k = 'hot'").select("_piece").distinct().count() >= 8
     ours = seq.dense_ordinal(df, ["k"], ["t", "id"], "o", split_rows=100)
     assert sorted((r.k, r.id, r.o) for r in ours.collect()) == sorted(
         [("hot", i, i + 1) for i in range(900)] + [("cold", i, i + 1) for i in range(5)])
@@ -71,23 +71,73 @@ def _brute_decayed(rows, d):
     return out
 
 
-@pytest.mark.parametrize("chunk,decay,max_len,spread", [
-    (None, 0.8, None, None), (None, 0.8, 61, None), (3, 0.8, None, None), (4, 0.5, 61, None),
-    (5, 1.0, None, None), (2, 0.0, None, None), (3, 0.8, None, 10 ** 6), (7, 0.6, None, 10 ** 6)])
-def test_decayed_prefix_sum_matches_recurrence(spark, monkeypatch, chunk, decay, max_len, spread):
-    # spread=None: doubling carry for these small chunks; spread set: the spread carry.
-    if spread:
-        monkeypatch.setattr(seq, "_MAX_SPREAD", spread)
+@pytest.mark.parametrize("order", [["t", "id"], ["-t", "-id"], ["s", "id"], ["-s", "id"], ["-f", "id"], ["w", "-id"], ["-d", "-ts", "id"], ["-n", "id"]])
+def test_pieces_stay_small_on_ties_strings_and_descending_columns(spark, order):
+    """990 of 1000 rows share t; s is a string with common prefixes, f holds NaN and nulls, w crowds near zero."""
+    rnd = random.Random(4)
+    rows = [(i, 5 if i < 990 else i, "same prefix " + "x" * rnd.randint(0, 6) + str(rnd.randint(0, 9)) if i % 7 else None,
+             float("nan") if i % 5 == 0 else None if i % 5 == 1 else rnd.uniform(-1, 1), 10.0 ** -rnd.randint(0, 300)) for i in range(1000)]
+    df = (spark.createDataFrame(rows, "id long, t long, s string, f double, w double")
+          .withColumns({"d": F.date_add(F.lit("1969-12-30"), F.col("t").cast("int") % 9), "n": F.col("t").cast("decimal(20,3)"),
+                        "ts": F.expr("cast(timestampadd(HOUR, id % 50, timestamp'2021-03-28 00:00:00') as timestamp_ntz)")}))
+    df = df.withColumn("k", F.lit("hot")).repartition(5)
+    tagged, _, _ = seq._pieces(df, ["k"], order, 100)
+    assert max(r["count"] for r in tagged.groupBy("_piece").count().collect()) <= 200
+    ours = seq.dense_ordinal(df, ["k"], order, "o", split_rows=100).select("id", "o")
+    window = [F.desc(c[1:]) if c[0] == "-" else F.asc(c) for c in order]
+    ref = df.select("id", F.row_number().over(Window.partitionBy("k").orderBy(*window)).alias("o"))
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, ref.collect()))
+    whole = seq.dense_ordinal(df, [], order, "o", split_rows=100).select("id", "o")
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, ref.collect()))
+
+
+def test_ordinals_do_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    df = spark.range(400).select(F.lit("a").alias("k"), "id", F.expr("cast(timestampadd(MINUTE, cast(id as int) * 7, timestamp_ntz'2021-10-31 00:00:00') as timestamp_ntz)").alias("ts"))
+    try:
+        for z in ("Europe/Berlin", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            up = {r.id: r.o for r in seq.dense_ordinal(df, ["k"], ["ts", "id"], "o", split_rows=50).collect()}
+            down = {r.id: r.o for r in seq.dense_ordinal(df, ["k"], ["-ts"], "o", split_rows=50).collect()}
+            assert up == {i: i + 1 for i in range(400)} and down == {i: 400 - i for i in range(400)}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_building_a_plan_runs_no_job(spark):
+    df = _skewed(spark, 300)
+    spark.sparkContext.setJobGroup("plan-only", "no action expected")
+    try:
+        bars = seq.dense_ordinal(df, ["k"], ["t", "id"], "o", split_rows=50)
+        seq.block_delayed_ewma(bars, ["k"], "o", "v")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("chunk,decay", [(None, 0.8), (3, 0.8), (4, 0.5), (5, 1.0), (2, 0.0), (7, 0.6), (2, 0.999), (3, 1e-30), (2, 1e-200)])
+def test_decayed_prefix_sum_matches_recurrence(spark, chunk, decay):
+    # chunk=None: one chunk; small chunks with decay near 1: a tree of several levels; small decays: copies.
     rnd = random.Random(3)
     rows = [(k, o, rnd.uniform(-10, 10)) for k, n in (("a", 23), ("b", 1), ("c", 9), ("hot", 61)) for o in range(1, n + 1)]
     df = spark.createDataFrame(rows, "k string, o long, v double")
-    out = seq.decayed_prefix_sum(df, ["k"], "o", "v", decay, "e", chunk=chunk, max_len=max_len).collect()
+    out = seq.decayed_prefix_sum(df, ["k"], "o", "v", decay, "e", chunk=chunk).collect()
     expected = _brute_decayed(rows, decay)
     assert len(out) == len(rows)
     for r in out:
         assert r.e == pytest.approx(expected[(r.k, r.o)], rel=1e-9, abs=1e-9)
 
 
+def test_decayed_prefix_sum_keeps_huge_values_that_decay_over_chunks(spark):
+    # 1e300 decays over 1,000 ordinals by 1e-97 with later values of zero: no chunk may drop it.
+    df = spark.range(1, 1001).select(F.lit(1).alias("k"), F.col("id").alias("o"), F.when(F.col("id") == 1, 1e300).otherwise(0.0).alias("v"))
+    for chunk in (None, 2, 13):
+        got = {r.o: r.e for r in seq.decayed_prefix_sum(df, ["k"], "o", "v", 0.8, "e", chunk=chunk).collect()}
+        assert all(got[o] == pytest.approx(1e300 * 0.8 ** (o - 1), rel=1e-9) for o in (1, 2, 3, 500, 1000))
+    small = {r.o: r.e for r in seq.decayed_prefix_sum(df, ["k"], "o", "v", 1e-100, "e").collect()}
+    assert [small[o] for o in (1, 2, 3, 6, 7, 8)] == pytest.approx([1e300, 1e200, 1e100, 1e-200, 1e-300, 0.0], rel=1e-9)
+
+
 def _bars_fixture(spark):
     # Trades with the reference vectors as bars 1..10 (bar 1 = last list item),
     # followed by 13 more bars; plus trades with 5, 10, 20 and 120 bars.
@@ -112,10 +162,10 @@ def _brute_ewma(rows, alpha=0.2, block=10):
     return out
 
 
-@pytest.mark.parametrize("max_len,how", [(None, "left"), (None, "inner")])
-def test_block_delayed_ewma(spark, max_len, how):
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_block_delayed_ewma(spark, how):
     rows, df = _bars_fixture(spark)
-    out = seq.block_delayed_ewma(df, ["trade_id"], "bar_num", "profit", 0.2, 10, how=how, max_len=max_len).collect()
+    out = seq.block_delayed_ewma(df, ["trade_id"], "bar_num", "profit", 0.2, 10, how=how).collect()
     expected = _brute_ewma(rows)
     if how == "left":
         assert len(out) == len(rows)
@@ -141,7 +191,6 @@ def test_block_delayed_ewma_long_series_uses_carry(spark):
     rows = [(1, b, rnd.uniform(-5, 5)) for b in range(1, 2001)] + [(2, b, 1.0) for b in range(1, 31)]
     df = spark.createDataFrame(rows, "trade_id long, bar_num long, profit double")
     out = seq.block_delayed_ewma(df, ["trade_id"], "bar_num", "profit").collect()
-    assert seq.max_group_size(df, ["trade_id"]) == 2000
     expected = _brute_ewma(rows)
     for r in out:
         e = expected[(r.trade_id, r.bar_num)]
