@@ -4,24 +4,27 @@ partner per entity (C3) without enumerating all pairs.
 For series of equal length ``n`` the Pearson correlation of ``x`` and ``y`` is the
 dot product of their centred, unit-normalised versions ``z``.  Those lie on the
 unit sphere of the (n-1)-dimensional sum-zero subspace, so the most correlated
-partner is the nearest neighbour: ``|z_a - z_b|^2 = 2 - 2 r``.  The search
-uses grids of growing cell size ``s``: a query point is joined with the points
-of its own and adjacent cells (an equi-join on the cell id), and its best
-candidate is final once its distance is at most ``s`` -- every point that close
-is in an adjacent cell.  Points not settled move to the next, coarser grid; at
-a cell size of 2 the adjacent cells hold every point, so the search is exact.
-Work per point follows the local density instead of the number of entities.
+partner is the nearest neighbour: ``|z_a - z_b|^2 = 2 - 2 r``.
+
+The search works on distinct vectors, each with its number of entities and largest key.  Grids over at most three coordinates
+(those that vary most) have sides 2, 1/2, 1/8, ...; a query meets the vectors of its own and the 26 adjacent
+cells by an equi-join on (level, cell).  All points within one side are among them, so a query is final once everything
+that could round to its best value, ties included, is within the side; else it goes on to the next coarser grid.  At side 2
+the adjacent cells hold every point, so the result is exact and does not depend on where a query started.  Which entity of a vector is the partner
+is a look-up of the next larger key in that vector's members.
 """
 
 from __future__ import annotations
 
 import itertools
 import math
+from functools import reduce
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from colonnade.operators.sequences import dense_ordinal, running_total
 from colonnade.session import checkpoint_root
 
 
@@ -63,211 +66,138 @@ def unit_series(wide: DataFrame, entity: str, value_cols: Sequence[str]) -> Data
     return staged.select(entity, F.array(*coords).alias("u"))
 
 
-def _cell(u: Column, dims: int, side: float) -> Column:
-    return F.array(*[F.floor(u[i] / F.lit(side)).cast("bigint") for i in range(dims)])
-
-
-# A query whose base grid cell holds more distinct vectors than this starts on a finer grid.
+# A query starts on the coarsest grid where its own cell holds at most this many distinct vectors.
 DENSE_CELL = 64
-_FINEST = 40  # at most 2^-40 times the base cell side
-
-
-def nearest_larger_partner(points: DataFrame, entity: str, dims: int, start_side: float,
-                           digits: int = 9, queries: DataFrame | None = None,
-                           dense_cell: int | None = None) -> DataFrame:
-    """For every query point (default: every point), the point with a larger
-    ``entity`` key and the largest dot product (ties: smaller partner key).
-    Points without any larger key are absent.
-
-    ``points``/``queries``: (entity, u) with unit vectors ``u`` of length ``dims``.
-    Returns (entity, partner, r).
-
-    Queries start on the grid of side ``start_side``; a query whose cell there
-    holds more than ``dense_cell`` distinct vectors (a tight cluster of
-    near-identical series) starts on the first finer grid (side halved step by
-    step) where its cell does not, so it is never joined with a whole cluster.
-    Every query then moves to coarser grids until its best candidate is within
-    the cell side; the result does not depend on where it started.
-    """
-    spark = points.sparkSession
-    checkpoint_root(spark)
-    limit = dense_cell or DENSE_CELL
-    offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=dims)]
-    offset_lit = F.array(*[F.array(*[F.lit(v).cast("bigint") for v in o]) for o in offsets])
-    all_queries = points if queries is None else queries
-
-    # Start level per query: halve the side for queries whose own cell holds
-    # more than `limit` distinct vectors, until it does not.  Only the crowded
-    # points take part in each refinement step.
-    vectors = points.select("u").distinct()
-    crowded_pts, crowded_q = vectors, all_queries.select(entity, "u")
-    fixed: list[DataFrame] = []
-    for k in range(_FINEST + 1):
-        side_k = start_side * 2.0 ** (-k)
-        cells = crowded_pts.groupBy(_cell(F.col("u"), dims, side_k).alias("_cell")).agg(
-            F.count(F.lit(1)).alias("_k"))
-        tagged = (crowded_q.withColumn("_cell", _cell(F.col("u"), dims, side_k))
-                  .join(cells, "_cell", "left").withColumn("_k", F.coalesce("_k", F.lit(0))))
-        tagged = tagged.checkpoint(eager=True)
-        fixed.append(tagged.filter((F.col("_k") <= limit) | F.lit(k == _FINEST))
-                     .select(entity, "u", F.lit(k).alias("_start")))
-        busy = tagged.filter(F.col("_k") > limit)
-        counts = tagged.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_k") > limit).alias("busy")).first()
-        if k == 0:
-            n_queries = int(counts["n"])
-        if k == _FINEST or counts["busy"] == 0:
-            break
-        crowded_q = busy.select(entity, "u")
-        crowded_pts = (crowded_pts.withColumn("_cell", _cell(F.col("u"), dims, side_k))
-                       .join(cells.filter(F.col("_k") > limit).select("_cell"), "_cell", "left_semi")
-                       .select("u").checkpoint(eager=True))
-    if len(fixed) == 1:
-        # Nothing crowded (the usual case): every query starts on the base grid.
-        starts = fixed[0]
-        per_start = {0: n_queries} if n_queries else {}
-    else:
-        starts = fixed[0]
-        for part in fixed[1:]:
-            starts = starts.unionByName(part)
-        starts = starts.checkpoint(eager=True)
-        per_start = {int(r["_start"]): int(r["count"]) for r in starts.groupBy("_start").count().collect()}
-    if not per_start:
-        return spark.createDataFrame([], f"{entity} long, partner long, r double")
-
-    settled: list[DataFrame] = []
-    remaining: DataFrame | None = None
-    n_carry = 0
-    k = max(per_start)  # level: side = start_side / 2^k (k < 0: coarser)
-    while True:
-        side = start_side * 2.0 ** (-k)
-        last = side >= 2.0
-        n_new = per_start.get(k, 0)
-        if n_new:
-            new = starts.filter(F.col("_start") == k).select(entity, "u")
-            remaining = new if remaining is None else remaining.unionByName(new)
-        n_active = n_carry + n_new
-        if n_active == 0:
-            k -= 1
-            continue
-        data = points.select(F.col(entity).alias("_b"), F.col("u").alias("_ub"), _cell(F.col("u"), dims, side).alias("_cell"))
-        home = [F.floor(F.col("u")[i] / F.lit(side)).cast("bigint") for i in range(dims)]
-        queries_l = (remaining.select(F.col(entity).alias("_a"), F.col("u").alias("_ua"),
-                                      *[h.alias(f"_h{i}") for i, h in enumerate(home)],
-                                      F.explode(offset_lit).alias("_o"))
-                     .select("_a", "_ua", F.array(*[F.col(f"_h{i}") + F.col("_o")[i] for i in range(dims)]).alias("_cell")))
-        dot = sum((F.col("_ua")[i] * F.col("_ub")[i] for i in range(1, dims)), F.col("_ua")[0] * F.col("_ub")[0])
-        cand = (queries_l.join(data, "_cell")
-                .filter(F.col("_b") > F.col("_a"))
-                .select("_a", "_b", dot.alias("_r")))
-        best = (cand.groupBy("_a")
-                .agg(F.max(F.struct(F.round("_r", digits).alias("rr"), (-F.col("_b")).alias("nb"), F.col("_r").alias("r")))
-                     .alias("_m"))
-                .select(F.col("_a").alias(entity), (-F.col("_m.nb")).alias("partner"), F.col("_m.r").alias("r")))
-        if last:
-            settled.append(best)
-            break
-        # Distance to the best candidate; within one cell side it is final.
-        dist = F.sqrt(F.greatest(F.lit(0.0), F.lit(2.0) - F.lit(2.0) * F.col("r")))
-        best = best.withColumn("_ok", dist <= F.lit(side * (1.0 - 1e-9))).checkpoint(eager=True)
-        settled.append(best.filter("_ok").drop("_ok"))
-        done = best.filter("_ok").select(entity)
-        n_carry = n_active - done.count()  # reads the checkpointed rows only
-        later = sum(v for kk, v in per_start.items() if kk < k)
-        if n_carry <= 0 and later == 0:
-            break
-        # `best` is materialised, so this anti-join stays cheap to re-evaluate.
-        remaining = remaining.join(done, entity, "left_anti") if n_carry > 0 else None
-        k -= 1
-    out = settled[0]
-    for part in settled[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def _near_copy_pairs(vectors: DataFrame, dims: int, digits: int) -> DataFrame:
-    """Ordered pairs (v, w), v != w, of distinct vectors whose dot product rounds
-    to 1 at ``digits`` digits (distance below ~3.2e-5 for 9 digits): an
-    equi-join on fine grid cells, each vector against its adjacent cells."""
-    side = 2.0 ** math.ceil(math.log2(math.sqrt(2.0 * 10.0 ** -digits) * 1.01))
-    offsets = [list(o) for o in itertools.product((-1, 0, 1), repeat=dims)]
-    offset_lit = F.array(*[F.array(*[F.lit(v).cast("bigint") for v in o]) for o in offsets])
-    data = vectors.select(F.col("_vid").alias("_w"), F.col("u").alias("_uw"), _cell(F.col("u"), dims, side).alias("_cell"))
-    home = [F.floor(F.col("u")[i] / F.lit(side)).cast("bigint") for i in range(dims)]
-    q = (vectors.select("_vid", "u", *[h.alias(f"_h{i}") for i, h in enumerate(home)], F.explode(offset_lit).alias("_o"))
-         .select(F.col("_vid").alias("_v"), F.col("u").alias("_uv"),
-                 F.array(*[F.col(f"_h{i}") + F.col("_o")[i] for i in range(dims)]).alias("_cell")))
-    dot = sum((F.col("_uv")[i] * F.col("_uw")[i] for i in range(1, dims)), F.col("_uv")[0] * F.col("_uw")[0])
-    pairs = q.join(data, "_cell").filter(F.col("_v") != F.col("_w")).select("_v", "_w", dot.alias("_r"))
-    return pairs.filter(F.round("_r", digits) >= 1.0)
-
-
-def _copy_group_partners(points: DataFrame, entity: str, dims: int, digits: int) -> tuple[DataFrame, DataFrame]:
-    """Split the search when several entities share one unit vector (copies).
-
-    A member of a copy group that is not the group's largest key has a partner
-    at r = 1: its next copy by key, unless a near copy (another vector whose r
-    rounds to 1) has a key in between.  Each near-copy key is mapped to its
-    predecessor among the group's keys with a running count, so members are
-    never paired with each other.  Returns (answers for those members, the
-    remaining queries: the largest key of every group).
-    """
-    from colonnade.operators.sequences import dense_ordinal, running_total
-
-    groups = points.groupBy("u").agg(F.min(entity).alias("_vid"), F.count(F.lit(1)).alias("_n"))
-    members = dense_ordinal(points.join(groups, "u"), ["_vid"], [entity], "_ord").checkpoint(eager=True)
-    self_dot = sum((F.col("u")[i] * F.col("u")[i] for i in range(1, dims)), F.col("u")[0] * F.col("u")[0])
-
-    nxt = members.select("_vid", (F.col("_ord") - 1).alias("_ord"), F.col(entity).alias("_b"))
-    own = (members.filter(F.col("_ord") < F.col("_n")).join(nxt, ["_vid", "_ord"])
-           .select(F.col(entity).alias("_a"), "_b", self_dot.alias("_r")))
-
-    pairs = _near_copy_pairs(groups.select("_vid", "u"), dims, digits)
-    key = members.select("_vid", F.col(entity).alias("_key"), "_n")
-    v_rows = pairs.join(key.withColumnRenamed("_vid", "_v"), "_v").select(
-        "_v", "_w", "_r", "_key", "_n", F.lit(1).alias("_is_v"))
-    w_rows = pairs.join(key.withColumnRenamed("_vid", "_w").drop("_n"), "_w").join(
-        groups.select(F.col("_vid").alias("_v"), "_n"), "_v").select(
-        "_v", "_w", "_r", "_key", "_n", F.lit(0).alias("_is_v"))
-    counted = running_total(v_rows.unionByName(w_rows), ["_v", "_w"], ["_key"], "_is_v", "_c")
-    near = (counted.filter((F.col("_is_v") == 0) & (F.col("_c") >= 1) & (F.col("_c") < F.col("_n")))
-            .join(members.select(F.col("_vid").alias("_v"), F.col("_ord").alias("_c"), F.col(entity).alias("_a")),
-                  ["_v", "_c"])
-            .select("_a", F.col("_key").alias("_b"), "_r"))
-    cands = own.unionByName(near)
-    answers = (cands.groupBy("_a")
-               .agg(F.max(F.struct(F.round("_r", digits).alias("rr"), (-F.col("_b")).alias("nb"),
-                                   F.col("_r").alias("r"))).alias("_m"))
-               .select(F.col("_a").alias(entity), (-F.col("_m.nb")).alias("partner"), F.col("_m.r").alias("r")))
-    last = members.filter(F.col("_ord") == F.col("_n")).select(entity, "u")
-    return answers, last
+# Coordinates that make up a cell.
+_CELL_DIMS = 3
+
+
+def _side(level: int) -> float:
+    return 2.0 * 4.0 ** -level
+
+
+def _dot(a: Column, b: Column, dims: int) -> Column:
+    return reduce(lambda x, y: x + y, [a[i] * b[i] for i in range(dims)])
+
+
+def _at_levels(df: DataFrame, level: Column | None, levels: Sequence[int], axes: Sequence[int], around: bool) -> DataFrame:
+    """Add ``_level`` and ``_cell`` of vector ``u``: one row per level (``level`` None: all of ``levels``) and, with
+    ``around``, per adjacent cell."""
+    chosen = F.array(*[F.lit(k) for k in levels])
+    out = df.withColumn("_level", F.explode(chosen) if level is None else level)
+    side = F.lit(2.0) * F.pow(F.lit(4.0), -F.col("_level"))
+    home = [F.floor(F.col("u")[i] / side).cast("bigint") for i in axes]
+    if not around:
+        return out.withColumn("_cell", F.array(*home))
+    shifts = F.array(*[F.array(*[F.lit(v).cast("bigint") for v in o]) for o in itertools.product((-1, 0, 1), repeat=len(axes))])
+    out = out.withColumns({"_home": F.array(*home), "_shift": F.explode(shifts)})
+    return out.withColumn("_cell", F.zip_with("_home", "_shift", lambda h, s: h + s)).drop("_home", "_shift")
+
+
+def _next_keys(members: DataFrame, asks: DataFrame) -> DataFrame:
+    """Per ask (``_list``, ``_key``, ``_r``) the next larger key in that list: (``_key``, ``_partner``, ``_r``).
+
+    ``members``: (``_vid``, ``_member``, ``_ord``).  Asks are sorted in among the members of their list; the running count of members
+    gives the position, a join the key there.  Linear in members and asks; large lists are split like any sequence."""
+    listed = members.join(asks.select(F.col("_list").alias("_vid")).distinct(), "_vid", "left_semi")
+    rows = (listed.select(F.col("_vid").alias("_list"), F.col("_member").alias("_key"), F.lit(None).cast("double").alias("_r"), F.lit(1).alias("_is"))
+            .unionByName(asks.select("_list", "_key", "_r", F.lit(0).alias("_is"))))
+    # A key asked for in its own list comes after itself.
+    placed = running_total(rows, ["_list"], ["_key", "-_is"], "_is", "_c").where("_is = 0")
+    there = members.select(F.col("_vid").alias("_list"), (F.col("_ord") - 1).alias("_c"), F.col("_member").alias("_partner"))
+    return placed.join(there, ["_list", "_c"]).select("_key", "_partner", "_r")
+
+
+def _near_copies(vectors: DataFrame, axes: Sequence[int], dims: int, digits: int) -> DataFrame:
+    """Ordered pairs of distinct vectors whose dot product rounds to 1 at ``digits`` digits."""
+    level = max(0, math.floor(math.log(2.0 / (math.sqrt(2.0 * 10.0 ** -digits) * 1.01), 4)))
+    right = _at_levels(vectors, F.lit(level), [], axes, False).select(
+        "_cell", F.col("_vid").alias("_w"), F.col("u").alias("_uw"), F.col("_n").alias("_nw"))
+    left = _at_levels(vectors, F.lit(level), [], axes, True).select("_cell", F.col("_vid").alias("_v"), F.col("u").alias("_uv"), F.col("_n").alias("_nv"))
+    pairs = left.join(right, "_cell").where(F.col("_v") != F.col("_w"))
+    return pairs.select("_v", "_w", "_nv", "_nw", _dot(F.col("_uv"), F.col("_uw"), dims).alias("_r")).where(F.round("_r", digits) >= 1.0)
+
+
+def _partners_at_one(members: DataFrame, vectors: DataFrame, axes: Sequence[int], dims: int, digits: int) -> DataFrame:
+    """Candidates (``_key``, ``_partner``, ``_r``) of all entities that are not the largest of their vector: the next entity
+    of the same vector, and of vectors whose correlation with it rounds to 1.
+
+    Of two such vectors the shorter list is looked up in the longer: its keys ask for their next larger key there, or for
+    the key before them, whose next larger one they are."""
+    self_r = _dot(F.col("u"), F.col("u"), dims)
+    size = vectors.select("_vid", "u", "_n")
+    following = members.select("_vid", (F.col("_ord") - 1).alias("_ord"), F.col("_member").alias("_partner"))
+    own = members.join(following, ["_vid", "_ord"]).join(size, "_vid").select(F.col("_member").alias("_key"), "_partner", self_r.alias("_r"))
+
+    pairs = _near_copies(vectors, axes, dims, digits)
+    keys = members.select(F.col("_vid").alias("_from"), F.col("_member").alias("_key"), "_ord")
+    # v's entities ask in the longer list of w ...
+    up = pairs.where("_nw > _nv").join(keys, pairs["_v"] == keys["_from"]).where(F.col("_ord") < F.col("_nv"))
+    above = _next_keys(members, up.select(F.col("_w").alias("_list"), "_key", "_r"))
+    # ... or w's entities look for the one before them in the longer list of v.
+    down = pairs.where("_nw <= _nv").join(keys, pairs["_w"] == keys["_from"])
+    rows = (members.join(down.select(F.col("_v").alias("_vid")).distinct(), "_vid", "left_semi")
+            .select(F.col("_vid").alias("_list"), F.col("_member").alias("_partner"), F.lit(None).cast("double").alias("_r"), F.lit(1).alias("_is"))
+            .unionByName(down.select(F.col("_v").alias("_list"), F.col("_key").alias("_partner"), "_r", F.lit(0).alias("_is"))))
+    placed = running_total(rows, ["_list"], ["_partner"], "_is", "_c").where("_is = 0")
+    before = members.join(size.select("_vid", "_n"), "_vid").where(F.col("_ord") < F.col("_n")).select(
+        F.col("_vid").alias("_list"), F.col("_ord").alias("_c"), F.col("_member").alias("_key"))
+    below = placed.join(before, ["_list", "_c"]).select("_key", "_partner", "_r")
+    return own.unionByName(above).unionByName(below)
+
+
+def _best_vectors(vectors: DataFrame, axes: Sequence[int], dims: int, digits: int) -> DataFrame:
+    """For the largest key of each vector, the vectors with a larger key and the greatest rounded correlation: (``_list``,
+    ``_key``, ``_r``)."""
+    finest = max(0, math.floor(math.log(2.0 / math.sqrt(4.0 * 10.0 ** -digits), 4)))  # finer ones can settle nothing
+    levels = list(range(finest + 1))
+    crowd = _at_levels(vectors, None, levels, axes, False)
+    crowd = crowd.join(crowd.groupBy("_level", "_cell").agg(F.count(F.lit(1)).alias("_k")), ["_level", "_cell"])
+    start = crowd.groupBy("_vid").agg(F.coalesce(F.min(F.when(F.col("_k") <= DENSE_CELL, F.col("_level"))), F.lit(finest)).alias("_at"))
+    active = vectors.select("_vid", F.col("_last").alias("_key"), "u").join(start, "_vid").checkpoint(eager=True)
+
+    def meet(queries: DataFrame, used: Sequence[int]) -> DataFrame:
+        points = _at_levels(vectors, None, used, axes, False).select("_level", "_cell", F.col("_vid").alias("_list"), F.col("u").alias("_uw"), "_last")
+        asked = _at_levels(queries, F.col("_at"), [], axes, True).withColumnRenamed("u", "_uv")
+        return asked.join(points, ["_level", "_cell"]).where(F.col("_last") > F.col("_key")).withColumn("_r", _dot(F.col("_uv"), F.col("_uw"), dims))
+
+    done: list[DataFrame] = []
+    while used := [r[0] for r in active.select("_at").distinct().collect()]:  # one entry a level
+        best = meet(active, used).groupBy("_vid").agg(F.max(F.round("_r", digits)).alias("_rr"))
+        # All that could round to the best value lies within this distance.
+        reach = F.sqrt(F.greatest(F.lit(0.0), F.lit(2.0) - F.lit(2.0) * (F.col("_rr") - F.lit(10.0 ** -digits))))
+        side = F.lit(2.0) * F.pow(F.lit(4.0), -F.col("_at"))
+        final = (F.col("_at") == 0) | (F.col("_rr").isNotNull() & (reach <= side * (1.0 - 1e-9)))
+        state = active.join(best, "_vid", "left").withColumn("_final", final).checkpoint(eager=True)
+        done.append(state.where(F.col("_final") & F.col("_rr").isNotNull()).drop("_final"))
+        active = state.where(~F.col("_final")).select("_vid", "_key", "u", (F.col("_at") - 1).alias("_at"))
+    if not done:
+        return vectors.select(F.col("_vid").alias("_list"), F.col("_last").alias("_key"), F.lit(0.0).alias("_r")).limit(0)
+    settled = reduce(DataFrame.unionByName, done)
+    ties = meet(settled, levels).where(F.round("_r", digits) == F.col("_rr"))
+    return ties.select("_list", "_key", "_r")
 
 
 def best_correlated_partner(long: DataFrame, entity: str, period: str, value: str,
                             periods: Sequence, digits: int = 9) -> DataFrame:
     """For each entity with a value in every one of ``periods``, the entity
-    with a larger key whose series correlates best (ties: smaller key).
+    with a larger key whose series correlates best (to ``digits`` digits; ties: smaller key).
 
-    ``long`` has one row per (entity, period).  Returns (entity, partner, corr).
-    Entities with identical normalised series (copies) are resolved without
-    pairing the copies with each other (:func:`_copy_group_partners`).
+    ``long`` has one row per (entity, period); keys may be of any ordered type.  Returns (entity, partner, corr); the largest
+    key has no partner.  Entities with one series (copies) are never paired with each other, and only the largest of
+    them searches for other series.
     """
-    n = len(periods)
+    checkpoint_root(long.sparkSession)
     wide = (long.filter(F.col(period).isin(list(periods)))
             .groupBy(entity).pivot(period, list(periods)).agg(F.first(value)))
     cols = [str(p) for p in periods]
-    complete = wide.dropna(subset=cols)
-    checkpoint_root(long.sparkSession)
-    points = unit_series(complete, entity, cols).checkpoint(eager=True)
-    sizes = points.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("u").alias("v")).first()
-    count, n_vectors = int(sizes["n"]), int(sizes["v"])
-    dims = n - 1
-    # Start near the typical spacing of `count` points on the (dims-1)-sphere.
-    area = 2.0 * math.pi ** (dims / 2.0) / math.gamma(dims / 2.0)
-    spacing = (area / max(count, 1)) ** (1.0 / max(dims - 1, 1))
-    start = min(2.0, 2.0 ** math.floor(math.log2(max(spacing, 2.0 ** -12))))
-    if n_vectors == count:
-        best = nearest_larger_partner(points, entity, dims, start, digits)
-    else:
-        copies, last = _copy_group_partners(points, entity, dims, digits)
-        best = copies.unionByName(nearest_larger_partner(points, entity, dims, start, digits, queries=last))
-    return best.select(entity, "partner", F.col("r").alias("corr"))
+    points = unit_series(wide.dropna(subset=cols), entity, cols).withColumnRenamed(entity, "_member").checkpoint(eager=True)
+    dims = len(periods) - 1
+    vectors = points.groupBy("u").agg(F.min("_member").alias("_vid"), F.max("_member").alias("_last"), F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    spread = vectors.agg(*[F.var_pop(F.col("u")[i]).alias(str(i)) for i in range(dims)]).first()
+    axes = sorted(range(dims), key=lambda i: -(spread[i] or 0.0))[:_CELL_DIMS]
+    members = dense_ordinal(points.join(vectors, "u").select("_vid", "_member"), ["_vid"], ["_member"], "_ord").checkpoint(eager=True)
+    found = _partners_at_one(members, vectors, axes, dims, digits)
+    found = found.unionByName(_next_keys(members, _best_vectors(vectors, axes, dims, digits)))
+    best = found.groupBy("_key").agg(F.min(F.struct((-F.round("_r", digits)).alias("n"), F.col("_partner").alias("p"), F.col("_r").alias("r"))).alias("_m"))
+    return best.select(F.col("_key").alias(entity), F.col("_m.p").alias("partner"), F.col("_m.r").alias("corr"))

@@ -126,3 +126,55 @@ def test_dense_cluster_of_distinct_near_copies(spark, monkeypatch):
     for k, (p, r) in expected.items():
         assert got[k][0] == p, (k, got[k], p, r)
         assert got[k][1] == pytest.approx(r, abs=1e-9)
+
+
+def _check(spark, series, years):
+    rows = [(k, y, v) for k, vals in series.items() for y, v in zip(years, vals)]
+    kind = "string" if isinstance(next(iter(series)), str) else "long"
+    df = spark.createDataFrame(rows, f"beat {kind}, year int, n long")
+    got = {r.beat: (r.partner, r.corr) for r in best_correlated_partner(df, "beat", "year", "n", years).collect()}
+    keys = sorted(series)
+    z = np.array([series[k] for k in keys], float)
+    z -= z.mean(axis=1, keepdims=True)
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    r = z @ z.T
+    assert set(got) == set(keys[:-1])
+    for i, a in enumerate(keys[:-1]):
+        rr = np.round(r[i, i + 1:], 9)
+        j = int(np.flatnonzero(rr == rr.max())[0]) + i + 1
+        assert got[a][0] == keys[j], (a, got[a], keys[j], r[i, j])
+        assert got[a][1] == pytest.approx(r[i, j], abs=1e-9)
+
+
+@pytest.mark.parametrize("dense", [1, 8, 64, 10_000])
+def test_ties_do_not_depend_on_the_starting_grid(spark, monkeypatch, dense):
+    # Small counts: many partners tie exactly at the best correlation, at very different distances from cell borders.
+    from colonnade.operators import similarity as sim
+    monkeypatch.setattr(sim, "DENSE_CELL", dense)
+    rnd = random.Random(dense)
+    series = {}
+    while len(series) < 160:
+        vals = [rnd.randint(0, 2) for _ in range(5)]
+        if len(set(vals)) > 1:
+            series[len(series)] = vals
+    # equal up to the tenth digit: ties at nine digits between vectors that differ
+    for i in range(25):
+        series[1000 + i] = [10**6 + i, 3 * 10**6, 2 * 10**6 + 2 * i, 10**6, 5 * 10**6]
+    _check(spark, series, [1, 2, 3, 4, 5])
+
+
+@pytest.mark.parametrize("n_years", [2, 3, 8])
+def test_string_keys_and_other_lengths(spark, n_years):
+    rnd = random.Random(n_years)
+    series = {}
+    while len(series) < 90:
+        vals = [rnd.randint(0, 6) for _ in range(n_years)]
+        if len(set(vals)) > 1:
+            series[f"e{len(series) * 7919 % 1000:04d}x"] = vals
+    _check(spark, series, list(range(n_years)))
+
+
+def test_a_third_of_all_entities_on_one_series(spark):
+    rnd = random.Random(8)
+    series = {k: [3, 9, 4, 7, 5] if k % 3 == 0 else [rnd.randint(0, 30) for _ in range(5)] for k in range(900)}
+    _check(spark, {k: v for k, v in series.items() if len(set(v)) > 1}, [1, 2, 3, 4, 5])
