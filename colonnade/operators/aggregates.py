@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colonnade.functions.scalars import regex_literal
-from colonnade.operators.sequences import dense_ordinal
+from colonnade.operators.sequences import dense_ordinal, descending_keys
 
 
 def _c(col: Column | str) -> Column:
@@ -56,9 +56,10 @@ def collect_series(df: DataFrame, keys: Sequence[str], order: Sequence[str], val
 
 def argmax_per_key(df: DataFrame, key: str, score: str, candidate: str,
                    prefer_smaller: bool = True) -> DataFrame:
-    """Candidate with the highest score per key (ties: smaller candidate)."""
-    tie = -F.col(candidate) if prefer_smaller else F.col(candidate)
-    best = F.max(F.struct(F.col(score).alias("s"), tie.alias("t"), F.col(candidate).alias("c")))
+    """Candidate with the highest score per key (ties: smaller candidate, of any ordered type)."""
+    c = F.col(candidate)
+    tie = descending_keys(c, dict(df.dtypes)[candidate]) if prefer_smaller else [c]
+    best = F.max(F.struct(F.col(score).alias("s"), *[t.alias(f"t{i}") for i, t in enumerate(tie)], c.alias("c")))
     return df.groupBy(key).agg(best.alias("_m")).select(key, F.col("_m.c").alias(candidate),
                                                          F.col("_m.s").alias(score))
 
@@ -90,11 +91,31 @@ def row_counts(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(no_null).alias("n_complete"))
 
 
+def _as_text(name: str, dtype: str) -> Column:
+    """Text that is equal exactly when the values are (null for null)."""
+    c = F.col(name)
+    if dtype in ("float", "double"):
+        return F.when(c == 0, F.lit("0")).otherwise(c.cast("string"))  # 0.0 and -0.0 are one value
+    if dtype == "binary":
+        return F.hex(c)
+    return F.to_json(F.struct(c)) if dtype.startswith(("struct", "array", "map")) else c.cast("string")
+
+
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """A12 in long form, (column_name, n_distinct): rows become (column, value) pairs, which every task deduplicates before
+    one shuffle of distinct values."""
+    types = dict(df.dtypes)
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), _as_text(c, types[c]).alias("v")) for c in df.columns])
+    pairs = df.select(F.explode(cells).alias("_p")).select("_p.column_name", "_p.v").groupBy("column_name", "v").agg(F.lit(1).alias("_one"))
+    return pairs.groupBy("column_name").agg(F.count("v").alias("n_distinct"))
+
+
 def distinct_per_column(df: DataFrame, approx: bool = False, rsd: float = 0.05) -> DataFrame:
-    """Distinct values of every column in one pass."""
+    """Distinct values of every column, one row with a column each."""
     if approx:
         return df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in df.columns])
-    return df.agg(*[F.count_distinct(c).alias(c) for c in df.columns])
+    n = distinct_counts(df)
+    return n.agg(*[F.coalesce(F.max(F.when(F.col("column_name") == c, F.col("n_distinct"))), F.lit(0)).alias(c) for c in df.columns])
 
 
 def first_last_row(df: DataFrame, order: str, cols: Sequence[str] | None = None) -> DataFrame:
@@ -109,10 +130,8 @@ def profile_table(df: DataFrame, order: str) -> DataFrame:
     """A14 (+P7, A10-A13): one row per column: type, rows, nulls, distinct,
     min, max, first, last (values as text).
 
-    Two passes, joined on the column name: exact distinct counts (a hash
-    aggregation over one expanded copy per column) and everything else in a
-    single aggregation.  Mixing both in one aggregate would push the expanded
-    rows through a sort-based aggregation because of the text buffers.
+    Two passes, joined on the column name: exact distinct counts
+    (:func:`distinct_counts`) and everything else in a single aggregation.
     """
     cols = list(df.columns)
     types = dict(df.dtypes)
@@ -121,7 +140,6 @@ def profile_table(df: DataFrame, order: str) -> DataFrame:
         args = ", ".join(f"'{c}', " + ", ".join(f"`{c}__{f}`" for f in fields) for c in cols)
         return wide.selectExpr(*lead, f"stack({len(cols)}, {args}) AS (column_name, {', '.join(fields)})")
 
-    distinct = df.agg(*[F.count_distinct(c).alias(f"{c}__n_distinct") for c in cols])
     stats = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[a for c in cols for a in (
@@ -130,10 +148,9 @@ def profile_table(df: DataFrame, order: str) -> DataFrame:
             F.max(c).cast("string").alias(f"{c}__max_value"),
             F.min_by(c, order).cast("string").alias(f"{c}__first_value"),
             F.max_by(c, order).cast("string").alias(f"{c}__last_value"))])
-    long_distinct = unpivot(distinct, ["n_distinct"], [])
     long_stats = unpivot(stats, ["n_null", "min_value", "max_value", "first_value", "last_value"], ["n_rows"])
     type_col = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c]))])
-    out = long_stats.join(long_distinct, "column_name")
+    out = long_stats.join(distinct_counts(df), "column_name", "left").withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
     return out.select("n_rows", "column_name", type_col[F.col("column_name")].alias("data_type"),
                       "n_null", "n_distinct", "min_value", "max_value", "first_value", "last_value")
 

@@ -73,7 +73,21 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42, with_replac
     return df.sample(withReplacement=with_replacement, fraction=fraction, seed=seed)
 
 
-def hash_sample(df: DataFrame, key: str, percent: int, seed: int = 42) -> DataFrame:
-    """R1 (reproducible): keep rows whose key hashes into the first ``percent``
-    of 100 slots -- the same rows on every run and every partitioning."""
-    return df.filter(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100)) < percent)
+def key_digest(keys: Sequence[str], seed: int = 42) -> Column:
+    """MD5 digits of seed and keys (null: empty), the same in every engine that has MD5."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]))
+
+
+def hash_sample(df: DataFrame, keys: str | Sequence[str], fraction: float, seed: int = 42) -> DataFrame:
+    """R1 (reproducible): rows whose key digest lies in the first ``fraction`` of all digests -- the same rows on every
+    run, partitioning and engine; a larger fraction holds the smaller one's rows."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    if fraction >= 1:
+        return df
+    return df.filter(F.substring(key_digest(keys, seed), 1, 8) < F.lit(f"{int(max(0.0, fraction) * 2 ** 32):08x}"))
+
+
+def fixed_size_sample(df: DataFrame, keys: Sequence[str], k: int, seed: int = 42) -> DataFrame:
+    """R1 (fixed size): the ``k`` rows with the smallest key digests (ties: smaller keys).  Every task keeps its own ``k``
+    and only those are merged."""
+    return df.orderBy(key_digest(keys, seed), *keys).limit(k)

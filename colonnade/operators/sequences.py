@@ -41,7 +41,7 @@ MAX_PIECES = 100_000
 _SAMPLE_PER_PIECE = 64
 
 
-def _flipped(c: Column, dtype: str) -> list[Column]:
+def descending_keys(c: Column, dtype: str) -> list[Column]:
     """Ascending keys that order like ``c`` descending (nulls last)."""
     if dtype in ("tinyint", "smallint", "int", "bigint"):
         keys = [F.bitwise_not(c)]
@@ -73,7 +73,7 @@ def _ordering(df: DataFrame, order: Sequence[str | Column]) -> tuple[list[Column
         if isinstance(item, str) and item.startswith("-") and item not in types:
             c = F.col(item[1:])
             sorts.append(c.desc())
-            keys += _flipped(c, types[item[1:]])
+            keys += descending_keys(c, types[item[1:]])
         else:
             c = F.col(item) if isinstance(item, str) else item
             sorts.append(c.asc())
@@ -81,24 +81,22 @@ def _ordering(df: DataFrame, order: Sequence[str | Column]) -> tuple[list[Column
     return sorts, keys
 
 
-def _splitters(df: DataFrame, keys: Sequence[str], spot: Column, split_rows: int) -> DataFrame:
-    """Per hot group (``keys``) the sorted array ``_sp`` of places where its pieces begin; one row with an empty or full array for
-    ``keys=[]``.  At most ``MAX_PIECES`` places in all."""
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")])
+
+
+def _splitters(df: DataFrame, keys: Sequence[str], place: Column, split_rows: int) -> DataFrame:
+    """Per hot group (``keys``) the sorted array ``_sp`` of places where its pieces begin, at most ``MAX_PIECES`` in all."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
     total = sizes.agg(F.coalesce(F.sum("_cnt"), F.lit(0))).scalar()
     limit = F.greatest(F.lit(split_rows), F.ceil(total / F.lit(MAX_PIECES)))
-    per = F.least(F.lit(_SAMPLE_PER_PIECE), limit)
-    every = F.greatest(F.lit(1), F.floor(limit / F.lit(_SAMPLE_PER_PIECE)))
-    row_hash = F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")])
-    staged = df.select(*keys, F.struct(spot, row_hash).alias("_t"))
-    drawn = F.pmod(F.col("_t.col2"), every) == 0
-    if keys:
-        hot = sizes.where(F.col("_cnt") > limit).select(*keys)
-        sample = staged.alias("l").join(F.broadcast(hot).alias("r"), _null_safe_on("l", "r", keys), "left_semi").where(drawn)
-    else:
-        sample = staged.where(drawn & (total > limit))
+    hot = sizes.withColumn("_limit", limit).where(F.col("_cnt") > F.col("_limit")).select(
+        *keys, F.least(F.lit(_SAMPLE_PER_PIECE), "_limit").alias("_per"), F.greatest(F.lit(1), F.floor(F.col("_limit") / F.lit(_SAMPLE_PER_PIECE))).alias("_every"))
+    staged = df.select(*keys, place.alias("_t"), _row_hash(df).alias("_h"))
+    sample = staged.alias("l").join(F.broadcast(hot).alias("r"), _null_safe_on("l", "r", keys)).select("l.*", "_per", "_every")
+    sample = sample.where(F.pmod(F.col("_h"), F.col("_every")) == 0)
     ranked = sample.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy("_t")))
-    return ranked.where(F.col("_rn") % per == 0).groupBy(*keys).agg(F.sort_array(F.collect_set("_t")).alias("_sp"))
+    return ranked.where(F.col("_rn") % F.col("_per") == 0).groupBy(*keys).agg(F.sort_array(F.collect_set("_t")).alias("_sp"))
 
 
 def _piece(spot: Column) -> Column:
@@ -116,18 +114,19 @@ def _pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], s
     agree.  Rows equal in every column are not parted.
     """
     sorts, ascending = _ordering(df, order)
-    row_hash = F.xxhash64(*[c for c, t in df.dtypes if not t.startswith("map")])
-    spot = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(ascending)])
-    splitters = _splitters(df, keys, spot, split_rows)
-    place = F.struct(spot, row_hash)
-    if keys:
-        small = F.broadcast(splitters).alias("r")
-        on = _null_safe_on("l", "r", keys)
-        tagged, hot = (df.alias("l").join(small, on, how).select("l.*", "r._sp") for how in ("left", "inner"))
-    else:
-        tagged = df.withColumn("_sp", splitters.scalar())
-        hot = tagged.where(F.size("_sp") > 0)
-    return (*(x.withColumn("_piece", _piece(place)).drop("_sp") for x in (tagged, hot)), sorts)
+    # Ties in all order columns are parted by a hash of the row.
+    place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(ascending)], _row_hash(df).alias("h"))
+    splitters = F.broadcast(_splitters(df, keys, place, split_rows)).alias("r")
+    on = _null_safe_on("l", "r", keys)
+    tagged, hot = (df.alias("l").join(splitters, on, how).select("l.*", "r._sp").withColumn("_piece", _piece(place)).drop("_sp")
+                   for how in ("left", "inner"))
+    return tagged, hot, sorts
+
+
+def _grouped(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The rows with a key: for ``keys=[]`` a column that is 0 everywhere, which the optimiser does not know, so
+    that joins on it stay hash joins."""
+    return (df, list(keys)) if keys else (df.withColumn("_all", F.pmod(_row_hash(df), F.lit(1))), ["_all"])
 
 
 def _with_offsets(local: DataFrame, per_piece: DataFrame, keys: Sequence[str], columns: Sequence[str], mine: str, total: str, out: Column) -> DataFrame:
@@ -147,7 +146,8 @@ def dense_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     rows is numbered in one task.  ``order`` should make rows unique inside a group (add an id column); ties are numbered
     arbitrarily.
     """
-    tagged, hot, sorts = _pieces(df, keys, order, split_rows)
+    rows, keys = _grouped(df, keys)
+    tagged, hot, sorts = _pieces(rows, keys, order, split_rows)
     local = tagged.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy(*sorts)))
     sizes = hot.groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_n"))
     number = (F.coalesce(F.col("r._off"), F.lit(0)) + F.col("l._rn")).cast("bigint").alias(out)
@@ -158,7 +158,8 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
                   out: str = "running_total", split_rows: int = SPLIT_ROWS) -> DataFrame:
     """Add ``out`` = sum of ``value`` over rows up to and including this one (by ``order``) within ``keys`` (``keys=[]``:
     over the whole table).  Split like :func:`dense_ordinal`: each piece sums its own rows, the piece totals give the offsets."""
-    tagged, hot, sorts = _pieces(df, keys, order, split_rows)
+    rows, keys = _grouped(df, keys)
+    tagged, hot, sorts = _pieces(rows, keys, order, split_rows)
     inside = Window.partitionBy(*keys, "_piece").orderBy(*sorts).rowsBetween(Window.unboundedPreceding, 0)
     local = tagged.withColumn("_loc", F.sum(value).over(inside))
     totals = hot.groupBy(*keys, "_piece").agg(F.sum(value).alias("_tot"))
@@ -262,9 +263,16 @@ def recursive_smoothing(series: DataFrame, entity: Sequence[str], ordinal: str,
     return decayed_prefix_sum(series, list(entity), ordinal, F.lit(alpha) * F.col(value).cast("double"), 1.0 - alpha, out)
 
 
+def level_factors(rows: DataFrame, keys: Sequence[str], level: str, pct: str, out: str = "factor") -> DataFrame:
+    """Per (``keys``, ``level``) the product over lower levels l of 1 - (sum of ``pct`` at l); 1 at the lowest."""
+    sums = rows.groupBy(*keys, level).agg(F.sum(pct).alias("_plevel"))
+    lower = Window.partitionBy(*keys).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
+    return sums.select(*keys, level, F.coalesce(F.product(F.lit(1.0) - F.col("_plevel")).over(lower), F.lit(1.0)).alias(out))
+
+
 def level_chained_discount(rows: DataFrame, idx: Sequence[str], level: str, pct: str, cost: str,
-                           prev_out: str = "previous_deductions",
-                           disc_out: str = "coupon_discount") -> DataFrame:
+                           prev_out: str = "previous_deductions", disc_out: str = "coupon_discount",
+                           costs: DataFrame | None = None) -> DataFrame:
     """Discounts applied level by level.
 
     A coupon at level ``l`` takes ``pct * (cost - deductions of all lower levels)``;
@@ -276,16 +284,18 @@ def level_chained_discount(rows: DataFrame, idx: Sequence[str], level: str, pct:
     product is a window over the distinct levels of one transaction (a short,
     fixed ladder, however many rows the transaction has); the result is joined
     back on (transaction, level), a join that AQE splits if one key is hot.
+    ``costs`` (``idx``, ``cost``) brings the cost of a transaction from another table: the factors don't need it, so
+    it is joined once, at the end.
     """
     keys = list(idx)
-    level_sums = rows.groupBy(*keys, level).agg(F.sum(pct).alias("_plevel"))
-    lower = Window.partitionBy(*keys).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
-    factors = level_sums.select(
-        *keys, level, F.coalesce(F.product(F.lit(1.0) - F.col("_plevel")).over(lower), F.lit(1.0)).alias("_f"))
-    joined = rows.alias("l").join(factors.alias("r"), _null_safe_on("l", "r", [*keys, level]), "inner")
-    f = F.col("r._f")
+    factors = level_factors(rows, keys, level, pct, "_f")
+    joined = rows.alias("l").join(factors.alias("r"), _null_safe_on("l", "r", [*keys, level]), "inner").select("l.*", "r._f")
+    columns = list(rows.columns)
+    if costs is not None:
+        joined = joined.join(costs.select(*keys, cost), keys)
+        columns.append(cost)
     return joined.select(
-        *[F.col(f"l.{c}") for c in rows.columns],
-        (F.col(f"l.{cost}") * (F.lit(1.0) - f)).alias(prev_out),
-        (F.col(f"l.{pct}") * F.col(f"l.{cost}") * f).alias(disc_out),
+        *columns,
+        (F.col(cost) * (F.lit(1.0) - F.col("_f"))).alias(prev_out),
+        (F.col(pct) * F.col(cost) * F.col("_f")).alias(disc_out),
     )

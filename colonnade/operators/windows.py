@@ -73,6 +73,37 @@ def all_but_latest(df: DataFrame, entity: Sequence[str], order: Sequence[str]) -
     return df.alias("l").join(latest.alias("r"), cond, "left_anti")
 
 
+def mark_last_per_entity(df: DataFrame, entity: Sequence[str], order: Sequence[str], out: str = "is_last") -> DataFrame:
+    """M14 as a column: whether the row is the latest of its entity (``order`` must be unique per entity).  One aggregate
+    per entity, joined back, so no entity has to fit a task."""
+    latest = df.groupBy(*entity).agg(F.max(F.struct(*order)).alias("_m"))
+    cond = F.lit(True)
+    for c in entity:
+        cond = cond & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
+    joined = df.alias("l").join(latest.alias("r"), cond)
+    return joined.select("l.*", F.struct(*[F.col(f"l.{c}") for c in order]).eqNullSafe(F.col("r._m")).alias(out))
+
+
 def split_last_per_entity(df: DataFrame, entity: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(train, test) where test is the latest row of each entity."""
-    return all_but_latest(df, entity, order), latest_per_group(df, entity, order)
+    """(train, test) where test is the latest row of each entity.  Both read one marked frame; persist it
+    (:func:`mark_last_per_entity`) where several actions follow."""
+    marked = mark_last_per_entity(df, entity, order, "_last")
+    return marked.filter(~F.col("_last")).drop("_last"), marked.filter("_last").drop("_last")
+
+
+def calendar_lags(series: DataFrame, entity: Sequence[str], start: str, value: str, lags: Mapping[str, int],
+                  step_days: int = 7, fill=0) -> DataFrame:
+    """W2 by the calendar: for every period of an entity (absent ones between its first and last get ``fill``) the value n
+    periods before; null before the entity's first period.
+
+    Each value is sent to the periods that look back at it and one aggregation by (entity, period) collects them, so
+    lags of any length cost one shuffle and no entity is a window partition.
+    """
+    dense = densify_periods(series.select(*entity, start, value), entity, start, value, f"{step_days} days", fill)
+    names = {"_now": 0, **lags}
+    sent = F.array(*[F.struct(F.lit(name).alias("name"), F.expr(f"{start} + INTERVAL {n * step_days} days").alias("at")) for name, n in names.items()])
+    spread = dense.select(*entity, value, F.explode(sent).alias("_s")).select(*entity, F.col("_s.at").alias(start), F.col("_s.name").alias("_name"), value)
+    got = spread.groupBy(*entity, start).agg(
+        F.count_if(F.col("_name") == "_now").alias("_here"),
+        *[F.max(F.when(F.col("_name") == name, F.col(value))).alias(value if name == "_now" else name) for name in names])
+    return got.filter("_here > 0").drop("_here")

@@ -9,14 +9,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colonnade.functions.predicates import in_range, is_valid_year
+from colonnade.functions.predicates import in_range, in_years, is_valid_year
 from colonnade.functions.scalars import concat_key, period_label
 from colonnade.operators.aggregates import (
     average_of_counts, conditional_count, max_floor_zero, pivot_scaled, population_stddev,
 )
-from colonnade.operators.ordering import range_bucket_partition, top_k
-from colonnade.operators.sequences import level_chained_discount
+from colonnade.operators.ordering import hash_sample, range_bucket_partition, top_k
+from colonnade.operators.sequences import dense_ordinal, level_chained_discount
 from colonnade.operators.similarity import best_correlated_partner
+from colonnade.sources.sinks import write_csv
 
 
 def monthly_average_count(df: DataFrame, date_col: str) -> DataFrame:
@@ -33,11 +34,11 @@ def top_places_recent(df: DataFrame, place: str, year: Column, recent_years: Seq
     return top_k(counts, "n", k, [place], ascending_output=True)
 
 
-def correlated_partners(df: DataFrame, entity: str, year: Column, years: Sequence[int]) -> DataFrame:
+def correlated_partners(df: DataFrame, entity: str, date_col: str, years: Sequence[int]) -> DataFrame:
     """Yearly row counts per entity over ``years``; for every entity with
     all years, the larger-keyed entity with the most correlated counts."""
-    counts = (df.select(F.col(entity), year.alias("_year"))
-              .filter(F.col("_year").isin(list(years)))
+    counts = (df.filter(in_years(df, date_col, years))
+              .select(F.col(entity), F.year(date_col).alias("_year"))
               .groupBy(entity, "_year").agg(F.count(F.lit(1)).alias("_n")))
     best = best_correlated_partner(counts, entity, "_year", "_n", list(years))
     return best.orderBy(F.col("corr").desc(), entity)
@@ -87,13 +88,31 @@ def items_in_year_range(df: DataFrame, title: str, artist: str, value: str, year
     return df.filter(ok).select(concat_key(title, artist).alias("key"), F.col(value).alias("value"))
 
 
-def longest_per_key_bucketed(df: DataFrame, key: str, value: str, year: str | None = None) -> DataFrame:
-    """Max value per key (floor 0), written as five key-range partitions."""
+def longest_per_key_bucketed(df: DataFrame, key: str, value: str, year: str | None = None,
+                             parts_per_bucket: int | str = 1) -> DataFrame:
+    """Max value per key (floor 0) in five key ranges, each of ``parts_per_bucket`` partitions (one: the five
+    reducers of the original job)."""
     rows = df.filter(is_valid_year(year)) if year else df
     best = max_floor_zero(rows, [key], value, "max_value")
-    return range_bucket_partition(best, key)
+    return range_bucket_partition(best, key, parts_per_bucket=parts_per_bucket)
 
 
-def coupon_chain(items: DataFrame, idx: str, level: str, pct: str, cost: str) -> DataFrame:
-    """Level-chained discounts for every coupon row."""
-    return level_chained_discount(items, [idx], level, pct, cost)
+def sample_report(df: DataFrame, path: str, keys: Sequence[str], fraction: float, seed: int = 42) -> None:
+    """A row sample written as one CSV file.  The sample is drawn by the scan's tasks; only its rows go to the one that writes."""
+    write_csv(hash_sample(df, keys, fraction, seed), path, header=True, single_file=True, order_by=keys)
+
+
+def ranked_report(df: DataFrame, path: str, score: str, keys: Sequence[str]) -> None:
+    """A ranked list as text, ``rank<TAB>key<TAB>score``, highest score first (ties: smaller keys), in parts that
+    follow one another in rank order.
+
+    Ranks are global without a global task: range pieces are numbered alone and offset by the sizes of the earlier ones."""
+    ranked = dense_ordinal(df.select(*keys, score), [], [f"-{score}", *keys], "rank")
+    key = F.concat_ws(",", *[F.col(c).cast("string") for c in keys])
+    lines = ranked.repartitionByRange(F.col("rank")).sortWithinPartitions("rank")
+    lines.select(F.concat_ws("\t", F.col("rank").cast("string"), key, F.col(score).cast("string")).alias("value")).write.mode("overwrite").text(path)
+
+
+def coupon_chain(items: DataFrame, idx: str, level: str, pct: str, cost: str, costs: DataFrame | None = None) -> DataFrame:
+    """Level-chained discounts for every coupon row (``costs``: transactions with their cost, if not in ``items``)."""
+    return level_chained_discount(items, [idx], level, pct, cost, costs=costs)

@@ -5,11 +5,11 @@ test; the oracle computes the expected content straight from the tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from colonnade.operators.ordering import bernoulli_sample, range_bucket_partition
+from colonnade.operators.ordering import bernoulli_sample, fixed_size_sample, hash_sample, range_bucket_partition
 from colonnade.plans import jobs
 from colonnade.plans.common import r6, table
 from colonnade.plans.registry import register
@@ -54,6 +54,19 @@ def scan_csv_typed(spark: SparkSession, sf: str) -> DataFrame:
     return back.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
 
 
+@register("scan_csv_zoned", """
+SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS ts, user_id FROM events
+""")
+def scan_csv_zoned(spark: SparkSession, sf: str) -> DataFrame:
+    """S2 as the crime CSV is read: timestamps with the session's zone, by ``timestampFormat``."""
+    e = table(spark, sf, "events").select("event_id", F.date_format("ts", csv_src.EVENT_TIMESTAMP_FORMAT).alias("ts"), "user_id")
+    path = scratch_path(spark, "events-zoned-csv")
+    sinks.write_csv(e, path, header=True)
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampType()), T.StructField("user_id", T.LongType())])
+    back = csv_src.read_csv_typed(spark, path, schema, mode="FAILFAST")
+    return back.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+
+
 @register("scan_text_positional", """
 SELECT CAST(n_nationkey AS VARCHAR) AS key, n_name AS name, CAST(n_regionkey AS VARCHAR) AS region FROM nation
 """)
@@ -118,6 +131,29 @@ def scan_ngram(spark: SparkSession, sf: str) -> DataFrame:
     return read_ngrams(spark, path)
 
 
+@register("scan_ngram_rejects", """
+SELECT COUNT(*) AS n_lines, COUNT(*) FILTER (WHERE l_linenumber = 4) AS n_malformed,
+       COUNT(*) FILTER (WHERE l_linenumber = 6) AS n_bad_numbers,
+       COUNT(*) FILTER (WHERE l_linenumber NOT IN (4, 6)) AS n_good
+FROM lineitem JOIN part ON l_partkey = p_partkey
+""")
+def scan_ngram_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """N-gram lines of which line 4 lacks its last two tokens and line 6 has a word for its volumes; the rejects
+    are counted while the good rows are written."""
+    src = _ngram_source(spark, sf)
+    volumes = F.when(F.col("_ln") == 6, F.lit("many")).otherwise(F.col("volumes").cast("string"))
+    line = F.when(F.col("_ln") == 4, F.concat_ws(" ", "word1", "year")).otherwise(
+        F.concat_ws(" ", "word1", "word2", "year", F.col("occurrences").cast("string"), volumes))
+    path, seen = scratch_path(spark, "ngram-rejects"), Observation("ngram-lines")
+    src.select(line.alias("value")).write.text(path)
+    rows = read_ngrams(spark, path, seen)
+    out = scratch_path(spark, "ngram-parsed")
+    rows.write.parquet(out)
+    counts = seen.get
+    good = spark.read.parquet(out).agg(F.count("volumes").alias("n_good"))
+    return good.select(*[F.lit(counts[c]).cast("bigint").alias(c) for c in ("n_lines", "n_malformed", "n_bad_numbers")], "n_good")
+
+
 # Fixed values of the test mapping: syllables searched in part-name words.
 SYLLABLES = ("ol", "in", "ar")
 
@@ -161,6 +197,21 @@ def ngram_kv_report(spark: SparkSession, sf: str) -> DataFrame:
                        csv_src.split_field("value", 1, "\t").cast("double").alias("value"))
 
 
+@register("ngram_ranked_report", f"""
+WITH g AS ({_NGRAM_SQL}),
+a AS (SELECT word1 AS w, SUM(volumes) AS v FROM g GROUP BY 1)
+SELECT row_number() OVER (ORDER BY v DESC, w) AS rank, w AS key, CAST(v AS BIGINT) AS value FROM a
+""")
+def ngram_ranked_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Words ranked by their volumes, written as rank, key and value and read back."""
+    totals = _ngram_source(spark, sf).groupBy("word1").agg(F.sum("volumes").alias("total"))
+    path = scratch_path(spark, "ranked")
+    jobs.ranked_report(totals, path, "total", ["word1"])
+    back = spark.read.text(path)
+    return back.select(*[csv_src.split_field("value", i, "\t").cast(t).alias(c) for i, (c, t) in enumerate(
+        (("rank", "bigint"), ("key", "string"), ("value", "bigint")))])
+
+
 # Wide "song" CSV derived from parts: 166 columns, title at 0, artist at 2,
 # duration at 3 and year at 165 (1990 + size); the rest is filler.
 _WIDE = 166
@@ -295,6 +346,38 @@ def sample_bernoulli(spark: SparkSession, sf: str) -> DataFrame:
     return csv_src.read_csv_typed(spark, path, schema, timestamp_format=None, mode="FAILFAST")
 
 
+@register("sample_report", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem
+WHERE substr(md5('42|' || l_orderkey || '|' || l_linenumber), 1, 8) < '028f5c28'
+""")
+def sample_report(spark: SparkSession, sf: str) -> DataFrame:
+    """1 % of the rows, by their keys' digests, written as one CSV file and read back."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    path = scratch_path(spark, "sample-report")
+    jobs.sample_report(li, path, ["l_orderkey", "l_linenumber"], 0.01)
+    schema = T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+                           T.StructField("l_partkey", T.LongType()), T.StructField("l_quantity", T.DoubleType())])
+    return csv_src.read_csv_typed(spark, path, schema, timestamp_format=None, mode="FAILFAST")
+
+
+@register("sample_fixed_size", """
+SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+ORDER BY md5('7|' || l_orderkey || '|' || l_linenumber || '|' || l_partkey), l_orderkey, l_linenumber, l_partkey LIMIT 500
+""")
+def sample_fixed_size(spark: SparkSession, sf: str) -> DataFrame:
+    """Exactly 500 rows, those with the smallest key digests."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return fixed_size_sample(li, ["l_orderkey", "l_linenumber", "l_partkey"], 500, seed=7)
+
+
+@register("sample_by_customer", """
+SELECT o_orderkey, o_custkey FROM orders WHERE substr(md5('42|' || o_custkey), 1, 8) < '19999999'
+""")
+def sample_by_customer(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders of a tenth of the customers (a key's rows stay together)."""
+    return hash_sample(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_custkey", 0.1)
+
+
 @register("sample_systematic", """
 SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey % 100 < 1
 """)
@@ -324,3 +407,26 @@ def range_bucket_spread(spark: SparkSession, sf: str) -> DataFrame:
     counts = toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     out = range_bucket_partition(counts, "token", parts_per_bucket=4)
     return out.filter(F.floor(F.spark_partition_id() / 4) == F.col("bucket")).select("token", "n", "bucket")
+
+
+@register("sink_range_buckets", f"""
+SELECT token, p_retailprice AS price, {_BUCKET_SQL} AS bucket
+FROM (SELECT unnest(string_split(p_name, ' ')) AS token, p_retailprice FROM part) t
+""")
+def sink_range_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """K3 as files: every (word, price) row in the folder of its range bucket, read back with the folder's number."""
+    toks = table(spark, sf, "part").select(F.explode(F.split("p_name", " ")).alias("token"), F.col("p_retailprice").alias("price"))
+    path = scratch_path(spark, "range-buckets")
+    sinks.write_range_buckets(toks, path, "token", parts=12)
+    return spark.read.schema("token string, price double, bucket int").csv(path)
+
+
+@register("max_per_key_spread", f"""
+SELECT token AS artist, GREATEST(MAX(p_retailprice), 0.0) AS max_value, {_BUCKET_SQL} AS bucket
+FROM (SELECT unnest(string_split(p_name, ' ')) AS token, p_retailprice FROM part) t GROUP BY token
+""")
+def max_per_key_spread(spark: SparkSession, sf: str) -> DataFrame:
+    """C10 beyond five tasks: three partitions a range, none of which holds two ranges."""
+    p = table(spark, sf, "part").select(F.explode(F.split("p_name", " ")).alias("artist"), "p_retailprice")
+    out = jobs.longest_per_key_bucketed(p, "artist", "p_retailprice", parts_per_bucket=3)
+    return out.filter(F.floor(F.spark_partition_id() / 3) == F.col("bucket"))

@@ -100,8 +100,9 @@ SELECT o_orderkey, CAST(year(o_orderdate) AS BIGINT) AS year FROM orders
 WHERE year(o_orderdate) IN (1996, 1998, 2000)
 """)
 def filter_in_set(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").cast("bigint").alias("year"))
-    return o.filter(pr.in_set("year", [1996, 1998, 2000]))
+    o = table(spark, sf, "orders")
+    kept = o.filter(pr.in_years(o, "o_orderdate", [1996, 1998, 2000]))
+    return kept.select("o_orderkey", F.year("o_orderdate").cast("bigint").alias("year"))
 
 
 @register("filter_having", """
@@ -159,8 +160,17 @@ SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
 WHERE year(o_orderdate) BETWEEN 1997 AND 1999
 """)
 def filter_year_range(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
-    return o.filter(pr.in_range("year", 1997, 1999))
+    o = table(spark, sf, "orders")
+    return o.filter(pr.in_year_range(o, "o_orderdate", 1997, 1999)).select("o_orderkey", F.year("o_orderdate").alias("year"))
+
+
+@register("filter_key_set", """
+SELECT l_orderkey, l_linenumber, l_returnflag FROM lineitem WHERE l_returnflag IN ('A', 'R') AND l_linenumber IN (1, 3, 5)
+""")
+def filter_key_set(spark: SparkSession, sf: str) -> DataFrame:
+    """F3 on plain columns."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    return li.filter(pr.in_set("l_returnflag", ["A", "R"]) & pr.in_set("l_linenumber", [1, 3, 5]))
 
 
 @register("filter_contains_ci", """
@@ -176,8 +186,9 @@ SELECT l_suppkey, COUNT(DISTINCT year(l_shipdate)) AS n_years FROM lineitem
 WHERE year(l_shipdate) BETWEEN 1997 AND 2001 GROUP BY 1 HAVING COUNT(DISTINCT year(l_shipdate)) = 5
 """)
 def filter_complete_series(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem").select("l_suppkey", F.year("l_shipdate").alias("year"))
-    per_year = li.filter(pr.in_range("year", 1997, 2001)).select("l_suppkey", "year").distinct()
+    li = table(spark, sf, "lineitem")
+    in_time = li.filter(pr.in_year_range(li, "l_shipdate", 1997, 2001))
+    per_year = in_time.select("l_suppkey", F.year("l_shipdate").alias("year")).distinct()
     counts = agg.group_count(per_year, ["l_suppkey"], "n_years")
     return counts.filter(F.col("n_years") == 5)
 
@@ -296,7 +307,8 @@ LEFT JOIN (SELECT o_custkey, o_orderkey, o_totalprice FROM orders
 """)
 def join_left(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer").select("c_custkey", "c_name")
-    o = table(spark, sf, "orders").filter((F.year("o_orderdate") == 2001) & (F.col("o_orderstatus") == "F"))
+    o = table(spark, sf, "orders")
+    o = o.filter(pr.in_years(o, "o_orderdate", [2001]) & (F.col("o_orderstatus") == "F"))
     o = o.select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderkey").cast("string").alias("o_orderkey"),
                  "o_totalprice")
     return joins.join_on(c, o, ["c_custkey"], "left")

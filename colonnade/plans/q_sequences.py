@@ -66,6 +66,40 @@ def weekly_lag_features(spark: SparkSession, sf: str) -> DataFrame:
                          *[F.col(c).cast("double").alias(c) for c in ("lag_1", "lag_2", "lag_3")])
 
 
+NATION_WEEKS_SQL = """
+SELECT c_nationkey AS nation, time_bucket(INTERVAL '7 days', o_orderdate, TIMESTAMP '1970-01-01') AS week, COUNT(o_orderkey) AS n
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2
+"""
+
+
+def nation_weeks(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders per nation and week: an entity that stays small however many customers there are."""
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation"))
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate").join(c, "o_custkey")
+    weekly = win.tumbling_count(o, "o_orderdate", ["nation"], "o_orderkey", out="n")
+    return weekly.select("nation", F.col("window.start").alias("week"), "n")
+
+
+YEAR_LAGS = {"lag_1": 1, "lag_2": 2, "lag_52": 52}
+
+
+@register("weekly_lag_year", f"""
+WITH w AS ({NATION_WEEKS_SQL}),
+s AS (SELECT nation, MIN(week) AS lo, MAX(week) AS hi FROM w GROUP BY 1),
+g AS (SELECT nation, unnest(generate_series(lo, hi, INTERVAL 7 DAY)) AS week FROM s),
+d AS (SELECT g.nation, g.week, COALESCE(w.n, 0) AS n FROM g LEFT JOIN w ON g.nation = w.nation AND g.week = w.week)
+SELECT d.nation, strftime(d.week, '%Y-%m-%d %H:%M:%S.%f') AS week_start, d.n,
+       CAST(a.n AS DOUBLE) AS lag_1, CAST(b.n AS DOUBLE) AS lag_2, CAST(y.n AS DOUBLE) AS lag_52
+FROM d LEFT JOIN d a ON a.nation = d.nation AND a.week = d.week - INTERVAL 7 DAY
+LEFT JOIN d b ON b.nation = d.nation AND b.week = d.week - INTERVAL 14 DAY
+LEFT JOIN d y ON y.nation = d.nation AND y.week = d.week - INTERVAL 364 DAY
+""")
+def weekly_lag_year(spark: SparkSession, sf: str) -> DataFrame:
+    """W2 with the one-year lag of the forecast job, by the calendar."""
+    lagged = win.calendar_lags(nation_weeks(spark, sf), ["nation"], "week", "n", YEAR_LAGS)
+    return lagged.select("nation", ts_text("week").alias("week_start"), "n", *[F.col(c).cast("double").alias(c) for c in YEAR_LAGS])
+
+
 @register("latest_per_group", """
 SELECT user_id, event_id, value FROM (
   SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
@@ -144,8 +178,7 @@ def coupon_chain(spark: SparkSession, sf: str) -> DataFrame:
     cost = order total; several line items may share a level."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount")
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_totalprice").alias("cost"))
-    items = li.join(o, "l_orderkey")
-    out = jobs.coupon_chain(items, "l_orderkey", "l_linenumber", "l_discount", "cost")
+    out = jobs.coupon_chain(li, "l_orderkey", "l_linenumber", "l_discount", "cost", costs=o)
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount", "cost",
                       F.round(F.col("previous_deductions") + 1e-7, 4).alias("previous_deductions"),
                       F.round(F.col("coupon_discount") + 1e-7, 4).alias("coupon_discount"))
@@ -168,7 +201,7 @@ def best_correlated_partner(spark: SparkSession, sf: str) -> DataFrame:
     """Suppliers with line items in all five years; for each, the
     larger-keyed supplier whose yearly counts correlate best."""
     li = table(spark, sf, "lineitem")
-    out = jobs.correlated_partners(li, "l_suppkey", F.year("l_shipdate"), CORR_YEARS)
+    out = jobs.correlated_partners(li, "l_suppkey", "l_shipdate", CORR_YEARS)
     return out.select("l_suppkey", "partner", r6("corr").alias("corr"))
 
 

@@ -3,11 +3,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def parse_ngram_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+def parse_ngram_lines(lines: DataFrame, column: str = "value", observation: Observation | None = None) -> DataFrame:
     """Tokenise lines and normalise 1-grams and 2-grams to
     ``(word1, word2, year, occurrences, volumes)``.
 
@@ -15,12 +15,21 @@ def parse_ngram_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     and a leading blank yields one empty first token, which is how the original
     MapReduce mapper tokenises (D2).  Lines with any other token count are
     dropped; numbers that do not parse become null (D4).
+
+    ``observation`` counts them as the rows pass, without a second scan: ``n_lines``, ``n_malformed`` (dropped) and
+    ``n_bad_numbers`` (a number is null); read it after the first action on the result.
     """
     toks = F.split(F.rtrim(F.col(column)), r"\s+")
     two = F.col("_n") == 5
+    shaped = F.col("_n").isin(4, 5)
+    split = lines.select(toks.alias("_t"), F.size(toks).alias("_n"))
+    if observation is not None:
+        numbers = [F.get("_t", F.col("_n") - 2).try_cast("bigint"), F.get("_t", F.col("_n") - 1).try_cast("int")]
+        bad = shaped & (numbers[0].isNull() | numbers[1].isNull())
+        split = split.observe(observation, F.count(F.lit(1)).alias("n_lines"), F.count_if(~F.coalesce(shaped, F.lit(False))).alias("n_malformed"),
+                              F.count_if(bad).alias("n_bad_numbers"))
     return (
-        lines.select(toks.alias("_t"), F.size(toks).alias("_n"))
-        .filter(F.col("_n").isin(4, 5))
+        split.filter(shaped)
         .select(
             F.get("_t", 0).alias("word1"),
             F.when(two, F.get("_t", 1)).alias("word2"),
@@ -31,6 +40,6 @@ def parse_ngram_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def read_ngrams(spark: SparkSession, path: str) -> DataFrame:
+def read_ngrams(spark: SparkSession, path: str, observation: Observation | None = None) -> DataFrame:
     """Scan a folder of n-gram text files and normalise it (S5 + U2)."""
-    return parse_ngram_lines(spark.read.text(path))
+    return parse_ngram_lines(spark.read.text(path), observation=observation)

@@ -105,3 +105,21 @@ def test_degenerate_inputs_give_null_not_errors(spark):
     assert agg.two_sample_t(one, "a", "b").first().t_stat is None
     df = spark.createDataFrame([("r", "p")], "region string, period string")
     assert agg.pivot_scaled(df, "region", "period", {"p": 0.0}).first()["p"] is None
+
+
+def test_argmax_with_string_candidates(spark):
+    from colonnade.operators import aggregates as agg
+    df = spark.createDataFrame([("a", 2.0, "bb"), ("a", 2.0, "b"), ("a", 2.0, "ba"), ("a", 1.0, "a"), ("c", None, "x"), ("d", 1.0, "é"), ("d", 1.0, "z")],
+                               "k string, s double, c string")
+    assert {r.k: r.c for r in agg.argmax_per_key(df, "k", "s", "c").collect()} == {"a": "b", "c": "x", "d": "z"}
+    assert {r.k: r.c for r in agg.argmax_per_key(df, "k", "s", "c", prefer_smaller=False).collect()} == {"a": "bb", "c": "x", "d": "é"}
+
+
+def test_distinct_counts_of_every_type(spark):
+    from colonnade.operators import aggregates as agg
+    df = spark.createDataFrame([(0.0, b"\x00", [1], None, "a"), (-0.0, b"\xff", [1], None, "A"), (float("nan"), b"\xff", [2], None, None)],
+                               "d double, b binary, a array<int>, n int, s string")
+    got = agg.distinct_per_column(df)
+    assert got.first().asDict() == {"d": 2, "b": 2, "a": 2, "n": 0, "s": 2}
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    assert agg.distinct_per_column(df.limit(0)).first().asDict() == dict.fromkeys("dbans", 0)

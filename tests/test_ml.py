@@ -65,3 +65,48 @@ def test_linear_regression_recovers_line(spark):
 def test_auc_single_class_is_null(spark):
     df = spark.createDataFrame([(1.0, 0.3), (1.0, 0.5)], "label double, score double")
     assert ml.area_under_roc(df, "label", "score").first()[0] is None
+
+
+def test_best_split_is_the_tree_s_split(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.choice("xyz"), rnd.choice("pqrs"), rnd.choice(["k", None])) for _ in range(300)]
+    rows = [(a, b, c, float(a == "x") * 3 + rnd.random()) for a, b, c in rows]
+    df = spark.createDataFrame(rows, "a string, b string, c string, y double")
+    got = ml.best_split(df, ["a", "b"], "y").first()
+
+    def sse(v):
+        return sum((x - sum(v) / len(v)) ** 2 for x in v) if v else 0.0
+    want = min((sse([r[3] for r in rows if r[i] == v]) + sse([r[3] for r in rows if r[i] != v]), n, v)
+               for i, n in ((0, "a"), (1, "b")) for v in {r[i] for r in rows})
+    assert (got.feature, got.value) == want[1:] and got.error == pytest.approx(want[0] / 300)
+    assert got.gain == pytest.approx((sse([r[3] for r in rows]) - want[0]) / 300)
+    feats = ml.fit_prep(df, ["a", "b"], []).transform(df)
+    model = ml.random_forest_regressor("y", num_trees=1).setFeatureSubsetStrategy("all").setBootstrap(False).setMaxDepth(1).fit(feats)
+    assert ml.first_split(spark, model, feats) == (got.feature, got.value)
+    assert ml.best_split(df.limit(0), ["a"], "y").count() == 0
+    assert ml.best_split(df.where("a = 'x'"), ["a"], "y").count() == 0  # one value: nothing to part
+
+
+def test_walk_forward_covers_every_period(spark):
+    rows = [(p, "x" if i % 2 else "y", i % 2 if p % 5 else 1) for p in range(3, 34) for i in range(6)]
+    df = spark.createDataFrame(rows, "period int, d string, y int")
+    w = [tuple(r) for r in ml.walk_forward_windows(df, "period", "y", 4, 5).orderBy("start").collect()]
+    starts = [3, 8, 13, 18, 23, 28, 29]
+    assert [r[0] for r in w] == starts and all(r[1] == r[0] + 4 and r[2] == 24 and r[3] == 6 for r in w)
+    covered = {p for s in starts for p in range(s, s + 5)}
+    assert covered == set(range(3, 34))
+    full = ml.walk_forward(df, "period", 4, ["d"], "y").collect()
+    assert [r.start for r in full] == starts
+    assert all(r.accuracy == 1.0 for r in full if r.test_period % 5) and {r.n_test for r in full} == {6}
+    assert ml.walk_forward(df.where("period < 5"), "period", 4, ["d"], "y").count() == 0
+    assert ml.walk_forward(df.where("period not in (7, 12)"), "period", 4, ["d"], "y").where("test_period in (7, 12) and accuracy is null").count() == 2
+
+
+def test_forecast_jobs_report_a_baseline(spark):
+    rows = [(f"n{k}", w, float(10 * k + w % 3), float(10 * k + (w - 1) % 3), w == 29) for k in range(3) for w in range(30)]
+    df = spark.createDataFrame(rows, "nation string, week int, n double, lag_1 double, is_test boolean")
+    metrics, preds = ml.weekly_forecast(df, "is_test", ["nation"], ["lag_1"], "n", "lag_1")
+    got = {r.model: r.value for r in metrics.collect()}
+    assert set(got) == {"naive", "linear", "random_forest"} and got["naive"] == pytest.approx(1.0)
+    assert preds["linear"].count() == 3
+    assert ml.majority_accuracy(spark.createDataFrame([(1,), (1,), (0,)], "y int"), "y").first()[0] == pytest.approx(2 / 3)

@@ -31,9 +31,9 @@ def test_samples_are_subsets_and_reproducible(spark):
     b = ordering.bernoulli_sample(df, 0.01, seed=42)
     assert sorted(r.key for r in a.collect()) == sorted(r.key for r in b.collect())
     assert 100 < a.count() < 320
-    h = ordering.hash_sample(df, "key", 1)
+    h = ordering.hash_sample(df, "key", 0.01)
     assert h.join(df, "key").count() == h.count() and 100 < h.count() < 320
-    assert sorted(r.key for r in h.collect()) == sorted(r.key for r in ordering.hash_sample(df.repartition(7), "key", 1).collect())
+    assert sorted(r.key for r in h.collect()) == sorted(r.key for r in ordering.hash_sample(df.repartition(7), "key", 0.01).collect())
 
 
 def test_union_by_name(spark):
@@ -53,3 +53,25 @@ def test_auto_parts_spread_a_hot_bucket(spark, monkeypatch):
     parts = out.withColumn("p", F.spark_partition_id()).groupBy("p", "bucket").count().collect()
     assert all(r.p // 5 == r.bucket for r in parts)
     assert max(r["count"] for r in parts) < 450
+
+
+def test_fixed_size_and_nested_samples(spark):
+    df = spark.range(3000).withColumnRenamed("id", "key").repartition(7)
+    assert ordering.fixed_size_sample(df, ["key"], 50).count() == 50
+    assert ordering.fixed_size_sample(df, ["key"], 5000).count() == 3000
+    small, large = ({r.key for r in ordering.hash_sample(df, "key", f).collect()} for f in (0.02, 0.2))
+    assert small < large and 450 < len(large) < 750
+    assert ordering.hash_sample(df, "key", 1.0).count() == 3000 and ordering.hash_sample(df, "key", 0.0).count() == 0
+
+
+def test_range_bucket_files_are_written_by_many_tasks(spark, tmp_dir):
+    import glob
+
+    from colonnade.sources import sinks
+    # One key holds nine tenths of the rows: its bucket still spreads.
+    df = spark.range(4000).select(F.when(F.col("id") % 10 > 0, "anvil").otherwise(F.concat(F.lit("z"), F.col("id"))).alias("artist"), "id")
+    sinks.write_range_buckets(df, tmp_dir + "/b", "artist", parts=16)
+    files = glob.glob(tmp_dir + "/b/bucket=0/*.csv")
+    sizes = [sum(1 for _ in open(f)) for f in files]
+    assert len(files) >= 10 and max(sizes) < 1000 and sum(sizes) == 3600
+    assert len(glob.glob(tmp_dir + "/b/bucket=4/*.csv")) >= 1

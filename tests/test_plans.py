@@ -28,8 +28,17 @@ def test_no_cartesian_no_python_rows(spark, name):
     ("filter_sql_text", "LessThanOrEqual(l_quantity"),
     ("filter_nonzero", "Not(EqualTo(l_discount"),
     ("join_left", "EqualTo(o_orderstatus,F)"),
+    ("join_left", "GreaterThanOrEqual(o_orderdate,2001-01-01"),
+    ("join_left", "LessThan(o_orderdate,2002-01-01"),
+    ("filter_in_set", "LessThan(o_orderdate,1997-01-01"),
+    ("filter_year_range", "GreaterThanOrEqual(o_orderdate,1997-01-01"),
+    ("filter_year_range", "LessThan(o_orderdate,2000-01-01"),
+    ("filter_complete_series", "GreaterThanOrEqual(l_shipdate,1997-01-01"),
+    ("filter_complete_series", "LessThan(l_shipdate,2002-01-01"),
+    ("filter_key_set", "In(l_linenumber, [1,3,5])"),
 ])
 def test_filters_reach_the_scan(spark, name, pushed):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # plans are printed whole
     assert pushed in _plan(entry.queries()[name](spark, SF))
 
 

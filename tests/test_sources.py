@@ -2,6 +2,7 @@
 
 import os
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from colonnade.sources import csv as csv_src
@@ -58,6 +59,23 @@ def test_ngram_parse_shapes_and_malformed(spark):
     assert len(got) == 6  # the 3-token line is dropped
 
 
+def test_ngram_rejects_are_observed(spark, tmp_dir):
+    from pyspark.sql import Observation
+    lines = ["nuchi 1999 3 4", "one two three", "word 1999 3 x", "w 1999 y 4", "", "haw chi 2000 5 6", None]
+    df = spark.createDataFrame([(v,) for v in lines], "value string")
+    seen = Observation()
+    assert parse_ngram_lines(df, observation=seen).count() == 4
+    assert seen.get == {"n_lines": 7, "n_malformed": 3, "n_bad_numbers": 2}
+
+
+def test_single_file_keeps_the_scan_parallel_and_sorted(spark, tmp_dir):
+    df = spark.range(0, 1000, 1, 8).withColumn("part", F.spark_partition_id())
+    sinks.write_csv(df, os.path.join(tmp_dir, "o"), single_file=True, order_by=["id"])
+    part = [f for f in os.listdir(os.path.join(tmp_dir, "o")) if f.startswith("part-")]
+    rows = [tuple(map(int, x.split(","))) for x in open(os.path.join(tmp_dir, "o", part[0]))]
+    assert len(part) == 1 and [r[0] for r in rows] == list(range(1000)) and len({r[1] for r in rows}) == 8
+
+
 def test_wide_csv_short_row_is_null_not_error(spark, tmp_dir):
     # F-3: positions 0, 2, 3, 165; a row with too few columns.
     full = ",".join(["t", "x", "artist", "3.5"] + ["f"] * 161 + ["2005"])

@@ -71,3 +71,28 @@ def test_write_range_buckets(spark, tmp_dir):
     out = os.path.join(tmp_dir, "b")
     write_range_buckets(range_bucket_partition(df, "artist"), out, "artist")
     assert sorted(d for d in os.listdir(out) if d.startswith("bucket=")) == [f"bucket={i}" for i in range(5)]
+
+
+def test_calendar_lags_by_week_and_year(spark):
+    import datetime as dt
+
+    from colonnade.operators import windows as win
+    t0 = dt.datetime(2020, 1, 2)
+    have = {0: 5, 1: 6, 3: 7, 52: 8, 55: 9}
+    rows = [("a", t0 + dt.timedelta(days=7 * w), n) for w, n in have.items()] + [("b", t0, 1), (None, t0, 2)]
+    df = spark.createDataFrame(rows, "k string, week timestamp_ntz, n long")
+    got = win.calendar_lags(df, ["k"], "week", "n", {"lag_1": 1, "lag_52": 52}).where("k = 'a'").orderBy("week").collect()
+    full = [have.get(w, 0) for w in range(56)]
+    assert [r.n for r in got] == full
+    assert [r.lag_1 for r in got] == [None, *full[:-1]] and [r.lag_52 for r in got] == [None] * 52 + full[:4]
+    plan = win.calendar_lags(df, ["k"], "week", "n", {"lag_52": 52})._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_mark_last_agrees_with_the_split(spark):
+    from colonnade.operators import windows as win
+    df = spark.createDataFrame([("a", 1, 1), ("a", 2, 1), ("a", 2, 2), ("b", 5, 1), (None, 1, 1), (None, 3, 1)], "k string, t int, id int")
+    marked = win.mark_last_per_entity(df, ["k"], ["t", "id"])
+    assert sorted((str(r.k), r.t, r.id) for r in marked.where("is_last").collect()) == [("None", 3, 1), ("a", 2, 2), ("b", 5, 1)]
+    train, test = win.split_last_per_entity(df, ["k"], ["t", "id"])
+    assert train.count() == 3 and test.count() == 3 and train.columns == df.columns
