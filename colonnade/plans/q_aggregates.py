@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from colonnade.functions.scalars import period_label, prefix
 from colonnade.operators import aggregates as agg
+from colonnade.operators.ordering import distinct_rows
 from colonnade.plans import jobs
 from colonnade.plans.common import r6, table, ts_text
 from colonnade.plans.registry import register
@@ -288,7 +289,7 @@ WHERE length(CAST(year(o_orderdate) AS VARCHAR)) = 4
 """)
 def distinct_years(spark, sf):
     o = table(spark, sf, "orders").select(F.year("o_orderdate").cast("string").alias("year_text"))
-    return o.filter(F.length("year_text") == 4).distinct()
+    return distinct_rows(o.filter(F.length("year_text") == 4))
 
 
 @register("distinct_year_count", """

@@ -25,7 +25,7 @@ FROM events GROUP BY event_type
 """)
 def ml_string_index(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events").select("event_type")
-    indexed = ml.fit_prep(e, ["event_type"], []).transform(e)
+    indexed = ml.fit_prep(e, ["event_type"], [], handle_invalid="error").transform(e)
     return indexed.select("event_type", F.col("event_type_idx").alias("idx")).distinct()
 
 
@@ -39,7 +39,7 @@ def ml_one_hot(spark: SparkSession, sf: str) -> DataFrame:
     """M2: with ``handleInvalid='keep'`` k categories give k slots (the extra
     slot for unseen values is the one dropped as last)."""
     e = table(spark, sf, "events").select("event_type")
-    coded = ml.fit_prep(e, ["event_type"], []).transform(e)
+    coded = ml.fit_prep(e, ["event_type"], [], handle_invalid="error").transform(e)
     out = coded.select("event_type", F.col("event_type_idx").alias("idx"), vector_to_array("event_type_vec").alias("arr")).distinct()
     return out.select("event_type", "idx", (F.array_position("arr", F.lit(1.0)) - 1).cast("int").alias("slot"),
                       F.size("arr").alias("width"))
