@@ -22,6 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from colonnade.llm.text import portable
+
 _SPECIAL = "<|endoftext|>"
 
 
@@ -131,9 +133,9 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", win
                    end_id: int = 1, with_ids: bool = False, encode_factory=encoder) -> DataFrame:
     """One row a piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids)."""
     kind = docs.schema[key].dataType.simpleString()
-    schema = (f"`{key}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    schema = (f"k {portable(kind)}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
               + (", ids array<int>" if with_ids else ""))
-    names = [key, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    names = ["k", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, packer = encode_factory(), LevelPacker(window)
@@ -148,13 +150,14 @@ def pack_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", win
 
         for b in batches:
             done: list[tuple] = []
-            for doc, t in zip(b["k"].astype(object), b["t"]):
+            for doc, t in zip(b["k"], b["t"]):
                 ids = encode(t) if t else []
-                done.extend(packer.add(doc if doc is None or doc == doc else None, np.array([*ids, end_id], dtype=np.uint32)))
+                done.extend(packer.add(doc, np.array([*ids, end_id], dtype=np.uint32)))
                 if len(done) > 20_000:
                     yield frame(done)
                     done = []
             yield frame(done)
         yield frame(list(packer.drain()))
 
-    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, schema)
+    packed = docs.select(F.col(key).cast(portable(kind)).alias("k"), F.col(text).alias("t")).mapInPandas(run, schema)
+    return packed.select(F.col("k").cast(kind).alias(key), *packed.columns[1:])

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colonnade.llm.text import materialise
+from colonnade.llm.text import materialise, portable
 
 KINDS = ("email", "ip", "card", "phone")
 EXTRA = ("phone", "id", "email", "secret")
@@ -171,12 +171,12 @@ def detect_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: t
     """key, n_email, n_ip, n_card, n_phone, base_sha256, found: array<struct<start,ord,kind,end,base>> (and kept columns).
 
     ``found`` holds base and accepted extra spans by start, then kind."""
-    kind_type = docs.schema[key].dataType.simpleString()
-    kept = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
+    names = [key, *keep]
+    kinds = [docs.schema[c].dataType.simpleString() for c in names]
+    carried = [f"_row{i}" for i in range(len(names))]
     span = "struct<start:long,ord:int,kind:string,`end`:long,code:int>"
-    schema = ", ".join([f"`{key}` {kind_type}", *kept, "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string",
+    schema = ", ".join([*(f"{c} {portable(k)}" for c, k in zip(carried, kinds)), "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string",
                         f"spans array<{span}>"])
-    names = [key, *keep]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -191,12 +191,13 @@ def detect_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: t
                           for s, k, e, c in extra_candidates(t, base)]
                 rows.append((*n, hashlib.sha256(said.encode()).hexdigest(), spans))
             out = pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
-            for c in names:
-                out[c] = b[c].array
+            for i, c in enumerate(carried):
+                out.insert(i, c, b[c].array)
             yield out
 
-    cols = [F.col(key), *[F.col(c) for c in keep], F.col(text).alias("_pii_text")]
-    first = materialise(docs.select(*cols).mapInPandas(run, schema), "pii-spans")
+    rows = docs.select(*[F.col(n).cast(portable(k)).alias(c) for n, k, c in zip(names, kinds, carried)], F.col(text).alias("_pii_text"))
+    spans = rows.mapInPandas(run, schema)
+    first = materialise(spans.select(*[F.col(c).cast(k).alias(n) for n, k, c in zip(names, kinds, carried)], *spans.columns[len(names):]), "pii-spans")
     seen = first.select(F.explode("spans.code").alias("c")).where("c >= 0").groupBy("c").agg(F.count(F.lit(1)).alias("n"))
     accepted = fit_votes({r["c"]: r["n"] for r in seen.collect()})  # at most kinds * 27 * 4 feature codes
     ok = F.array(F.lit(-1), *[F.lit(c) for c in sorted(accepted)])

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colonnade.llm.text import byte_words, materialise
+from colonnade.llm.text import byte_words, materialise, portable
 from colonnade.llm.windows import WordHashes, answered, bucket_count, repeated_windows, rolling
 
 
@@ -32,7 +32,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
         ws = byte_words(t)
         return rolling(word_hash(ws), window) if len(ws) >= window else np.zeros(0, np.uint64)
 
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.xxhash64(F.col(key), F.col(text)).alias("row_key"))
+    rows = docs.select(F.col(key).cast(portable(kind)).alias("k"), F.col(text).alias("t"), F.xxhash64(F.col(key), F.col(text)).alias("row_key"))
     told = materialise(repeated_windows(rows, "row_key", "t", hashes, buckets), "repeats")
     joined = rows.join(told, "row_key", "left").select("k", "t", "answers")
 
@@ -56,9 +56,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
                 out.append((len(ws), len(ws) - len(kept), [{"start": s, "end": e} for s, e in spans],
                             hashlib.sha256(body).hexdigest(), *([body.decode("utf-8", "surrogatepass")] if with_text else [])))
             frame = pd.DataFrame(out, columns=["n_words", "n_removed", "intervals", "kept_sha256", *(["kept"] if with_text else [])])
-            frame.insert(0, key, b["k"].array)
+            frame.insert(0, "k", b["k"].array)
             yield frame
 
-    schema = (f"`{key}` {kind}, n_words long, n_removed long, intervals array<struct<start:long,`end`:long>>, kept_sha256 string"
+    schema = (f"k {portable(kind)}, n_words long, n_removed long, intervals array<struct<start:long,`end`:long>>, kept_sha256 string"
               + (", kept string" if with_text else ""))
-    return joined.mapInPandas(cut, schema)
+    done = joined.mapInPandas(cut, schema)
+    return done.select(F.col("k").cast(kind).alias(key), *done.columns[1:])

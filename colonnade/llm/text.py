@@ -25,6 +25,15 @@ def byte_words(text: str | None, lower: bool = False) -> list[bytes]:
     return (raw.lower() if lower else raw).split()
 
 
+_INTEGERS = ("tinyint", "smallint", "int", "bigint")
+
+
+def portable(kind: str) -> str:
+    """The type in which a column of type ``kind`` passes through pandas unchanged: integers next to nulls would become
+    floating there, so they travel as text."""
+    return "string" if kind in _INTEGERS else kind
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write below the shared checkpoint folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
