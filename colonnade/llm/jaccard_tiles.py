@@ -1,14 +1,21 @@
-"""Operator 8: n-gram Jaccard join with size bands, bitmap signatures and exact intersection.
+"""Operator 8: n-gram Jaccard join with size-banded tiles, bitmap signatures and exact intersection.
 
-Sets of word shingles (64-bit hashes).  Equal sets are one class.  Shingles that occur in one class only can
-match nothing: ordered rarest first, a set whose unshared shingles fill its prefix (size - ceil(t * size) + 1) has
-no partner, and the others meet in tiles, one per shared prefix shingle.  In a tile, sets are compared with a hub by
-size band, bitmap bound and exact sorted intersection; linked sets become one component and the next round compares
-only what is still apart.  What several hub rounds leave apart is compared pair by pair across components,
-by the same three steps, so no link between components is lost.
+Sets of word shingles (64-bit hashes).  Equal sets are one class (told by a 128-bit digest of the set).  A set sends its
+prefix, the first size - ceil(t * size) + 1 shingles in an order that is the same for all sets, as two sets that link share one of
+those.  The order puts shingles that are frequent in a bounded sample of sets last and follows the hash otherwise: it
+decides how full tiles get, never what is found.  Shingles sent by one class only go at once.
+
+A tile is a shared shingle and a band of sizes; a set enters the band of its size and the next one, so any two sets that are close
+enough in size meet.  In each tile the sets are compared with a hub: by size, then by a bound on the overlap from the
+bit counts of 512-bit signatures (in the JVM, before any array is moved), then by exact intersection of
+sorted arrays, which are made for the sets that are left only.  Linked sets become one component and the next round compares only what
+is still apart.  What the hub rounds leave apart is compared pair by pair across components by the same three steps, so no link
+between components is lost; that last step grows with the square of a tile of sets that are alike but not linked.
 
 Null and empty texts have no set: size 0, a component of their own.  Texts with fewer words than a shingle have
-their whole sequence as one.  Repeated rows are equal sets.  Empty tables give no rows; only key and text are read.
+their whole sequence as one.  Repeated rows are equal sets.  Rows with a null key take part (links through them count)
+and get the least key of their component, null if there is none; one key on several texts is a row each.  Whole texts are read,
+however long.  Empty tables give no rows; only key and text are read.
 """
 
 from __future__ import annotations
@@ -16,15 +23,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from colonnade.llm.text import byte_words, materialise
-from colonnade.llm.windows import WordHashes, answered, bucket_count, repeated_windows, rolling
+from colonnade.llm.text import Scratch, byte_words, materialise
+from colonnade.llm.windows import WordHashes, rolling
 
 BITS = 512
+# Sets in the sample that the shingle order is taken from, and frequent shingles it may name.
+SAMPLE_SETS, FREQUENT = 20_000, 100_000
 _word_hash = WordHashes()
 
 
@@ -37,29 +48,33 @@ def shingle_set(text: str | None, n: int = 5) -> np.ndarray:
     return h[np.r_[True, h[1:] != h[:-1]]]
 
 
-def set_key(s: np.ndarray) -> int | None:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)) if len(s) else None
-
-
 def signature(s: np.ndarray) -> np.ndarray:
+    """512 bits as eight integers."""
     bits = np.zeros(BITS, np.uint8)
     bits[(s >> np.uint64(20)) % np.uint64(BITS)] = 1
-    return np.packbits(bits)
+    return np.packbits(bits).view(np.int64)
 
 
-def overlap_bound(a: np.ndarray, b: np.ndarray, na: int, nb: int) -> int:
-    """Upper bound of the intersection: a bit that only one set has stands for at least one element the other lacks."""
-    only_a = int(np.bitwise_count(a & ~b).sum())
-    only_b = int(np.bitwise_count(b & ~a).sum())
-    return min(na - only_a, nb - only_b)
+def prefix(s: np.ndarray, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The shingles that the set sends: first the ones not known as frequent, by hash."""
+    send = len(s) - -(-percent * len(s) // 100) + 1
+    if not len(frequent[0]):
+        return s[:send]
+    at = np.minimum(np.searchsorted(frequent[0], s), len(frequent[0]) - 1)
+    weight = np.where(frequent[0][at] == s, frequent[1][at], 0)
+    return s[np.lexsort((s, weight))[:send]]
+
+
+def needed(na: Column, nb: Column, percent: int) -> Column:
+    """Least intersection of sets that link: 100 * i >= percent * (na + nb - i)."""
+    return F.ceil(F.lit(percent) * (na + nb) / F.lit(100 + percent))
 
 
-def linked(a, b, sig_a, sig_b, percent: int) -> bool:
-    na, nb = len(a), len(b)
-    need = -(-percent * (na + nb) // (100 + percent))  # 100 * i >= percent * (na + nb - i)
-    if min(na, nb) < need or overlap_bound(sig_a, sig_b, na, nb) < need:
-        return False
-    return len(np.intersect1d(a, b, assume_unique=True)) >= need
+def overlap_bound(a: Column, b: Column, na: Column, nb: Column) -> Column:
+    """Upper bound of the intersection: a bit that only one set has stands for at least one element the other lacks."""
+    def only(x: Column, y: Column) -> Column:
+        return sum((F.bit_count(x[i].bitwiseAND(F.bitwise_not(y[i]))) for i in range(1, 8)), F.bit_count(x[0].bitwiseAND(F.bitwise_not(y[0]))))
+    return F.least(na - only(a, b), nb - only(b, a))
 
 
 def components(spark: SparkSession, edges: DataFrame, name: str) -> DataFrame:
@@ -97,84 +112,120 @@ def merge(comp: DataFrame, links: DataFrame, name: str) -> DataFrame:
     return materialise(comp.join(moved, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")), f"{name}-merged")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of set keys that link."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in batches:
-            ok = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), np.frombuffer(s, np.uint8), np.frombuffer(t, np.uint8), percent)
-                  for x, y, s, t in zip(p["arr_a"], p["arr_b"], p["sig_a"], p["sig_b"])]
-            yield p.loc[np.array(ok, bool), ["a", "b"]] if len(p) else p[["a", "b"]]
+def _sets(rows: DataFrame, n_keep: int, n: int, fields: list[tuple[str, T.DataType, pa.DataType]], make) -> DataFrame:
+    """The first ``n_keep`` columns and what ``make`` tells of the set of the text in the last one."""
+    schema = T.StructType([*rows.schema.fields[:n_keep], *(T.StructField(c, t) for c, t, _ in fields)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                b = whole.slice(at, 512)
+                made = [make(shingle_set(t.as_py(), n)) for t in b.column(b.num_columns - 1)]
+                new = [pa.array([m[i] for m in made], t) for i, (_, _, t) in enumerate(fields)]
+                yield pa.RecordBatch.from_arrays([*b.columns[:n_keep], *new], names=schema.names)
+    return rows.mapInArrow(run, schema)
+
+
+def frequent_shingles(rows: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted hashes, counts) of at most FREQUENT shingles that occur in at least four of about SAMPLE_SETS different sets."""
+    every = max(1, rows.count() // SAMPLE_SETS)
+    sample = rows.where(F.pmod(F.col("h1"), F.lit(every)) == 0).select("h1", "h2", "t").dropDuplicates(["h1", "h2"]).select("t")
+    listed = _sets(sample, 0, n, [("arr", T.ArrayType(T.LongType()), pa.list_(pa.int64()))], lambda s: (s.view(np.int64),)).distinct()
+    top = (listed.select(F.explode("arr").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("c")).where("c > 3")
+           .orderBy(F.desc("c"), "s").limit(FREQUENT).collect())
+    s, c = np.array([r[0] for r in top], np.int64).view(np.uint64), np.array([r[1] for r in top], np.int64)
+    order = np.argsort(s)
+    return s[order], c[order]
+
+
+def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes whose signatures allow a link."""
+    sides = [classes.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}")) for c in "ab"]
+    both = pairs.join(sides[0], "a").join(sides[1], "b")
+    bound = overlap_bound(F.col("sig_a"), F.col("sig_b"), F.col("n_a"), F.col("n_b"))
+    return both.where(bound >= needed(F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs that link, by intersection of the sorted arrays of the sets in them."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    wanted = scratch.write(classes.join(ids, "cid", "left_semi").select("cid", F.col("at.k").alias("wk"), F.col("at.h1").alias("w1"), F.col("at.h2").alias("w2")), "wanted")
+    on = rows["k"].eqNullSafe(wanted["wk"]) & (rows["h1"] == wanted["w1"]) & (rows["h2"] == wanted["w2"])
+    texts = rows.join(wanted, on).select("cid", "t")
+    arrays = _sets(texts, 1, n, [("arr", T.BinaryType(), pa.binary())], lambda s: (s.tobytes(),)).dropDuplicates(["cid"])
+    arrays = scratch.write(arrays, "arrays", "snappy")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = []
+            for x, y in zip(b.column(2), b.column(3)):
+                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    sa = sets.select(F.col("sk").alias("a"), F.col("arr").alias("arr_a"), F.col("sig").alias("sig_a"))
-    sb = sets.select(F.col("sk").alias("b"), F.col("arr").alias("arr_b"), F.col("sig").alias("sig_b"))
-    return pairs.join(sa, "a").join(sb, "b").mapInPandas(run, "a long, b long")
+    sides = [arrays.select(F.col("cid").alias(c), F.col("arr").alias(f"arr_{c}")) for c in "ab"]
+    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "arr_a", "arr_b").mapInArrow(run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80,
-                       rounds: int = 4, per_bucket: int = 1_500_000) -> DataFrame:
+                       rounds: int = 4) -> DataFrame:
     """key, n_shingles, component_id (least key of the component), class_size (rows with an equal set)."""
     spark = docs.sparkSession
-    kind = docs.schema[key].dataType.simpleString()
-    buckets = bucket_count(docs, text, per_bucket)
-
-    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            sets = [shingle_set(t, n) for t in b["t"]]
-            yield pd.DataFrame({"k": b["k"].array, "n": [len(s) for s in sets],
-                                "sk": pd.array([set_key(s) for s in sets], dtype="Int64")})
-
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    members = materialise(rows.mapInPandas(describe, f"k {kind}, n long, sk long"), "jaccard-members")
-    classes = materialise(members.where("sk is not null").groupBy("sk").agg(F.min("k").alias("rep"), F.count(F.lit(1)).alias("class_size"), F.first("n").alias("n")), "jaccard-classes")
-    # One text per class: the copies need no shuffle of their texts beyond this semi-join.
-    reps = rows.join(classes.where("rep is not null").select(F.col("rep").alias("k"), F.col("sk").alias("row_key")), "k")
-    reps = materialise(reps.select("row_key", "t").dropDuplicates(["row_key"]), "jaccard-reps")
-    told = repeated_windows(reps, "row_key", "t", lambda t: shingle_set(t, n), buckets, with_counts=True)
-
-    def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for sk, t, answers in zip(b["row_key"], b["t"], b["answers"]):
-                s = shingle_set(t, n)
-                pos, seen = answered(s, buckets, answers)
-                left = len(s) - -(-percent * len(s) // 100) + 1 - (len(s) - len(pos))
-                if left <= 0:
-                    continue
-                order = np.lexsort((s[pos], seen))[:left]
-                out.append((sk, len(s), s[pos[order]].astype(np.int64), s.tobytes(), signature(s).tobytes()))
-            yield pd.DataFrame(out, columns=["sk", "n", "tokens", "arr", "sig"])
-
-    sets = materialise(reps.join(told.withColumnRenamed("row_key", "rk"), F.col("row_key") == F.col("rk")).select("row_key", "t", "answers").mapInPandas(
-        prefixes, "sk long, n long, tokens array<long>, arr binary, sig binary"), "jaccard-sets")
-    entries = materialise(sets.select("sk", "n", F.explode("tokens").alias("token")), "jaccard-entries")
-    comp = sets.select(F.col("sk").alias("id"), F.col("sk").alias("comp"))
+    scratch = Scratch(spark, "jaccard")
+    rows = docs.select(F.col(key).alias("k"), F.xxhash64(F.col(text)).alias("h1"), F.xxhash64(F.lit(1), F.col(text)).alias("h2"), F.col(text).alias("t"))
+    frequent = frequent_shingles(rows, n)
+
+    def describe(s: np.ndarray) -> tuple:
+        if not len(s):
+            return 0, None, None, None
+        return len(s), xxhash.xxh3_128_digest(s.tobytes()), signature(s), prefix(s, percent, frequent).view(np.int64)
+
+    longs = T.ArrayType(T.LongType())
+    described = _sets(rows, 3, n, [("n", T.LongType(), pa.int64()), ("sk", T.BinaryType(), pa.binary()), ("sig", longs, pa.list_(pa.int64())),
+                                   ("tokens", longs, pa.list_(pa.int64()))], describe)
+    members = scratch.write(described, "members")
+    # Any row of a class stands for it: its set is the same.
+    classes = members.where("sk is not null").groupBy("sk").agg(
+        F.min("k").alias("rep"), F.count(F.lit(1)).alias("class_size"), F.min(F.struct("k", "h1", "h2", "n", "sig", "tokens")).alias("at"))
+    classes = scratch.write(classes.select(F.monotonically_increasing_id().alias("cid"), "sk", "rep", "class_size", F.struct("at.k", "at.h1", "at.h2").alias("at"),
+                                           "at.n", "at.sig", "at.tokens"), "classes")
+
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9)
+    sent = classes.select("cid", "n", F.explode("tokens").alias("token"))
+    shared = sent.withColumn("_c", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("_c > 1")
+    banded = shared.select("cid", "n", "token", F.explode(F.array(band, band + 1)).alias("band"))
+    tiles = banded.withColumn("_c", F.count(F.lit(1)).over(Window.partitionBy("token", "band"))).where("_c > 1").drop("_c")
+    tiles = scratch.write(tiles, "tiles")
+
+    comp = classes.select(F.col("cid").alias("id"), F.col("cid").alias("comp"))
     tried = spark.createDataFrame([], "a long, b long")
-    for r in range(rounds):
-        at = entries.join(comp, F.col("sk") == F.col("id")).drop("id")
-        # Tiles with one component left have nothing to compare.
-        tile = at.groupBy("token").agg(F.min(F.struct(F.xxhash64("sk", F.lit(r)).alias("o"), "sk", "n", "comp")).alias("hub"),
-                                       F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
-        star = at.join(tile.select("token", "hub"), "token").where(
-            (F.col("comp") != F.col("hub.comp")) & (100 * F.least("n", "hub.n") >= percent * F.greatest("n", "hub.n")))
-        pairs = star.select(F.greatest("sk", "hub.sk").alias("a"), F.least("sk", "hub.sk").alias("b")).distinct()
-        pairs = materialise(pairs.join(tried, ["a", "b"], "left_anti"), f"jaccard-star{r}")
-        found = materialise(_verify(pairs, sets, percent), f"jaccard-links{r}")
+    close = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
+    for r in range(rounds + 1):
+        at = tiles.join(comp, tiles["cid"] == comp["id"]).drop("id")
+        if r < rounds:
+            # Tiles with one component left have nothing to compare.
+            hubs = at.groupBy("token", "band").agg(F.min(F.struct(F.xxhash64("cid", F.lit(r)).alias("o"), "cid", "n", "comp")).alias("h"),
+                                                   F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
+            meet = at.join(hubs.select("token", "band", F.col("h.cid").alias("cid2"), F.col("h.n").alias("n2"), F.col("h.comp").alias("comp2")), ["token", "band"])
+        else:
+            mixed = at.groupBy("token", "band").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("token", "band")
+            left = scratch.write(at.join(mixed, ["token", "band"]), "left")
+            other = left.select("token", "band", F.col("cid").alias("cid2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
+            meet = left.join(other, ["token", "band"]).where("cid > cid2")
+        pairs = meet.where((F.col("comp") != F.col("comp2")) & close).select(F.greatest("cid", "cid2").alias("a"), F.least("cid", "cid2").alias("b")).distinct()
+        pairs = scratch.write(pairs.join(tried, ["a", "b"], "left_anti"), f"pairs{r}")
         tried = tried.unionByName(pairs)
-        if not pairs.limit(1).count():
+        alike = scratch.write(_bounded(pairs, classes, percent), "alike")
+        if pairs.isEmpty():
             break
-        comp = merge(comp, found, f"jaccard-{r}")
-    at = entries.join(comp, F.col("sk") == F.col("id")).drop("id")
-    open_ = at.groupBy("token").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("token")
-    at = materialise(at.join(open_, "token"), "jaccard-open")
-    x, y = at.alias("x"), at.alias("y")
-    rest = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.sk") > F.col("y.sk")) & (F.col("x.comp") != F.col("y.comp"))
-                  & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")))
-    rest = rest.select(F.col("x.sk").alias("a"), F.col("y.sk").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    comp = merge(comp, materialise(_verify(rest, sets, percent), "jaccard-rest"), "jaccard-end")
-    named = classes.join(comp, classes["sk"] == comp["id"], "left").withColumn("comp", F.coalesce("comp", "sk"))
+        if not alike.isEmpty():
+            found = scratch.write(_verified(alike, classes, rows, n, percent, scratch), "links")
+            scratch.drop("wanted", "arrays")
+            comp = merge(comp, found, f"jaccard-{r}")
+    named = classes.join(comp, classes["cid"] == comp["id"])
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    named = materialise(named.join(least, "comp").select("sk", "component_id", "class_size"), "jaccard-named")
-    out = members.join(named, "sk", "left")
+    named = named.join(least, "comp").select("sk", "component_id", "class_size")
+    out = members.select("k", "n", "sk").join(named, "sk", "left")
     return out.select(F.col("k").alias(key), F.col("n").alias("n_shingles"),
                       F.coalesce("component_id", "k").alias("component_id"), F.coalesce("class_size", F.lit(0)).alias("class_size"))

@@ -34,13 +34,36 @@ def portable(kind: str) -> str:
     return "string" if kind in _INTEGERS else kind
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write below the shared checkpoint folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables written below the shared checkpoint folder that go once what follows from them is written."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, name
+        self.paths: dict[str, str] = {}
+
+    def write(self, df: DataFrame, step: str, codec: str = "zstd") -> DataFrame:
+        path = scratch_path(self.spark, f"{self.name}-{step}")
+        df.write.option("compression", codec).parquet(path)
+        self.drop(step)
+        self.paths[step] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *steps: str) -> None:
+        """Delete the tables; no frame that reads them may be used any more."""
+        for step in steps:
+            if path := self.paths.pop(step, None):
+                jvm = self.spark._jvm
+                where = jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def partitions(spark: SparkSession, rows: int, per_task: int) -> int:
     return max(default_parallelism(spark), -(-rows // per_task))

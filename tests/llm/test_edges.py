@@ -44,3 +44,65 @@ def test_urls_and_vectors(spark):
                               "vec_id long, embedding array<double>")
     assert [tuple(r) for r in exact_topk(v, v.where("vec_id = 0")).orderBy("rank").collect()] == [(0, 1, 4, 65536), (0, 2, 5, 65536)]
     assert exact_topk(v.limit(0), v.limit(0)).count() == 0
+
+
+def test_large_ids_next_to_null_ids(spark):
+    big = 2**53 + 1
+    text = "one two three four five six seven mail a.b@c.de"
+    docs = spark.createDataFrame([(big, text), (None, text + " x"), (None, None), (big + 2, "")], "doc_id long, text string").repartition(1)
+    want = {"9007199254740993", "9007199254740995", "None"}
+    for name, out in (("pack", pack_documents(docs)), ("pii", detect_pii(docs, keep=("text",))), ("repeats", remove_repeats(docs)), ("jaccard", jaccard_components(docs))):
+        rows = out.collect()
+        assert {str(r["doc_id"]) for r in rows} == want, name
+        if name == "jaccard":
+            assert {str(r["doc_id"]): str(r["component_id"]) for r in rows}[str(big)] == str(big)
+
+
+def _words(r, size):
+    return [f"w{r.randint(0, 10**6)}" for _ in range(size)]
+
+
+def test_jaccard_null_and_repeated_ids(spark):
+    """A chain through a row without id, and one id on two texts, keep all links."""
+    import random
+    r = random.Random(1)
+    base = _words(r, 100)
+    texts = [" ".join(base), " ".join(base[4:] + _words(r, 4)), " ".join(base[8:] + _words(r, 8))]
+    other = _words(r, 60)
+    rows = [(1, texts[0]), (None, texts[1]), (3, texts[2]), (7, "quite another text with seven words"), (7, " ".join(other)), (9, " ".join(other[2:]))]
+    for part in (rows, rows[::-1]):
+        got = jaccard_components(spark.createDataFrame([(*x, "e", 1) for x in part], "doc_id long, text string, comp string, n int")).collect()
+        assert sorted((str(x["doc_id"]), x["n_shingles"], x["component_id"]) for x in got) == sorted(
+            [("1", 96, 1), ("None", 96, 1), ("3", 96, 1), ("7", 3, 7), ("7", 56, 7), ("9", 54, 7)])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_jaccard_equals_brute_force_on_chains_and_crowded_shingles(spark, seed, monkeypatch):
+    """Sizes at the borders of bands, near copies of near copies, a passage in half of the texts, repeated words."""
+    import importlib.util
+    import os
+    import random
+    spec = importlib.util.spec_from_file_location("llm_brute8", os.path.join(os.path.dirname(__file__), "brute.py"))
+    brute = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(brute)
+    from colonnade.llm import jaccard_tiles
+    if seed == 2:
+        monkeypatch.setattr(jaccard_tiles, "SAMPLE_SETS", 30)
+        monkeypatch.setattr(jaccard_tiles, "FREQUENT", 20)
+    r = random.Random(seed)
+    passage = _words(r, 40)
+    texts = []
+    for _ in range(40):
+        base = _words(r, r.choice([1, 3, 5, 6, 12, 30, 60])) + (passage if r.random() < 0.5 else [])
+        texts.append(base)
+        for _ in range(r.randint(0, 4)):
+            t = list(texts[-1])
+            for _ in range(r.randint(0, 4)):
+                i = r.randrange(len(t) + 1)
+                t[i:i + r.randint(0, 1)] = _words(r, r.randint(0, 1))
+            texts.append(t)
+    texts += [["a"] * k for k in (4, 5, 6, 30)] + [[], ["A", "b"], ["a", "B"]]
+    docs = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    r.shuffle(docs)
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == dict(zip([d for d, _ in docs], brute.op8([d for d, _ in docs], [t for _, t in docs])))
