@@ -36,6 +36,8 @@ from colonnade.llm.windows import WordHashes, rolling
 BITS = 512
 # Sets in the sample that the shingle order is taken from, and frequent shingles it may name.
 SAMPLE_SETS, FREQUENT = 20_000, 100_000
+# Pairs of one centre that one group verifies.
+GROUP = 2_000
 _word_hash = WordHashes()
 
 
@@ -147,25 +149,43 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
-    """Pairs that link, by intersection of the sorted arrays of the sets in them."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    wanted = scratch.write(classes.join(ids, "cid", "left_semi").select("cid", F.col("at.k").alias("wk"), F.col("at.h1").alias("w1"), F.col("at.h2").alias("w2")), "wanted")
-    on = rows["k"].eqNullSafe(wanted["wk"]) & (rows["h1"] == wanted["w1"]) & (rows["h2"] == wanted["w2"])
-    texts = rows.join(wanted, on).select("cid", "t")
-    arrays = _sets(texts, 1, n, [("arr", T.BinaryType(), pa.binary())], lambda s: (s.tobytes(),)).dropDuplicates(["cid"])
-    arrays = scratch.write(arrays, "arrays", "snappy")
+    """Pairs that link, by intersection of the sorted arrays of the sets in them.
+
+    Of the two, the set with more pairs is the centre; its array goes once to each of its groups (of about GROUP pairs), the other one's once
+    per pair.  A group's rows arrive in order, the centre first, so a task holds two arrays at a time."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("d"))
+    counted = pairs.join(ends.select(F.col("c").alias("a"), F.col("d").alias("da")), "a").join(ends.select(F.col("c").alias("b"), F.col("d").alias("db")), "b")
+    first = (F.col("da") > F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
+    other = F.when(first, F.col("b")).otherwise(F.col("a"))
+    meets = counted.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("centre"), other.alias("cid"),
+                           F.pmod(F.xxhash64(other), F.ceil(F.greatest("da", "db") / GROUP)).alias("salt"))
+    roles = meets.select("cid", F.struct("centre", "salt", F.lit(1).alias("role")).alias("r")).unionByName(
+        meets.select("centre", "salt").distinct().select(F.col("centre").alias("cid"), F.struct("centre", "salt", F.lit(0).alias("role")).alias("r")))
+    roles = roles.groupBy("cid").agg(F.collect_list("r").alias("roles"))
+    place = classes.select("cid", F.coalesce(F.col("at.k").cast("string"), F.lit("")).alias("w0"), F.col("at.h1").alias("w1"), F.col("at.h2").alias("w2"))
+    wanted = scratch.write(roles.join(place, "cid"), "wanted")
+    texts = rows.select(F.coalesce(F.col("k").cast("string"), F.lit("")).alias("w0"), F.col("h1").alias("w1"), F.col("h2").alias("w2"), "t")
+    found = texts.join(wanted, ["w0", "w1", "w2"]).dropDuplicates(["w0", "w1", "w2"]).select("cid", "roles", "t")
+    arrays = _sets(found, 2, n, [("arr", T.BinaryType(), pa.binary())], lambda s: (s.tobytes(),))
+    dealt = arrays.select("cid", F.explode("roles").alias("r"), "arr").select("r.centre", "r.salt", "r.role", "cid", "arr")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, hub = None, np.zeros(0, np.uint64)
         for b in batches:
-            ok = []
-            for x, y in zip(b.column(2), b.column(3)):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
-
-    sides = [arrays.select(F.col("cid").alias(c), F.col("arr").alias(f"arr_{c}")) for c in "ab"]
-    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "arr_a", "arr_b").mapInArrow(run, "a long, b long")
+            out = []
+            for centre, salt, role, cid, arr in zip(*(c.to_pylist() for c in b.columns[:4]), b.column(4)):
+                s = np.frombuffer(arr.as_py(), np.uint64)
+                if role == 0:
+                    group, hub = (centre, salt), s.copy()
+                    continue
+                if group != (centre, salt):
+                    raise RuntimeError("a group arrived without its centre")
+                both = len(np.intersect1d(hub, s, assume_unique=True))
+                if 100 * both >= percent * (len(hub) + len(s) - both):
+                    out.append((centre, cid))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in range(2)], names=["a", "b"])
+
+    return dealt.repartition("centre", "salt").sortWithinPartitions("centre", "salt", "role").mapInArrow(run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80,
@@ -184,19 +204,23 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     longs = T.ArrayType(T.LongType())
     described = _sets(rows, 3, n, [("n", T.LongType(), pa.int64()), ("sk", T.BinaryType(), pa.binary()), ("sig", longs, pa.list_(pa.int64())),
                                    ("tokens", longs, pa.list_(pa.int64()))], describe)
-    members = scratch.write(described, "members")
+    described = scratch.write(described, "described")
     # Any row of a class stands for it: its set is the same.
-    classes = members.where("sk is not null").groupBy("sk").agg(
+    classes = described.where("sk is not null").groupBy("sk").agg(
         F.min("k").alias("rep"), F.count(F.lit(1)).alias("class_size"), F.min(F.struct("k", "h1", "h2", "n", "sig", "tokens")).alias("at"))
-    classes = scratch.write(classes.select(F.monotonically_increasing_id().alias("cid"), "sk", "rep", "class_size", F.struct("at.k", "at.h1", "at.h2").alias("at"),
-                                           "at.n", "at.sig", "at.tokens"), "classes")
+    sending = scratch.write(classes.select(F.monotonically_increasing_id().alias("cid"), "sk", "rep", "class_size", F.struct("at.k", "at.h1", "at.h2").alias("at"),
+                                           "at.n", "at.sig", "at.tokens"), "sending")
+    members = scratch.write(described.select("k", "n", "sk"), "members")
+    scratch.drop("described")
 
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9)
-    sent = classes.select("cid", "n", F.explode("tokens").alias("token"))
+    sent = sending.select("cid", "n", F.explode("tokens").alias("token"))
     shared = sent.withColumn("_c", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("_c > 1")
     banded = shared.select("cid", "n", "token", F.explode(F.array(band, band + 1)).alias("band"))
     tiles = banded.withColumn("_c", F.count(F.lit(1)).over(Window.partitionBy("token", "band"))).where("_c > 1").drop("_c")
     tiles = scratch.write(tiles, "tiles")
+    classes = scratch.write(sending.drop("tokens"), "classes")
+    scratch.drop("sending")
 
     comp = classes.select(F.col("cid").alias("id"), F.col("cid").alias("comp"))
     tried = spark.createDataFrame([], "a long, b long")
@@ -221,7 +245,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
             break
         if not alike.isEmpty():
             found = scratch.write(_verified(alike, classes, rows, n, percent, scratch), "links")
-            scratch.drop("wanted", "arrays")
+            scratch.drop("wanted")
             comp = merge(comp, found, f"jaccard-{r}")
     named = classes.join(comp, classes["cid"] == comp["id"])
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))

@@ -69,7 +69,7 @@ def test_jaccard_null_and_repeated_ids(spark):
     base = _words(r, 100)
     texts = [" ".join(base), " ".join(base[4:] + _words(r, 4)), " ".join(base[8:] + _words(r, 8))]
     other = _words(r, 60)
-    rows = [(1, texts[0]), (None, texts[1]), (3, texts[2]), (7, "quite another text with seven words"), (7, " ".join(other)), (9, " ".join(other[2:]))]
+    rows = [(1, texts[0]), (None, texts[1]), (3, texts[2]), (7, "and quite another text with seven words"), (7, " ".join(other)), (9, " ".join(other[2:]))]
     for part in (rows, rows[::-1]):
         got = jaccard_components(spark.createDataFrame([(*x, "e", 1) for x in part], "doc_id long, text string, comp string, n int")).collect()
         assert sorted((str(x["doc_id"]), x["n_shingles"], x["component_id"]) for x in got) == sorted(
@@ -89,6 +89,7 @@ def test_jaccard_equals_brute_force_on_chains_and_crowded_shingles(spark, seed,
     if seed == 2:
         monkeypatch.setattr(jaccard_tiles, "SAMPLE_SETS", 30)
         monkeypatch.setattr(jaccard_tiles, "FREQUENT", 20)
+        monkeypatch.setattr(jaccard_tiles, "GROUP", 2)
     r = random.Random(seed)
     passage = _words(r, 40)
     texts = []
