@@ -7,8 +7,8 @@ decides how full tiles get, never what is found.  Shingles sent by one class onl
 
 A tile is a shared shingle and a band of sizes; a set enters the band of its size and the next one, so any two sets that are close
 enough in size meet.  In each tile the sets are compared with a hub: by size, then by a bound on the overlap from the
-bit counts of 512-bit signatures (in the JVM, before any array is moved), then by exact intersection of
-sorted arrays, which are made for the sets that are left only.  Linked sets become one component and the next round compares only what
+bit counts of 512-bit signatures (in the JVM, before any text is moved), then by exact intersection of
+sorted arrays, which are made for the pairs that are left only.  Linked sets become one component and the next round compares only what
 is still apart.  What the hub rounds leave apart is compared pair by pair across components by the same three steps, so no link
 between components is lost; that last step grows with the square of a tile of sets that are alike but not linked.
 
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,8 +152,9 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs that link, by intersection of the sorted arrays of the sets in them.
 
-    Of the two, the set with more pairs is the centre; its array goes once to each of its groups (of about GROUP pairs), the other one's once
-    per pair.  A group's rows arrive in order, the centre first, so a task holds two arrays at a time."""
+    Of the two, the set with more pairs is the centre; its text goes once to each of its groups (of about GROUP pairs), the
+    other one's once per pair.  Texts go compressed, which takes about a quarter of their arrays; the arrays are made where they
+    are compared.  A group's rows arrive in order, the centre first, so a task holds two arrays at a time."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("d"))
     counted = pairs.join(ends.select(F.col("c").alias("a"), F.col("d").alias("da")), "a").join(ends.select(F.col("c").alias("b"), F.col("d").alias("db")), "b")
     first = (F.col("da") > F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
@@ -166,17 +168,24 @@ def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, n: int, per
     wanted = scratch.write(roles.join(place, "cid"), "wanted")
     texts = rows.select(F.coalesce(F.col("k").cast("string"), F.lit("")).alias("w0"), F.col("h1").alias("w1"), F.col("h2").alias("w2"), "t")
     found = texts.join(wanted, ["w0", "w1", "w2"]).dropDuplicates(["w0", "w1", "w2"]).select("cid", "roles", "t")
-    arrays = _sets(found, 2, n, [("arr", T.BinaryType(), pa.binary())], lambda s: (s.tobytes(),))
-    dealt = arrays.select("cid", F.explode("roles").alias("r"), "arr").select("r.centre", "r.salt", "r.role", "cid", "arr")
+    packed_schema = T.StructType([*found.schema.fields[:2], T.StructField("body", T.BinaryType())])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                b = whole.slice(at, 512)
+                bodies = [squeeze.compress(t.as_py().encode("utf-8", "surrogatepass")) for t in b.column(2)]
+                yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(bodies, pa.binary())], names=packed_schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, hub = None, np.zeros(0, np.uint64)
+        group, hub, loosen = None, np.zeros(0, np.uint64), zstandard.ZstdDecompressor()
         for b in batches:
             out = []
-            for centre, salt, role, cid, arr in zip(*(c.to_pylist() for c in b.columns[:4]), b.column(4)):
-                s = np.frombuffer(arr.as_py(), np.uint64)
+            for centre, salt, role, cid, body in zip(*(c.to_pylist() for c in b.columns[:4]), b.column(4)):
+                s = shingle_set(loosen.decompress(body.as_py()).decode("utf-8", "surrogatepass"), n)
                 if role == 0:
-                    group, hub = (centre, salt), s.copy()
+                    group, hub = (centre, salt), s
                     continue
                 if group != (centre, salt):
                     raise RuntimeError("a group arrived without its centre")
@@ -185,6 +194,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, n: int, per
                     out.append((centre, cid))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in range(2)], names=["a", "b"])
 
+    dealt = found.mapInArrow(pack, packed_schema).select("cid", F.explode("roles").alias("r"), "body").select("r.centre", "r.salt", "r.role", "cid", "body")
     return dealt.repartition("centre", "salt").sortWithinPartitions("centre", "salt", "role").mapInArrow(run, "a long, b long")
 
 
