@@ -6,11 +6,12 @@ those.  The order puts shingles that are frequent in a bounded sample of sets la
 decides how full tiles get, never what is found.  Shingles sent by one class only go at once.
 
 A tile is a shared shingle and a band of sizes; a set enters the band of its size and the next one, so any two sets that are close
-enough in size meet.  In each tile the sets are compared with a hub: by size, then by a bound on the overlap from the
-bit counts of 512-bit signatures (in the JVM, before any text is moved), then by exact intersection of
-sorted arrays, which are made for the pairs that are left only.  Linked sets become one component and the next round compares only what
-is still apart.  What the hub rounds leave apart is compared pair by pair across components by the same three steps, so no link
-between components is lost; that last step grows with the square of a tile of sets that are alike but not linked.
+enough in size meet.  First each tile's sets are compared with a hub, the set whose shingles are shared most (an original
+rather than one of its copies), in two rounds; linked sets become one component.  In tiles that still hold several components all
+sets of different ones are compared, inside a task and without making rows of them (large tiles by blocks).  A comparison
+goes by size, then by a bound on the overlap from the bit counts of signatures, hashed bitmaps of two to four bits a
+shingle, then by exact intersection of sorted arrays, which are made for the pairs that are left only; so no link between components is
+lost.  The bit counts of one tile grow with the square of the sets in it that are alike but not linked.
 
 Null and empty texts have no set: size 0, a component of their own.  Texts with fewer words than a shingle have
 their whole sequence as one.  Repeated rows are equal sets.  Rows with a null key take part (links through them count)
@@ -34,7 +35,10 @@ from pyspark.sql.window import Window
 from colonnade.llm.text import Scratch, byte_words, materialise
 from colonnade.llm.windows import WordHashes, rolling
 
+# Least bits of a signature; larger sets have two to four bits a shingle.
 BITS = 512
+# Sets of a tile that one task compares with one another at once.
+BLOCK = 4_096
 # Sets in the sample that the shingle order is taken from, and frequent shingles it may name.
 SAMPLE_SETS, FREQUENT = 20_000, 100_000
 # Pairs of one centre that one group verifies.
@@ -52,12 +56,34 @@ def shingle_set(text: str | None, n: int = 5) -> np.ndarray:
 
 
 def signature(s: np.ndarray) -> np.ndarray:
-    """512 bits as eight integers."""
-    bits = np.zeros(BITS, np.uint8)
-    bits[(s >> np.uint64(20)) % np.uint64(BITS)] = 1
+    """Bits (a power of two of them) as integers of 64; halves laid over each other give the signature of half the length."""
+    size = max(BITS, 1 << (2 * len(s) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(s >> np.uint64(20)) % np.uint64(size)] = 1
     return np.packbits(bits).view(np.int64)
 
 
+def fold(sig: np.ndarray, size: int) -> np.ndarray:
+    while len(sig) > size:
+        sig = sig[:len(sig) // 2] | sig[len(sig) // 2:]
+    return sig
+
+
+def bounded_pairs(n: np.ndarray, comp: np.ndarray, sigs: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, js > i): sets of different components that size and bit counts allow to link."""
+    width = min(map(len, sigs))
+    mat = np.stack([fold(s, width) for s in sigs]).view(np.uint64)  # counts of signed integers are of their magnitude
+    for i in range(len(n) - 1):
+        js = np.arange(i + 1, len(n))
+        js = js[(comp[js] != comp[i]) & (100 * np.minimum(n[i], n[js]) >= percent * np.maximum(n[i], n[js]))]
+        if len(js):
+            mine, others = mat[i], mat[js]
+            most = np.minimum(n[i] - np.bitwise_count(mine & ~others).sum(axis=1).astype(np.int64), n[js] - np.bitwise_count(others & ~mine).sum(axis=1).astype(np.int64))
+            js = js[(100 + percent) * most >= percent * (n[i] + n[js])]
+            if len(js):
+                yield i, js
+
+
 def prefix(s: np.ndarray, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """The shingles that the set sends: first the ones not known as frequent, by hash."""
     send = len(s) - -(-percent * len(s) // 100) + 1
@@ -74,10 +100,15 @@ def needed(na: Column, nb: Column, percent: int) -> Column:
 
 
 def overlap_bound(a: Column, b: Column, na: Column, nb: Column) -> Column:
-    """Upper bound of the intersection: a bit that only one set has stands for at least one element the other lacks."""
+    """Upper bound of the intersection: a bit that only one set has stands for at least one element the other lacks.  Of two
+    lengths the longer signature is folded (sets that are close in size differ by one halving)."""
+    def folded(x: Column, y: Column) -> Column:
+        half = F.size(y)
+        return F.when(F.size(x) > half, F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseOR(q))).otherwise(x)
+
     def only(x: Column, y: Column) -> Column:
-        return sum((F.bit_count(x[i].bitwiseAND(F.bitwise_not(y[i]))) for i in range(1, 8)), F.bit_count(x[0].bitwiseAND(F.bitwise_not(y[0]))))
-    return F.least(na - only(a, b), nb - only(b, a))
+        return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda t, v: t + v)
+    return F.least(na - only(folded(a, b), folded(b, a)), nb - only(folded(b, a), folded(a, b)))
 
 
 def components(spark: SparkSession, edges: DataFrame, name: str) -> DataFrame:
@@ -149,6 +180,50 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.where(bound >= needed(F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
+def _open_pairs(left: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets of different components that meet in a tile (token, band, cid, n, comp; ``m`` sets in the tile) and that size and bit
+    counts allow to link.  Tiles of more than BLOCK sets are dealt as pairs of blocks."""
+    blocks = F.ceil(F.col("m") / BLOCK)
+    mine = F.pmod(F.xxhash64("cid"), blocks)
+    spread = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda j: F.struct(F.least(mine, j).alias("lo"), F.greatest(mine, j).alias("hi")))
+    rows = left.select("token", "band", "cid", "n", "comp", F.explode(spread).alias("g")).join(classes.select("cid", "sig"), "cid")
+    rows = rows.select("token", "band", F.col("g.lo").alias("lo"), F.col("g.hi").alias("hi"), "cid", "n", "comp", "sig")
+
+    def compare(group: list) -> list[tuple[int, int]]:
+        if len(group) < 2:
+            return []
+        cid, n, comp, sig = zip(*group)
+        cid = np.array(cid)
+        out = []
+        for i, js in bounded_pairs(np.array(n), np.array(comp), list(sig), percent):
+            out.extend((int(max(cid[i], c)), int(min(cid[i], c))) for c in cid[js])
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, group, seen, found = None, [], set(), []
+
+        def batch(pairs: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in range(2)], names=["a", "b"])
+
+        for b in batches:
+            keys = list(zip(*(c.to_pylist() for c in b.columns[:4])))
+            sigs, ends = np.asarray(b.column(7).flatten()), np.cumsum(np.asarray(b.column(7).value_lengths()))
+            starts = np.concatenate([[0], ends[:-1]])
+            for i, (cid, n, comp) in enumerate(zip(*(c.to_pylist() for c in b.columns[4:7]))):
+                if keys[i] != at:
+                    found += [p for p in compare(group) if p not in seen]
+                    at, group = keys[i], []
+                group.append((cid, n, comp, sigs[starts[i]:ends[i]].copy()))
+            if found:
+                yield batch(found)
+                seen = set(found) if len(seen) > 1 << 18 else seen | set(found)  # spares repeats; all are removed later
+                found = []
+        yield batch(compare(group))
+
+    dealt = rows.repartition("token", "band", "lo", "hi").sortWithinPartitions("token", "band", "lo", "hi")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
 def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, n: int, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs that link, by intersection of the sorted arrays of the sets in them.
 
@@ -199,7 +274,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, n: int, per
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80,
-                       rounds: int = 4) -> DataFrame:
+                       rounds: int = 2) -> DataFrame:
     """key, n_shingles, component_id (least key of the component), class_size (rows with an equal set)."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
@@ -226,8 +301,9 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9)
     sent = sending.select("cid", "n", F.explode("tokens").alias("token"))
     shared = sent.withColumn("_c", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("_c > 1")
-    banded = shared.select("cid", "n", "token", F.explode(F.array(band, band + 1)).alias("band"))
-    tiles = banded.withColumn("_c", F.count(F.lit(1)).over(Window.partitionBy("token", "band"))).where("_c > 1").drop("_c")
+    scored = shared.withColumn("score", F.sum("_c").over(Window.partitionBy("cid")) / F.col("n"))
+    banded = scored.select("cid", "n", "score", "token", F.explode(F.array(band, band + 1)).alias("band"))
+    tiles = banded.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("token", "band"))).where("m > 1")
     tiles = scratch.write(tiles, "tiles")
     classes = scratch.write(sending.drop("tokens"), "classes")
     scratch.drop("sending")
@@ -237,22 +313,18 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     close = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
     for r in range(rounds + 1):
         at = tiles.join(comp, tiles["cid"] == comp["id"]).drop("id")
+        # Tiles with one component left have nothing to compare.
+        best = F.struct("score", F.xxhash64("cid").alias("o"), "cid", "n", "comp") if r == 0 else F.struct(F.xxhash64("cid", F.lit(r)).alias("o"), "cid", "n", "comp")
+        hubs = at.groupBy("token", "band").agg(F.max(best).alias("h"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
         if r < rounds:
-            # Tiles with one component left have nothing to compare.
-            hubs = at.groupBy("token", "band").agg(F.min(F.struct(F.xxhash64("cid", F.lit(r)).alias("o"), "cid", "n", "comp")).alias("h"),
-                                                   F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
             meet = at.join(hubs.select("token", "band", F.col("h.cid").alias("cid2"), F.col("h.n").alias("n2"), F.col("h.comp").alias("comp2")), ["token", "band"])
+            pairs = meet.where((F.col("comp") != F.col("comp2")) & close).select(F.greatest("cid", "cid2").alias("a"), F.least("cid", "cid2").alias("b")).distinct()
+            pairs = scratch.write(pairs.join(tried, ["a", "b"], "left_anti"), f"pairs{r}")
+            tried = tried.unionByName(pairs)
+            alike = scratch.write(_bounded(pairs, classes, percent), "alike")
         else:
-            mixed = at.groupBy("token", "band").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("token", "band")
-            left = scratch.write(at.join(mixed, ["token", "band"]), "left")
-            other = left.select("token", "band", F.col("cid").alias("cid2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
-            meet = left.join(other, ["token", "band"]).where("cid > cid2")
-        pairs = meet.where((F.col("comp") != F.col("comp2")) & close).select(F.greatest("cid", "cid2").alias("a"), F.least("cid", "cid2").alias("b")).distinct()
-        pairs = scratch.write(pairs.join(tried, ["a", "b"], "left_anti"), f"pairs{r}")
-        tried = tried.unionByName(pairs)
-        alike = scratch.write(_bounded(pairs, classes, percent), "alike")
-        if pairs.isEmpty():
-            break
+            left = at.join(hubs.select("token", "band"), ["token", "band"])
+            alike = scratch.write(_open_pairs(left, classes, percent).join(tried, ["a", "b"], "left_anti"), "alike")
         if not alike.isEmpty():
             found = scratch.write(_verified(alike, classes, rows, n, percent, scratch), "links")
             scratch.drop("wanted")

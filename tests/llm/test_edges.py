@@ -90,6 +90,8 @@ def test_jaccard_equals_brute_force_on_chains_and_crowded_shingles(spark, seed,
         monkeypatch.setattr(jaccard_tiles, "SAMPLE_SETS", 30)
         monkeypatch.setattr(jaccard_tiles, "FREQUENT", 20)
         monkeypatch.setattr(jaccard_tiles, "GROUP", 2)
+        monkeypatch.setattr(jaccard_tiles, "BLOCK", 2)
+        monkeypatch.setattr(jaccard_tiles, "BITS", 64)
     r = random.Random(seed)
     passage = _words(r, 40)
     texts = []
@@ -107,3 +109,22 @@ def test_jaccard_equals_brute_force_on_chains_and_crowded_shingles(spark, seed,
     r.shuffle(docs)
     got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert got == dict(zip([d for d, _ in docs], brute.op8([d for d, _ in docs], [t for _, t in docs])))
+
+
+def test_signature_bounds_hold():
+    """The bound is never below the true overlap, whatever the lengths of the signatures."""
+    import numpy as np
+
+    from colonnade.llm.jaccard_tiles import bounded_pairs, fold, signature
+    r = np.random.default_rng(0)
+    for _ in range(200):
+        common = r.integers(0, 2**63, r.integers(1, 400)).astype(np.uint64)
+        sets = [np.unique(np.concatenate([common, r.integers(0, 2**63, r.integers(0, 120)).astype(np.uint64)])) for _ in range(6)]
+        sigs = [signature(s) for s in sets]
+        got = {(i, int(j)) for i, js in bounded_pairs(np.array([len(s) for s in sets]), np.arange(6), sigs, 80) for j in js}
+        for i in range(6):
+            assert len(fold(sigs[i], 8)) == 8
+            for j in range(i + 1, 6):
+                k = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * k >= 80 * (len(sets[i]) + len(sets[j]) - k):
+                    assert (i, j) in got
