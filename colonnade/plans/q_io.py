@@ -5,7 +5,7 @@ test; the oracle computes the expected content straight from the tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ from colonnade.plans.registry import register
 from colonnade.session import scratch_path
 from colonnade.sources import csv as csv_src
 from colonnade.sources import sinks
-from colonnade.sources.text import read_ngrams
+from colonnade.sources.text import read_ngrams, split_ngrams
 
 
 @register("scan_csv_strings", """
@@ -132,26 +132,19 @@ def scan_ngram(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("scan_ngram_rejects", """
-SELECT COUNT(*) AS n_lines, COUNT(*) FILTER (WHERE l_linenumber = 4) AS n_malformed,
-       COUNT(*) FILTER (WHERE l_linenumber = 6) AS n_bad_numbers,
-       COUNT(*) FILTER (WHERE l_linenumber NOT IN (4, 6)) AS n_good
-FROM lineitem JOIN part ON l_partkey = p_partkey
+SELECT CASE l_linenumber WHEN 4 THEN 'arity' WHEN 6 THEN 'number' ELSE 'none' END AS reject, COUNT(*) AS n
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1
 """)
 def scan_ngram_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """N-gram lines of which line 4 lacks its last two tokens and line 6 has a word for its volumes; the rejects
-    are counted while the good rows are written."""
+    are kept by reason and counted without a second scan of the input."""
     src = _ngram_source(spark, sf)
     volumes = F.when(F.col("_ln") == 6, F.lit("many")).otherwise(F.col("volumes").cast("string"))
     line = F.when(F.col("_ln") == 4, F.concat_ws(" ", "word1", "year")).otherwise(
         F.concat_ws(" ", "word1", "word2", "year", F.col("occurrences").cast("string"), volumes))
-    path, seen = scratch_path(spark, "ngram-rejects"), Observation("ngram-lines")
+    path = scratch_path(spark, "ngram-rejects")
     src.select(line.alias("value")).write.text(path)
-    rows = read_ngrams(spark, path, seen)
-    out = scratch_path(spark, "ngram-parsed")
-    rows.write.parquet(out)
-    counts = seen.get
-    good = spark.read.parquet(out).agg(F.count("volumes").alias("n_good"))
-    return good.select(*[F.lit(counts[c]).cast("bigint").alias(c) for c in ("n_lines", "n_malformed", "n_bad_numbers")], "n_good")
+    return split_ngrams(spark, path, scratch_path(spark, "ngram-split"))
 
 
 # Fixed values of the test mapping: syllables searched in part-name words.

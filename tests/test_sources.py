@@ -59,13 +59,17 @@ def test_ngram_parse_shapes_and_malformed(spark):
     assert len(got) == 6  # the 3-token line is dropped
 
 
-def test_ngram_rejects_are_observed(spark, tmp_dir):
-    from pyspark.sql import Observation
-    lines = ["nuchi 1999 3 4", "one two three", "word 1999 3 x", "w 1999 y 4", "", "haw chi 2000 5 6", None]
-    df = spark.createDataFrame([(v,) for v in lines], "value string")
-    seen = Observation()
-    assert parse_ngram_lines(df, observation=seen).count() == 4
-    assert seen.get == {"n_lines": 7, "n_malformed": 3, "n_bad_numbers": 2}
+def test_ngram_rejects_are_kept_and_counted(spark, tmp_dir):
+    from colonnade.sources.text import classify_ngram_lines, split_ngrams
+    lines = ["nuchi 1999 3 4", "one two three", "word 1999 3 x", "w 1999 y 4", "", "haw chi 2000 5 6"]
+    _write(tmp_dir + "/in", "\n".join(lines) + "\n")
+    counts = {r.reject: r.n for r in split_ngrams(spark, tmp_dir + "/in", tmp_dir + "/out").collect()}
+    assert counts == {"arity": 2, "number": 2, "none": 2}
+    kept = spark.read.parquet(tmp_dir + "/out")
+    assert {r.line for r in kept.where("reject <> 'none'").collect()} == set(lines[1:5])
+    df = spark.createDataFrame([(None,), ("a b 1 2 3",)], "value string")
+    assert [tuple(r) for r in classify_ngram_lines(df).orderBy("reject").collect()] == [
+        (None, None, None, None, None, "arity", None), ("a", "b", "1", 2, 3, "none", None)]
 
 
 def test_single_file_keeps_the_scan_parallel_and_sorted(spark, tmp_dir):
