@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns documents (the last one: packed pieces); run() writes every
 stage's rows below the shared checkpoint folder and rereads them for the next one.
+
+Stages read the columns of documents; extra ones do not come along.  Null texts count as empty: the quality rules reject
+them, the other stages keep them (the mix takes no document without words).  Rows that share an id share the fate of any of
+them in the quality rules and the mix, and copies under one id all stay in the Jaccard join; rows without id always stay there.  Texts of any length are
+processed whole.  Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -66,7 +71,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality rules", quality), ("n-gram Jaccard join", near_duplicates), ("PII", private_data),
           ("mixing sources to target weights", mixing), ("packing", packing)]
 
-#: Hash order, trained models and tokenizers are beyond SQL; tests check the stages one by one.
+#: Hash order, trained models and tokenizers are beyond SQL; tests/llm/test_pipeline.py checks the stages one by one.
 ORACLE_SQL = None
 
 
