@@ -39,6 +39,8 @@ from colonnade.llm.windows import WordHashes, rolling
 BITS = 512
 # Sets of a tile that one task compares with one another at once.
 BLOCK = 4_096
+# First tokens that a set brings along, and what stands for none.
+FIRST, NO_TOKEN = 6, (1 << 63) - 1
 # Sets in the sample that the shingle order is taken from, and frequent shingles it may name.
 SAMPLE_SETS, FREQUENT = 20_000, 100_000
 # Pairs of one centre that one group verifies.
@@ -182,25 +184,33 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def _open_pairs(left: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of sets of different components that meet in a tile (token, band, cid, n, comp; ``m`` sets in the tile) and that size and bit
-    counts allow to link.  Tiles of more than BLOCK sets are dealt as pairs of blocks."""
+    counts allow to link.  Tiles of more than BLOCK sets are dealt as pairs of blocks.
+
+    Sets that share many shingles meet in many tiles; each set brings the first tokens it has in the band, and a pair that has an
+    earlier one in common is left to that tile."""
+    per = Window.partitionBy("cid", "band")
+    left = left.select("token", "band", "cid", "n", "comp", "m").repartition("cid").withColumn("_rn", F.row_number().over(per.orderBy("token")))
+    left = left.withColumn("first", F.array(*[F.max(F.when(F.col("_rn") == k, F.col("token"))).over(per) for k in range(1, FIRST + 1)]))
     blocks = F.ceil(F.col("m") / BLOCK)
     mine = F.pmod(F.xxhash64("cid"), blocks)
     spread = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda j: F.struct(F.least(mine, j).alias("lo"), F.greatest(mine, j).alias("hi")))
-    rows = left.select("token", "band", "cid", "n", "comp", F.explode(spread).alias("g")).join(classes.select("cid", "sig"), "cid")
-    rows = rows.select("token", "band", F.col("g.lo").alias("lo"), F.col("g.hi").alias("hi"), "cid", "n", "comp", "sig")
+    rows = left.select("token", "band", "cid", "n", "comp", "first", F.explode(spread).alias("g")).join(classes.select("cid", "sig"), "cid")
+    rows = rows.select("token", "band", F.col("g.lo").alias("lo"), F.col("g.hi").alias("hi"), "cid", "n", "comp", "sig", "first")
 
-    def compare(group: list) -> list[tuple[int, int]]:
+    def compare(token: int, group: list) -> list[tuple[int, int]]:
         if len(group) < 2:
             return []
-        cid, n, comp, sig = zip(*group)
-        cid = np.array(cid)
+        cid, n, comp, sig, first = zip(*group)
+        cid, first = np.array(cid), np.stack(first)
         out = []
         for i, js in bounded_pairs(np.array(n), np.array(comp), list(sig), percent):
+            earlier = first[i][first[i] < token]
+            js = js[~np.isin(first[js], earlier).any(axis=1)]
             out.extend((int(max(cid[i], c)), int(min(cid[i], c))) for c in cid[js])
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, group, seen, found = None, [], set(), []
+        at, group, found = None, [], []
 
         def batch(pairs: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in range(2)], names=["a", "b"])
@@ -209,16 +219,16 @@ def _open_pairs(left: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             keys = list(zip(*(c.to_pylist() for c in b.columns[:4])))
             sigs, ends = np.asarray(b.column(7).flatten()), np.cumsum(np.asarray(b.column(7).value_lengths()))
             starts = np.concatenate([[0], ends[:-1]])
+            first = np.asarray(b.column(8).flatten().fill_null(NO_TOKEN)).reshape(-1, FIRST)
             for i, (cid, n, comp) in enumerate(zip(*(c.to_pylist() for c in b.columns[4:7]))):
                 if keys[i] != at:
-                    found += [p for p in compare(group) if p not in seen]
+                    found += compare(at[0], group) if at else []
                     at, group = keys[i], []
-                group.append((cid, n, comp, sigs[starts[i]:ends[i]].copy()))
+                group.append((cid, n, comp, sigs[starts[i]:ends[i]].copy(), first[i]))
             if found:
                 yield batch(found)
-                seen = set(found) if len(seen) > 1 << 18 else seen | set(found)  # spares repeats; all are removed later
                 found = []
-        yield batch(compare(group))
+        yield batch(compare(at[0], group) if at else [])
 
     dealt = rows.repartition("token", "band", "lo", "hi").sortWithinPartitions("token", "band", "lo", "hi")
     return dealt.mapInArrow(run, "a long, b long").distinct()
