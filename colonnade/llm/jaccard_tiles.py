@@ -197,38 +197,50 @@ def _open_pairs(left: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     rows = left.select("token", "band", "cid", "n", "comp", "first", F.explode(spread).alias("g")).join(classes.select("cid", "sig"), "cid")
     rows = rows.select("token", "band", F.col("g.lo").alias("lo"), F.col("g.hi").alias("hi"), "cid", "n", "comp", "sig", "first")
 
-    def compare(token: int, group: list) -> list[tuple[int, int]]:
-        if len(group) < 2:
-            return []
-        cid, n, comp, sig, first = zip(*group)
-        cid, first = np.array(cid), np.stack(first)
+    def compare(token: int, cid: np.ndarray, n: np.ndarray, comp: np.ndarray, first: np.ndarray, sigs: list) -> list[tuple[int, int]]:
         out = []
-        for i, js in bounded_pairs(np.array(n), np.array(comp), list(sig), percent):
+        for i, js in bounded_pairs(n, comp, sigs, percent):
             earlier = first[i][first[i] < token]
             js = js[~np.isin(first[js], earlier).any(axis=1)]
             out.extend((int(max(cid[i], c)), int(min(cid[i], c))) for c in cid[js])
         return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, group, found = None, [], []
-
-        def batch(pairs: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in range(2)], names=["a", "b"])
+    def worth(begin: np.ndarray, size: np.ndarray, token, n, comp, first) -> np.ndarray:
+        """Which groups to compare: of two sets, those that size, components and earlier tiles leave; all larger groups."""
+        go = size > 2
+        two = np.flatnonzero(size == 2)
+        i, j = begin[two], begin[two] + 1
+        near = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+        same = (first[i][:, :, None] == first[j][:, None, :]) & (first[i] < token[i][:, None])[:, :, None]
+        go[two] = near & ~same.any(axis=(1, 2))
+        return np.flatnonzero(go)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last group of a batch may go on in the next
         for b in batches:
-            keys = list(zip(*(c.to_pylist() for c in b.columns[:4])))
             sigs, ends = np.asarray(b.column(7).flatten()), np.cumsum(np.asarray(b.column(7).value_lengths()))
-            starts = np.concatenate([[0], ends[:-1]])
-            first = np.asarray(b.column(8).flatten().fill_null(NO_TOKEN)).reshape(-1, FIRST)
-            for i, (cid, n, comp) in enumerate(zip(*(c.to_pylist() for c in b.columns[4:7]))):
-                if keys[i] != at:
-                    found += compare(at[0], group) if at else []
-                    at, group = keys[i], []
-                group.append((cid, n, comp, sigs[starts[i]:ends[i]].copy(), first[i]))
-            if found:
-                yield batch(found)
-                found = []
-        yield batch(compare(at[0], group) if at else [])
+            parts = [np.asarray(c) for c in b.columns[:7]] + [np.asarray(b.column(8).flatten().fill_null(NO_TOKEN)).reshape(-1, FIRST),
+                                                             np.fromiter(np.split(sigs, ends[:-1]), object, b.num_rows)]
+            yield from step([np.concatenate(p) for p in zip(held, parts)] if held else parts, False)
+            held = rest[0]
+        if held:
+            yield from step(held, True)
+
+    rest: list = [None]
+
+    def step(parts: list, last: bool) -> Iterator[pa.RecordBatch]:
+        token, cid, n, comp, first, sigs = parts[0], *parts[4:9]
+        change = np.flatnonzero(np.any([p[1:] != p[:-1] for p in parts[:4]], axis=0)) + 1
+        begin = np.concatenate([[0], change])
+        size = np.diff(np.concatenate([begin, [len(token)]]))
+        rest[0] = None if last else [p[begin[-1]:] for p in parts]
+        if not last:
+            begin, size = begin[:-1], size[:-1]
+        found = []
+        for g in worth(begin, size, token, n, comp, first):
+            at = slice(begin[g], begin[g] + size[g])
+            found += compare(token[begin[g]], cid[at], n[at], comp[at], first[at], list(sigs[at]))
+        yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in range(2)], names=["a", "b"])
 
     dealt = rows.repartition("token", "band", "lo", "hi").sortWithinPartitions("token", "band", "lo", "hi")
     return dealt.mapInArrow(run, "a long, b long").distinct()
