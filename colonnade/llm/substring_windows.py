@@ -3,8 +3,8 @@
 Window hashes are counted in Spark; the windows that start more than once are merged into maximal
 removal intervals of words.  All copies of a repeated passage go, judged on the input.
 
-Null and empty texts have no words.  Rows repeated whole repeat each other's windows.  Texts shorter than a window stay
-whole.  Empty tables give no rows; only the key and text columns are read.
+Null and empty texts have no words.  Rows repeated whole repeat each other's windows, as one text under several or null ids
+does.  Texts shorter than a window stay whole; a very long text is hashed whole, in its own chunk.  Empty tables give no rows; only the key and text columns are read.
 """
 
 from __future__ import annotations
@@ -17,8 +17,20 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colonnade.llm.text import byte_words, materialise, portable
-from colonnade.llm.windows import WordHashes, answered, bucket_count, repeated_windows, rolling
+from colonnade.llm.text import Scratch, byte_words, portable
+from colonnade.llm.windows import WordHashes, bucket_count, repeated_spans, rolling
+
+
+def apart(found) -> list[tuple[int, int]]:
+    """The spans of one row's lists (one, unless a lost task ran again), ascending and apart."""
+    every = [] if found is None else sorted((s, e) for x in found for s, e in np.frombuffer(x, np.uint32).reshape(-1, 2).tolist())
+    out: list[tuple[int, int]] = []
+    for s, e in every:
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 35,
@@ -32,21 +44,17 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
         ws = byte_words(t)
         return rolling(word_hash(ws), window) if len(ws) >= window else np.zeros(0, np.uint64)
 
-    rows = docs.select(F.col(key).cast(portable(kind)).alias("k"), F.col(text).alias("t"), F.xxhash64(F.col(key), F.col(text)).alias("row_key"))
-    told = materialise(repeated_windows(rows, "row_key", "t", hashes, buckets), "repeats")
-    joined = rows.join(told, "row_key", "left").select("k", "t", "answers")
+    rows = docs.select(F.col(key).cast(portable(kind)).alias("k"), F.col(text).alias("t"),
+                       F.xxhash64(F.col(key), F.col(text)).alias("k1"), F.xxhash64(F.lit("second"), F.col(text), F.col(key)).alias("k2"))
+    told = Scratch(docs.sparkSession, "repeats").write(repeated_spans(rows, "t", hashes, buckets, window), "spans")
+    joined = rows.join(told, ["k1", "k2"], "left").select("k", "t", "spans")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for t, answers in zip(b["t"], b["answers"]):
+            for t, found in zip(b["t"], b["spans"]):
                 ws = byte_words(t)
-                spans = []
-                if answers is not None and len(answers):
-                    pos = np.sort(answered(hashes(t), buckets, answers)[0])
-                    new = np.flatnonzero(np.r_[True, pos[1:] > pos[:-1] + window])
-                    last = np.r_[new[1:], len(pos)] - 1
-                    spans = [(int(s), int(e) + window) for s, e in zip(pos[new], pos[last])]
+                spans = apart(found)
                 kept, at = [], 0
                 for s, e in spans:
                     kept.extend(ws[at:s])

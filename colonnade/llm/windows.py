@@ -1,11 +1,15 @@
 """Which word windows of a text start anywhere else: hashed, dealt to buckets, counted, answered.
 
-Each text sends its window hashes to hash buckets (8 bytes a window; the sender is named once per bucket).  A
-bucket answers only for hashes that it saw from enough places, with the ordinal of the window among those the
-text sent to that bucket; the text side recomputes its hashes and maps ordinals back to positions.  Rows that
-share a row key send alike and get the same answer.
-
-A bucket holds about ``per_bucket`` hashes whatever the skew: equal hashes are at most one a window start.
+A task cuts its texts into chunks of about ``chunk`` window hashes (one long text may be more).  A hash that starts
+twice within its chunk is settled there and goes to its bucket once, however often it starts; the others go
+with their place in the chunk.  A bucket sees a hash at most once a chunk, marks those that come from two chunks
+or start twice in one, and answers a chunk with the places.  The places of a chunk meet once
+more and become spans of words by row, so the text side needs no hashes again.
+
+What travels is 12 bytes a window that is alone in its chunk, 8 a repeated one, and less for the answers; rows between
+the steps are one a (chunk, bucket).  Chunks are named by their rows; a chunk whose rows came in another order when a
+lost task ran again is found out and raises.  Windows are told apart by 64-bit hashes alone: a window is taken for
+another one of n with a chance of n / 2^64 (5e-7 at 10^13 windows).
 """
 
 from __future__ import annotations
@@ -67,80 +71,100 @@ def rolling(h: np.ndarray, n: int, base: int = 0xD1342543DE82EF95) -> np.ndarray
     return out
 
 
-def ordinals(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order of rows by bucket (stable), and where each present bucket starts."""
-    order = np.argsort(bucket, kind="stable")
-    present, first = np.unique(bucket[order], return_index=True)
-    return order, present, first
-
-
 def bucket_count(docs: DataFrame, text: str, per_bucket: int) -> int:
     size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     return max(default_parallelism(docs.sparkSession), -(-size // (6 * per_bucket)))
 
 
-def repeated_windows(docs: DataFrame, row_key: str, text: str, hashes: Callable[[str], np.ndarray], buckets: int,
-                     with_counts: bool = False) -> DataFrame:
-    """row_key -> answers: array<struct<bucket int, at binary, n binary>>, for rows with a repeated window.
-
-    Every start counts, so a row sent twice repeats itself; callers that count sets send each set once, without
-    repeated hashes.  ``at`` holds uint32 ordinals, ``n`` uint32 counts."""
+def repeated_spans(docs: DataFrame, text: str, hashes: Callable[[str], np.ndarray], buckets: int, window: int,
+                   chunk: int = 3_000_000) -> DataFrame:
+    """k1, k2 -> spans: array<binary>, for rows (named by two longs ``k1, k2``) with a repeated window.
+
+    A span list holds uint32 pairs (first word, word behind the last), ascending and apart.  Every start counts, so
+    rows that are equal in full repeat each other; they come once."""
+
+    def pack(held: list) -> pd.DataFrame:
+        keys = np.array([(k1, k2) for k1, k2, _ in held], np.int64)
+        sizes = np.array([len(h) for *_, h in held], np.uint32)
+        h = np.concatenate([h for *_, h in held])
+        block = xxhash.xxh3_64_intdigest(keys.tobytes()) >> 1
+        order = np.argsort(h, kind="stable")
+        ranked = h[order]
+        first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+        alone = np.diff(np.r_[first, len(h)]) == 1
+        asked = np.sort(order[first[alone]])
+        known = np.ones(len(h), bool)  # repeated within the chunk: no question left
+        known[asked] = False
+        told = ranked[first[~alone]]
+        ask_at, tell_at = (h[asked] % np.uint64(buckets)).astype(np.int64), (told % np.uint64(buckets)).astype(np.int64)
+        by_ask, by_tell = np.argsort(ask_at, kind="stable"), np.argsort(tell_at, kind="stable")
+        asked, told = asked[by_ask], told[by_tell]
+        edges = np.arange(buckets + 1)
+        a, t = np.searchsorted(ask_at[by_ask], edges), np.searchsorted(tell_at[by_tell], edges)
+        rows = [(block % buckets, block, b"", b"", b"", keys.tobytes(), sizes.tobytes(), np.packbits(known).tobytes())]
+        for p in np.flatnonzero((np.diff(a) > 0) | (np.diff(t) > 0)):
+            at = asked[a[p]:a[p + 1]]
+            rows.append((int(p), block, np.diff(at, prepend=0).astype(np.uint32).tobytes(), h[at].tobytes(),
+                         told[t[p]:t[p + 1]].tobytes(), b"", b"", b""))
+        return pd.DataFrame(rows, columns=["bucket", "block", "at", "asked", "told", "owners", "sizes", "known"])
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
         for b in batches:
-            keys = b["k"].to_numpy()
-            for lo in range(0, len(b), 256):
-                hs = [hashes(t) for t in b["t"].iloc[lo:lo + 256]]
-                sizes = np.array([len(h) for h in hs])
-                if not sizes.sum():
-                    continue
-                h = np.concatenate(hs)
-                who = np.repeat(np.arange(len(hs)), sizes)
-                bucket = (h % np.uint64(buckets)).astype(np.int64)
-                order, present, first = ordinals(bucket, buckets)
-                h, who = h[order], who[order]
-                ends = [*first[1:], len(h)]
-                rows = []
-                for p, s, e in zip(present, first, ends):
-                    owners, counts = np.unique(who[s:e], return_counts=True)
-                    rows.append((int(p), keys[lo + owners].astype(np.int64).tobytes(), counts.astype(np.uint32).tobytes(), h[s:e].tobytes()))
-                yield pd.DataFrame(rows, columns=["bucket", "owners", "counts", "hashes"])
+            for k1, k2, t in zip(b["k1"], b["k2"], b["t"]):
+                h = hashes(t)
+                if len(h):
+                    held.append((k1, k2, h))
+                    size += len(h)
+                if size >= chunk:
+                    yield pack(held)
+                    held, size = [], 0
+        if held:
+            yield pack(held)
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        owners = np.concatenate([np.frombuffer(x, np.int64) for x in pdf["owners"]])
-        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["counts"]])
-        h = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["hashes"]])
-        who = np.repeat(np.arange(len(owners)), counts)
-        at = np.arange(len(h)) - np.repeat(np.cumsum(counts) - counts, counts)
-        _, inverse, n = np.unique(h, return_inverse=True, return_counts=True)
-        seen = n[inverse]
-        hit = np.flatnonzero(seen > 1)
-        who, at, seen = who[hit], at[hit], seen[hit]
-        starts = np.flatnonzero(np.r_[True, who[1:] != who[:-1]]) if len(who) else np.zeros(0, int)
-        rows, told = [], set()
-        for s, e in zip(starts, [*starts[1:], len(who)]):
-            key = int(owners[who[s]])
-            if key in told:  # the same row key sent alike before
-                continue
-            told.add(key)
-            rows.append((key, int(pdf["bucket"].iloc[0]), at[s:e].astype(np.uint32).tobytes(),
-                         seen[s:e].astype(np.uint32).tobytes() if with_counts else b""))
-        return pd.DataFrame(rows, columns=["row_key", "bucket", "at", "n"])
-
-    sent = docs.select(F.col(row_key).alias("k"), F.col(text).alias("t")).mapInPandas(
-        send, "bucket int, owners binary, counts binary, hashes binary")
-    told = sent.groupBy("bucket").applyInPandas(count, "row_key long, bucket int, at binary, n binary")
-    return told.groupBy("row_key").agg(F.collect_list(F.struct("bucket", "at", "n")).alias("answers"))
-
-
-def answered(h: np.ndarray, buckets: int, answers) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (in h) of the answered windows, and their counts."""
-    bucket = (h % np.uint64(buckets)).astype(np.int64)
-    order, present, first = ordinals(bucket, buckets)
-    start = dict(zip(present.tolist(), first.tolist()))
-    pos, n = [], []
-    for a in answers:
-        at = np.frombuffer(a["at"], np.uint32)
-        pos.append(order[start[a["bucket"]] + at.astype(np.int64)])
-        n.append(np.frombuffer(a["n"], np.uint32))
-    return np.concatenate(pos), np.concatenate(n)
+        asked = [np.frombuffer(x, np.uint64) for x in pdf["asked"]]
+        told = np.concatenate([np.frombuffer(x, np.uint64) for x in pdf["told"]])
+        every = np.concatenate(asked)
+        _, which, n = np.unique(np.concatenate([every, told]), return_inverse=True, return_counts=True)
+        n[which[len(every):]] = 2  # told hashes start twice at least
+        hit = n[which[:len(every)]] > 1
+        rows, lo = [], 0
+        for block, at, h, owners, sizes, known in zip(pdf["block"], pdf["at"], asked, pdf["owners"], pdf["sizes"], pdf["known"]):
+            yes = hit[lo:lo + len(h)]
+            lo += len(h)
+            if owners:
+                rows.append((block, b"", owners, sizes, known))
+            elif yes.any():
+                places = np.cumsum(np.frombuffer(at, np.uint32), dtype=np.int64)[yes]
+                rows.append((block, np.diff(places, prepend=0).astype(np.uint32).tobytes(), b"", b"", b""))
+        return pd.DataFrame(rows, columns=["block", "at", "owners", "sizes", "known"])
+
+    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
+        named = pdf[pdf["owners"].str.len() > 0]
+        if named.empty:
+            raise RuntimeError("a chunk came back in another order after a lost task; run the job again")
+        keys = np.frombuffer(named["owners"].iloc[0], np.int64).reshape(-1, 2)
+        sizes = np.frombuffer(named["sizes"].iloc[0], np.uint32).astype(np.int64)
+        ends = np.cumsum(sizes)
+        begins = ends - sizes
+        hit = np.unpackbits(np.frombuffer(named["known"].iloc[0], np.uint8), count=int(ends[-1])).astype(bool)
+        for at in pdf["at"]:
+            hit[np.cumsum(np.frombuffer(at, np.uint32), dtype=np.int64)] = True
+        at = np.flatnonzero(hit)
+        if not len(at):
+            return pd.DataFrame([], columns=["k1", "k2", "spans"])
+        who = np.searchsorted(begins, at, side="right") - 1
+        # windows that touch or overlap make one span of words
+        new = np.flatnonzero(np.r_[True, (at[1:] > at[:-1] + window) | (who[1:] != who[:-1])])
+        owner = who[new]
+        spans = np.stack([at[new] - begins[owner], at[np.r_[new[1:], len(at)] - 1] - begins[owner] + window], 1).astype(np.uint32)
+        cut = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        return pd.DataFrame([(*keys[owner[s]].tolist(), spans[s:e].tobytes()) for s, e in zip(cut, [*cut[1:], len(owner)])],
+                            columns=["k1", "k2", "spans"])
+
+    sent = docs.select("k1", "k2", F.col(text).alias("t")).mapInPandas(
+        send, "bucket int, block long, at binary, asked binary, told binary, owners binary, sizes binary, known binary")
+    answers = sent.groupBy("bucket").applyInPandas(count, "block long, at binary, owners binary, sizes binary, known binary")
+    return (answers.groupBy("block").applyInPandas(merge, "k1 long, k2 long, spans binary")
+            .groupBy("k1", "k2").agg(F.collect_set("spans").alias("spans")))

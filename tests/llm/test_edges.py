@@ -128,3 +128,31 @@ def test_signature_bounds_hold():
                 k = len(np.intersect1d(sets[i], sets[j]))
                 if 100 * k >= 80 * (len(sets[i]) + len(sets[j]) - k):
                     assert (i, j) in got
+
+
+@pytest.mark.parametrize("chunk", [1, 60, 10**6])
+def test_repeats_of_a_hot_window(spark, chunk):
+    """One passage in a third of all rows, copies with and without ids, a text that repeats itself: any chunk size gives
+    what brute force gives, and a bucket sees a hash at most once a chunk."""
+    import random
+
+    from colonnade.llm import windows
+    from colonnade.llm.substring_windows import WordHashes, apart, byte_words, rolling
+    from tests.llm import brute
+    from pyspark.sql import functions as F
+
+    r = random.Random(3)
+    hot = _words(r, 12)
+    texts = [" ".join(_words(r, 9) + (hot if i % 3 == 0 else _words(r, 4)) + _words(r, 6)) for i in range(60)]
+    texts += [texts[1]] * 20 + [" ".join(_words(r, 7) * 3), " ".join(["x"] * 40), None, "", "few words"]
+    ids = [None if i % 7 == 0 else i for i in range(len(texts))]
+    docs = spark.createDataFrame(list(zip(range(len(texts)), ids, texts)), "n int, doc_id long, text string").repartition(3)
+    want = brute.op6(texts, 7)
+    rows = docs.select("n", F.col("text").alias("t"), F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64("text").alias("k2"))
+    h = WordHashes()
+    spans = windows.repeated_spans(rows, "t", lambda t: rolling(h(byte_words(t)), 7) if len(byte_words(t)) >= 7 else h([]), 5, 7, chunk)
+    got = {x["n"]: apart(x["spans"]) for x in rows.join(spans, ["k1", "k2"], "left").collect()}
+    assert len(got) == len(texts)
+    assert [sum(e - s for s, e in got[i]) for i in range(len(texts))] == [gone for _, gone, _ in want]
+    out = remove_repeats(docs, window=7)
+    assert sorted((x["n_words"], x["n_removed"], x["kept_sha256"]) for x in out.collect()) == sorted(want)
