@@ -46,7 +46,7 @@ def op4_pii_weak(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing_pareto(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_pareto(load_table(spark, sf_dir, "documents")).drop("copies")
+    return mix_pareto(load_table(spark, sf_dir, "documents")).drop("copies", "inclusion")
 
 
 def op6_substring_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -156,3 +156,66 @@ def test_repeats_of_a_hot_window(spark, chunk):
     assert [sum(e - s for s, e in got[i]) for i in range(len(texts))] == [gone for _, gone, _ in want]
     out = remove_repeats(docs, window=7)
     assert sorted((x["n_words"], x["n_removed"], x["kept_sha256"]) for x in out.collect()) == sorted(want)
+
+
+def test_mix_against_brute_force(spark):
+    """Inclusion by water-filling, ranks by odds and passed-over documents equal a plain Python version; gaps are small;
+    null ids do not share a rank."""
+    import math
+    import random
+
+    from pyspark.sql import functions as F
+
+    r = random.Random(5)
+    rows = []
+    for i in range(900):
+        n = r.choice([0, 3, 8, 20, 60]) if i % 50 else r.randint(300, 900)
+        rows.append((None if i % 9 == 0 else i, " ".join(_words(r, n)), r.choice("aaaabbc")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    weight = F.size(F.split("text", " ")).cast("double")  # steep: long documents become certain copies
+    got = mix_pareto(docs.withColumn("key", F.struct("doc_id", "text", "source")), key="key", priority=weight).collect()
+    u = {(x["doc_id"], x["text"]): x["u"] for x in docs.select("doc_id", "text", ((F.pmod(F.xxhash64(F.struct("doc_id", "text", "source"), F.lit(17), "text"), F.lit(1 << 52)) + 0.5) / float(1 << 52)).alias("u")).collect()}
+    assert sum(x["inclusion"] == 1 for x in got) > 0
+    for s in "abc":
+        mine = [x for x in got if x["key"]["source"] == s]
+        target, whole = mine[0]["target"], int(mine[0]["target"] // mine[0]["source_size"])
+        left = target - whole * mine[0]["source_size"]
+        w = {id(x): 2 ** (round(math.log2(max(1, len(x["key"]["text"].split(" ")))) * 256) / 256) for x in mine}
+        free, factor = list(mine), 0.0
+        while left > 0:
+            have = left - sum(x["size"] for x in mine if all(x is not y for y in free))
+            factor = have / sum(x["size"] * w[id(x)] for x in free)
+            still = [x for x in free if factor * w[id(x)] < 1]
+            if len(still) == len(free):
+                break
+            free = still
+        sure = {id(x) for x in mine} - {id(x) for x in free}
+        for x in mine:
+            assert abs(x["inclusion"] - (1 if id(x) in sure else factor * w[id(x)])) < 1e-9
+
+        def odds(x):
+            p, v = x["inclusion"], u[(x["key"]["doc_id"], x["key"]["text"])]
+            return v / (1 - v) * (1 - p) / p if p else 1e300
+        taken, gap = set(sure), left - sum(x["size"] for x in mine if id(x) in sure)
+        rest, tol, bound, most, last = sorted(free, key=odds), target * 0.001, 0.0, 1e18, False
+        while gap > bound:
+            fit = [x for x in rest if x["size"] and x["size"] <= most]
+            if not fit and not last:
+                most, last, bound = 2 * gap, True, tol
+                continue
+            cum = 0
+            for x in fit:
+                if cum >= gap or cum + x["size"] - gap > (gap - cum if last else tol):
+                    break
+                cum += x["size"]
+                taken.add(id(x))
+            rest = [x for x in rest if id(x) not in taken]
+            gap, bound = gap - cum, tol
+            most = gap + tol
+            if last:
+                break
+        assert {id(x) for x in mine if x["copies"] > whole and x["size"]} == {i for i in taken if next(x for x in mine if id(x) == i)["size"]}
+        assert abs(sum(x["taken"] for x in mine) - target) <= max(3, 0.001 * target)
+    from collections import Counter
+    nulls = Counter(x["copies"] for x in got if x["key"]["doc_id"] is None and x["key"]["source"] == "a" and 0 < x["inclusion"] < 1)
+    assert len(nulls) > 1
