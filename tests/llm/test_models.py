@@ -92,3 +92,22 @@ def test_small_odd_source_is_judged_by_its_language(spark):
     rows += [(4000 + i, said(100, False), "en", "fine") for i in range(5)]
     got = {r["doc_id"]: r["kept"] for r in mcd_outliers(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert {i for i, k in got.items() if k} == {*range(300), *range(4000, 4005)}
+
+
+def test_licence_tiles_against_plain_python(spark):
+    """Wrapped notices, near misses, notices inside long paragraphs; whatever is told holds half of a template's sequences."""
+    from colonnade.llm.licences import CONTAINED, SEQUENCES, _grams, _plain
+
+    filler = " ".join(f"filler{i}" for i in range(300))
+    gnu = "you may use this under the terms of the GNU General\nPublic License as published by the Free Software\nFoundation. This program is free software: you can redistribute it and/or modify"
+    texts = {1: f"{filler}\n\n{gnu}\n\n{filler}", 2: "All their hard won rights were reserved for the king.", 3: "The Apache people signed no license.",
+             4: f"{filler} Released under the MIT License. {filler}", 5: "We read the GNU General and went home.", 6: None, 7: " \n\n \n", 8: "MIT is a place\n\nLicense plates",
+             9: "Released under\nthe\nMIT\nLicense."}
+    rows = list(texts.items()) + [(100 + i, f"plain text number {i} about the work is done") for i in range(40)]
+    got = {r["doc_id"]: r for r in scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d: got[d]["family"] for d in texts} == {1: "gpl", 2: None, 3: None, 4: "mit", 5: None, 6: None, 7: None, 8: None, 9: "mit"}
+    assert all(r["family"] is None for d, r in got.items() if d >= 100)
+    for d, t in texts.items():
+        for f in filter(None, (got[d]["families"] or "").split(",")):
+            held = set(_grams(_plain(t)))
+            assert max(len(held & set(g)) / len(g) for fam, g in SEQUENCES if fam == f) >= CONTAINED
