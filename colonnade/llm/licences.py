@@ -10,8 +10,8 @@ quantile of the family's probability on them.  The predicted family is confirmed
 tile must hold ``CONTAINED`` of the three-word sequences of one of them.  Else it is unknown.
 
 Tiles without any three-word sequence of a template cannot be confirmed, so only the others meet the classifier; this
-changes no result.  The background is a bounded sample (at most ``background`` tiles, smallest hashes of one tile a
-document); every paragraph of every text is judged, very long ones tile by tile.
+changes no result.  The background is a bounded sample (at most ``background`` tiles, smallest hashes, one tile a
+text); every paragraph of every text is judged, very long ones tile by tile.
 
 Null and empty texts have no paragraphs and no licence.  Ties between families go to the smaller name.  Repeated rows
 are judged alike; empty tables give no rows (and the background is empty); only the key and text columns are read.
@@ -107,14 +107,20 @@ def train_weights(docs: DataFrame, text: str, background: int, steps: int = 200)
     spark = docs.sparkSession
     labelled = spark.createDataFrame([(f, _plain(t)) for f, ts in TEMPLATES.items() for t in ts], "family string, p array<string>")
 
-    def sample(tiles: Column, n: int) -> DataFrame:
-        """Of each text the tile with the smallest hash, of these the n smallest different ones."""
+    def smallest(docs: DataFrame, tiles: Column) -> DataFrame:
+        """Of each text the tile with the smallest hash."""
         ranked = F.transform(tiles, lambda t: F.struct(F.xxhash64(t).alias("o"), t.alias("p")))
-        one = docs.select(F.array_min(ranked).alias("x")).where("x is not null").groupBy("x.o").agg(F.min("x.p").alias("p"))
-        return one.orderBy("o").limit(n).select("p")
-
-    near = sample(F.filter(_likely(F.col(text)), lambda t: _contained(t) < CONTAINED), background // 2)
-    plain = sample(F.flatten(F.transform(F.filter(_paragraphs(F.col(text)), lambda p: (F.length(p) > 0) & ~p.rlike(_any_sequence())), _tiles)), background - background // 2)
+        return docs.select(F.array_min(ranked).alias("x")).where("x is not null").select("x.o", "x.p")
+
+    half = background // 2
+    near = smallest(docs, F.filter(_likely(F.col(text)), lambda t: _contained(t) < CONTAINED))
+    near = near.groupBy("o").agg(F.min("p").alias("p")).orderBy("o").limit(half).select("p")
+    # any tiles: of the different texts with the smallest hashes, which are told without their words
+    named = docs.select(F.col(text).alias("t")).withColumn("h", F.xxhash64("t")).where("t is not null")
+    first = [r["h"] for r in named.select("h").distinct().orderBy("h").limit(background - half).collect()]
+    texts = named.where(F.col("h").isin(first)).groupBy("h").agg(F.min("t").alias("t"))
+    found = _any_sequence()
+    plain = smallest(texts, F.flatten(F.transform(F.filter(_paragraphs(F.col("t")), lambda p: (F.length(p) > 0) & ~p.rlike(found)), _tiles))).select("p")
     unknown = near.unionByName(plain).select(F.lit(None).cast("string").alias("family"), "p")
     local = labelled.unionByName(unknown).select("family", _features(F.col("p")).alias("f"), F.xxhash64("p").alias("o")).collect()  # templates and background, bounded
     rows = [(r["family"] or "", set(r["f"]), r["family"] is None and r["o"] % 2 == 0) for r in sorted(local, key=lambda r: (r["family"] or "", r["o"]))]
