@@ -7,8 +7,8 @@ decides how full tiles get, never what is found.  Shingles sent by one class onl
 
 A tile is a shared shingle and a band of sizes; a set enters the band of its size and the next one, so any two sets that are close
 enough in size meet.  First each tile's sets are compared with a hub, the set whose shingles are shared most (an original
-rather than one of its copies), in two rounds; linked sets become one component.  In tiles that still hold several components all
-sets of different ones are compared, inside a task and without making rows of them (large tiles by blocks).  A comparison
+rather than one of its copies), in two rounds; linked sets become one component.  Tiles of two sets are settled by that.  In larger tiles that still hold several
+components all sets of different ones are compared, inside a task and without making rows of them (large tiles by blocks).  A comparison
 goes by size, then by a bound on the overlap from the bit counts of signatures, hashed bitmaps of two to four bits a
 shingle, then by exact intersection of sorted arrays, which are made for the pairs that are left only; so no link between components is
 lost.  The bit counts of one tile grow with the square of the sets in it that are alike but not linked.
@@ -39,13 +39,16 @@ from colonnade.llm.windows import WordHashes, rolling
 BITS = 512
 # Sets of a tile that one task compares with one another at once.
 BLOCK = 4_096
+# Pairs that a task holds before it passes them on.
+TOLD = 50_000
 # First tokens that a set brings along, and what stands for none.
 FIRST, NO_TOKEN = 6, (1 << 63) - 1
 # Sets in the sample that the shingle order is taken from, and frequent shingles it may name.
 SAMPLE_SETS, FREQUENT = 20_000, 100_000
 # Pairs of one centre that one group verifies.
 GROUP = 2_000
-_word_hash = WordHashes()
+# A worker keeps its cache as long as it lives, and an executor keeps several workers.
+_word_hash = WordHashes(50_000)
 
 
 def shingle_set(text: str | None, n: int = 5) -> np.ndarray:
@@ -197,13 +200,11 @@ def _open_pairs(left: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     rows = left.select("token", "band", "cid", "n", "comp", "first", F.explode(spread).alias("g")).join(classes.select("cid", "sig"), "cid")
     rows = rows.select("token", "band", F.col("g.lo").alias("lo"), F.col("g.hi").alias("hi"), "cid", "n", "comp", "sig", "first")
 
-    def compare(token: int, cid: np.ndarray, n: np.ndarray, comp: np.ndarray, first: np.ndarray, sigs: list) -> list[tuple[int, int]]:
-        out = []
+    def compare(token: int, cid: np.ndarray, n: np.ndarray, comp: np.ndarray, first: np.ndarray, sigs: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for i, js in bounded_pairs(n, comp, sigs, percent):
             earlier = first[i][first[i] < token]
             js = js[~np.isin(first[js], earlier).any(axis=1)]
-            out.extend((int(max(cid[i], c)), int(min(cid[i], c))) for c in cid[js])
-        return out
+            yield np.maximum(cid[i], cid[js]), np.minimum(cid[i], cid[js])
 
     def worth(begin: np.ndarray, size: np.ndarray, token, n, comp, first) -> np.ndarray:
         """Which groups to compare: of two sets, those that size, components and earlier tiles leave; all larger groups."""
@@ -236,11 +237,16 @@ def _open_pairs(left: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         rest[0] = None if last else [p[begin[-1]:] for p in parts]
         if not last:
             begin, size = begin[:-1], size[:-1]
-        found = []
+        found, have = [(cid[:0], cid[:0])], 0
         for g in worth(begin, size, token, n, comp, first):
             at = slice(begin[g], begin[g] + size[g])
-            found += compare(token[begin[g]], cid[at], n[at], comp[at], first[at], list(sigs[at]))
-        yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in range(2)], names=["a", "b"])
+            for told in compare(token[begin[g]], cid[at], n[at], comp[at], first[at], list(sigs[at])):
+                found.append(told)
+                have += len(told[0])
+                if have > TOLD:
+                    yield pa.RecordBatch.from_arrays([np.concatenate(x) for x in zip(*found)], names=["a", "b"])
+                    found, have = [(cid[:0], cid[:0])], 0
+        yield pa.RecordBatch.from_arrays([np.concatenate(x) for x in zip(*found)], names=["a", "b"])
 
     dealt = rows.repartition("token", "band", "lo", "hi").sortWithinPartitions("token", "band", "lo", "hi")
     return dealt.mapInArrow(run, "a long, b long").distinct()
@@ -334,7 +340,9 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     tried = spark.createDataFrame([], "a long, b long")
     close = 100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")
     for r in range(rounds + 1):
-        at = tiles.join(comp, tiles["cid"] == comp["id"]).drop("id")
+        # Of two sets, the hub and the other one have met in the first round.
+        unsettled = tiles.where("m > 2") if r else tiles
+        at = unsettled.join(comp, unsettled["cid"] == comp["id"]).drop("id")
         # Tiles with one component left have nothing to compare.
         best = F.struct("score", F.xxhash64("cid").alias("o"), "cid", "n", "comp") if r == 0 else F.struct(F.xxhash64("cid", F.lit(r)).alias("o"), "cid", "n", "comp")
         hubs = at.groupBy("token", "band").agg(F.max(best).alias("h"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1")
@@ -351,6 +359,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
             found = scratch.write(_verified(alike, classes, rows, n, percent, scratch), "links")
             scratch.drop("wanted")
             comp = merge(comp, found, f"jaccard-{r}")
+    # Components are written by now, if any set linked.
+    scratch.drop("tiles", "alike", "links", *(f"pairs{r}" for r in range(rounds)))
     named = classes.join(comp, classes["cid"] == comp["id"])
     least = named.groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = named.join(least, "comp").select("sk", "component_id", "class_size")

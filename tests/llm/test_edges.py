@@ -219,3 +219,35 @@ def test_mix_against_brute_force(spark):
     from collections import Counter
     nulls = Counter(x["copies"] for x in got if x["key"]["doc_id"] is None and x["key"]["source"] == "a" and 0 < x["inclusion"] < 1)
     assert len(nulls) > 1
+
+
+def test_settled_tiles_and_told_pairs(spark, monkeypatch):
+    """Tiles of two sets are settled by their hub and are not compared again; a task passes its pairs on in bounded batches."""
+    from colonnade.llm import jaccard_tiles
+
+    seen, whole = [], jaccard_tiles._open_pairs
+
+    def spy(left, classes, percent):
+        seen.extend(r.m for r in left.select("m").collect())
+        return whole(left, classes, percent)
+
+    monkeypatch.setattr(jaccard_tiles, "_open_pairs", spy)
+    monkeypatch.setattr(jaccard_tiles, "TOLD", 3, raising=False)
+    tail = " ".join(f"t{j}" for j in range(3))
+    twos = [(10 * i + k, " ".join(f"a{i}_{j}" for j in range(12)) + f" {tail} " + " ".join(f"b{i}_{k}_{j}" for j in range(8))) for i in range(6) for k in range(2)]
+    many = [(1_000 + k, " ".join(f"c{j}" for j in range(40)) + " " + " ".join(f"d{k}_{j}" for j in range(8))) for k in range(20)]
+    linked = [(2_000 + k, " ".join(f"e{j}" for j in range(200)) + f" f{k}") for k in range(2)]
+    docs = twos + many + linked
+    got = {r.doc_id: r.component_id for r in jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert min(seen) > 2
+
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+
+    sets = {i: shingles(t) for i, t in docs}
+    comp = {i: i for i in sets}
+    for _ in sets:
+        for i in sets:
+            comp[i] = min(comp[j] for j in sets if i == j or 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]))
+    assert got == comp
