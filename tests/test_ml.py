@@ -102,6 +102,22 @@ def test_walk_forward_covers_every_period(spark):
     assert ml.walk_forward(df.where("period not in (7, 12)"), "period", 4, ["d"], "y").where("test_period in (7, 12) and accuracy is null").count() == 2
 
 
+def test_walk_forward_windows_take_their_share_of_partitions(spark, monkeypatch):
+    rows = [(p, "x" if i % 2 else "y", i % 2) for p in range(1, 41) for i in range(12)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 96), "period int, d string, y int")
+    took, whole = [], ml.Pipeline.fit
+
+    def spy(self, dataset, params=None):
+        took.append(dataset.rdd.getNumPartitions())
+        return whole(self, dataset, params)
+
+    monkeypatch.setattr(ml.Pipeline, "fit", spy)
+    got = ml.walk_forward(df, "period", 4, ["d"], "y").collect()
+    assert len(took) == len(got) == 8 and max(took) <= 12  # five of forty periods, of 96 partitions
+    assert all((r.n_train, r.n_test, r.accuracy) == (48, 12, 1.0) for r in got)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, ml.walk_forward(df, "period", 4, ["d"], "y").collect()))
+
+
 def test_forecast_jobs_report_a_baseline(spark):
     rows = [(f"n{k}", w, float(10 * k + w % 3), float(10 * k + (w - 1) % 3), w == 29) for k in range(3) for w in range(30)]
     df = spark.createDataFrame(rows, "nation string, week int, n double, lag_1 double, is_test boolean")
