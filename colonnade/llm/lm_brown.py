@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colonnade.llm.text import byte_words, materialise
+from colonnade.llm.text import Scratch, byte_words
 from colonnade.llm.windows import WordHashes
 
 ADD = 0.1
@@ -141,7 +141,8 @@ def best_moves(matrix: np.ndarray, classes: int, first, word, kind, d, n, own) -
     return gain.argmax(1)
 
 
-def cluster(bigrams: DataFrame, vocab: DataFrame, head: list[tuple[int, int]], classes: int, sweeps: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+def cluster(bigrams: DataFrame, vocab: DataFrame, head: list[tuple[int, int]], classes: int, sweeps: int,
+            scratch: Scratch) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """(h, cls, n) of the whole vocabulary, class x class counts and words per class; head: (h, first class) of frequent words.
 
     Class ``classes`` is the end token's, the one after it the fallback's."""
@@ -151,7 +152,7 @@ def cluster(bigrams: DataFrame, vocab: DataFrame, head: list[tuple[int, int]], c
         bigrams.select(F.col("b").alias("w"), F.col("a").alias("v"), "n", F.lit(1).alias("side"))).where(F.col("w") != END)
     empty = bigrams.where((F.col("a") == END) & (F.col("b") == END)).agg(F.sum("n")).first()[0] or 0
 
-    def lists(near: list[tuple[int, int]], own: DataFrame, rest: DataFrame | None) -> DataFrame:
+    def lists(near: list[tuple[int, int]], own: DataFrame, rest: DataFrame | None, step: str) -> DataFrame:
         """(w, e): packed counts per side and neighbour's class, and the word's own class and count."""
         known = spark.createDataFrame([*near, (END, classes)], "v long, d int")
         got = both.join(F.broadcast(known), "v").select("w", "side", "d", "n")
@@ -160,7 +161,7 @@ def cluster(bigrams: DataFrame, vocab: DataFrame, head: list[tuple[int, int]], c
             got = got.unionByName(far.join(rest.select(F.col("h").alias("v"), F.col("cls").alias("d")), "v").select("w", "side", "d", "n"))
         got = got.groupBy("w", "side", "d").agg(F.sum("n").alias("n")).unionByName(own)
         packed = (F.col("n") * 512 + F.col("side") * 128 + F.col("d")).alias("e")
-        return materialise(got.select("w", packed).groupBy("w").agg(F.collect_list("e").alias("e")), "lm-contexts")
+        return scratch.write(got.select("w", packed).groupBy("w").agg(F.collect_list("e").alias("e")), step)
 
     def matrix(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +184,7 @@ def cluster(bigrams: DataFrame, vocab: DataFrame, head: list[tuple[int, int]], c
         m[classes * k + classes] += empty
         return m[:k * k].reshape(k, k), m[k * k:]
 
-    def moved(table: DataFrame, m: np.ndarray, sweep: int | None, parts: int = 1) -> DataFrame:
+    def moved(table: DataFrame, m: np.ndarray, sweep: int | None, step: str, parts: int = 1) -> DataFrame:
         """(h, cls, n) after one sweep; None: new words are placed, the others stay."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -199,25 +200,30 @@ def cluster(bigrams: DataFrame, vocab: DataFrame, head: list[tuple[int, int]], c
                         free = (w >> 7) % parts == sweep % parts
                     yield pa.RecordBatch.from_pydict({"h": w, "cls": np.where(free, to, d[own]).astype(np.int32), "n": n[own].astype(np.int64)})
 
-        return materialise(table.mapInArrow(run, "h long, cls int, n long"), "lm-classes")
+        return scratch.write(table.mapInArrow(run, "h long, cls int, n long"), step)
 
     first = spark.createDataFrame(head, "h long, hc int")
     own = vocab.join(F.broadcast(first), "h", "left").select(
         F.col("h").alias("w"), F.when(F.col("hc").isNull(), NEW).otherwise(PLACED).alias("side"),
         F.coalesce("hc", F.pmod(F.crc32("w"), F.lit(classes)).cast("int")).alias("d"), "n")
-    table = lists(head, own, None)
-    now = moved(table, matrix(table)[0], None)
+    table = lists(head, own, None, "contexts")
+    now = moved(table, matrix(table)[0], None, "classes")
+    scratch.drop("contexts")
     best, parts = None, 2
     for sweep in range(sweeps + 1):
         near = [(r["h"], r["cls"]) for r in now.join(F.broadcast(first.select("h")), "h", "left_semi").select("h", "cls").collect()]  # the bounded head
-        table = lists(near, now.select(F.col("h").alias("w"), F.lit(PLACED).alias("side"), F.col("cls").alias("d"), "n"), now)
+        table = lists(near, now.select(F.col("h").alias("w"), F.lit(PLACED).alias("side"), F.col("cls").alias("d"), "n"), now, f"contexts{sweep}")
         m, kinds = matrix(table)
+        old = ["classes" if best is None or not best[4] else f"classes{best[4]}", f"contexts{best[4]}"] if best else []
         if best is None or likelihood(m) > likelihood(best[1]):
-            best = (now, m, kinds, table)
+            best = (now, m, kinds, table, sweep)
         else:
             parts *= 4
+            old = [f"classes{sweep}", f"contexts{sweep}"]
+        scratch.drop(*old)  # only the best classes and their contexts are read again
         if sweep < sweeps:
-            now = moved(best[3], best[1], sweep, parts)
+            now = moved(best[3], best[1], sweep, f"classes{sweep + 1}", parts)
+    scratch.drop(f"contexts{best[4]}")
     return best[:3]
 
 
@@ -225,6 +231,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
                     frequent: float = 5e-4, classes: int = 64, sweeps: int = 4) -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 of the text's probability)."""
     spark = docs.sparkSession
+    scratch = Scratch(spark, "lm")
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("k"), F.col(held_out).alias("held"), F.col(text).alias("t"))
     train = rows.where(~F.col("held"))
@@ -245,7 +252,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
             yield out(c)
 
     counted = train.select("t").mapInPandas(count, "w binary, h long, n long").groupBy("w").agg(F.first("h").alias("h"), F.sum("n").alias("n"))
-    vocab = materialise(counted, "lm-vocabulary")
+    vocab = scratch.write(counted, "vocabulary")
     total = vocab.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     texts = train.count()
     n_all = int(total["n"]) + texts
@@ -273,7 +280,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
         if held:
             yield out()
 
-    bigrams = materialise(train.select("t").mapInPandas(pairs, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")), "lm-bigrams")
+    bigrams = scratch.write(train.select("t").mapInPandas(pairs, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")), "bigrams")
     # First classes of the frequent words; all other words are one symbol here.
     symbols = len(names) + 2
     rank = spark.createDataFrame([(int(r["h"]), i) for i, r in enumerate(top)] + [(END, len(names))], "h long, i int")
@@ -283,7 +290,8 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
     big = np.zeros(symbols * symbols)
     big[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(float)
     head = exchange(big.reshape(symbols, symbols), len(names), classes, sweeps)
-    known, n_cls, kinds = cluster(bigrams, vocab, [(int(r["h"]), int(c)) for r, c in zip(top, head)], classes, sweeps)
+    known, n_cls, kinds = cluster(bigrams, vocab, [(int(r["h"]), int(c)) for r, c in zip(top, head)], classes, sweeps, scratch)
+    scratch.drop("bigrams", "vocabulary")
     k, unseen = classes + 2, classes + 1
     # Transitions: the class bigram backed off to the class frequency; unseen words keep the mass that the unigram gives them.
     base_room = float(np.log10(n_all + ADD * (v_all + 1)))
@@ -325,7 +333,7 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", he
 
     # The row id is drawn once and written with its key, so that a lost task cannot renumber rows.
     ids = rows.select(F.monotonically_increasing_id().alias("rid"), "k", "held", "t")
-    ids = materialise(ids.withColumn("chunk", F.shiftright("rid", CHUNK_BITS)), "lm-rows")
+    ids = scratch.write(ids.withColumn("chunk", F.shiftright("rid", CHUNK_BITS)), "rows")
     # Words of a chunk are sent once; those not in training find no class.
     asked = ids.select("chunk", "t").mapInPandas(words, "chunk long, h long").join(known, "h")
     sums = ids.select("chunk", "rid", "t").groupBy("chunk").cogroup(asked.groupBy("chunk")).applyInPandas(

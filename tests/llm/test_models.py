@@ -35,6 +35,21 @@ def test_brown(spark):
     assert sum(r["score"] for r in rows if r["held_out"]) > sum(r["base_score"] for r in rows if r["held_out"])
 
 
+def test_brown_leaves_no_tables_of_past_sweeps(spark):
+    import glob
+
+    from colonnade.session import checkpoint_root, local_path
+
+    def left() -> set[str]:
+        return set(glob.glob(f"{local_path(checkpoint_root(spark))}/scratch/lm-*"))
+
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * j) % 17}" for j in range(40)), i % 7 == 0) for i in range(60)], "doc_id long, text string, held boolean")
+    before = left()
+    assert score_documents(docs, held_out="held", classes=4).count() == 60
+    kinds = sorted(p.rsplit("/", 1)[1].split("-")[1].rstrip("0123456789") for p in left() - before)
+    assert kinds == ["classes", "rows"]
+
+
 def test_exchange_finds_alternating_classes():
     # Words 0-4 are always followed by words 5-7 and the other way round (unequal sides: the even start is no saddle).
     big = np.zeros((9, 9))
