@@ -50,6 +50,80 @@ def test_brown_leaves_no_tables_of_past_sweeps(spark):
     assert kinds == ["classes", "rows"]
 
 
+def test_brown_sweeps_write_classes_and_no_bigrams(spark, monkeypatch):
+    import glob
+    import os
+
+    from colonnade.llm.text import Scratch
+    from colonnade.session import local_path
+
+    sizes: dict[str, int] = {}
+
+    def watch(name):
+        before = getattr(Scratch, name, None)
+
+        def run(self, df, step, *more):
+            out = before(self, df, step, *more)
+            sizes[step] = sum(map(os.path.getsize, glob.glob(f"{local_path(self.paths[step])}/*.parquet")))
+            return out
+
+        if before:
+            monkeypatch.setattr(Scratch, name, run)
+
+    watch("write"), watch("write_bucketed")
+    rng = np.random.default_rng(3)
+    docs = [(i, " ".join(f"w{x}" for x in rng.integers(0, 20_000, 400)), i % 9 == 0) for i in range(500)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, held_out boolean")
+    assert score_documents(df, classes=8).count() == 500
+    assert all(size < sizes["bigrams"] / 2 for step, size in sizes.items() if step not in ("bigrams", "rows")), sizes
+
+
+def test_cut_words_are_the_rule_s_words():
+    import pyarrow as pa
+
+    from colonnade.llm.lm_brown import cut_words
+    from colonnade.llm.text import byte_words
+
+    texts = ["x", None, "", " \t", "A b\x0bÄ c\x85d\x1ce A", "end\n", "next", "\rZ z"]
+    for part in (slice(0, 8), slice(2, 7), slice(2, 4)):
+        at = pa.array(texts).slice(part.start, part.stop - part.start)
+        sizes, codes, words = cut_words(at)
+        want = [byte_words(t, lower=True) for t in texts[part]]
+        assert sizes.tolist() == [len(w) for w in want] and [words[c] for c in codes] == [w for ws in want for w in ws]
+
+
+def test_blocks_count_like_the_texts():
+    # Two chunks, three blocks, one frequent word: class counts from the blocks' messages against the texts'.
+    import pandas as pd
+
+    from colonnade.llm.lm_brown import Blocks
+
+    rng = np.random.default_rng(5)
+    every = np.sort(rng.integers(0, 2**63, 40, dtype=np.uint64))
+    crc, cls = rng.integers(0, 2**32, 40, dtype=np.uint32), rng.integers(0, 4, 40)
+    blocks = Blocks(every[[7]], 3, 4)
+    sent, want, near = {}, np.zeros((6, 6)), np.zeros((2, 2, 128))
+    for lo in (0, 10):
+        h, sizes = every[lo:lo + 30], np.array([50, 0, 31, 200])
+        ids, keep = rng.integers(0, 30, sizes.sum()), np.array([True, True, False, True])
+        for row in blocks.send(ids, sizes, keep, h, crc[lo:lo + 30]):
+            sent.setdefault(row[0], []).append(row)
+        for text, on in zip(np.split(ids, np.cumsum(sizes)[:-1]), keep):
+            seq = [None, *(text + lo), None]
+            for a, b in zip(seq[:-1], seq[1:]) if on else ():
+                if a not in (None, 7) and b not in (None, 7):
+                    want[cls[a], cls[b]] += 1
+                elif a not in (None, 7):
+                    near[int(b is None), 1, cls[a]] += 1
+                elif b not in (None, 7):
+                    near[int(a is None), 0, cls[b]] += 1
+    rows = [next(pd.DataFrame([blocks.build(r)]).itertuples()) for r in sent.values()]
+    assert all((np.frombuffer(r.start, np.uint8) == crc[np.searchsorted(every, np.frombuffer(r.words, np.uint64))] % 4).all() for r in rows)
+    spread = pd.concat([blocks.spread(r, cls[np.searchsorted(every, np.frombuffer(r.words, np.uint64))]) for r in rows])
+    got = sum(blocks.cells(*blocks.entries(r, spread[spread["block"] == r.block])) for r in rows)
+    assert (got[:36].reshape(6, 6) == want).all() and got[36:42].sum() == 39 and (got[42:].reshape(2, 2, 128) == near).all()
+
+
 def test_exchange_finds_alternating_classes():
     # Words 0-4 are always followed by words 5-7 and the other way round (unequal sides: the even start is no saddle).
     big = np.zeros((9, 9))
