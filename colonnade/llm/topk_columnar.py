@@ -32,6 +32,7 @@ _FOUND = "query_id long, vec_id long, score long"
 _BLOCK_CELLS = 1 << 22  # most of a block
 _GROUP_CELLS = 1 << 23  # most of the queries that a task holds
 _LANE_CELLS = 1 << 26  # most that pass in a task, about
+_MOVED = 4  # times the candidates' cells that the shuffle may hold, unless cores would stand idle
 _FEW = 1 / 32  # share of pairs from which they are followed one by one
 _LOOK = 16  # every so many query blocks all cuts are looked at, else those that paid
 
@@ -57,13 +58,16 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
         part, made = TaskContext.get().partitionId() << 32, 0
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
+        def most(dim: int) -> int:
+            return max(1, min(size, _BLOCK_CELLS // max(1, dim)))
+
         def out(dim: int, least: int) -> Iterator[pa.RecordBatch]:
-            """Whole blocks, and what is left of it if that is ``least`` rows."""
+            """Blocks of at least so many rows; the others wait."""
             nonlocal made
             ids, cells = (np.concatenate(x) for x in zip(*held.pop(dim)))
-            most, at = max(1, min(size, _BLOCK_CELLS // max(1, dim))), 0
-            while len(ids) - at >= (most if least else 1):
-                i, c = ids[at:at + most], cells[at:at + most]
+            at = 0
+            while len(ids) - at >= least:
+                i, c = ids[at:at + most(dim)], cells[at:at + most(dim)]
                 made, at = made + 1, at + len(i)
                 yield pa.RecordBatch.from_pydict({"block": [part + made], "dim": [dim], "n": [len(i)], "ids": [i.tobytes()],
                                                   "cells": [np.ascontiguousarray(_narrow(c).T).tobytes()]}, schema)
@@ -78,10 +82,10 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
                 pick = np.flatnonzero(sizes == dim)
                 v = flat[(ends[pick] - dim)[:, None] + np.arange(dim)]
                 held.setdefault(dim, []).append((ids[pick], np.floor(256.0 * v).astype(np.int64)))
-                if sum(len(i) for i, _ in held[dim]) >= size:
-                    yield from out(dim, size)
+                if sum(len(i) for i, _ in held[dim]) >= most(dim):
+                    yield from out(dim, most(dim))
         for dim in list(held):
-            yield from out(dim, 0)
+            yield from out(dim, 1)
     return rows.mapInArrow(run, _BLOCK)
 
 
@@ -231,12 +235,14 @@ def _dealt(block: Column, n: int) -> Column:
     return F.pmod(F.floor((task * F.lit(0.6180339887498949)) % 1 * n) + made, F.lit(n)).cast("int")
 
 
-def _grid(c: DataFrame, q: DataFrame, k: int, tasks: int) -> tuple[int, int]:
-    """Lanes of candidates and groups of queries: about ``tasks`` pairs that move the fewest cells and answers."""
+def _grid(c: DataFrame, q: DataFrame, k: int, tasks: int, cores: int) -> tuple[int, int]:
+    """Lanes of candidates and groups of queries: up to about ``tasks`` pairs that move the fewest cells and answers."""
     totals = [F.count("*"), F.sum("n"), F.sum(F.col("n").cast("long") * F.col("dim"))]
     (c_blocks, _, c_cells), (q_blocks, q_rows, q_cells) = ([x or 0 for x in d.agg(*totals).first()] for d in (c, q))
     copied = q_cells + 12 * k * q_rows  # an answer takes as much as twelve cells
-    held = -(-q_cells // _GROUP_CELLS)
+    # t tasks move 2 * sqrt(t * copied / c_cells) times the candidates at best
+    tasks = min(tasks, max(3 * cores, (_MOVED ** 2 * c_cells) // (4 * max(1, copied))))
+    held = -(-copied // _GROUP_CELLS)
     groups = max(1, min(max(held, min(tasks, round((tasks * copied / max(1, c_cells)) ** 0.5))), q_blocks))
     lanes = max(1, min(max(-(-tasks // groups), -(-c_cells // _LANE_CELLS)), c_blocks))
     return lanes, groups
@@ -254,7 +260,7 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vect
     spark = vectors.sparkSession
     cand = materialise(_blocks(clean(vectors), candidate_block), "topk-candidates")
     q = materialise(_blocks(clean(queries), query_block), "topk-queries")
-    lanes, groups = _grid(cand, q, k, partitions(spark, 1, 1))
+    lanes, groups = _grid(cand, q, k, partitions(spark, 1, 1), spark.sparkContext.defaultParallelism)
 
     def each(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
